@@ -1,0 +1,117 @@
+"""Shop-shaped views over the driver's generic tables.
+
+These are *derivations* of whole tables (every row of the source is kept);
+they give the feature job, the cleaning stage and the keyed load realistic
+inputs. The same definitions are written independently in DuckDB SQL in
+``shoplens.plans.oracle``.
+
+Behaviour segments re-time purchase events instead of dropping them:
+``user_id % 5 = 0`` lapsing (events from the 15th move 14 days back),
+``% 6 = 1`` night owls (hour -> 20..05), ``% 6 = 2`` early shoppers
+(hour -> 06..11), ``% 8 = 3`` weekend shoppers (Mon-Fri -> Saturday).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shoplens.functions import time as T
+from shoplens.sources.tables import read_table
+
+# Fixed reference time of the fixture views (events span 2024-01-01..30).
+FIXTURE_AS_OF = "2024-01-31 00:00:00"
+LAPSE_FROM = "2024-01-15 00:00:00"
+N_STORES = 45
+
+
+def _k() -> Column:
+    return F.get_json_object("props", "$.k").cast("int")
+
+
+def r_customers(spark: SparkSession, root: str, as_of: str = FIXTURE_AS_OF) -> DataFrame:
+    """customers mart from ``customer``."""
+    c = read_table(spark, root, "customer").select("c_custkey")
+    return c.select(
+        F.concat(F.lit("cus-"), F.col("c_custkey").cast("string")).alias("customer_id"),
+        (T.as_of_col(as_of) - F.make_dt_interval((F.col("c_custkey") % 366).cast("int")))
+        .alias("registration_dt"),
+        ((F.col("c_custkey") % 3) > 0).cast("int").alias("is_loyalty_member"),
+    )
+
+
+def purchase_events(spark: SparkSession, root: str) -> DataFrame:
+    ev = read_table(spark, root, "events")
+    return (ev.where(F.col("event_type") == "purchase")
+            .select("event_id", "ts", "user_id", "value", _k().alias("k")))
+
+
+def shaped_ts(ts: Column, user_id: Column) -> Column:
+    h = F.hour(ts)
+    wd = F.weekday(ts)  # 0 = Monday .. 6 = Sunday
+    hours = lambda x: F.make_dt_interval(F.lit(0), x.cast("int"))
+    days = lambda x: F.make_dt_interval(x.cast("int"))
+    return (F.when((user_id % 5 == 0) & (ts >= F.to_timestamp(F.lit(LAPSE_FROM))), ts - days(F.lit(14)))
+            .when(user_id % 6 == 1, ts + hours((F.lit(20) + h % 10) % 24 - h))
+            .when(user_id % 6 == 2, ts + hours(F.lit(6) + h % 6 - h))
+            .when((user_id % 8 == 3) & (wd < 5), ts + days(F.lit(5) - wd))
+            .otherwise(ts))
+
+
+def r_purchases(spark: SparkSession, root: str) -> DataFrame:
+    """purchases mart from every ``events`` row of type 'purchase'."""
+    ev = purchase_events(spark, root)
+    u, k = F.col("user_id"), F.col("k")
+    home_cut = F.least(F.lit(99), F.lit(50) + (u % 7) * 10)
+    store = (u * 7 + F.when(k < home_cut, F.lit(0)).otherwise(k)) % N_STORES
+    payment = (F.when((u % 4 == 0) & (k < 90), F.lit("CASH"))
+               .when((u % 4 == 1) & (k < 90), F.lit("Card"))
+               .when(k % 2 == 0, F.lit("cash")).otherwise(F.lit("card")))
+    delivery = F.when(u % 3 == 0, k % 3 > 0).otherwise(k % 3 == 0)
+    return ev.select(
+        F.concat(F.lit("ord-"), F.col("event_id").cast("string")).alias("purchase_id"),
+        F.concat(F.lit("cus-"), u.cast("string")).alias("customer_id"),
+        F.concat(F.lit("store-"), store.cast("string")).alias("store_id"),
+        shaped_ts(F.col("ts"), u).alias("purchase_datetime"),
+        (F.col("value") * 4).alias("total_amount"),
+        payment.alias("payment_method"),
+        delivery.cast("int").alias("is_delivery"),
+    )
+
+
+def raw_purchases(spark: SparkSession, root: str) -> DataFrame:
+    """Dirty RAW purchases (text timestamps, blanks, NULL ids, bad dates,
+    future dates, NULL amounts) plus a re-sent copy of some events."""
+    ev = purchase_events(spark, root)
+    k = F.col("k")
+    base = ev.select(
+        F.when(k.between(0, 4), F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("ord-"), F.col("event_id").cast("string"))).alias("purchase_id"),
+        F.concat(F.lit("cus-"), F.col("user_id").cast("string")).alias("customer_id"),
+        F.concat(F.lit("store-"), (k % N_STORES).cast("string")).alias("store_id"),
+        F.when(k.between(10, 14), F.lit("not-a-date"))
+        .when(k.between(15, 19), F.lit("2034-01-01T00:00:00Z"))
+        .otherwise(T.format_iso_z(F.col("ts"))).alias("purchase_datetime"),
+        F.when(k.between(20, 24), F.lit(None).cast("double"))
+        .otherwise(F.col("value") * 4).alias("total_amount"),
+        F.when(k.between(5, 9), F.lit("  ")).when(k % 2 == 0, F.lit(" CASH"))
+        .otherwise(F.lit("Card")).alias("payment_method"),
+        (k % 3 == 0).alias("is_delivery"),
+        k.alias("_k"),
+        F.col("ts").alias("_ts"),
+    )
+    resent = (base.where(F.col("_k").between(25, 34))
+              .withColumn("purchase_datetime", T.format_iso_z(F.col("_ts") + F.expr("INTERVAL 1 HOUR")))
+              .withColumn("payment_method", F.lit("card")))
+    return base.unionByName(resent).drop("_k", "_ts")
+
+
+def pii_contacts(spark: SparkSession, root: str) -> DataFrame:
+    """Messy e-mail and phone text derived from ``customer``."""
+    c = read_table(spark, root, "customer").select("c_custkey", "c_name")
+    return c.select(
+        "c_custkey",
+        F.concat(F.lit(" "), F.upper("c_name"), F.lit("@Mail.Example.com ")).alias("email"),
+        F.concat(F.lit("8 (9"), F.lpad((F.col("c_custkey") % 100).cast("string"), 2, "0"),
+                 F.lit(") 555-12-34")).alias("phone"),
+    )
