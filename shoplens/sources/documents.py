@@ -1,0 +1,164 @@
+"""Nested shop documents built from the driver's flat tables.
+
+customers  <- customer ⋈ nation (home store embedded as ``purchase_location``)
+stores     <- nation ⋈ region (one store per nation key)
+purchases  <- orders ⋈ customer ⋈ lineitem ⋈ part (line items as an array)
+
+A purchase document holds its own lines only. The array is built per
+``(order, part)`` where ``part`` splits an order with more than
+``max_items`` lines into several documents, so no single row grows with a
+hot order; with at most 13 lines per order here every order has part 0.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shoplens.functions import time as T
+from shoplens.sources.fixtures import FIXTURE_AS_OF, pii_contacts
+from shoplens.sources.tables import read_table
+
+MAX_ITEMS_PER_DOCUMENT = 1000
+
+
+def store_id_of(nationkey: Column) -> Column:
+    return F.concat(F.lit("store-"), F.lpad(nationkey.cast("string"), 3, "0"))
+
+
+def customer_documents(spark: SparkSession, root: str, as_of: str = FIXTURE_AS_OF) -> DataFrame:
+    c = read_table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey")
+    contacts = pii_contacts(spark, root)
+    n = read_table(spark, root, "nation").select("n_nationkey", "n_name")
+    key = F.col("c_custkey")
+    reg = T.as_of_col(as_of) - F.make_dt_interval((key % 366).cast("int"))
+    return (c.join(contacts.select("c_custkey", "email", "phone"), "c_custkey", "left")
+            .join(n, c.c_nationkey == n.n_nationkey, "left")
+            .select(
+                F.concat(F.lit("cus-"), key.cast("string")).alias("customer_id"),
+                F.col("c_name").alias("first_name"),
+                F.lit(None).cast("string").alias("last_name"),
+                "email", "phone",
+                T.format_iso_z(reg).alias("registration_date"),
+                ((key % 3) > 0).alias("is_loyalty_member"),
+                F.concat(F.lit("LOYAL-"), F.upper(F.substring(F.md5(key.cast("string")), 1, 10)))
+                .alias("loyalty_card_number"),
+                F.when(F.col("n_nationkey").isNotNull(), F.struct(
+                    store_id_of(F.col("n_nationkey")).alias("store_id"),
+                    F.col("n_name").alias("store_name"),
+                    F.col("n_name").alias("city"))).alias("purchase_location"),
+                F.struct(
+                    F.lit("ru").alias("preferred_language"),
+                    F.when(key % 2 == 0, F.lit("card")).otherwise(F.lit("cash")).alias("preferred_payment_method"),
+                    (key % 2 == 0).alias("receive_promotions")).alias("preferences"),
+            ))
+
+
+def store_documents(spark: SparkSession, root: str) -> DataFrame:
+    n = read_table(spark, root, "nation")
+    r = read_table(spark, root, "region")
+    k = F.col("n_nationkey")
+    return (n.join(r, n.n_regionkey == r.r_regionkey, "left")
+            .select(
+                store_id_of(k).alias("store_id"),
+                F.concat(F.col("n_name"), F.lit(" store")).alias("store_name"),
+                F.col("r_name").alias("store_network"),
+                F.struct(
+                    F.concat(F.lit("Manager "), k.cast("string")).alias("name"),
+                    F.concat(F.lit("8 (900) 000-00-"), F.lpad(k.cast("string"), 2, "0")).alias("phone"),
+                    F.concat(F.lit(" Manager."), k.cast("string"), F.lit("@Shop.Example.com")).alias("email"),
+                ).alias("manager"),
+                F.struct(F.col("r_name").alias("country"), F.col("n_name").alias("city")).alias("location"),
+            ))
+
+
+def _line_items(spark: SparkSession, root: str, max_items: int) -> DataFrame:
+    """One row per line with its document part number.
+
+    part = pmod(hash(line), ceil(lines_in_order / max_items)): orders up to
+    ``max_items`` lines have one part; larger ones spread evenly.
+    """
+    li = read_table(spark, root, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    p = read_table(spark, root, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
+    sizes = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_lines"))
+    price = F.col("p_retailprice").cast("decimal(18,2)")
+    qty = F.col("l_quantity").cast("int")
+    n_parts = F.ceil(F.col("_lines") / F.lit(max_items))
+    return (li.join(sizes, "l_orderkey")
+            .join(p, li.l_partkey == p.p_partkey, "left")
+            .select(
+                "l_orderkey",
+                F.pmod(F.xxhash64("l_linenumber", "l_partkey", "l_quantity"), n_parts).alias("doc_part"),
+                F.struct(
+                    F.col("l_linenumber").alias("line_no"),
+                    F.concat(F.lit("prd-"), F.col("l_partkey").cast("string")).alias("product_id"),
+                    F.col("p_name").alias("name"),
+                    F.col("p_type").alias("category"),
+                    qty.alias("quantity"),
+                    F.lit("pcs").alias("unit"),
+                    price.cast("double").alias("price_per_unit"),
+                    F.round(price * qty, 2).cast("double").alias("total_price"),
+                ).alias("item")))
+
+
+def purchase_documents(spark: SparkSession, root: str,
+                       max_items: int = MAX_ITEMS_PER_DOCUMENT) -> DataFrame:
+    """G3 + G5: nested purchase documents; the delivery address is present
+    only when the purchase is delivered."""
+    o = read_table(spark, root, "orders")
+    c = read_table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey")
+    contacts = pii_contacts(spark, root).select("c_custkey", "email", "phone")
+    n = read_table(spark, root, "nation").select("n_nationkey", "n_name")
+    items = (_line_items(spark, root, max_items)
+             .groupBy("l_orderkey", "doc_part")
+             .agg(F.array_sort(F.collect_list("item")).alias("items")))
+    key = F.col("c_custkey")
+    delivered = F.col("o_orderstatus") == "O"
+    return (o.join(items, o.o_orderkey == items.l_orderkey, "left")
+            .join(c, o.o_custkey == c.c_custkey, "left")
+            .join(contacts, "c_custkey", "left")
+            .join(n, c.c_nationkey == n.n_nationkey, "left")
+            .select(
+                F.concat(F.lit("ord-"), F.col("o_orderkey").cast("string")).alias("purchase_id"),
+                F.coalesce(F.col("doc_part"), F.lit(0)).alias("doc_part"),
+                F.struct(
+                    F.concat(F.lit("cus-"), F.col("o_custkey").cast("string")).alias("customer_id"),
+                    F.col("c_name").alias("first_name"),
+                    F.lit(None).cast("string").alias("last_name"),
+                    "email", "phone",
+                    ((key % 3) > 0).alias("is_loyalty_member"),
+                    F.concat(F.lit("LOYAL-"), F.upper(F.substring(F.md5(key.cast("string")), 1, 10)))
+                    .alias("loyalty_card_number"),
+                ).alias("customer"),
+                F.struct(
+                    store_id_of(F.col("c_nationkey")).alias("store_id"),
+                    F.concat(F.col("n_name"), F.lit(" store")).alias("store_name"),
+                ).alias("store"),
+                F.col("items"),
+                F.col("o_totalprice").alias("total_amount"),
+                F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("card"))
+                .otherwise(F.lit("cash")).alias("payment_method"),
+                delivered.alias("is_delivery"),
+                F.when(delivered, F.struct(
+                    F.col("n_name").alias("city"),
+                    F.concat(F.lit("Street "), (F.col("o_custkey") % 100).cast("string")).alias("street"),
+                )).alias("delivery_address"),
+                T.format_iso_z(F.col("o_orderdate")).alias("purchase_datetime"),
+            ))
+
+
+def product_documents(spark: SparkSession, root: str) -> DataFrame:
+    """products <- part (brand as the maker)."""
+    from shoplens.functions.text import maker_website
+
+    p = read_table(spark, root, "part")
+    return p.select(
+        F.concat(F.lit("prd-"), F.col("p_partkey").cast("string")).alias("id"),
+        F.col("p_name").alias("name"),
+        F.col("p_type").alias("group"),
+        F.col("p_retailprice").alias("price"),
+        F.lit("pcs").alias("unit"),
+        F.struct(F.col("p_brand").alias("name"), maker_website(F.col("p_brand")).alias("website"))
+        .alias("manufacturer"),
+    )

@@ -41,7 +41,11 @@ def r_customers(spark: SparkSession, root: str, as_of: str = FIXTURE_AS_OF) -> D
 
 
 def purchase_events(spark: SparkSession, root: str) -> DataFrame:
-    ev = read_table(spark, root, "events")
+    return purchase_events_of(read_table(spark, root, "events"))
+
+
+def purchase_events_of(ev: DataFrame) -> DataFrame:
+    """Purchase rows of an events DataFrame (batch or streaming)."""
     return (ev.where(F.col("event_type") == "purchase")
             .select("event_id", "ts", "user_id", "value", _k().alias("k")))
 
@@ -82,7 +86,11 @@ def r_purchases(spark: SparkSession, root: str) -> DataFrame:
 def raw_purchases(spark: SparkSession, root: str) -> DataFrame:
     """Dirty RAW purchases (text timestamps, blanks, NULL ids, bad dates,
     future dates, NULL amounts) plus a re-sent copy of some events."""
-    ev = purchase_events(spark, root)
+    return raw_purchases_of(purchase_events(spark, root))
+
+
+def raw_purchases_of(ev: DataFrame) -> DataFrame:
+    """``raw_purchases`` over purchase events (batch or streaming)."""
     k = F.col("k")
     base = ev.select(
         F.when(k.between(0, 4), F.lit(None).cast("string"))
