@@ -29,6 +29,12 @@ def as_of_col(as_of=None) -> Column:
     return F.to_timestamp(F.lit(text))
 
 
+def as_of_sql(as_of=None) -> str:
+    """``as_of`` as a SQL expression (a timestamp literal)."""
+    text = as_of_text(as_of)
+    return "current_timestamp()" if text is None else f"TIMESTAMP '{text}'"
+
+
 def age_days(ts: Column, as_of=None) -> Column:
     """Whole calendar days between ``ts`` and ``as_of`` in the session time
     zone (23:59:59 to the next 00:00:01 counts 1). Future is negative."""

@@ -25,20 +25,32 @@ def basket_totals(items: DataFrame) -> DataFrame:
             .agg(F.sum(line).alias("items_total"), F.count(F.lit(1)).alias("n_items")))
 
 
+# Line total = round(price * quantity, 2), summed in decimal inside each
+# document (a per-row higher-order function, no shuffle of line items).
+DOC_ITEMS_TOTAL_SQL = """aggregate(coalesce(items, array()), CAST(0 AS DECIMAL(28,2)),
+    (acc, x) -> CAST(acc + round(CAST(x.price_per_unit AS DECIMAL(18,2)) * x.quantity, 2) AS DECIMAL(28,2)))"""
+
+
 def reconcile(docs: DataFrame, tolerance: float = RECONCILE_TOLERANCE) -> DataFrame:
-    """Compare the line-item sum with the stated total (|diff| < tolerance)."""
-    totals = basket_totals(basket_items(docs))
-    heads = docs.where(F.col("doc_part") == 0) if "doc_part" in docs.columns else docs
-    head = heads.select("purchase_id", F.col("total_amount").cast(MONEY).alias("total_amount"))
-    j = head.join(totals, "purchase_id", "left")
-    items_total = F.coalesce(F.col("items_total"), F.lit(0).cast(MONEY))
-    diff = F.col("total_amount") - items_total
-    return j.select(
+    """Compare the line-item sum with the stated total (|diff| < tolerance).
+
+    Each document part is totalled in place; parts of one purchase are
+    combined by one partial aggregate over document rows (not line rows).
+    """
+    part = "doc_part" if "doc_part" in docs.columns else "0"
+    per_doc = docs.selectExpr(
+        "purchase_id", f"{part} AS _part",
+        f"CAST(total_amount AS {MONEY}) AS total_amount",
+        f"{DOC_ITEMS_TOTAL_SQL} AS part_total")
+    per_purchase = per_doc.groupBy("purchase_id").agg(
+        F.expr("sum(part_total) AS items_total"),
+        F.expr("max_by(total_amount, _part = 0) AS total_amount"))
+    return per_purchase.selectExpr(
         "purchase_id",
-        items_total.cast("double").alias("items_total"),
-        F.col("total_amount").cast("double").alias("total_amount"),
-        diff.cast("double").alias("diff"),
-        (F.abs(diff) < F.lit(tolerance)).alias("matches"),
+        "CAST(items_total AS DOUBLE) AS items_total",
+        "CAST(total_amount AS DOUBLE) AS total_amount",
+        "CAST(total_amount - items_total AS DOUBLE) AS diff",
+        f"abs(total_amount - items_total) < {tolerance} AS matches",
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions import time as T
-from shoplens.operators.dedup import latest_per_key
+from shoplens.operators.dedup import keep_max
 
 REJECT_ORDER = ("null", "blank", "bad_date", "future")
 
@@ -120,7 +120,9 @@ def clean(raw: DataFrame, as_of, rules: CleaningRules = PURCHASE_RULES) -> tuple
     ``rejects`` keeps the raw row plus its reason; accepted rows before
     dedup plus rejects equal the input.
     """
-    mart = latest_per_key(accepted(raw, as_of, rules), rules.key, rules.timestamp)
+    # Accepted rows have non-NULL keys (keys are required), so no NULL-key
+    # pass-through branch is needed.
+    mart = keep_max(accepted(raw, as_of, rules), rules.key, [rules.timestamp], keep_null_keys=False)
     rej = with_reasons(raw, as_of, rules).where(F.col("reject_reason").isNotNull())
     return mart, rej
 

@@ -277,7 +277,7 @@ def q_customers_mart(spark, root):
 
 @register("purchases_mart")
 def q_purchases_mart(spark, root):
-    return cleaning.purchases_mart(documents.purchase_documents(spark, root))
+    return cleaning.purchases_mart(documents.purchase_documents(spark, root, include_items=False))
 
 
 @register("mart_clean")

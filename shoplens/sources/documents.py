@@ -6,8 +6,8 @@ purchases  <- orders ⋈ customer ⋈ lineitem ⋈ part (line items as an array)
 
 A purchase document holds its own lines only. The array is built per
 ``(order, part)`` where ``part`` splits an order with more than
-``max_items`` lines into several documents, so no single row grows with a
-hot order; with at most 13 lines per order here every order has part 0.
+``max_items`` line numbers into several documents, so no single row grows
+with a hot order; here every order has part 0.
 """
 
 from __future__ import annotations
@@ -16,12 +16,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.functions import time as T
-from shoplens.sources.fixtures import FIXTURE_AS_OF, pii_contacts
+from shoplens.sources.fixtures import CONTACT_SQL, FIXTURE_AS_OF, pii_contacts
 from shoplens.sources.tables import read_table
 
 MAX_ITEMS_PER_DOCUMENT = 1000
 
 
+STORE_ID_SQL = "concat('store-', lpad(CAST({k} AS STRING), 3, '0'))"
+
+
 def store_id_of(nationkey: Column) -> Column:
     return F.concat(F.lit("store-"), F.lpad(nationkey.cast("string"), 3, "0"))
 
@@ -75,76 +78,70 @@ def store_documents(spark: SparkSession, root: str) -> DataFrame:
 def _line_items(spark: SparkSession, root: str, max_items: int) -> DataFrame:
     """One row per line with its document part number.
 
-    part = pmod(hash(line), ceil(lines_in_order / max_items)): orders up to
-    ``max_items`` lines have one part; larger ones spread evenly.
+    part = (line number - 1) div ``max_items``: line numbers are the
+    per-order sequence, so a part holds at most ``max_items`` of them
+    (repeated line numbers stay with their number). No per-order count,
+    so no extra shuffle.
     """
     li = read_table(spark, root, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     p = read_table(spark, root, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
-    sizes = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_lines"))
-    price = F.col("p_retailprice").cast("decimal(18,2)")
-    qty = F.col("l_quantity").cast("int")
-    n_parts = F.ceil(F.col("_lines") / F.lit(max_items))
-    return (li.join(sizes, "l_orderkey")
-            .join(p, li.l_partkey == p.p_partkey, "left")
-            .select(
+    return (li.join(p, li.l_partkey == p.p_partkey, "left")
+            .selectExpr(
                 "l_orderkey",
-                F.pmod(F.xxhash64("l_linenumber", "l_partkey", "l_quantity"), n_parts).alias("doc_part"),
-                F.struct(
-                    F.col("l_linenumber").alias("line_no"),
-                    F.concat(F.lit("prd-"), F.col("l_partkey").cast("string")).alias("product_id"),
-                    F.col("p_name").alias("name"),
-                    F.col("p_type").alias("category"),
-                    qty.alias("quantity"),
-                    F.lit("pcs").alias("unit"),
-                    price.cast("double").alias("price_per_unit"),
-                    F.round(price * qty, 2).cast("double").alias("total_price"),
-                ).alias("item")))
-
-
-def purchase_documents(spark: SparkSession, root: str,
-                       max_items: int = MAX_ITEMS_PER_DOCUMENT) -> DataFrame:
+                f"CAST(greatest(l_linenumber - 1, 0) DIV {max_items} AS INT) AS doc_part",
+                """named_struct(
+                     'line_no', l_linenumber,
+                     'product_id', concat('prd-', CAST(l_partkey AS STRING)),
+                     'name', p_name,
+                     'category', p_type,
+                     'quantity', CAST(l_quantity AS INT),
+                     'unit', 'pcs',
+                     'price_per_unit', CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE),
+                     'total_price', CAST(round(CAST(p_retailprice AS DECIMAL(18,2)) * CAST(l_quantity AS INT), 2)
+                                         AS DOUBLE)) AS item"""))
+
+
+def purchase_documents(spark: SparkSession, root: str, max_items: int = MAX_ITEMS_PER_DOCUMENT,
+                       include_items: bool = True) -> DataFrame:
     """G3 + G5: nested purchase documents; the delivery address is present
-    only when the purchase is delivered."""
+    only when the purchase is delivered. ``include_items=False`` builds the
+    header documents only (one per order, ``items`` NULL, part 0)."""
     o = read_table(spark, root, "orders")
     c = read_table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey")
-    contacts = pii_contacts(spark, root).select("c_custkey", "email", "phone")
+    c = c.selectExpr("*", *[f"{v} AS {k}" for k, v in CONTACT_SQL.items()])
     n = read_table(spark, root, "nation").select("n_nationkey", "n_name")
-    items = (_line_items(spark, root, max_items)
-             .groupBy("l_orderkey", "doc_part")
-             .agg(F.array_sort(F.collect_list("item")).alias("items")))
-    key = F.col("c_custkey")
-    delivered = F.col("o_orderstatus") == "O"
-    return (o.join(items, o.o_orderkey == items.l_orderkey, "left")
-            .join(c, o.o_custkey == c.c_custkey, "left")
-            .join(contacts, "c_custkey", "left")
+    if include_items:
+        items = (_line_items(spark, root, max_items)
+                 .groupBy("l_orderkey", "doc_part")
+                 .agg(F.array_sort(F.collect_list("item")).alias("items")))
+        o = o.join(items, o.o_orderkey == items.l_orderkey, "left")
+    else:
+        o = o.selectExpr("*", "CAST(0 AS INT) AS doc_part", "CAST(NULL AS ARRAY<STRUCT<line_no: INT>>) AS items")
+    return (o.join(c, o.o_custkey == c.c_custkey, "left")
             .join(n, c.c_nationkey == n.n_nationkey, "left")
-            .select(
-                F.concat(F.lit("ord-"), F.col("o_orderkey").cast("string")).alias("purchase_id"),
-                F.coalesce(F.col("doc_part"), F.lit(0)).alias("doc_part"),
-                F.struct(
-                    F.concat(F.lit("cus-"), F.col("o_custkey").cast("string")).alias("customer_id"),
-                    F.col("c_name").alias("first_name"),
-                    F.lit(None).cast("string").alias("last_name"),
-                    "email", "phone",
-                    ((key % 3) > 0).alias("is_loyalty_member"),
-                    F.concat(F.lit("LOYAL-"), F.upper(F.substring(F.md5(key.cast("string")), 1, 10)))
-                    .alias("loyalty_card_number"),
-                ).alias("customer"),
-                F.struct(
-                    store_id_of(F.col("c_nationkey")).alias("store_id"),
-                    F.concat(F.col("n_name"), F.lit(" store")).alias("store_name"),
-                ).alias("store"),
-                F.col("items"),
-                F.col("o_totalprice").alias("total_amount"),
-                F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("card"))
-                .otherwise(F.lit("cash")).alias("payment_method"),
-                delivered.alias("is_delivery"),
-                F.when(delivered, F.struct(
-                    F.col("n_name").alias("city"),
-                    F.concat(F.lit("Street "), (F.col("o_custkey") % 100).cast("string")).alias("street"),
-                )).alias("delivery_address"),
-                T.format_iso_z(F.col("o_orderdate")).alias("purchase_datetime"),
+            .selectExpr(
+                "concat('ord-', CAST(o_orderkey AS STRING)) AS purchase_id",
+                "coalesce(doc_part, 0) AS doc_part",
+                """named_struct(
+                     'customer_id', concat('cus-', CAST(o_custkey AS STRING)),
+                     'first_name', c_name,
+                     'last_name', CAST(NULL AS STRING),
+                     'email', email,
+                     'phone', phone,
+                     'is_loyalty_member', c_custkey % 3 > 0,
+                     'loyalty_card_number', concat('LOYAL-', upper(substring(md5(CAST(c_custkey AS STRING)), 1, 10)))
+                   ) AS customer""",
+                f"""named_struct('store_id', {STORE_ID_SQL.format(k='c_nationkey')},
+                                 'store_name', concat(n_name, ' store')) AS store""",
+                "items",
+                "o_totalprice AS total_amount",
+                "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'card' ELSE 'cash' END AS payment_method",
+                "o_orderstatus = 'O' AS is_delivery",
+                """CASE WHEN o_orderstatus = 'O' THEN named_struct(
+                     'city', n_name, 'street', concat('Street ', CAST(o_custkey % 100 AS STRING))) END
+                   AS delivery_address""",
+                "date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS purchase_datetime",
             ))
 
 

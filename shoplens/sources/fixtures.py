@@ -32,11 +32,10 @@ def _k() -> Column:
 def r_customers(spark: SparkSession, root: str, as_of: str = FIXTURE_AS_OF) -> DataFrame:
     """customers mart from ``customer``."""
     c = read_table(spark, root, "customer").select("c_custkey")
-    return c.select(
-        F.concat(F.lit("cus-"), F.col("c_custkey").cast("string")).alias("customer_id"),
-        (T.as_of_col(as_of) - F.make_dt_interval((F.col("c_custkey") % 366).cast("int")))
-        .alias("registration_dt"),
-        ((F.col("c_custkey") % 3) > 0).cast("int").alias("is_loyalty_member"),
+    return c.selectExpr(
+        "concat('cus-', CAST(c_custkey AS STRING)) AS customer_id",
+        f"{T.as_of_sql(as_of)} - make_dt_interval(CAST(c_custkey % 366 AS INT)) AS registration_dt",
+        "CAST(c_custkey % 3 > 0 AS INT) AS is_loyalty_member",
     )
 
 
@@ -45,41 +44,43 @@ def purchase_events(spark: SparkSession, root: str) -> DataFrame:
 
 
 def purchase_events_of(ev: DataFrame) -> DataFrame:
-    """Purchase rows of an events DataFrame (batch or streaming)."""
-    return (ev.where(F.col("event_type") == "purchase")
-            .select("event_id", "ts", "user_id", "value", _k().alias("k")))
+    """Purchase rows of an events DataFrame (batch or streaming).
+
+    ``json_tuple`` parses ``props`` once per row. (With ``get_json_object``
+    every predicate that Catalyst pushes below this projection would
+    re-parse the JSON once per reference; a generator is a boundary that
+    filters on its output do not cross.)"""
+    return (ev.where("event_type = 'purchase'")
+            .select("event_id", "ts", "user_id", "value", F.json_tuple("props", "k").alias("k_text"))
+            .selectExpr("event_id", "ts", "user_id", "value", "CAST(k_text AS INT) AS k"))
+
+
+# Behaviour segments (see module doc); hours/days shifts as SQL.
+SHAPED_TS_SQL = f"""CASE
+  WHEN user_id % 5 = 0 AND ts >= TIMESTAMP '{LAPSE_FROM}' THEN ts - make_dt_interval(14)
+  WHEN user_id % 6 = 1 THEN ts + make_dt_interval(0, CAST((20 + hour(ts) % 10) % 24 - hour(ts) AS INT))
+  WHEN user_id % 6 = 2 THEN ts + make_dt_interval(0, CAST(6 + hour(ts) % 6 - hour(ts) AS INT))
+  WHEN user_id % 8 = 3 AND weekday(ts) < 5 THEN ts + make_dt_interval(CAST(5 - weekday(ts) AS INT))
+  ELSE ts END"""
 
 
 def shaped_ts(ts: Column, user_id: Column) -> Column:
-    h = F.hour(ts)
-    wd = F.weekday(ts)  # 0 = Monday .. 6 = Sunday
-    hours = lambda x: F.make_dt_interval(F.lit(0), x.cast("int"))
-    days = lambda x: F.make_dt_interval(x.cast("int"))
-    return (F.when((user_id % 5 == 0) & (ts >= F.to_timestamp(F.lit(LAPSE_FROM))), ts - days(F.lit(14)))
-            .when(user_id % 6 == 1, ts + hours((F.lit(20) + h % 10) % 24 - h))
-            .when(user_id % 6 == 2, ts + hours(F.lit(6) + h % 6 - h))
-            .when((user_id % 8 == 3) & (wd < 5), ts + days(F.lit(5) - wd))
-            .otherwise(ts))
+    """Column form of the segment re-timing (``ts``/``user_id`` as named)."""
+    return F.expr(SHAPED_TS_SQL)
 
 
 def r_purchases(spark: SparkSession, root: str) -> DataFrame:
     """purchases mart from every ``events`` row of type 'purchase'."""
-    ev = purchase_events(spark, root)
-    u, k = F.col("user_id"), F.col("k")
-    home_cut = F.least(F.lit(99), F.lit(50) + (u % 7) * 10)
-    store = (u * 7 + F.when(k < home_cut, F.lit(0)).otherwise(k)) % N_STORES
-    payment = (F.when((u % 4 == 0) & (k < 90), F.lit("CASH"))
-               .when((u % 4 == 1) & (k < 90), F.lit("Card"))
-               .when(k % 2 == 0, F.lit("cash")).otherwise(F.lit("card")))
-    delivery = F.when(u % 3 == 0, k % 3 > 0).otherwise(k % 3 == 0)
-    return ev.select(
-        F.concat(F.lit("ord-"), F.col("event_id").cast("string")).alias("purchase_id"),
-        F.concat(F.lit("cus-"), u.cast("string")).alias("customer_id"),
-        F.concat(F.lit("store-"), store.cast("string")).alias("store_id"),
-        shaped_ts(F.col("ts"), u).alias("purchase_datetime"),
-        (F.col("value") * 4).alias("total_amount"),
-        payment.alias("payment_method"),
-        delivery.cast("int").alias("is_delivery"),
+    return purchase_events(spark, root).selectExpr(
+        "concat('ord-', CAST(event_id AS STRING)) AS purchase_id",
+        "concat('cus-', CAST(user_id AS STRING)) AS customer_id",
+        "concat('store-', CAST((user_id * 7 + CASE WHEN k < least(99, 50 + (user_id % 7) * 10) "
+        f"THEN 0 ELSE k END) % {N_STORES} AS STRING)) AS store_id",
+        f"{SHAPED_TS_SQL} AS purchase_datetime",
+        "value * 4 AS total_amount",
+        "CASE WHEN user_id % 4 = 0 AND k < 90 THEN 'CASH' WHEN user_id % 4 = 1 AND k < 90 THEN 'Card' "
+        "WHEN k % 2 = 0 THEN 'cash' ELSE 'card' END AS payment_method",
+        "CAST(CASE WHEN user_id % 3 = 0 THEN k % 3 > 0 ELSE k % 3 = 0 END AS INT) AS is_delivery",
     )
 
 
@@ -89,37 +90,40 @@ def raw_purchases(spark: SparkSession, root: str) -> DataFrame:
     return raw_purchases_of(purchase_events(spark, root))
 
 
+ISO_Z_SQL = "date_format({ts}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
+
+
 def raw_purchases_of(ev: DataFrame) -> DataFrame:
     """``raw_purchases`` over purchase events (batch or streaming)."""
-    k = F.col("k")
-    base = ev.select(
-        F.when(k.between(0, 4), F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("ord-"), F.col("event_id").cast("string"))).alias("purchase_id"),
-        F.concat(F.lit("cus-"), F.col("user_id").cast("string")).alias("customer_id"),
-        F.concat(F.lit("store-"), (k % N_STORES).cast("string")).alias("store_id"),
-        F.when(k.between(10, 14), F.lit("not-a-date"))
-        .when(k.between(15, 19), F.lit("2034-01-01T00:00:00Z"))
-        .otherwise(T.format_iso_z(F.col("ts"))).alias("purchase_datetime"),
-        F.when(k.between(20, 24), F.lit(None).cast("double"))
-        .otherwise(F.col("value") * 4).alias("total_amount"),
-        F.when(k.between(5, 9), F.lit("  ")).when(k % 2 == 0, F.lit(" CASH"))
-        .otherwise(F.lit("Card")).alias("payment_method"),
-        (k % 3 == 0).alias("is_delivery"),
-        k.alias("_k"),
-        F.col("ts").alias("_ts"),
+    base = ev.selectExpr(
+        "CASE WHEN k BETWEEN 0 AND 4 THEN CAST(NULL AS STRING) "
+        "ELSE concat('ord-', CAST(event_id AS STRING)) END AS purchase_id",
+        "concat('cus-', CAST(user_id AS STRING)) AS customer_id",
+        f"concat('store-', CAST(k % {N_STORES} AS STRING)) AS store_id",
+        "CASE WHEN k BETWEEN 10 AND 14 THEN 'not-a-date' "
+        "WHEN k BETWEEN 15 AND 19 THEN '2034-01-01T00:00:00Z' "
+        f"ELSE {ISO_Z_SQL.format(ts='ts')} END AS purchase_datetime",
+        "CASE WHEN k BETWEEN 20 AND 24 THEN CAST(NULL AS DOUBLE) ELSE value * 4 END AS total_amount",
+        "CASE WHEN k BETWEEN 5 AND 9 THEN '  ' WHEN k % 2 = 0 THEN ' CASH' ELSE 'Card' END AS payment_method",
+        "k % 3 = 0 AS is_delivery",
+        "k AS _k",
+        "ts AS _ts",
     )
-    resent = (base.where(F.col("_k").between(25, 34))
-              .withColumn("purchase_datetime", T.format_iso_z(F.col("_ts") + F.expr("INTERVAL 1 HOUR")))
-              .withColumn("payment_method", F.lit("card")))
-    return base.unionByName(resent).drop("_k", "_ts")
+    resent = (base.where("_k BETWEEN 25 AND 34")
+              .selectExpr("purchase_id", "customer_id", "store_id",
+                          f"{ISO_Z_SQL.format(ts='_ts + INTERVAL 1 HOUR')} AS purchase_datetime",
+                          "total_amount", "'card' AS payment_method", "is_delivery"))
+    return base.drop("_k", "_ts").unionByName(resent)
+
+
+# Messy e-mail and phone text derived from a customer row.
+CONTACT_SQL = {
+    "email": "concat(' ', upper(c_name), '@Mail.Example.com ')",
+    "phone": "concat('8 (9', lpad(CAST(c_custkey % 100 AS STRING), 2, '0'), ') 555-12-34')",
+}
 
 
 def pii_contacts(spark: SparkSession, root: str) -> DataFrame:
-    """Messy e-mail and phone text derived from ``customer``."""
+    """(c_custkey, email, phone) for every ``customer`` row."""
     c = read_table(spark, root, "customer").select("c_custkey", "c_name")
-    return c.select(
-        "c_custkey",
-        F.concat(F.lit(" "), F.upper("c_name"), F.lit("@Mail.Example.com ")).alias("email"),
-        F.concat(F.lit("8 (9"), F.lpad((F.col("c_custkey") % 100).cast("string"), 2, "0"),
-                 F.lit(") 555-12-34")).alias("phone"),
-    )
+    return c.selectExpr("c_custkey", *[f"{v} AS {k}" for k, v in CONTACT_SQL.items()])
