@@ -19,13 +19,17 @@ CORRUPT = "_corrupt_record"
 
 
 def read_ndjson(spark: SparkSession, path: str, ddl_or_schema, strict: bool = True) -> DataFrame:
+    """Strict: the JSON source in FAILFAST mode. Lenient: text lines parsed
+    with ``from_json`` in PERMISSIVE mode, keeping the raw text of malformed
+    lines in ``_corrupt_record`` (blank lines dropped in both modes)."""
     sch = schema(ddl_or_schema) if isinstance(ddl_or_schema, str) else ddl_or_schema
-    reader = spark.read.schema(sch).option("encoding", "UTF-8")
     if strict:
-        return reader.option("mode", "FAILFAST").json(path)
+        return spark.read.schema(sch).option("encoding", "UTF-8").option("mode", "FAILFAST").json(path)
     lenient = StructType(list(sch.fields) + [StructField(CORRUPT, StringType(), True)])
-    return (spark.read.schema(lenient).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).json(path))
+    lines = spark.read.option("encoding", "UTF-8").text(path).where(F.length(F.trim("value")) > 0)
+    parsed = lines.select(F.from_json("value", lenient, {"mode": "PERMISSIVE",
+                                                         "columnNameOfCorruptRecord": CORRUPT}).alias("_d"))
+    return parsed.select("_d.*")
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -31,11 +31,13 @@ def kafka_source(spark: SparkSession, bootstrap: str, topic: str, value_schema:
     return raw.select(F.from_json(F.col("value").cast("string"), value_schema).alias("v")).select("v.*")
 
 
-def events_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The ``events`` table as a file stream (stands in for the L0 topic)."""
-    sch = spark.read.parquet(f"{root.rstrip('/')}/events.parquet").schema
+def events_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None,
+                  glob: str = "events.parquet") -> DataFrame:
+    """Files named by ``glob`` under ``root`` as a stream of events (stands
+    in for the L0 topic); new files are picked up by the next trigger."""
+    sch = spark.read.option("pathGlobFilter", glob).parquet(root).schema
     r = (spark.readStream.schema(sch).format("parquet")
-         .option("pathGlobFilter", "events.parquet"))
+         .option("pathGlobFilter", glob))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     ev = r.load(root)
@@ -64,8 +66,8 @@ def run_to_table(stream: DataFrame, out_path: str, checkpoint: str, fmt: str = "
     q.awaitTermination()
 
 
-def raw_purchase_stream(spark: SparkSession, root: str) -> DataFrame:
-    return fixtures.raw_purchases_of(fixtures.purchase_events_of(events_stream(spark, root)))
+def raw_purchase_stream(spark: SparkSession, root: str, glob: str = "events.parquet") -> DataFrame:
+    return fixtures.raw_purchases_of(fixtures.purchase_events_of(events_stream(spark, root, glob=glob)))
 
 
 def upsert_batches(spark: SparkSession, root: str, keys=("purchase_id",), seq: str = "purchase_datetime"):
