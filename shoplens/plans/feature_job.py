@@ -23,3 +23,28 @@ def run(spark: SparkSession, cfg: JobConfig, customers: DataFrame, purchases: Da
 
     matrix = customer_feature_matrix(customers, purchases, as_of=cfg.as_of, th=cfg.thresholds)
     return write_matrix(spark, matrix, cfg)
+
+
+def read_marts(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, DataFrame]:
+    """Marts from ``{source_root}/{src_db}/{table}`` in ``cfg.source_format``."""
+    from shoplens.sources.tables import read_table
+
+    root = f"{cfg.source_root.rstrip('/')}/{cfg.src_db}"
+    return (read_table(spark, root, cfg.src_customers, cfg.source_format),
+            read_table(spark, root, cfg.src_purchases, cfg.source_format))
+
+
+def main() -> None:  # pragma: no cover - deployment entry point
+    from shoplens.session import get_session
+
+    cfg = JobConfig.from_env()
+    if not cfg.source_root:
+        raise SystemExit("SOURCE_ROOT is required")
+    spark = get_session("customer_feature_matrix")
+    customers, purchases = read_marts(spark, cfg)
+    print(run(spark, cfg, customers, purchases))
+    spark.stop()
+
+
+if __name__ == "__main__":  # pragma: no cover
+    main()

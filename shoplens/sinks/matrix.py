@@ -41,3 +41,12 @@ def write_matrix(spark: SparkSession, matrix: DataFrame, cfg: JobConfig, path: s
     mode = "overwrite" if cfg.truncate_before_load else "append"
     out.write.mode(mode).parquet(path)
     return {"target": cfg.target, "path": path, "rows": obs.get.get("rows", 0), "mode": mode}
+
+
+def ensure_target_table(spark: SparkSession, cfg: JobConfig, path: str | None = None) -> str:
+    """K3: register the target in the catalog if absent (fixed schema)."""
+    path = path or target_path(spark, cfg)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {cfg.tgt_db}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {cfg.target} ({MATRIX_DDL}, etl_loaded_at TIMESTAMP) "
+              f"USING parquet LOCATION '{path}'")
+    return cfg.target
