@@ -54,6 +54,25 @@ def reconcile(docs: DataFrame, tolerance: float = RECONCILE_TOLERANCE) -> DataFr
     )
 
 
+def reconcile_lines(lines: DataFrame, heads: DataFrame, key: str = "purchase_id",
+                    tolerance: float = RECONCILE_TOLERANCE) -> DataFrame:
+    """G2 over flat inputs: ``lines(key, price_per_unit, quantity)`` and
+    ``heads(key, total_amount)``. Line totals are summed by a partial
+    aggregate per key (rows shrink before the shuffle); the heads join
+    reuses that partitioning. Lines without a head are ignored, as a
+    document holds only its own lines. Same answer as ``reconcile``."""
+    totals = lines.groupBy(key).agg(F.expr(
+        f"sum(round(CAST(price_per_unit AS {MONEY}) * quantity, 2)) AS items_total"))
+    j = heads.selectExpr(key, f"CAST(total_amount AS {MONEY}) AS total_amount").join(totals, key, "left")
+    return j.selectExpr(
+        key,
+        f"CAST(coalesce(items_total, CAST(0 AS {MONEY})) AS DOUBLE) AS items_total",
+        "CAST(total_amount AS DOUBLE) AS total_amount",
+        f"CAST(total_amount - coalesce(items_total, CAST(0 AS {MONEY})) AS DOUBLE) AS diff",
+        f"abs(total_amount - coalesce(items_total, CAST(0 AS {MONEY}))) < {tolerance} AS matches",
+    )
+
+
 def sample_per_group(df: DataFrame, group: str, order, n: int) -> DataFrame:
     """``n`` rows per group by a fixed order (a seeded hash works as a
     reproducible shuffle). row_number <= n is planned with a

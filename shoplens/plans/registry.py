@@ -413,7 +413,10 @@ def q_basket_items(spark, root):
 
 @register("basket_reconcile")
 def q_basket_reconcile(spark, root):
-    return baskets.reconcile(documents.purchase_documents(spark, root))
+    r = baskets.reconcile_lines(documents.purchase_lines(spark, root), documents.purchase_heads(spark, root),
+                                key="order_key")
+    return r.selectExpr(f"{documents.PURCHASE_ID_SQL} AS purchase_id", "items_total", "total_amount", "diff",
+                        "matches")
 
 
 @register("customer_home_store")

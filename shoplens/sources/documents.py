@@ -102,6 +102,25 @@ def _line_items(spark: SparkSession, root: str, max_items: int) -> DataFrame:
                                          AS DOUBLE)) AS item"""))
 
 
+def purchase_lines(spark: SparkSession, root: str) -> DataFrame:
+    """Flat purchase lines (order_key, price_per_unit, quantity): the rows a
+    document's ``items`` array holds."""
+    li = read_table(spark, root, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    p = read_table(spark, root, "part").select("p_partkey", "p_retailprice")
+    return (li.join(p, li.l_partkey == p.p_partkey, "left")
+            .selectExpr("l_orderkey AS order_key",
+                        "CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS price_per_unit",
+                        "CAST(l_quantity AS INT) AS quantity"))
+
+
+def purchase_heads(spark: SparkSession, root: str) -> DataFrame:
+    """(order_key, total_amount) per order."""
+    return read_table(spark, root, "orders").selectExpr("o_orderkey AS order_key", "o_totalprice AS total_amount")
+
+
+PURCHASE_ID_SQL = "concat('ord-', CAST(order_key AS STRING))"
+
+
 def purchase_documents(spark: SparkSession, root: str, max_items: int = MAX_ITEMS_PER_DOCUMENT,
                        include_items: bool = True) -> DataFrame:
     """G3 + G5: nested purchase documents; the delivery address is present

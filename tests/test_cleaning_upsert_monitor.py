@@ -106,3 +106,19 @@ def test_kpi_counts(spark):
     k = monitor.kpi_counts(p).first()
     assert k.purchases == p.count()
     assert k.stores == p.select("store_id").distinct().count()
+
+
+def test_reconcile_documents_equals_flat_lines(spark):
+    from shoplens.operators import baskets
+    from shoplens.sources import documents
+
+    a = baskets.reconcile(documents.purchase_documents(spark, SF_SMALL))
+    b = baskets.reconcile_lines(documents.purchase_lines(spark, SF_SMALL), documents.purchase_heads(spark, SF_SMALL),
+                                key="order_key").selectExpr(f"{documents.PURCHASE_ID_SQL} AS purchase_id",
+                                                            "items_total", "total_amount", "diff", "matches")
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0
+    # small documents: force several parts per order, same totals
+    c = baskets.reconcile(documents.purchase_documents(spark, SF_SMALL, max_items=2))
+    assert c.exceptAll(b).count() == 0
+    assert documents.purchase_documents(spark, SF_SMALL, max_items=2).where("doc_part > 0").count() > 0
