@@ -31,6 +31,16 @@ def kafka_source(spark: SparkSession, bootstrap: str, topic: str, value_schema:
     return raw.select(F.from_json(F.col("value").cast("string"), value_schema).alias("v")).select("v.*")
 
 
+def l0_message_stream(spark: SparkSession, path: str, value_schema: StructType, fmt: str = "json",
+                      topic: str | None = None) -> DataFrame:
+    """S5 over files: L0 messages ``(topic, value)`` written by the publisher,
+    parsed with ``from_json`` exactly as a Kafka ``value`` column would be."""
+    msgs = spark.readStream.schema("topic STRING, value STRING").format(fmt).load(path)
+    if topic is not None:
+        msgs = msgs.where(F.col("topic") == topic)
+    return msgs.select(F.from_json("value", value_schema).alias("v")).select("v.*")
+
+
 def events_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None,
                   glob: str = "events.parquet") -> DataFrame:
     """Files named by ``glob`` under ``root`` as a stream of events (stands

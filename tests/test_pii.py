@@ -96,3 +96,10 @@ def test_protect_stringifies_id_and_rejects_unknown_collection(spark):
     assert dict(out.dtypes)["_id"] == "string"
     with pytest.raises(KeyError):
         protect(df, "unknown", PiiHasher.from_text("salt"))
+
+
+def test_non_string_values_are_stringified_before_hashing(spark):
+    h = PiiHasher.from_text("salt")
+    df = spark.createDataFrame([(89161234567,)], "phone bigint")
+    got = df.select(h.phone(F.col("phone")).alias("h")).first().h
+    assert got == hmac.new(b"salt", b"79161234567", hashlib.sha256).hexdigest()

@@ -104,3 +104,36 @@ def test_job_config_from_env():
                               "HIGH_SPENDER_7D": "5", "MORNING_START": "7"})
     assert cfg.target == "a.b" and cfg.truncate_before_load
     assert cfg.thresholds.high_spender_7d == 5.0 and cfg.thresholds.morning_start == 7
+
+
+def test_read_table_other_formats(spark, tmp_dir):
+    src = tables.read_table(spark, SF_SMALL, "nation")
+    src.write.json(os.path.join(tmp_dir, "nation.json"))
+    back = tables.read_table(spark, tmp_dir, "nation", fmt="json")
+    assert back.count() == src.count() == 25
+
+
+def test_loader_drop_and_reload(spark, tmp_dir):
+    from shoplens.plans import loader
+
+    src, tgt = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "db")
+    os.makedirs(src)
+    for name in COLLECTION_FILES:
+        key = {"products": "id", "customers": "customer_id", "stores": "store_id", "purchases": "purchase_id"}[name]
+        _write(os.path.join(src, f"{name}.jsonl"), [f'{{"{key}": "a"}}', f'{{"{key}": "b"}}'])
+    loader.run(spark, src, tgt)
+    r = loader.run(spark, src, tgt, mode="insert", drop=True)  # reload from empty: no collision
+    assert r["stores"] == {"affected": 2, "modified": 0}
+    assert snapshot.read_current(spark, os.path.join(tgt, "stores")).count() == 2
+
+
+def test_nutrition_bounds_check(spark):
+    from shoplens.operators.baskets import NUTRITION_BOUNDS, nutrition_bounds, nutrition_check
+
+    cat = NUTRITION_BOUNDS[2][0]
+    prods = spark.createDataFrame(
+        [("p1", cat, (100.0, 5.0, 5.0, 5.0)), ("p2", cat, (500.0, 5.0, 5.0, 5.0)), ("p3", "other", (1.0, 1.0, 1.0, 1.0))],
+        "id string, `group` string, kbju struct<calories: double, protein: double, fat: double, carbohydrates: double>")
+    got = {r.id: r.kbju_in_range for r in nutrition_check(prods, nutrition_bounds(spark)).collect()}
+    assert got == {"p1": True, "p2": False, "p3": False}
+    assert len(NUTRITION_BOUNDS) == 5

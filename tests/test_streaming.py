@@ -94,3 +94,24 @@ def test_alert_stream_writes_no_alert_below_threshold(spark, tmp_dir):
     stream = S.raw_purchase_stream(spark, src, glob="*.parquet").where("purchase_id IS NOT NULL")
     S.run_foreach_batch(stream, S.alert_batches(alerts), os.path.join(tmp_dir, "ckpt"))
     assert spark.read.parquet(alerts).count() == 0
+
+
+def test_l0_messages_to_mart_stream(spark, tmp_dir):
+    """Publisher -> message files -> stream -> from_json -> flattened mart."""
+    from shoplens.functions.pii import PiiHasher
+    from shoplens.operators.pii import protect
+    from shoplens.schemas import PURCHASES_DDL, schema
+    from shoplens.sinks.export import publish, to_messages
+    from shoplens.sources import documents
+
+    docs = documents.purchase_documents(spark, SF_SMALL).drop("doc_part")
+    msgs = to_messages(protect(docs, "purchases", PiiHasher.from_text("salt")), "purchases")
+    topic_dir = os.path.join(tmp_dir, "topic")
+    publish(msgs, fmt="json", path=topic_dir)
+    out, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt")
+    stream = S.l0_message_stream(spark, topic_dir, schema(PURCHASES_DDL), topic="retail.purchases.l0")
+    S.run_to_table(cleaning.purchases_mart(stream), out, ckpt)
+    got = spark.read.parquet(out)
+    want = cleaning.purchases_mart(docs)
+    assert got.count() == want.count() == docs.count()
+    assert got.exceptAll(want).count() == 0
