@@ -28,10 +28,18 @@ def last_wins(updates: DataFrame, keys: Sequence[str], seq: str | None) -> DataF
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str], seq: str | None = None) -> DataFrame:
-    """New snapshot = base rows whose key is not updated + latest updates."""
+    """New snapshot = base rows whose key is not updated + latest updates.
+
+    One full outer join on the key: each input is read and shuffled once,
+    and a present update replaces the whole row (NULL values included).
+    """
     keys = list(keys)
-    upd = last_wins(updates, keys, seq).select(*base.columns)
-    return base.join(upd.select(*keys), keys, "left_anti").unionByName(upd)
+    vals = [c for c in base.columns if c not in keys]
+    b = base.select(*keys, F.struct(*vals).alias("_b"))
+    u = last_wins(updates, keys, seq).select(*keys, F.struct(*vals).alias("_u"))
+    j = b.join(u, keys, "full")
+    row = F.when(F.col("_u").isNotNull(), F.col("_u")).otherwise(F.col("_b"))
+    return j.select(*keys, row.alias("_r")).select(*keys, "_r.*").select(*base.columns)
 
 
 def upsert_stats(base: DataFrame, updates: DataFrame, keys: Sequence[str], seq: str | None = None) -> DataFrame:
@@ -58,9 +66,12 @@ def insert_conflicts(base: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
     ('exists') or repeated inside the batch ('duplicate_in_batch')."""
     keys = list(keys)
     counts = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    exists = counts.join(base.select(*keys), keys, "left_semi").select(*keys, F.lit("exists").alias("reason"))
-    dup = counts.where(F.col("copies") > 1).select(*keys, F.lit("duplicate_in_batch").alias("reason"))
-    return exists.unionByName(dup)
+    in_base = base.select(*keys).distinct().withColumn("_in_base", F.lit(True))
+    j = counts.join(in_base, keys, "left")
+    reasons = F.array_compact(F.array(
+        F.when(F.col("_in_base"), F.lit("exists")),
+        F.when(F.col("copies") > 1, F.lit("duplicate_in_batch"))))
+    return j.select(*keys, F.explode(reasons).alias("reason"))
 
 
 def assert_insertable(base: DataFrame, batch: DataFrame, keys: Sequence[str], sample: int = 3) -> None:
