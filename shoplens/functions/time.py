@@ -56,6 +56,14 @@ def ts_range_for_window(ts: Column, as_of, window: str) -> Column:
     return (ts >= start) & (ts < end)
 
 
+def ts_range_sql(ts: str, as_of, window: str) -> str:
+    """SQL form of ``ts_range_for_window`` for column name ``ts``."""
+    lo, hi = AGE_WINDOWS[window]
+    day = f"to_date({as_of_sql(as_of)})"
+    return (f"({ts} >= CAST(date_sub({day}, {hi}) AS TIMESTAMP) AND "
+            f"{ts} < CAST(date_sub({day}, {lo - 1}) AS TIMESTAMP))")
+
+
 def format_iso_z(ts: Column) -> Column:
     return F.date_format(ts, ISO_Z_FORMAT)
 

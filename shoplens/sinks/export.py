@@ -48,3 +48,23 @@ def publish(messages: DataFrame, fmt: str = "kafka", options: dict[str, str] | N
         w.mode("append").save(path)
     else:
         w.save()
+
+
+def write_purchases_mart(mart: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Purchases mart partitioned by month of ``purchase_datetime``: a
+    time-range query prunes whole months, and the timestamp range inside
+    a month is pushed into the parquet reader."""
+    (mart.withColumn("purchase_month", F.date_format("purchase_datetime", "yyyy-MM"))
+     .repartition("purchase_month").sortWithinPartitions("customer_id")
+     .write.mode(mode).partitionBy("purchase_month").parquet(path))
+
+
+def month_filter_sql(as_of, window: str, column: str = "purchase_month") -> str:
+    """Partition predicate covering an age window (whole months), to AND
+    with the row-level window on a month-partitioned mart."""
+    from shoplens.functions.time import AGE_WINDOWS, as_of_sql
+
+    lo, hi = AGE_WINDOWS[window]
+    day = f"to_date({as_of_sql(as_of)})"
+    return (f"({column} >= date_format(date_sub({day}, {hi}), 'yyyy-MM') AND "
+            f"{column} <= date_format(date_sub({day}, {lo}), 'yyyy-MM'))")

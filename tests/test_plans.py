@@ -58,3 +58,37 @@ def test_ts_range_equals_age_window(spark):
     a = ev.where(T.ts_range_for_window(F.col("ts"), fixtures.FIXTURE_AS_OF, "7d"))
     b = ev.where(T.in_window(T.age_days(F.col("ts"), fixtures.FIXTURE_AS_OF), "7d"))
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_thirty_day_queries_push_into_a_month_partitioned_mart(spark, tmp_dir):
+    import os
+
+    from shoplens.operators import features
+    from shoplens.sinks.export import write_purchases_mart
+
+    path = os.path.join(tmp_dir, "purchases_mart")
+    write_purchases_mart(fixtures.r_purchases(spark, SF_SMALL), path)
+    mart = spark.read.parquet(path)
+    enriched = features.enrich_purchases(features.conform_purchases(mart), fixtures.FIXTURE_AS_OF)
+    q = features.store_counts_30d(enriched)
+    p = plan(q)
+    assert "PushedFilters: [IsNotNull(purchase_datetime), GreaterThanOrEqual(purchase_datetime" in p
+    direct = features.store_counts_30d(features.enrich_purchases(
+        features.conform_purchases(fixtures.r_purchases(spark, SF_SMALL)), fixtures.FIXTURE_AS_OF))
+    assert q.exceptAll(direct).count() == 0 and direct.exceptAll(q).count() == 0
+
+
+def test_month_partitions_are_pruned(spark, tmp_dir):
+    import os
+
+    from shoplens.sinks.export import month_filter_sql, write_purchases_mart
+
+    path = os.path.join(tmp_dir, "purchases_mart")
+    mart = fixtures.r_purchases(spark, SF_SMALL).withColumn(
+        "purchase_datetime", F.col("purchase_datetime") - F.expr("INTERVAL 40 DAYS"))
+    write_purchases_mart(mart.unionByName(fixtures.r_purchases(spark, SF_SMALL)), path)
+    q = spark.read.parquet(path).where(month_filter_sql(fixtures.FIXTURE_AS_OF, "7d"))
+    p = plan(q)
+    assert "PartitionFilters: [isnotnull(purchase_month" in p
+    months = {r[0] for r in q.select("purchase_month").distinct().collect()}
+    assert months == {"2024-01"}
