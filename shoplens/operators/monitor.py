@@ -13,11 +13,9 @@ DUPLICATE_ALERT_RATIO = 0.5
 
 def kpi_counts(purchases: DataFrame) -> DataFrame:
     """M1: purchases, distinct stores, distinct customers (one row)."""
-    return purchases.agg(
-        F.count(F.lit(1)).alias("purchases"),
-        F.countDistinct("store_id").alias("stores"),
-        F.countDistinct("customer_id").alias("customers"),
-    )
+    return purchases.agg(F.expr("count(1) AS purchases"),
+                         F.expr("count(DISTINCT store_id) AS stores"),
+                         F.expr("count(DISTINCT customer_id) AS customers"))
 
 
 def duplicate_ratio(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame:
@@ -27,16 +25,13 @@ def duplicate_ratio(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame
     holding a large share of rows never reaches one task as raw rows.
     NULL on an empty table.
     """
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    return per_key.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
-        F.count(F.lit(1)).alias("distinct_keys"),
-    ).select(
-        F.lit(table).alias("table_name"), "rows", "distinct_keys",
-        (F.col("rows") - F.col("distinct_keys")).alias("duplicate_rows"),
-        F.try_divide((F.col("rows") - F.col("distinct_keys")).cast("double"), F.col("rows"))
-        .alias("dup_ratio"),
-    )
+    per_key = df.groupBy(*keys).agg(F.expr("count(1) AS copies"))
+    name = table.replace("'", "''")
+    return per_key.agg(F.expr("coalesce(sum(copies), 0) AS rows"),
+                       F.expr("count(1) AS distinct_keys")).selectExpr(
+        f"'{name}' AS table_name", "rows", "distinct_keys",
+        "rows - distinct_keys AS duplicate_rows",
+        "try_divide(CAST(rows - distinct_keys AS DOUBLE), rows) AS dup_ratio")
 
 
 def duplicate_alert(ratios: DataFrame, threshold: float = DUPLICATE_ALERT_RATIO) -> DataFrame:

@@ -60,8 +60,11 @@ def shared_dir(spark: SparkSession) -> str:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="shoplens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - core setting may be read-only at runtime
+            pass
     else:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(d)

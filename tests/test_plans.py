@@ -92,3 +92,21 @@ def test_month_partitions_are_pruned(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(purchase_month" in p
     months = {r[0] for r in q.select("purchase_month").distinct().collect()}
     assert months == {"2024-01"}
+
+
+def test_hot_key_keeps_partial_aggregation_and_answers(spark):
+    """One customer and one store hold a third of all purchases."""
+    from shoplens.operators.features import customer_feature_matrix
+
+    p = fixtures.r_purchases(spark, SF_SMALL)
+    hot = p.withColumn("customer_id", F.when(F.expr("pmod(hash(purchase_id), 3) = 0"), F.lit("cus-1"))
+                       .otherwise(F.col("customer_id"))) \
+           .withColumn("store_id", F.when(F.col("customer_id") == "cus-1", F.lit("store-0"))
+                       .otherwise(F.col("store_id")))
+    c = fixtures.r_customers(spark, SF_SMALL)
+    a = customer_feature_matrix(c, hot, as_of=fixtures.FIXTURE_AS_OF)
+    b = customer_feature_matrix(c, hot, as_of=fixtures.FIXTURE_AS_OF, shape="window")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    pl = plan(a)
+    assert pl.count("partial_") >= 2  # both groupings combine map-side before their shuffle
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
