@@ -137,3 +137,12 @@ def test_nutrition_bounds_check(spark):
     got = {r.id: r.kbju_in_range for r in nutrition_check(prods, nutrition_bounds(spark)).collect()}
     assert got == {"p1": True, "p2": False, "p3": False}
     assert len(NUTRITION_BOUNDS) == 5
+
+
+def test_shuffle_partition_sizing():
+    from shoplens.session import cluster_conf, shuffle_partitions_for
+
+    assert shuffle_partitions_for(0) == 8
+    assert shuffle_partitions_for(100 * 1024 ** 4) == 100_000  # 100 TB caps at the maximum
+    assert shuffle_partitions_for(1024 ** 4) == 4096           # 1 TB / 256 MB
+    assert cluster_conf(1024 ** 4)["spark.sql.shuffle.partitions"] == "4096"
