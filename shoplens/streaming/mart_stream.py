@@ -63,9 +63,12 @@ def clean_stream(raw: DataFrame, as_of) -> DataFrame:
 
 def dedup_stream(mart_rows: DataFrame, key: str = "purchase_id", event_time: str = "purchase_datetime",
                  delay: str = DEFAULT_WATERMARK) -> DataFrame:
-    """ST2: keep the first copy of each key seen within the watermark delay;
-    state is dropped once the watermark passes, so it stays bounded. Copies
-    arriving later than the delay are treated as new rows (by design)."""
+    """ST2: keep the first copy of each key; a key's state lives until the
+    watermark passes its event time + ``delay`` and is then evicted, so
+    state stays bounded. Late rows are not discarded: a row with a new key
+    is kept even when its event time is behind the watermark, and a copy
+    is dropped while its key's state is alive. A copy arriving after the
+    state was evicted would be kept again: pick ``delay`` to cover re-sends."""
     return mart_rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
