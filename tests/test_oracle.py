@@ -52,6 +52,19 @@ def test_query_matches_oracle(spark, duck, name):
     assert check.digest(df.columns, rows) == check.digest(ocols, orows)
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+                 "timestamp": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_types_match_oracle(spark, duck, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    rel = duck.sql(ORACLE[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for col, t in df.dtypes:
+        assert SPARK_TO_DUCK.get(t, t) == duck_types[col], (name, col, t, duck_types[col])
+
+
 @pytest.mark.parametrize("name", ["l0_messages", "purchase_documents"])
 def test_rows_only_queries(spark, name):
     assert E.queries()[name](spark, SF_SMALL).count() > 0
