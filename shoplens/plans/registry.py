@@ -10,9 +10,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shoplens.functions import time as T
+from shoplens.functions.pii import PiiHasher, normalize_email, normalize_phone
+from shoplens.operators import baskets, cleaning, features, monitor, pii, upsert
+from shoplens.operators.dedup import keep_max
 from shoplens.plans import feature_job
 from shoplens.plans.oracle import FEATURE_KEYS
+from shoplens.sinks.export import to_messages
+from shoplens.sources import documents, fixtures
+from shoplens.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,16 +49,6 @@ for _key, _flag in FEATURE_KEYS.items():
 
 
 # ============================================================ shared inputs
-from pyspark.sql import functions as F  # noqa: E402
-
-from shoplens.functions import time as T  # noqa: E402
-from shoplens.functions.pii import PiiHasher, normalize_email, normalize_phone  # noqa: E402
-from shoplens.operators import baskets, cleaning, features, monitor, pii, upsert  # noqa: E402
-from shoplens.operators.dedup import keep_max  # noqa: E402
-from shoplens.sinks.export import to_messages  # noqa: E402
-from shoplens.sources import documents, fixtures  # noqa: E402
-from shoplens.sources.tables import read_table  # noqa: E402
-
 AS_OF = fixtures.FIXTURE_AS_OF
 # Test salt for the registered PII queries (a deployment passes its own).
 FIXTURE_SALT = "fixture-salt"
