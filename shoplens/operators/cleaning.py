@@ -137,6 +137,22 @@ def customers_mart(docs: DataFrame) -> DataFrame:
     )
 
 
+def flatten_purchases(docs: DataFrame) -> DataFrame:
+    """C7 without typing: purchase documents -> RAW rows (timestamp kept as
+    text) for the checks of ``clean``; works on batch and streaming input."""
+    if "doc_part" in docs.columns:
+        docs = docs.where(F.col("doc_part") == 0)
+    return docs.select(
+        F.col("purchase_id").cast("string").alias("purchase_id"),
+        F.col("customer.customer_id").alias("customer_id"),
+        F.col("store.store_id").alias("store_id"),
+        F.col("purchase_datetime").cast("string").alias("purchase_datetime"),
+        F.col("total_amount").cast("double").alias("total_amount"),
+        F.col("payment_method").cast("string").alias("payment_method"),
+        F.col("is_delivery"),
+    )
+
+
 def purchases_mart(docs: DataFrame) -> DataFrame:
     """Purchase documents -> purchases mart (nested ids to top level).
 
