@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.functions import time as T
-from shoplens.sources.fixtures import CONTACT_SQL, FIXTURE_AS_OF, pii_contacts
+from shoplens.sources.fixtures import CONTACT_SQL, FIXTURE_AS_OF
 from shoplens.sources.tables import read_table
 
 MAX_ITEMS_PER_DOCUMENT = 1000
@@ -31,12 +31,11 @@ def store_id_of(nationkey: Column) -> Column:
 
 def customer_documents(spark: SparkSession, root: str, as_of: str = FIXTURE_AS_OF) -> DataFrame:
     c = read_table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey")
-    contacts = pii_contacts(spark, root)
+    c = c.selectExpr("*", *[f"{v} AS {k}" for k, v in CONTACT_SQL.items()])
     n = read_table(spark, root, "nation").select("n_nationkey", "n_name")
     key = F.col("c_custkey")
     reg = T.as_of_col(as_of) - F.make_dt_interval((key % 366).cast("int"))
-    return (c.join(contacts.select("c_custkey", "email", "phone"), "c_custkey", "left")
-            .join(n, c.c_nationkey == n.n_nationkey, "left")
+    return (c.join(n, c.c_nationkey == n.n_nationkey, "left")
             .select(
                 F.concat(F.lit("cus-"), key.cast("string")).alias("customer_id"),
                 F.col("c_name").alias("first_name"),
