@@ -16,19 +16,42 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+# Declared schemas of the shared tables: a scan with a schema skips
+# footer-based inference (a Spark job per read). Timestamps in these files
+# carry no zone (timestamp_ntz); ``with_utc_timestamps`` converts them.
+KNOWN_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": ("p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+             "p_retailprice DOUBLE"),
+    "orders": ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+               "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"),
+    "lineitem": ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                 "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+                 "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"),
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+
 def table_path(root: str, name: str, fmt: str = "parquet") -> str:
     return f"{root.rstrip('/')}/{name}.{fmt}"
 
 
-def with_utc_timestamps(df: DataFrame) -> DataFrame:
-    ntz = [f.name for f in df.schema.fields if isinstance(f.dataType, TimestampNTZType)]
+def with_utc_timestamps(df: DataFrame, ddl: str | None = None) -> DataFrame:
+    if ddl is not None:
+        ntz = [part.split()[0] for part in ddl.split(",") if "TIMESTAMP_NTZ" in part.upper()]
+    else:
+        ntz = [f.name for f in df.schema.fields if isinstance(f.dataType, TimestampNTZType)]
     if not ntz:
         return df
     return df.withColumns({c: F.col(c).cast("timestamp") for c in ntz})
 
 
 def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
-               options: dict[str, str] | None = None, spread: bool = True) -> DataFrame:
+               options: dict[str, str] | None = None, spread: bool = True,
+               schema: str | None = None) -> DataFrame:
     """Scan one table; ``fmt`` is any Spark source name (parquet, json, orc, ...).
 
     ``spread`` (only when ``spark.shoplens.spreadSmallScans=true``): a source
@@ -38,9 +61,12 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
     about what it saves, and large multi-file tables never need it.
     """
     reader = spark.read.format(fmt)
+    ddl = schema or (KNOWN_SCHEMAS.get(name) if fmt == "parquet" else None)
+    if ddl:
+        reader = reader.schema(ddl)
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
-    df = with_utc_timestamps(reader.load(table_path(root, name, fmt)))
+    df = with_utc_timestamps(reader.load(table_path(root, name, fmt)), ddl)
     if spread:
         df = spread_small(df)
     return df

@@ -146,3 +146,12 @@ def test_shuffle_partition_sizing():
     assert shuffle_partitions_for(100 * 1024 ** 4) == 100_000  # 100 TB caps at the maximum
     assert shuffle_partitions_for(1024 ** 4) == 4096           # 1 TB / 256 MB
     assert cluster_conf(1024 ** 4)["spark.sql.shuffle.partitions"] == "4096"
+
+
+def test_known_schemas_match_the_files(spark):
+    from pyspark.sql.types import StructType
+
+    for name, ddl in tables.KNOWN_SCHEMAS.items():
+        inferred = spark.read.parquet(f"{SF_SMALL}/{name}.parquet").schema
+        declared = StructType.fromDDL(ddl)
+        assert [(f.name, f.dataType) for f in inferred.fields] == [(f.name, f.dataType) for f in declared.fields], name
