@@ -38,3 +38,29 @@ def test_one_pass_equals_window_shape(spark, rows):
     a = customer_feature_matrix(cust, pur, as_of=AS_OF, shape="one_pass")
     b = customer_feature_matrix(cust, pur, as_of=AS_OF, shape="window")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+local = st.text(alphabet="abcdefghijklmnopqrstuvwxyzабвгд0123456789._", min_size=1, max_size=12)
+spaces = st.text(alphabet=" \t 　\n", max_size=3)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(local, local, spaces, spaces, st.booleans()), min_size=1, max_size=30),
+       st.lists(st.integers(min_value=0, max_value=9_999_999_999), min_size=1, max_size=30))
+def test_pii_hash_is_stable_under_case_and_format(spark, emails, phones):
+    from pyspark.sql import functions as F
+
+    from shoplens.functions.pii import PiiHasher
+
+    h = PiiHasher.from_text("salt")
+    rows = []
+    for a, b, l, r, up in emails:
+        e = f"{a}@{b}.ru"
+        rows.append((e, f"{l}{e.upper() if up else e.title()}{r}", "email"))
+    for n in phones:
+        d = f"{n:010d}"
+        rows.append((f"7{d}", f"8 ({d[:3]}) {d[3:6]}-{d[6:8]}-{d[8:]}", "phone"))
+        rows.append((f"+7 {d[:3]} {d[3:]}", f"7-{d}", "phone"))
+    df = spark.createDataFrame(rows, "a string, b string, kind string")
+    hashed = lambda c: F.when(F.col("kind") == "email", h.email(F.col(c))).otherwise(h.phone(F.col(c)))
+    assert df.where(hashed("a") != hashed("b")).count() == 0
