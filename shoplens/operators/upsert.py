@@ -27,51 +27,75 @@ def last_wins(updates: DataFrame, keys: Sequence[str], seq: str | None) -> DataF
     return out.drop(seq) if seq else out
 
 
-def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str], seq: str | None = None) -> DataFrame:
+# Largest update batch (rows) that is broadcast to the base scan. The check
+# is a bounded count on the small side; above it the joins shuffle both sides.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows (checked with
+    ``limit(max_rows + 1).count()``, so the check never scans more than
+    that), else ``df`` unchanged for a shuffle join."""
+    if not max_rows:
+        return df
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str], seq: str | None = None,
+           broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """New snapshot = base rows whose key is not updated + latest updates.
 
-    One full outer join on the key: each input is read and shuffled once,
-    and a present update replaces the whole row (NULL values included).
+    The base (large, e.g. a whole mart) is only scanned: the anti-join
+    against the update keys broadcasts them when the batch is within the
+    checked bound, so the base is never shuffled for a daily batch.
     """
     keys = list(keys)
-    vals = [c for c in base.columns if c not in keys]
-    b = base.select(*keys, F.struct(*vals).alias("_b"))
-    u = last_wins(updates, keys, seq).select(*keys, F.struct(*vals).alias("_u"))
-    j = b.join(u, keys, "full")
-    row = F.when(F.col("_u").isNotNull(), F.col("_u")).otherwise(F.col("_b"))
-    return j.select(*keys, row.alias("_r")).select(*keys, "_r.*").select(*base.columns)
+    upd = last_wins(updates, keys, seq).select(*base.columns)
+    upd_keys = broadcast_if_small(upd.select(*keys), broadcast_max_rows)
+    return base.join(upd_keys, keys, "left_anti").unionByName(upd)
 
 
-def upsert_stats(base: DataFrame, updates: DataFrame, keys: Sequence[str], seq: str | None = None) -> DataFrame:
+def upsert_stats(base: DataFrame, updates: DataFrame, keys: Sequence[str], seq: str | None = None,
+                 broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """One row of counts. ``affected`` = inserted + matched; ``modified``
-    = matched rows whose values really changed (NULL-safe compare)."""
+    = matched rows whose values really changed (NULL-safe compare).
+
+    matched/modified come from an inner join in which the (checked, small)
+    update batch is broadcast; the other counts are plain counts, combined
+    by one global partial aggregate (no full outer join over the base).
+    """
     keys = list(keys)
     upd = last_wins(updates, keys, seq).select(*base.columns)
     vals = [c for c in base.columns if c not in keys]
+    u = broadcast_if_small(upd.select(*keys, F.struct(*vals).alias("_u")), broadcast_max_rows)
     b = base.select(*keys, F.struct(*vals).alias("_b"))
-    u = upd.select(*keys, F.struct(*vals).alias("_u"))
-    j = b.join(u, keys, "full")
-    in_b, in_u = F.col("_b").isNotNull(), F.col("_u").isNotNull()
-    same = F.col("_b").eqNullSafe(F.col("_u"))
-    return j.agg(
-        F.count_if(in_u & ~in_b).alias("inserted"),
-        F.count_if(in_u & in_b).alias("matched"),
-        F.count_if(in_u & in_b & ~same).alias("modified"),
-        F.count_if(in_b & ~in_u).alias("untouched"),
-    ).withColumn("affected", F.col("inserted") + F.col("matched"))
-
-
-def insert_conflicts(base: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    matched = b.join(u, keys, "inner").select(
+        one.alias("m"), F.when(F.col("_b").eqNullSafe(F.col("_u")), zero).otherwise(one).alias("d"),
+        zero.alias("nu"), zero.alias("nb"))
+    n_upd = upd.select(zero.alias("m"), zero.alias("d"), one.alias("nu"), zero.alias("nb"))
+    n_base = base.select(zero.alias("m"), zero.alias("d"), zero.alias("nu"), one.alias("nb"))
+    t = matched.unionByName(n_upd).unionByName(n_base).agg(
+        F.sum("m").alias("m"), F.sum("d").alias("d"), F.sum("nu").alias("nu"), F.sum("nb").alias("nb"))
+    return t.selectExpr("coalesce(nu - m, 0) AS inserted", "coalesce(m, 0) AS matched",
+                        "coalesce(d, 0) AS modified", "coalesce(nb - m, 0) AS untouched",
+                        "coalesce(nu, 0) AS affected")
+
+
+def insert_conflicts(base: DataFrame, batch: DataFrame, keys: Sequence[str],
+                     broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
     """Keys an insert-only load would reject: already in ``base``
-    ('exists') or repeated inside the batch ('duplicate_in_batch')."""
+    ('exists') or repeated inside the batch ('duplicate_in_batch').
+
+    The base is streamed against the (checked, small) batch keys."""
     keys = list(keys)
     counts = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    in_base = base.select(*keys).distinct().withColumn("_in_base", F.lit(True))
-    j = counts.join(in_base, keys, "left")
-    reasons = F.array_compact(F.array(
-        F.when(F.col("_in_base"), F.lit("exists")),
-        F.when(F.col("copies") > 1, F.lit("duplicate_in_batch"))))
-    return j.select(*keys, F.explode(reasons).alias("reason"))
+    batch_keys = broadcast_if_small(counts.select(*keys), broadcast_max_rows)
+    exists = (base.select(*keys).join(batch_keys, keys, "left_semi").distinct()
+              .select(*keys, F.lit("exists").alias("reason")))
+    dup = counts.where(F.col("copies") > 1).select(*keys, F.lit("duplicate_in_batch").alias("reason"))
+    return exists.unionByName(dup)
 
 
 def assert_insertable(base: DataFrame, batch: DataFrame, keys: Sequence[str], sample: int = 3) -> None:

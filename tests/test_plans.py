@@ -110,3 +110,28 @@ def test_hot_key_keeps_partial_aggregation_and_answers(spark):
     pl = plan(a)
     assert pl.count("partial_") >= 2  # both groupings combine map-side before their shuffle
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
+def test_upsert_streams_the_base_against_a_checked_broadcast(spark):
+    from shoplens.operators import upsert as U
+    from shoplens.plans.registry import UPSERT_KEY, upsert_inputs
+
+    base, upd = upsert_inputs(spark, SF_SMALL)
+    small = plan(U.upsert(base, upd, UPSERT_KEY, seq="seq"))
+    assert "BroadcastHashJoin" in small and "LeftAnti" in small
+    assert "SortMergeJoin" not in small
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only our checked hint may broadcast
+    try:
+        big = plan(U.upsert(base, upd, UPSERT_KEY, seq="seq", broadcast_max_rows=10))  # above the bound
+        assert "SortMergeJoin" in big and "BroadcastHashJoin" not in big
+        hinted = plan(U.upsert(base, upd, UPSERT_KEY, seq="seq"))
+        assert "BroadcastHashJoin" in hinted
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    a = sorted(map(tuple, U.upsert(base, upd, UPSERT_KEY, seq="seq").collect()))
+    b = sorted(map(tuple, U.upsert(base, upd, UPSERT_KEY, seq="seq", broadcast_max_rows=10).collect()))
+    assert a == b
+    s1 = U.upsert_stats(base, upd, UPSERT_KEY, seq="seq").first()
+    s2 = U.upsert_stats(base, upd, UPSERT_KEY, seq="seq", broadcast_max_rows=10).first()
+    assert s1 == s2
