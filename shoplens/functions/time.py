@@ -74,8 +74,8 @@ def parse_iso_z(text: Column) -> Column:
 
 
 def parse_date(text: Column) -> Column:
-    return F.try_to_date(text, DATE_FORMAT) if hasattr(F, "try_to_date") else F.to_date(
-        F.try_to_timestamp(text, F.lit(DATE_FORMAT)))
+    """'yyyy-MM-dd' text -> date; malformed text gives NULL."""
+    return F.try_to_date(text, DATE_FORMAT)
 
 
 def hour_in(h: Column, start: int, end: int) -> Column:

@@ -127,6 +127,19 @@ def clean(raw: DataFrame, as_of, rules: CleaningRules = PURCHASE_RULES) -> tuple
     return mart, rej
 
 
+def customer_date_violations(docs: DataFrame, as_of) -> DataFrame:
+    """C4 for customers: registration text that does not parse or lies after
+    ``as_of``, or a birth date not before the registration (NULL birth date
+    is allowed). Adds ``reject_reason``."""
+    reg = T.parse_iso_z(F.col("registration_date"))
+    birth = T.parse_date(F.col("birth_date"))
+    reason = (F.when(reg.isNull(), F.lit("bad_date"))
+              .when(reg > T.as_of_col(as_of), F.lit("future"))
+              .when(birth.isNotNull() & (birth >= F.to_date(reg)), F.lit("birth_after_registration"))
+              .when(F.col("birth_date").isNotNull() & birth.isNull(), F.lit("bad_date")))
+    return docs.withColumn("reject_reason", reason).where(F.col("reject_reason").isNotNull())
+
+
 # ------------------------------------------------------------------ flatten
 def customers_mart(docs: DataFrame) -> DataFrame:
     """Customer documents -> customers mart (rename, parse, bool -> int)."""

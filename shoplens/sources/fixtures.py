@@ -64,11 +64,6 @@ SHAPED_TS_SQL = f"""CASE
   ELSE ts END"""
 
 
-def shaped_ts(ts: Column, user_id: Column) -> Column:
-    """Column form of the segment re-timing (``ts``/``user_id`` as named)."""
-    return F.expr(SHAPED_TS_SQL)
-
-
 def r_purchases(spark: SparkSession, root: str) -> DataFrame:
     """purchases mart from every ``events`` row of type 'purchase'."""
     return purchase_events(spark, root).selectExpr(

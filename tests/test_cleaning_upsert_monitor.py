@@ -122,3 +122,16 @@ def test_reconcile_documents_equals_flat_lines(spark):
     c = baskets.reconcile(documents.purchase_documents(spark, SF_SMALL, max_items=2))
     assert c.exceptAll(b).count() == 0
     assert documents.purchase_documents(spark, SF_SMALL, max_items=2).where("doc_part > 0").count() > 0
+
+
+def test_customer_date_rules(spark):
+    df = spark.createDataFrame(
+        [("c1", "2023-05-01T10:00:00Z", "1990-01-01"),
+         ("c2", "2023-05-01T10:00:00Z", "2023-05-01"),
+         ("c3", "2034-01-01T00:00:00Z", None),
+         ("c4", "yesterday", None),
+         ("c5", "2023-05-01T10:00:00Z", "01/02/1990"),
+         ("c6", "2023-05-01T10:00:00Z", None)],
+        "customer_id string, registration_date string, birth_date string")
+    got = {r.customer_id: r.reject_reason for r in cleaning.customer_date_violations(df, AS_OF).collect()}
+    assert got == {"c2": "birth_after_registration", "c3": "future", "c4": "bad_date", "c5": "bad_date"}
