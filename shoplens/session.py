@@ -52,13 +52,17 @@ def get_session(
 def shared_dir(spark: SparkSession) -> str:
     """Folder on shared storage for checkpoints, stream state and snapshots.
 
-    Uses the cluster's ``spark.checkpoint.dir``. Only when it is unset
-    (local tests) a fresh scratch folder is created and registered.
+    Uses the cluster's ``spark.checkpoint.dir``. Only when it is unset and
+    the session runs in local mode (tests) is a fresh scratch folder created
+    and registered; on a cluster a machine-local folder would not survive an
+    executor loss, so an unset setting is an error there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or S3)")
         d = tempfile.mkdtemp(prefix="shoplens-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         try:
