@@ -37,7 +37,7 @@ def test_entry_smoke(spark):
 def test_every_query_has_a_callable():
     qs = E.queries()
     assert set(ORACLE) <= set(qs)
-    assert {"l0_messages", "purchase_documents"} == set(qs) - set(ORACLE)
+    assert {"purchase_documents"} == set(qs) - set(ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -65,7 +65,7 @@ def test_query_types_match_oracle(spark, duck, name):
         assert SPARK_TO_DUCK.get(t, t) == duck_types[col], (name, col, t, duck_types[col])
 
 
-@pytest.mark.parametrize("name", ["l0_messages", "purchase_documents"])
+@pytest.mark.parametrize("name", ["purchase_documents"])
 def test_rows_only_queries(spark, name):
     assert E.queries()[name](spark, SF_SMALL).count() > 0
 
