@@ -3,7 +3,7 @@
 These are *derivations* of whole tables (every row of the source is kept);
 they give the feature job, the cleaning stage and the keyed load realistic
 inputs. The same definitions are written independently in DuckDB SQL in
-``shoplens.plans.oracle``.
+``shoplens.plans.oracle_fixtures``.
 
 Behaviour segments re-time purchase events instead of dropping them:
 ``user_id % 5 = 0`` lapsing (events from the 15th move 14 days back),
