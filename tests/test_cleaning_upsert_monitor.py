@@ -135,3 +135,15 @@ def test_customer_date_rules(spark):
         "customer_id string, registration_date string, birth_date string")
     got = {r.customer_id: r.reject_reason for r in cleaning.customer_date_violations(df, AS_OF).collect()}
     assert got == {"c2": "birth_after_registration", "c3": "future", "c4": "bad_date", "c5": "bad_date"}
+
+
+def test_raw_fixture_matches_measured_counts_at_sf001(spark):
+    """FIXTURES §3 measured counts for the dirty RAW view and lineitem keys."""
+    root = "/root/testdata/sf0.01"
+    raw = fixtures.raw_purchases(spark, root)
+    reasons = {r[0]: r[1] for r in cleaning.with_reasons(raw, AS_OF).groupBy("reject_reason").count().collect()}
+    assert reasons == {"null": 185, "blank": 100, "bad_date": 104, "future": 117, None: 1656}
+    assert cleaning.clean(raw, AS_OF)[0].count() == 1475
+    li = spark.read.parquet(f"{root}/lineitem.parquet")
+    r = monitor.duplicate_ratio(li, ["l_orderkey", "l_linenumber"], "lineitem").first()
+    assert (r.rows, r.duplicate_rows) == (60000, 14168)
