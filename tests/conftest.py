@@ -14,7 +14,7 @@ def spark():
     from shoplens.session import get_session
 
     ckpt = tempfile.mkdtemp(prefix="shoplens-test-ckpt-")
-    s = get_session("shoplens-tests", master="local[4]", shuffle_partitions=4,
+    s = get_session("shoplens-tests", master="local[8]", shuffle_partitions=8,
                     extra_conf={"spark.checkpoint.dir": ckpt})
     s.sparkContext.setLogLevel("ERROR")
     yield s
