@@ -155,3 +155,14 @@ def test_known_schemas_match_the_files(spark):
         inferred = spark.read.parquet(f"{SF_SMALL}/{name}.parquet").schema
         declared = StructType.fromDDL(ddl)
         assert [(f.name, f.dataType) for f in inferred.fields] == [(f.name, f.dataType) for f in declared.fields], name
+
+
+def test_failed_snapshot_write_keeps_the_live_version(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "snap")
+    snapshot.publish_snapshot(spark, spark.range(3), root, tag="0")
+    live = snapshot.current(spark, root)
+    bad = spark.range(10).selectExpr("id", "CASE WHEN id = 7 THEN raise_error('executor lost') ELSE id END AS v")
+    with pytest.raises(Exception):
+        snapshot.publish_snapshot(spark, bad, root, tag="1")
+    assert snapshot.current(spark, root) == live
+    assert snapshot.read_current(spark, root).count() == 3

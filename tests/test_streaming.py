@@ -149,3 +149,15 @@ def test_purchase_documents_delivery_address_only_when_delivered(spark):
     assert d.where("is_delivery AND delivery_address IS NULL").count() == 0
     assert d.where("NOT is_delivery AND delivery_address IS NOT NULL").count() == 0
     assert d.where("is_delivery").count() > 0 and d.where("NOT is_delivery").count() > 0
+
+
+def test_alert_stream_fires_above_threshold(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    a, _ = _split_events(SF_SMALL, src)
+    for i in range(3):  # the same events re-published three times: 2/3 duplicates
+        pq.write_table(a, os.path.join(src, f"copy{i}.parquet"))
+    alerts = os.path.join(tmp_dir, "alerts")
+    stream = S.raw_purchase_stream(spark, src, glob="*.parquet").where("purchase_id IS NOT NULL")
+    S.run_foreach_batch(stream, S.alert_batches(alerts), os.path.join(tmp_dir, "ckpt"))
+    got = spark.read.parquet(alerts).collect()
+    assert len(got) == 1 and got[0].dup_ratio > 0.5 and got[0].batch_id == 0
