@@ -295,7 +295,7 @@ UPSERT_KEY = ["c_custkey"]
 def upsert_inputs(spark, root):
     """base = every customer; updates = every customer again (keys ending in
     8/9 become new keys -> inserts, odd keys get a changed balance ->
-    modified) plus a stale earlier version of every 7th key (loses)."""
+    modified) plus a stale earlier version of every key (seq 1, loses)."""
     base = read_table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey",
                                                       "c_acctbal", "c_mktsegment")
     k = F.col("c_custkey")
@@ -303,7 +303,7 @@ def upsert_inputs(spark, root):
     bal = F.when(k % 2 == 1, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))
     cur = base.select(new_key.alias("c_custkey"), "c_name", "c_nationkey", bal.alias("c_acctbal"),
                       "c_mktsegment", F.lit(2).alias("seq"))
-    stale = base.where(k % 7 == 0).select(new_key.alias("c_custkey"), "c_name", "c_nationkey",
+    stale = base.select(new_key.alias("c_custkey"), "c_name", "c_nationkey",
                                          (F.col("c_acctbal") - 100).alias("c_acctbal"),
                                          "c_mktsegment", F.lit(1).alias("seq"))
     return base, cur.unionByName(stale)
