@@ -13,25 +13,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.operators import upsert
-from shoplens.schemas import COLLECTION_FILES, COLLECTION_KEYS
+from shoplens.schemas import COLLECTION_FILES, COLLECTION_KEYS, DOCUMENT_SCHEMAS
 from shoplens.sinks import snapshot
-from shoplens.sources.ndjson import read_collections
+from shoplens.sources.ndjson import read_collections, validate_ndjson
 
 MODES = ("upsert", "insert")
 
 
-def load_collection(spark: SparkSession, name: str, batch: DataFrame, target_root: str,
-                    mode: str = "upsert") -> dict:
+def _base(spark: SparkSession, root: str, batch: DataFrame) -> DataFrame:
+    base = snapshot.read_current(spark, root)
+    return spark.createDataFrame([], batch.schema) if base is None else base
+
+
+def check_collection(spark: SparkSession, name: str, batch: DataFrame, target_root: str,
+                     mode: str = "upsert") -> None:
+    """Ids present and, for insert mode, no key collision."""
     if mode not in MODES:
         raise ValueError(f"Unknown mode: {mode}")
     key = COLLECTION_KEYS[name]
     upsert.assert_ids_present(batch, key, name)
+    if mode == "insert":
+        upsert.assert_insertable(_base(spark, f"{target_root.rstrip('/')}/{name}", batch), batch, [key])
+
+
+def load_collection(spark: SparkSession, name: str, batch: DataFrame, target_root: str,
+                    mode: str = "upsert", checked: bool = False) -> dict:
+    if not checked:
+        check_collection(spark, name, batch, target_root, mode)
+    key = COLLECTION_KEYS[name]
     root = f"{target_root.rstrip('/')}/{name}"
-    base = snapshot.read_current(spark, root)
-    if base is None:
-        base = spark.createDataFrame([], batch.schema)
+    base = _base(spark, root, batch)
     if mode == "insert":
-        upsert.assert_insertable(base, batch, [key])
         new = base.unionByName(batch)
         n = batch.count()
         stats = {"affected": n, "modified": 0}
@@ -49,12 +61,19 @@ def load_collection(spark: SparkSession, name: str, batch: DataFrame, target_roo
 
 def run(spark: SparkSession, input_dir: str, target_root: str, mode: str = "upsert",
         drop: bool = False) -> dict[str, dict]:
-    """Load all four collections; ``drop`` reloads from empty."""
+    """Load all four collections; ``drop`` reloads from empty.
+
+    Every file is checked (JSON syntax with line numbers, ids, and in
+    insert mode key collisions) before the first write, so a bad last file
+    leaves all collections untouched."""
     batches = read_collections(spark, input_dir, COLLECTION_FILES)
+    for name, batch in batches.items():
+        validate_ndjson(spark, f"{input_dir.rstrip('/')}/{COLLECTION_FILES[name]}", DOCUMENT_SCHEMAS[name])
+        check_collection(spark, name, batch, target_root, "upsert" if drop else mode)
     results = {}
     for name, batch in batches.items():
         if drop:
             snapshot.publish_snapshot(spark, spark.createDataFrame([], batch.schema),
                                       f"{target_root.rstrip('/')}/{name}")
-        results[name] = load_collection(spark, name, batch, target_root, mode)
+        results[name] = load_collection(spark, name, batch, target_root, mode, checked=not drop)
     return results

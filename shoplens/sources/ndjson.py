@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -38,6 +38,41 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
             df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT))
 
 
+def bad_lines(spark: SparkSession, path: str, ddl_or_schema) -> DataFrame:
+    """Malformed JSON lines with their 1-based line number per file.
+
+    Line numbers are computed without a driver loop: the text source keeps
+    blank lines, each input split is a contiguous run of one partition's
+    row ids, so line = lines in earlier splits of the file (a running sum
+    over one row per split) + position inside the split.
+    """
+    sch = schema(ddl_or_schema) if isinstance(ddl_or_schema, str) else ddl_or_schema
+    lenient = StructType(list(sch.fields) + [StructField(CORRUPT, StringType(), True)])
+    lines = (spark.read.option("encoding", "UTF-8").text(path)
+             .select("value", F.col("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("rid")))
+    splits = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("first_rid"))
+    w = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("file", "block", "first_rid",
+                            F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before"))
+    parsed = lines.where(F.length(F.trim("value")) > 0).select(
+        "*", F.from_json("value", lenient, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+        .getField(CORRUPT).alias("_bad"))
+    return (parsed.where(F.col("_bad").isNotNull())
+            .join(offsets, ["file", "block"])
+            .select("file", (F.col("before") + F.col("rid") - F.col("first_rid") + 1).alias("line"),
+                    F.col("value").alias("text")))
+
+
+def validate_ndjson(spark: SparkSession, path: str, ddl_or_schema, sample: int = 3) -> None:
+    """Fail before any write, naming the first malformed lines (file, line)."""
+    bad = bad_lines(spark, path, ddl_or_schema).orderBy("file", "line").limit(sample).collect()
+    if bad:
+        where = ", ".join(f"{r.file}:{r.line}" for r in bad)
+        raise ValueError(f"Invalid JSON at {where}")
+
+
 def read_collections(spark: SparkSession, input_dir: str, files: dict[str, str] = COLLECTION_FILES,
                      strict: bool = True) -> dict[str, DataFrame]:
     """Name -> DataFrame for the fixed collection/file map. A missing

@@ -84,3 +84,15 @@ def test_feature_job_with_catalog_table(spark, tmp_dir):
     assert res["rows"] == 150
     spark.sql(f"REFRESH TABLE {cfg.target}")
     assert spark.table(cfg.target).count() == 150
+
+
+def test_loader_bad_json_in_last_file_writes_nothing(spark, tmp_dir):
+    src, tgt = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "db")
+    os.makedirs(src)
+    _write_collections(spark, src)
+    with open(os.path.join(src, "purchases.jsonl"), "a", encoding="utf-8") as f:
+        f.write("{bad\n")
+    with pytest.raises(ValueError, match="purchases.jsonl:"):
+        loader.run(spark, src, tgt)
+    for name in ("customers", "stores", "products", "purchases"):
+        assert snapshot.current(spark, os.path.join(tgt, name)) is None

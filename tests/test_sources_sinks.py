@@ -166,3 +166,25 @@ def test_failed_snapshot_write_keeps_the_live_version(spark, tmp_dir):
         snapshot.publish_snapshot(spark, bad, root, tag="1")
     assert snapshot.current(spark, root) == live
     assert snapshot.read_current(spark, root).count() == 3
+
+
+def test_bad_lines_are_reported_with_line_numbers(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "c.jsonl")
+    lines = ['{"customer_id": "c%d"}' % i for i in range(5000)]
+    lines[2] = ""
+    lines[10] = "{bad"
+    lines[4321] = '{"customer_id": '
+    _write(path, lines)
+    # several splits of the same file, so offsets across splits are exercised
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        got = sorted((r.line, r.text) for r in ndjson.bad_lines(spark, path, "customer_id STRING").collect())
+        assert spark.read.text(path).rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == [(11, "{bad"), (4322, '{"customer_id": ')]
+    with pytest.raises(ValueError, match="c.jsonl:11, .*c.jsonl:4322"):
+        ndjson.validate_ndjson(spark, path, "customer_id STRING")
+    good = os.path.join(tmp_dir, "good.jsonl")
+    _write(good, ['{"customer_id": "a"}', "", '{"customer_id": "b"}'])
+    ndjson.validate_ndjson(spark, good, "customer_id STRING")
