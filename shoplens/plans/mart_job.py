@@ -23,10 +23,13 @@ def run_batch(raw_docs: DataFrame, as_of, mart_path: str, rejects_path: str) ->
     rejects.write.mode("overwrite").parquet(rejects_path)
 
 
-def run_stream(spark: SparkSession, l0_path: str, as_of, mart_root: str, checkpoint: str,
-               delay: str = S.DEFAULT_WATERMARK) -> None:
-    """One ``availableNow`` run over new L0 message files; restartable from
-    ``checkpoint`` (on shared storage)."""
-    docs = S.l0_message_stream(spark, l0_path, schema(PURCHASES_DDL), topic=L0_TOPICS["purchases"])
+def run_stream(spark: SparkSession, l0_path: str | None, as_of, mart_root: str, checkpoint: str,
+               delay: str = S.DEFAULT_WATERMARK, docs: DataFrame | None = None) -> None:
+    """One ``availableNow`` run over new L0 messages; restartable from
+    ``checkpoint`` (on shared storage). ``docs`` takes any streaming
+    DataFrame of purchase documents instead of message files, e.g.
+    ``kafka_source(spark, servers, "retail.purchases.l0", schema(PURCHASES_DDL))``."""
+    if docs is None:
+        docs = S.l0_message_stream(spark, l0_path, schema(PURCHASES_DDL), topic=L0_TOPICS["purchases"])
     rows = S.dedup_stream(S.clean_stream(cleaning.flatten_purchases(docs), as_of), delay=delay)
     S.run_foreach_batch(rows, S.upsert_batches(spark, mart_root), checkpoint)
