@@ -26,12 +26,15 @@ def run(spark: SparkSession, cfg: JobConfig, customers: DataFrame, purchases: Da
 
 
 def read_marts(spark: SparkSession, cfg: JobConfig) -> tuple[DataFrame, DataFrame]:
-    """Marts from ``{source_root}/{src_db}/{table}`` in ``cfg.source_format``."""
+    """Marts from ``{source_root}/{src_db}/{table}`` in ``cfg.source_format``,
+    read with the declared mart schemas (no inference; partition columns
+    of a month-partitioned mart are still discovered)."""
+    from shoplens.schemas import CUSTOMERS_MART_DDL, PURCHASES_MART_DDL
     from shoplens.sources.tables import read_table
 
     root = f"{cfg.source_root.rstrip('/')}/{cfg.src_db}"
-    return (read_table(spark, root, cfg.src_customers, cfg.source_format),
-            read_table(spark, root, cfg.src_purchases, cfg.source_format))
+    return (read_table(spark, root, cfg.src_customers, cfg.source_format, schema=CUSTOMERS_MART_DDL),
+            read_table(spark, root, cfg.src_purchases, cfg.source_format, schema=PURCHASES_MART_DDL))
 
 
 def main() -> None:  # pragma: no cover - deployment entry point

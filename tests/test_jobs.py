@@ -96,3 +96,15 @@ def test_loader_bad_json_in_last_file_writes_nothing(spark, tmp_dir):
         loader.run(spark, src, tgt)
     for name in ("customers", "stores", "products", "purchases"):
         assert snapshot.current(spark, os.path.join(tgt, name)) is None
+
+
+def test_read_marts_with_declared_schemas(spark, tmp_dir):
+    from shoplens.sinks.export import write_purchases_mart
+
+    root = os.path.join(tmp_dir, "src", "retail_mart")
+    fixtures.r_customers(spark, SF_SMALL).write.parquet(os.path.join(root, "customers_mart.parquet"))
+    write_purchases_mart(fixtures.r_purchases(spark, SF_SMALL), os.path.join(root, "purchases_mart.parquet"))
+    c, p = feature_job.read_marts(spark, JobConfig(source_root=os.path.join(tmp_dir, "src")))
+    assert c.count() == 150 and p.count() == fixtures.r_purchases(spark, SF_SMALL).count()
+    m = feature_job.customer_feature_matrix(c, p, as_of=fixtures.FIXTURE_AS_OF)
+    assert m.exceptAll(feature_job.fixture_matrix(spark, SF_SMALL)).count() == 0
