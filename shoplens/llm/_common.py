@@ -11,8 +11,11 @@ from __future__ import annotations
 
 import functools
 import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +24,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+import shoplens
 from shoplens.session import shared_dir
 
 SLICE_BYTES = 1 << 20
+WORD_SLICE_BYTES = 1 << 22  # where each distinct word of a slice costs more than its copies
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once per application, so
+    that they need neither the driver's folders nor an installed copy."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(shoplens.__file__).parent
+    place = Path(tempfile.mkdtemp(prefix="shoplens-code-")) / "shoplens.zip"
+    with zipfile.ZipFile(place, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(place))
+    _SHIPPED.add(sc.applicationId)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,7 +130,7 @@ def arrow_schema(schema: StructType) -> pa.Schema:
 
 
 def annotate(df: DataFrame, text_col: str, ddl: str, make: Callable[[], Callable[[Texts, pa.RecordBatch], list]],
-             name: str) -> DataFrame:
+             name: str, budget: int = SLICE_BYTES) -> DataFrame:
     """``df`` plus the struct column ``name`` with the fields of ``ddl``.
 
     ``make`` runs once per task and returns the function that maps a slice of
@@ -121,7 +144,7 @@ def annotate(df: DataFrame, text_col: str, ddl: str, make: Callable[[], Callable
     def run(batches):
         fn = make()
         for batch in batches:
-            parts = [fn(s, batch) for s in slices(texts_of(batch.column(at)))]
+            parts = [fn(s, batch) for s in slices(texts_of(batch.column(at)), budget)]
             if not parts:
                 continue
             cols = []
@@ -131,12 +154,22 @@ def annotate(df: DataFrame, text_col: str, ddl: str, make: Callable[[], Callable
             new = pa.StructArray.from_arrays(cols, names=[n for n, _ in kinds])
             yield pa.RecordBatch.from_arrays([*batch.columns, new], names=[*batch.schema.names, name])
 
+    ship(df.sparkSession)
     return df.mapInArrow(run, out)
 
 
 # --------------------------------------------------------------- hashing
+@functools.lru_cache(maxsize=4)
+def _usual_powers(base: int) -> np.ndarray:
+    return _odd_powers(base, SLICE_BYTES + 1)
+
+
 def odd_powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
+    return _usual_powers(base)[:n] if n <= SLICE_BYTES + 1 else _odd_powers(base, n)
+
+
+def _odd_powers(base: int, n: int) -> np.ndarray:
     out = np.empty(max(n, 1), np.uint64)
     out[0] = 1
     size = 1
@@ -200,10 +233,13 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 # -------------------------------------------------------------- segments
 def starts_of(t: Texts, inner: np.ndarray) -> np.ndarray:
-    """Sorted segment starts: the given inner cuts plus every non-empty row's
-    first byte."""
-    rows = t.off[:-1][t.off[:-1] < t.off[1:]]
-    return np.union1d(rows, inner)
+    """Segment starts: where ``inner`` (for every byte but the first) says
+    so, and every non-empty row's first byte."""
+    mark = np.empty(len(t.data) + 1, bool)
+    mark[1:-1] = inner
+    mark[t.off] = True
+    mark[-1] = False
+    return np.flatnonzero(mark)
 
 
 def distinct(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, list[bytes]]:

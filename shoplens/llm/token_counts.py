@@ -95,7 +95,7 @@ class Merger:
         if not len(rows):
             return out
         d = t.data
-        starts = C.starts_of(t, np.flatnonzero(self.cut[d[:-1], d[1:]]) + 1)
+        starts = C.starts_of(t, self.cut[d[:-1], d[1:]])
         codes, words = C.distinct(d, starts)
         memo = self.memo
         tokens = np.array([memo[w] for w in words], np.int64)[codes]
@@ -132,7 +132,8 @@ def count_tokens(df: DataFrame, text_col: str = "text", tokenizer_dir: str | Non
             return [np.diff(t.off), n, n > limit]
         return run
 
-    return C.annotate(df, text_col, "n_bytes long, n_tokens long, over_limit boolean", make, name)
+    return C.annotate(df, text_col, "n_bytes long, n_tokens long, over_limit boolean", make, name,
+                      C.WORD_SLICE_BYTES)
 
 
 def op7_token_counts(spark, sf_dir: str) -> DataFrame:
