@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from shoplens.llm import chat_format, decontaminate, language_id, packing, token_counts
+from shoplens.llm import chat_format, decontaminate, language_id, packing, simhash, token_counts
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
+    "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_token_counts": token_counts.op7_token_counts,
     "op9_chat_formatting": chat_format.op9_chat_formatting,
