@@ -2,18 +2,34 @@
 
 from __future__ import annotations
 
-from shoplens.llm import chat_format, decontaminate, language_id, packing, simhash, token_counts
+from shoplens.llm import (
+    chat_format,
+    decontaminate,
+    language_id,
+    license_scan,
+    packing,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    vector_search,
+)
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
+    "op2_rotated_bit_search": vector_search.op2_rotated_bit_search,
+    "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op5_simhash_near_dedup": simhash.op5_simhash_near_dedup,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_token_counts": token_counts.op7_token_counts,
+    "op8_suffix_array_dedup": suffix_dedup.op8_suffix_array_dedup,
     "op9_chat_formatting": chat_format.op9_chat_formatting,
+    "op10_license_scan": license_scan.op10_license_scan,
 }
 
 ORACLE_SQL = {
+    "op2_rotated_bit_search": vector_search.ORACLE,
     "op4_benchmark_decontamination": decontaminate.ORACLE,
     "op9_chat_formatting": chat_format.ORACLE,
 }
