@@ -202,25 +202,94 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return prob
 
 
+class Trie:
+    """The vocabulary as a table of steps: step[node, byte], 0 if no piece
+    goes on like that; ``piece`` of a node, or the last number for none."""
+
+    def __init__(self, pieces: dict[bytes, int]):
+        node = {b"": 1}
+        for p in pieces:
+            for k in range(1, len(p) + 1):
+                node.setdefault(p[:k], len(node) + 1)
+        self.step = np.zeros((len(node) + 1, 256), np.int32)
+        self.piece = np.full(len(node) + 1, len(pieces), np.int32)
+        for part, k in node.items():
+            if part:
+                self.step[node[part[:-1]], part[-1]] = k
+            if part in pieces:
+                self.piece[k] = pieces[part]
+
+
+@functools.lru_cache(maxsize=1)
+def trie(path: str) -> Trie:
+    return Trie(vocabulary(path)[0])
+
+
+#: Words up to so many bytes are summed together; probabilities times this
+#: factor for each byte stay far from the smallest and largest doubles.
+TOGETHER, BYTE_SCALE = 64, 256.0
+
+
 class Scorer:
-    def __init__(self, path: str, model: dict[str, np.ndarray]):
-        self.pieces, self.prefixes = vocabulary(path)
+    def __init__(self, path: str, model: dict[str, np.ndarray], most: int = 700_000):
+        pieces, self.prefixes = vocabulary(path)
+        self.pieces, self.trie, self.most = pieces, trie(path), most
         self.langs = sorted(model)
         self.prob = [model[lang].tolist() for lang in self.langs]
-        self.memo = C.Memo(self.word, most=300_000)
-
-    def word(self, word: bytes) -> tuple[float, ...]:
-        """Log likelihood of a word under each language."""
-        lattice = edges(b" " + word, self.pieces, self.prefixes)
-        return tuple(forward(lattice, p)[1] for p in self.prob)
+        size = np.array([len(p) for p in pieces], float)
+        self.scaled = np.zeros((len(pieces) + 1, len(self.langs)))  # the last row is no piece
+        self.scaled[:-1] = np.stack([model[lang] for lang in self.langs], axis=1) * BYTE_SCALE ** size[:, None]
+        self.memo: dict[bytes, int] = {}
+        self.known = np.zeros((1 << 12, len(self.langs)))
+
+    def together(self, words: list[bytes]) -> np.ndarray:
+        """Log likelihoods of words of one length, by one forward pass."""
+        n = len(words[0]) + 1
+        text = np.frombuffer(b"".join(b" " + w for w in words), np.uint8).reshape(-1, n)
+        alpha = np.zeros((n + 1, len(words), len(self.langs)))
+        alpha[0] = 1.0
+        for i in range(n):
+            node = self.trie.step[1, text[:, i]]
+            for j in range(i + 1, min(i + LONGEST_PIECE, n) + 1):
+                alpha[j] += alpha[i] * self.scaled[self.trie.piece[node]]
+                if j == n:
+                    break
+                node = self.trie.step[node, text[:, j]]
+                if not node.any():
+                    break
+        return np.log(alpha[n]) - n * math.log(BYTE_SCALE)
+
+    def learn(self, words: list[bytes]) -> None:
+        """Scores the words that are not yet known."""
+        if len(self.memo) > self.most:  # bounded memory
+            self.memo.clear()
+        memo = self.memo
+        by_length: dict[int, list[bytes]] = {}
+        for w in words:
+            if w not in memo:
+                by_length.setdefault(len(w), []).append(w)
+        for size, new in by_length.items():
+            for i in range(0, len(new), 20_000):
+                some = new[i:i + 20_000]
+                if size <= TOGETHER:
+                    found = self.together(some)
+                else:
+                    found = np.array([[forward(edges(b" " + w, self.pieces, self.prefixes), p)[1] for p in self.prob]
+                                      for w in some])
+                first = len(memo)
+                while first + len(some) > len(self.known):
+                    self.known = np.concatenate([self.known, np.zeros_like(self.known)])
+                self.known[first:first + len(some)] = found
+                memo.update(zip(some, range(first, first + len(some))))
 
     def scores(self, t: C.Texts) -> np.ndarray:
         """Log likelihood of each row under each language."""
         codes, words, rows = words_of(t)
         out = np.zeros((len(t), len(self.langs)))
         if len(codes):
+            self.learn(words)
             memo = self.memo
-            each = np.array([memo[w] for w in words])[codes]
+            each = self.known[np.array([memo[w] for w in words])[codes]]
             some = np.flatnonzero(rows[1:] > rows[:-1])
             out[some] = np.add.reduceat(each, rows[some], axis=0)
         return out
