@@ -4,10 +4,9 @@ customers  <- customer ⋈ nation (home store embedded as ``purchase_location``)
 stores     <- nation ⋈ region (one store per nation key)
 purchases  <- orders ⋈ customer ⋈ lineitem ⋈ part (line items as an array)
 
-A purchase document holds its own lines only. The array is built per
-``(order, part)`` where ``part`` splits an order with more than
-``max_items`` line numbers into several documents, so no single row grows
-with a hot order; here every order has part 0.
+A purchase is one document with all its own lines, sorted; a row therefore
+grows with one order's number of lines, as the document model has it. Lines
+are combined per order by a map-side aggregate of arrays.
 """
 
 from __future__ import annotations
@@ -16,12 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.functions import time as T
-from shoplens.sources.fixtures import CONTACT_SQL, FIXTURE_AS_OF
+from shoplens.functions.text import maker_website
+from shop_fixtures.views import CONTACT_SQL, FIXTURE_AS_OF
 from shoplens.sources.tables import read_table
 
-MAX_ITEMS_PER_DOCUMENT = 1000
-
-
 STORE_ID_SQL = "concat('store-', lpad(CAST({k} AS STRING), 3, '0'))"
 
 
@@ -74,21 +71,14 @@ def store_documents(spark: SparkSession, root: str) -> DataFrame:
             ))
 
 
-def _line_items(spark: SparkSession, root: str, max_items: int) -> DataFrame:
-    """One row per line with its document part number.
-
-    part = (line number - 1) div ``max_items``: line numbers are the
-    per-order sequence, so a part holds at most ``max_items`` of them
-    (repeated line numbers stay with their number). No per-order count,
-    so no extra shuffle.
-    """
+def _line_items(spark: SparkSession, root: str) -> DataFrame:
+    """One row per line: order key and the line as a struct."""
     li = read_table(spark, root, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
     p = read_table(spark, root, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
     return (li.join(p, li.l_partkey == p.p_partkey, "left")
             .selectExpr(
                 "l_orderkey",
-                f"CAST(greatest(l_linenumber - 1, 0) DIV {max_items} AS INT) AS doc_part",
                 """named_struct(
                      'line_no', l_linenumber,
                      'product_id', concat('prd-', CAST(l_partkey AS STRING)),
@@ -113,34 +103,37 @@ def purchase_lines(spark: SparkSession, root: str) -> DataFrame:
 
 
 def purchase_heads(spark: SparkSession, root: str) -> DataFrame:
-    """(order_key, total_amount) per order."""
-    return read_table(spark, root, "orders").selectExpr("o_orderkey AS order_key", "o_totalprice AS total_amount")
+    """(order_key, total_amount) per order, with the documents' totals."""
+    lines = (_line_items(spark, root).groupBy("l_orderkey").agg(F.expr(f"{LINES_TOTAL_SQL} AS lines_total")))
+    o = read_table(spark, root, "orders").select("o_orderkey", "o_totalprice")
+    return (o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
+            .selectExpr("o_orderkey AS order_key", f"{TOTAL_SQL} AS total_amount"))
 
 
 PURCHASE_ID_SQL = "concat('ord-', CAST(order_key AS STRING))"
 
 
-def purchase_documents(spark: SparkSession, root: str, max_items: int = MAX_ITEMS_PER_DOCUMENT,
-                       include_items: bool = True) -> DataFrame:
+# The stated total of a purchase: the rounded sum of its lines, except for
+# every third order, which states the order table's own (other) total.
+TOTAL_SQL = "CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice ELSE coalesce(lines_total, o_totalprice) END"
+LINES_TOTAL_SQL = "CAST(sum(CAST(item.total_price AS DECIMAL(18,2))) AS DOUBLE)"
+
+
+def purchase_documents(spark: SparkSession, root: str) -> DataFrame:
     """G3 + G5: nested purchase documents; the delivery address is present
-    only when the purchase is delivered. ``include_items=False`` builds the
-    header documents only (one per order, ``items`` NULL, part 0)."""
+    only when the purchase is delivered."""
     o = read_table(spark, root, "orders")
     c = read_table(spark, root, "customer").select("c_custkey", "c_name", "c_nationkey")
     c = c.selectExpr("*", *[f"{v} AS {k}" for k, v in CONTACT_SQL.items()])
     n = read_table(spark, root, "nation").select("n_nationkey", "n_name")
-    if include_items:
-        items = (_line_items(spark, root, max_items)
-                 .groupBy("l_orderkey", "doc_part")
-                 .agg(F.array_sort(F.collect_list("item")).alias("items")))
-        o = o.join(items, o.o_orderkey == items.l_orderkey, "left")
-    else:
-        o = o.selectExpr("*", "CAST(0 AS INT) AS doc_part", "CAST(NULL AS ARRAY<STRUCT<line_no: INT>>) AS items")
+    items = (_line_items(spark, root).groupBy("l_orderkey")
+             .agg(F.array_sort(F.collect_list("item")).alias("items"),
+                  F.expr(f"{LINES_TOTAL_SQL} AS lines_total")))
+    o = o.join(items, o.o_orderkey == items.l_orderkey, "left")
     return (o.join(c, o.o_custkey == c.c_custkey, "left")
             .join(n, c.c_nationkey == n.n_nationkey, "left")
             .selectExpr(
                 "concat('ord-', CAST(o_orderkey AS STRING)) AS purchase_id",
-                "coalesce(doc_part, 0) AS doc_part",
                 """named_struct(
                      'customer_id', concat('cus-', CAST(o_custkey AS STRING)),
                      'first_name', c_name,
@@ -153,7 +146,7 @@ def purchase_documents(spark: SparkSession, root: str, max_items: int = MAX_ITEM
                 f"""named_struct('store_id', {STORE_ID_SQL.format(k='c_nationkey')},
                                  'store_name', concat(n_name, ' store')) AS store""",
                 "items",
-                "o_totalprice AS total_amount",
+                f"{TOTAL_SQL} AS total_amount",
                 "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'card' ELSE 'cash' END AS payment_method",
                 "o_orderstatus = 'O' AS is_delivery",
                 """CASE WHEN o_orderstatus = 'O' THEN named_struct(
@@ -165,8 +158,6 @@ def purchase_documents(spark: SparkSession, root: str, max_items: int = MAX_ITEM
 
 def product_documents(spark: SparkSession, root: str) -> DataFrame:
     """products <- part (brand as the maker)."""
-    from shoplens.functions.text import maker_website
-
     p = read_table(spark, root, "part")
     return p.select(
         F.concat(F.lit("prd-"), F.col("p_partkey").cast("string")).alias("id"),

@@ -3,7 +3,7 @@
 These are *derivations* of whole tables (every row of the source is kept);
 they give the feature job, the cleaning stage and the keyed load realistic
 inputs. The same definitions are written independently in DuckDB SQL in
-``shoplens.plans.oracle_fixtures``.
+``shop_fixtures.views_sql``.
 
 Behaviour segments re-time purchase events instead of dropping them:
 ``user_id % 5 = 0`` lapsing (events from the 15th move 14 days back),
@@ -66,7 +66,11 @@ SHAPED_TS_SQL = f"""CASE
 
 def r_purchases(spark: SparkSession, root: str) -> DataFrame:
     """purchases mart from every ``events`` row of type 'purchase'."""
-    return purchase_events(spark, root).selectExpr(
+    return r_purchases_of(purchase_events(spark, root))
+
+
+def r_purchases_of(ev: DataFrame) -> DataFrame:
+    return ev.selectExpr(
         "concat('ord-', CAST(event_id AS STRING)) AS purchase_id",
         "concat('cus-', CAST(user_id AS STRING)) AS customer_id",
         "concat('store-', CAST((user_id * 7 + CASE WHEN k < least(99, 50 + (user_id % 7) * 10) "
@@ -88,12 +92,14 @@ def raw_purchases(spark: SparkSession, root: str) -> DataFrame:
 ISO_Z_SQL = "date_format({ts}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
 
 
-def raw_purchases_of(ev: DataFrame) -> DataFrame:
+def raw_purchases_of(ev: DataFrame, *extra: str) -> DataFrame:
     """``raw_purchases`` over purchase events (batch or streaming).
 
     One pass over the events: rows with k in 25..34 are emitted twice via
     ``explode`` (copy 1 is the re-send, one hour later, paid by card), so
     the source is scanned once instead of once per branch of a union.
+    Blanks are spaces, tabs and no-break spaces; codes have any of these at
+    their ends. ``extra`` columns (event_id, k, copy, ...) are kept.
     """
     iso = ISO_Z_SQL.format(ts="ts")
     iso_resent = ISO_Z_SQL.format(ts="ts + INTERVAL 1 HOUR")
@@ -108,12 +114,30 @@ def raw_purchases_of(ev: DataFrame) -> DataFrame:
                 "WHEN k BETWEEN 15 AND 19 THEN '2034-01-01T00:00:00Z' "
                 f"ELSE {iso} END AS purchase_datetime",
                 "CASE WHEN k BETWEEN 20 AND 24 THEN CAST(NULL AS DOUBLE) ELSE value * 4 END AS total_amount",
-                "CASE WHEN copy = 1 THEN 'card' WHEN k BETWEEN 5 AND 9 THEN '  ' "
+                "CASE WHEN copy = 1 THEN 'card' WHEN k BETWEEN 5 AND 6 THEN '  ' "
+                "WHEN k = 7 THEN chr(9) WHEN k = 8 THEN chr(160) WHEN k = 9 THEN concat(' ', chr(9), chr(160)) "
+                "WHEN k % 4 = 0 THEN concat('CASH', chr(9)) WHEN k % 4 = 1 THEN concat(chr(160), 'Card') "
                 "WHEN k % 2 = 0 THEN ' CASH' ELSE 'Card' END AS payment_method",
-                "k % 3 = 0 AS is_delivery",
+                "k % 3 = 0 AS is_delivery", *extra,
             ))
 
 
+def raw_customers(spark: SparkSession, root: str) -> DataFrame:
+    """Dirty RAW customers, every one of them sent twice."""
+    reg = ISO_Z_SQL.format(ts=f"{T.as_of_sql(FIXTURE_AS_OF)} - make_dt_interval(CAST(k % 366 AS INT))")
+    c = read_table(spark, root, "customer").selectExpr("c_custkey AS k", "explode(array(0, 1)) AS copy")
+    return c.selectExpr(
+        "CASE k % 23 WHEN 0 THEN CAST(NULL AS STRING) WHEN 1 THEN concat(chr(9), chr(160)) "
+        "ELSE concat('cus-', CAST(k AS STRING)) END AS customer_id",
+        "CASE k % 23 WHEN 2 THEN 'not-a-date' WHEN 3 THEN '2034-01-01T00:00:00Z' WHEN 4 THEN CAST(NULL AS STRING) "
+        f"ELSE {reg} END AS registration_date",
+        "CASE WHEN k % 23 = 5 THEN '2024-01-31' WHEN k % 23 = 6 THEN '31.01.1990' WHEN k % 2 = 0 "
+        "THEN CAST(NULL AS STRING) ELSE '1990-05-17' END AS birth_date",
+        "CASE WHEN k % 2 = 0 THEN ' Male' ELSE concat('FEMALE', chr(9)) END AS gender",
+        "concat(chr(160), 'RU ') AS preferred_language",
+        "k % 3 > 0 AS is_loyalty_member")
+
+
 # Messy e-mail and phone text derived from a customer row.
 CONTACT_SQL = {
     "email": "concat(' ', upper(c_name), '@Mail.Example.com ')",

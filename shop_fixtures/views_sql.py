@@ -40,7 +40,9 @@ RAW_PURCHASES = """raw_base AS (
               WHEN k BETWEEN 15 AND 19 THEN '2034-01-01T00:00:00Z'
               ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS purchase_datetime,
          CASE WHEN k BETWEEN 20 AND 24 THEN NULL ELSE value * 4 END AS total_amount,
-         CASE WHEN k BETWEEN 5 AND 9 THEN '  ' WHEN k % 2 = 0 THEN ' CASH' ELSE 'Card' END AS payment_method,
+         CASE WHEN k IN (5, 6) THEN '  ' WHEN k = 7 THEN chr(9) WHEN k = 8 THEN chr(160)
+              WHEN k = 9 THEN ' ' || chr(9) || chr(160) WHEN k % 4 = 0 THEN 'CASH' || chr(9)
+              WHEN k % 4 = 1 THEN chr(160) || 'Card' WHEN k % 2 = 0 THEN ' CASH' ELSE 'Card' END AS payment_method,
          k % 3 = 0 AS is_delivery,
          k AS _k, ts AS _ts
   FROM pe),
@@ -52,6 +54,16 @@ raw_purchases AS (
          total_amount, 'card', is_delivery
   FROM raw_base WHERE _k BETWEEN 25 AND 34)"""
 
+RAW_CUSTOMERS = f"""raw_customers AS (
+  SELECT CASE k % 23 WHEN 0 THEN NULL WHEN 1 THEN chr(9) || chr(160) ELSE 'cus-' || CAST(k AS VARCHAR) END AS customer_id,
+         CASE k % 23 WHEN 2 THEN 'not-a-date' WHEN 3 THEN '2034-01-01T00:00:00Z' WHEN 4 THEN NULL
+              ELSE strftime({AS_OF} - to_days(CAST(k % 366 AS INTEGER)), '%Y-%m-%dT%H:%M:%SZ') END AS registration_date,
+         CASE WHEN k % 23 = 5 THEN '2024-01-31' WHEN k % 23 = 6 THEN '31.01.1990'
+              WHEN k % 2 = 0 THEN NULL ELSE '1990-05-17' END AS birth_date,
+         CASE WHEN k % 2 = 0 THEN ' Male' ELSE 'FEMALE' || chr(9) END AS gender,
+         chr(160) || 'RU ' AS preferred_language, k % 3 > 0 AS is_loyalty_member
+  FROM (SELECT c_custkey AS k, unnest([0, 1]) AS copy FROM customer))"""
+
 PII_CONTACTS = """pii_contacts AS (
   SELECT c_custkey,
          ' ' || upper(c_name) || '@Mail.Example.com ' AS email,

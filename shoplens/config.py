@@ -1,8 +1,8 @@
 """Job configuration: thresholds, time-of-day buckets, source/target names.
 
-Every knob is an explicit, frozen value. ``JobConfig.from_env`` reads the
-same environment names the original batch job used, so a deployment can
-switch without renaming its variables.
+Every knob is an explicit, frozen value. The ``from_env`` constructors name the
+environment variables they read; the batch job, the publisher and the loader
+each have one.
 """
 
 from __future__ import annotations
@@ -64,6 +64,18 @@ class JobConfig:
     target_root: str | None = None
     thresholds: Thresholds = field(default_factory=Thresholds)
     as_of: str | None = None
+    # source_format "jdbc": the warehouse with the marts
+    jdbc_url: str | None = None
+    jdbc_user: str | None = None
+    jdbc_password: str | None = None
+    jdbc_driver: str | None = None
+    jdbc_partitions: int = 0  # range queries per table; 0: one
+    # per table: column and bounds of the range queries, "column,lower,upper"
+    jdbc_customers_range: str | None = None
+    jdbc_purchases_range: str | None = None
+    # CSV export of the matrix, if a folder is given
+    csv_root: str | None = None
+    csv_single_file: bool = True
 
     @property
     def target(self) -> str:
@@ -82,11 +94,65 @@ class JobConfig:
             source_format=e.get("SOURCE_FORMAT", "parquet"),
             source_root=e.get("SOURCE_ROOT"),
             target_root=e.get("TARGET_ROOT"),
+            jdbc_url=e.get("JDBC_URL") or _warehouse_url(e),
+            jdbc_user=e.get("JDBC_USER", e.get("CH_USER")),
+            jdbc_password=e.get("JDBC_PASSWORD", e.get("CH_PASS")),
+            jdbc_driver=e.get("JDBC_DRIVER"),
+            jdbc_partitions=int(e.get("JDBC_PARTITIONS", "0")),
+            jdbc_customers_range=e.get("JDBC_CUSTOMERS_RANGE"),
+            jdbc_purchases_range=e.get("JDBC_PURCHASES_RANGE"),
+            csv_root=e.get("CSV_ROOT"),
+            csv_single_file=e.get("CSV_SINGLE_FILE", "1") == "1",
             thresholds=Thresholds.from_env(e),
             as_of=e.get("AS_OF"),
         )
 
 
+def _warehouse_url(e) -> str | None:
+    """The warehouse's URL from its host and port, where these are set."""
+    if "CH_HOST" not in e:
+        return None
+    return f"jdbc:clickhouse://{e['CH_HOST']}:{e.get('CH_PORT', '8123')}/{e.get('SRC_DB', 'retail_mart')}"
+
+
+@dataclass(frozen=True)
+class PublishConfig:
+    """What the publisher reads, how it hides personal data, where it writes."""
+
+    source_root: str
+    salt: str
+    algorithm: str = "hmac_sha256"
+    sink_format: str = "kafka"
+    bootstrap: str | None = None
+    path: str | None = None
+
+    @classmethod
+    def from_env(cls, env: dict[str, str] | None = None) -> "PublishConfig":
+        e = os.environ if env is None else env
+        for name in ("SOURCE_ROOT", "PII_SALT"):
+            if not e.get(name):
+                raise ValueError(f"{name} is required")
+        return cls(source_root=e["SOURCE_ROOT"], salt=e["PII_SALT"], algorithm=e.get("PII_ALGO", "hmac_sha256"),
+                   sink_format=e.get("SINK_FORMAT", "kafka"), bootstrap=e.get("KAFKA_BOOTSTRAP"), path=e.get("SINK_PATH"))
+
+
+@dataclass(frozen=True)
+class LoaderConfig:
+    input_dir: str
+    target_root: str
+    mode: str = "upsert"
+    drop: bool = False
+
+    @classmethod
+    def from_env(cls, env: dict[str, str] | None = None) -> "LoaderConfig":
+        e = os.environ if env is None else env
+        for name in ("INPUT_DIR", "TARGET_ROOT"):
+            if not e.get(name):
+                raise ValueError(f"{name} is required")
+        return cls(input_dir=e["INPUT_DIR"], target_root=e["TARGET_ROOT"], mode=e.get("LOAD_MODE", "upsert"),
+                   drop=e.get("DROP_BEFORE_LOAD", "0") == "1")
+
+
 def as_of_text(as_of: str | _dt.datetime | _dt.date | None) -> str | None:
     """Normalise an ``as_of`` value to 'yyyy-MM-dd HH:mm:ss' (UTC wall clock)."""
     if as_of is None:

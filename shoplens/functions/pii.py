@@ -15,20 +15,18 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from shoplens.functions.text import strip
+
 SHA256_BLOCK = 64
 ALGORITHMS = ("hmac_sha256", "md5")
 
-# Python's str.strip() removes every Unicode white-space character plus the
-# four ASCII separators U+001C..U+001F; Java's (?U)\s covers the former.
-_WS = r"[\s\x{1c}-\x{1f}]"
-_STRIP = rf"(?U)^{_WS}+|{_WS}+$"
 # Anything that is not a Unicode decimal digit (Python's \D on str).
 _NON_DIGITS = r"\P{Nd}+"
 
 
 def normalize_email(v: Column) -> Column:
     """strip + lower."""
-    return F.lower(F.regexp_replace(v.cast("string"), _STRIP, ""))
+    return F.lower(strip(v.cast("string")))
 
 
 def normalize_phone(v: Column) -> Column:

@@ -5,25 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Substrings removed, in this order, from a lower-cased maker
-# name to form its web domain (space, the two guillemets, and the Russian
-# legal-form abbreviations "ооо", "ао", "ип"); at most 30 characters kept,
-# then ".ru" appended.
-DOMAIN_REMOVALS = (" ", "«", "»", "ооо", "ао", "ип")
+# A maker's web domain is its lower-cased name without spaces,
+# guillemets and the Russian legal forms "ооо", "ао" and "ип", at most 30
+# characters, under ".ru".
+NOT_IN_DOMAIN = "[ «»]|ооо|ао|ип"
 DOMAIN_MAX_CHARS = 30
 DOMAIN_SUFFIX = ".ru"
 
+# White space as str.strip() sees it: every Unicode white-space character and
+# the four ASCII separators U+001C..U+001F ((?U)\s covers the former).
+_WS = r"[\s\x{1c}-\x{1f}]"
+STRIP = rf"(?U)^{_WS}+|{_WS}+$"
+
 
 def maker_domain(name: Column) -> Column:
-    """Web domain derived from a maker name. ASSUMPTION: when nothing is
-    left, fall back to the first 12 hex digits of md5(name) (the original
-    picked a random domain)."""
-    base = F.lower(name)
-    for s in DOMAIN_REMOVALS:
-        base = F.replace(base, F.lit(s), F.lit(""))
-    return (F.when(F.length(base) > 0, F.concat(F.substring(base, 1, DOMAIN_MAX_CHARS), F.lit(DOMAIN_SUFFIX)))
-            .otherwise(F.concat(F.substring(F.md5(F.coalesce(name, F.lit(""))), 1, 12), F.lit(DOMAIN_SUFFIX))))
+    """Web domain of a maker. ASSUMPTION: when nothing is left of the name,
+    the first 12 hex digits of its md5 (a fixed choice instead of a random
+    domain)."""
+    left = F.regexp_replace(F.lower(name), NOT_IN_DOMAIN, "")
+    label = F.coalesce(F.nullif(F.substring(left, 1, DOMAIN_MAX_CHARS), F.lit("")),
+                       F.substring(F.md5(F.coalesce(name, F.lit(""))), 1, 12))
+    return F.concat(label, F.lit(DOMAIN_SUFFIX))
 
 
 def maker_website(name: Column) -> Column:
     return F.concat(F.lit("https://"), maker_domain(name))
+
+
+def strip(text: Column) -> Column:
+    """``text`` without white space of any kind at its ends."""
+    return F.regexp_replace(text, STRIP, "")

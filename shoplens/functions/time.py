@@ -76,17 +76,3 @@ def parse_iso_z(text: Column) -> Column:
 def parse_date(text: Column) -> Column:
     """'yyyy-MM-dd' text -> date; malformed text gives NULL."""
     return F.try_to_date(text, DATE_FORMAT)
-
-
-def hour_in(h: Column, start: int, end: int) -> Column:
-    return (h >= start) & (h < end)
-
-
-def is_night(h: Column, night_start: int, morning_start: int) -> Column:
-    """Night wraps midnight: from ``night_start`` until ``morning_start``."""
-    return (h >= night_start) | (h < morning_start)
-
-
-def is_weekend(ts: Column) -> Column:
-    """Saturday or Sunday (Spark dayofweek: 1 = Sunday .. 7 = Saturday)."""
-    return F.dayofweek(ts).isin(1, 7)

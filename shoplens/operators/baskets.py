@@ -18,13 +18,6 @@ def basket_items(docs: DataFrame) -> DataFrame:
             .select("purchase_id", "it.*"))
 
 
-def basket_totals(items: DataFrame) -> DataFrame:
-    """G2 part 1: line total = round(price * quantity, 2) in decimal; sum per purchase."""
-    line = F.round(F.col("price_per_unit").cast(MONEY) * F.col("quantity"), 2)
-    return (items.groupBy("purchase_id")
-            .agg(F.sum(line).alias("items_total"), F.count(F.lit(1)).alias("n_items")))
-
-
 # Line total = round(price * quantity, 2), summed in decimal inside each
 # document (a per-row higher-order function, no shuffle of line items).
 DOC_ITEMS_TOTAL_SQL = """aggregate(coalesce(items, array()), CAST(0 AS DECIMAL(28,2)),
@@ -32,25 +25,15 @@ DOC_ITEMS_TOTAL_SQL = """aggregate(coalesce(items, array()), CAST(0 AS DECIMAL(2
 
 
 def reconcile(docs: DataFrame, tolerance: float = RECONCILE_TOLERANCE) -> DataFrame:
-    """Compare the line-item sum with the stated total (|diff| < tolerance).
-
-    Each document part is totalled in place; parts of one purchase are
-    combined by one partial aggregate over document rows (not line rows).
-    """
-    part = "doc_part" if "doc_part" in docs.columns else "0"
-    per_doc = docs.selectExpr(
-        "purchase_id", f"{part} AS _part",
-        f"CAST(total_amount AS {MONEY}) AS total_amount",
-        f"{DOC_ITEMS_TOTAL_SQL} AS part_total")
-    per_purchase = per_doc.groupBy("purchase_id").agg(
-        F.expr("sum(part_total) AS items_total"),
-        F.expr("max_by(total_amount, _part = 0) AS total_amount"))
-    return per_purchase.selectExpr(
+    """Compare the line-item sum with the stated total (|diff| < tolerance),
+    inside each document."""
+    return docs.selectExpr("purchase_id", f"CAST(total_amount AS {MONEY}) AS stated",
+                           f"{DOC_ITEMS_TOTAL_SQL} AS summed").selectExpr(
         "purchase_id",
-        "CAST(items_total AS DOUBLE) AS items_total",
-        "CAST(total_amount AS DOUBLE) AS total_amount",
-        "CAST(total_amount - items_total AS DOUBLE) AS diff",
-        f"abs(total_amount - items_total) < {tolerance} AS matches",
+        "CAST(summed AS DOUBLE) AS items_total",
+        "CAST(stated AS DOUBLE) AS total_amount",
+        "CAST(stated - summed AS DOUBLE) AS diff",
+        f"abs(stated - summed) < {tolerance} AS matches",
     )
 
 
@@ -82,34 +65,6 @@ def sample_per_group(df: DataFrame, group: str, order, n: int) -> DataFrame:
     return df.withColumn("rank_in_group", F.row_number().over(w)).where(F.col("rank_in_group") <= n)
 
 
-# Nutrition ranges (per 100 g) by product category, as
-# (category, calories lo-hi, protein lo-hi, fat lo-hi, carbohydrates lo-hi).
-NUTRITION_BOUNDS = (
-    ("🥖 Зерновые и хлебобулочные изделия", 200, 350, 6, 12, 1, 6, 40, 60),
-    ("🥩 Мясо, рыба, яйца и бобовые", 120, 350, 15, 30, 2, 25, 0, 15),
-    ("🥛 Молочные продукты", 40, 200, 3, 10, 1, 15, 3, 12),
-    ("🍏 Фрукты и ягоды", 30, 100, 0.5, 2, 0.1, 0.8, 5, 20),
-    ("🥦 Овощи и зелень", 15, 60, 0.5, 3, 0.1, 0.8, 2, 10),
-)
-NUTRIENTS = ("calories", "protein", "fat", "carbohydrates")
-
-
-def nutrition_bounds(spark) -> DataFrame:
-    cols = ["category"] + [f"{n}_{e}" for n in NUTRIENTS for e in ("lo", "hi")]
-    rows = [(r[0],) + tuple(float(x) for x in r[1:]) for r in NUTRITION_BOUNDS]
-    return spark.createDataFrame(rows, cols)
-
-
-def nutrition_check(products: DataFrame, bounds: DataFrame) -> DataFrame:
-    """Flag products whose ``kbju`` lies outside its category's range.
-    The bounds table has a fixed five rows, so broadcasting it is safe."""
-    j = products.join(F.broadcast(bounds), products["group"] == bounds["category"], "left")
-    ok = F.lit(True)
-    for n in NUTRIENTS:
-        ok = ok & F.col(f"kbju.{n}").between(F.col(f"{n}_lo"), F.col(f"{n}_hi"))
-    return j.select(products["*"], F.coalesce(ok, F.lit(False)).alias("kbju_in_range"))
-
-
 def maker_domains(makers: DataFrame, name_col: str) -> DataFrame:
     """Web domain and site from a maker name."""
     return makers.select("*", maker_domain(F.col(name_col)).alias("domain"),

@@ -3,7 +3,8 @@
 Implemented as an aggregate, not a window: ``max(struct(order..., rest...))``
 per key is a partial (map-side) aggregate, so a key repeated across a
 third of all rows is reduced inside every map task before the shuffle,
-instead of sorting the whole group in one task. The struct holds every
+instead of sending the whole group to one task. (Spark plans a struct maximum as
+a sort aggregate, so each side sorts its rows by key.) The struct holds every
 column, so the winner is fixed even when the order columns tie.
 """
 
@@ -28,18 +29,14 @@ def keep_max(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     packed = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order_cols)],
                       *[F.col(c).alias(c) for c in rest])
-    any_null = F.lit(False)
-    for k in keys:
-        any_null = any_null | F.col(k).isNull()
-    keyed = df.where(~any_null) if keep_null_keys else df
-    best = (keyed.groupBy(*keys).agg(F.max(packed).alias("_best"))
-            .select(*keys, *[F.col("_best").getField(c).alias(c) for c in rest])
-            .select(*df.columns))
+    group = list(keys)
     if keep_null_keys:
-        return best.unionByName(df.where(any_null))
-    return best
-
-
-def latest_per_key(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """The latest row per key by ``ts``; ties broken by the other columns."""
-    return keep_max(df, keys, [ts])
+        # each row with a NULL key is a group of its own, so one scan does
+        any_null = F.lit(False)
+        for k in keys:
+            any_null = any_null | F.col(k).isNull()
+        df = df.withColumn("_alone", F.when(any_null, F.monotonically_increasing_id()))
+        group.append("_alone")
+    return (df.groupBy(*group).agg(F.max(packed).alias("_best"))
+            .select(*keys, *[F.col("_best").getField(c).alias(c) for c in rest])
+            .select(*[c for c in df.columns if c != "_alone"]))

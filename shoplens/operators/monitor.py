@@ -25,7 +25,11 @@ def duplicate_ratio(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame
     holding a large share of rows never reaches one task as raw rows.
     NULL on an empty table.
     """
-    per_key = df.groupBy(*keys).agg(F.expr("count(1) AS copies"))
+    return ratio_of_counts(df.groupBy(*keys).agg(F.expr("count(1) AS copies")), table)
+
+
+def ratio_of_counts(per_key: DataFrame, table: str) -> DataFrame:
+    """``duplicate_ratio`` from one row per key with its ``copies``."""
     name = table.replace("'", "''")
     return per_key.agg(F.expr("coalesce(sum(copies), 0) AS rows"),
                        F.expr("count(1) AS distinct_keys")).selectExpr(
@@ -34,6 +38,18 @@ def duplicate_ratio(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame
         "try_divide(CAST(rows - distinct_keys AS DOUBLE), rows) AS dup_ratio")
 
 
+def republished_ratio(df: DataFrame, keys: Sequence[str], times: dict[str, int]) -> DataFrame:
+    """M2 for a table sent several times, from one count per key: ``times``
+    maps a name to the number of sendings."""
+    one = df.groupBy(*keys).agg(F.expr("count(1) AS copies")).agg(
+        F.expr("coalesce(sum(copies), 0) AS rows"), F.expr("count(1) AS distinct_keys"))
+    sent = F.explode(F.array(*[F.struct(F.lit(k).alias("table_name"), F.lit(n).alias("n")) for k, n in times.items()]))
+    return one.select("rows", "distinct_keys", sent.alias("s")).selectExpr(
+        "s.table_name AS table_name", "rows * s.n AS rows", "distinct_keys",
+        "rows * s.n - distinct_keys AS duplicate_rows",
+        "try_divide(CAST(rows * s.n - distinct_keys AS DOUBLE), rows * s.n) AS dup_ratio")
+
+
 def duplicate_alert(ratios: DataFrame, threshold: float = DUPLICATE_ALERT_RATIO) -> DataFrame:
     """M3: alert rows for tables whose ratio is above ``threshold``."""
     return (ratios.where(F.col("dup_ratio") > threshold)

@@ -3,6 +3,11 @@
 Without a transactional table format an upsert writes a *new* snapshot
 (``base`` minus updated keys, plus the updates); the sink then switches a
 pointer to it. The path being read is never overwritten.
+
+A batch is collapsed to one row per key and written once to the shared folder
+(``settled``), so that every later use reads files whose size Spark knows: its
+own broadcast threshold then decides whether the base is streamed against the
+batch or both sides are shuffled. Nothing is counted or hinted here.
 """
 
 from __future__ import annotations
@@ -13,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.operators.dedup import keep_max
+from shoplens.session import scratch_path
 
 
 class KeyError_(ValueError):
@@ -22,77 +28,71 @@ class KeyError_(ValueError):
 def last_wins(updates: DataFrame, keys: Sequence[str], seq: str | None) -> DataFrame:
     """Collapse repeated keys in one batch: the highest ``seq`` wins (then
     the greatest full row). Without ``seq`` the greatest full row wins."""
-    order = [seq] if seq else []
-    out = keep_max(updates, keys, order, keep_null_keys=False)
-    return out.drop(seq) if seq else out
+    return keep_max(updates, keys, [seq] if seq else [], keep_null_keys=False)
 
 
-# Largest update batch (rows) that is broadcast to the base scan. The check
-# is a bounded count on the small side; above it the joins shuffle both sides.
-BROADCAST_MAX_ROWS = 1_000_000
+def settled(df: DataFrame, name: str = "batch") -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows (checked with
-    ``limit(max_rows + 1).count()``, so the check never scans more than
-    that), else ``df`` unchanged for a shuffle join."""
-    if not max_rows:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def settled_batch(base: DataFrame, updates: DataFrame, keys: Sequence[str], seq: str | None = None) -> DataFrame:
+    """The batch's latest row per key, with the base's columns, settled."""
+    return settled(last_wins(updates, keys, seq).select(*base.columns), "upsert-batch")
 
 
-def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str], seq: str | None = None,
-           broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str], seq: str | None = None) -> DataFrame:
     """New snapshot = base rows whose key is not updated + latest updates.
 
-    The base (large, e.g. a whole mart) is only scanned: the anti-join
-    against the update keys broadcasts them when the batch is within the
-    checked bound, so the base is never shuffled for a daily batch.
-    """
+    If ``seq`` is a column of the base, it decides between the base's row and
+    the batch's row too: an older row that arrives late does not replace a
+    newer one. Otherwise a batch replaces what it touches."""
+    return upsert_settled(base, settled_batch(base, updates, keys, seq), keys, seq)
+
+
+def upsert_settled(base: DataFrame, batch: DataFrame, keys: Sequence[str], seq: str | None = None) -> DataFrame:
+    """``upsert`` with a batch from ``settled_batch``."""
     keys = list(keys)
-    upd = last_wins(updates, keys, seq).select(*base.columns)
-    upd_keys = broadcast_if_small(upd.select(*keys), broadcast_max_rows)
-    return base.join(upd_keys, keys, "left_anti").unionByName(upd)
+    touched = batch.select(*keys)
+    winners = batch
+    if seq is not None and seq in base.columns:
+        winners = keep_max(batch.unionByName(base.join(touched, keys, "left_semi")), keys, [seq], keep_null_keys=False)
+    return base.join(touched, keys, "left_anti").unionByName(winners)
 
 
-def upsert_stats(base: DataFrame, updates: DataFrame, keys: Sequence[str], seq: str | None = None,
-                 broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+def upsert_stats(base: DataFrame, updates: DataFrame, keys: Sequence[str], seq: str | None = None) -> DataFrame:
     """One row of counts. ``affected`` = inserted + matched; ``modified``
-    = matched rows whose values really changed (NULL-safe compare).
+    = matched rows whose values really changed (NULL-safe compare)."""
+    return stats_settled(base, settled_batch(base, updates, keys, seq), keys)
+
 
-    matched/modified come from an inner join in which the (checked, small)
-    update batch is broadcast; the other counts are plain counts, combined
-    by one global partial aggregate (no full outer join over the base).
-    """
+def stats_settled(base: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``upsert_stats`` with a batch from ``settled_batch``: the base is
+    scanned once and left-joined to the batch; counts are combined by one
+    global partial aggregate."""
     keys = list(keys)
-    upd = last_wins(updates, keys, seq).select(*base.columns)
     vals = [c for c in base.columns if c not in keys]
-    u = broadcast_if_small(upd.select(*keys, F.struct(*vals).alias("_u")), broadcast_max_rows)
-    b = base.select(*keys, F.struct(*vals).alias("_b"))
-    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    matched = b.join(u, keys, "inner").select(
-        one.alias("m"), F.when(F.col("_b").eqNullSafe(F.col("_u")), zero).otherwise(one).alias("d"),
-        zero.alias("nu"), zero.alias("nb"))
-    n_upd = upd.select(zero.alias("m"), zero.alias("d"), one.alias("nu"), zero.alias("nb"))
-    n_base = base.select(zero.alias("m"), zero.alias("d"), zero.alias("nu"), one.alias("nb"))
-    t = matched.unionByName(n_upd).unionByName(n_base).agg(
-        F.sum("m").alias("m"), F.sum("d").alias("d"), F.sum("nu").alias("nu"), F.sum("nb").alias("nb"))
-    return t.selectExpr("coalesce(nu - m, 0) AS inserted", "coalesce(m, 0) AS matched",
-                        "coalesce(d, 0) AS modified", "coalesce(nb - m, 0) AS untouched",
-                        "coalesce(nu, 0) AS affected")
-
-
-def insert_conflicts(base: DataFrame, batch: DataFrame, keys: Sequence[str],
-                     broadcast_max_rows: int | None = BROADCAST_MAX_ROWS) -> DataFrame:
+    new = batch.select(*keys, F.lit(True).alias("_hit"), F.struct(*vals).alias("_new"))
+    zero = F.lit(0).cast("bigint")
+    of_base = base.select(*keys, F.struct(*vals).alias("_old")).join(new, keys, "left").agg(
+        F.count("_hit").alias("m"), F.count_if(F.col("_hit") & ~F.col("_old").eqNullSafe(F.col("_new"))).alias("d"),
+        F.count(F.lit(1)).alias("nb"), zero.alias("nu"))
+    of_batch = batch.agg(zero.alias("m"), zero.alias("d"), zero.alias("nb"), F.count(F.lit(1)).alias("nu"))
+    total = of_base.unionByName(of_batch).agg(*[F.sum(c).alias(c) for c in ("m", "d", "nb", "nu")])
+    return total.selectExpr("nu - m AS inserted", "m AS matched", "d AS modified", "nb - m AS untouched",
+                            "nu AS affected")
+
+
+def insert_conflicts(base: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys an insert-only load would reject: already in ``base``
     ('exists') or repeated inside the batch ('duplicate_in_batch').
 
-    The base is streamed against the (checked, small) batch keys."""
+    The base is scanned once, against the batch's settled keys."""
     keys = list(keys)
-    counts = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-    batch_keys = broadcast_if_small(counts.select(*keys), broadcast_max_rows)
-    exists = (base.select(*keys).join(batch_keys, keys, "left_semi").distinct()
+    counts = settled(batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")), "insert-keys")
+    exists = (base.select(*keys).join(counts.select(*keys), keys, "left_semi").distinct()
               .select(*keys, F.lit("exists").alias("reason")))
     dup = counts.where(F.col("copies") > 1).select(*keys, F.lit("duplicate_in_batch").alias("reason"))
     return exists.unionByName(dup)

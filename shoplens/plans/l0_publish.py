@@ -29,3 +29,25 @@ def run(spark: SparkSession, collections: dict[str, DataFrame], hasher: PiiHashe
         publish(msgs, fmt=fmt, options=options, path=None if path is None else f"{path}/{name}")
         done[name] = L0_TOPICS[name]
     return done
+
+
+def main(env: dict[str, str] | None = None) -> dict[str, str]:
+    """``python -m shoplens.plans.l0_publish`` with SOURCE_ROOT (loaded
+    collections), PII_SALT, PII_ALGO, SINK_FORMAT and KAFKA_BOOTSTRAP or
+    SINK_PATH. Documents are published with all their fields."""
+    from shoplens.config import PublishConfig
+    from shoplens.plans.loader import read_collection
+    from shoplens.session import get_session
+
+    cfg = PublishConfig.from_env(env)
+    spark = get_session("l0_publish")
+    found = {name: read_collection(spark, cfg.source_root, name) for name in L0_TOPICS}
+    options = {"kafka.bootstrap.servers": cfg.bootstrap} if cfg.bootstrap else None
+    done = run(spark, {k: v for k, v in found.items() if v is not None}, PiiHasher.from_text(cfg.salt, cfg.algorithm),
+               cfg.sink_format, options, cfg.path)
+    print(done)
+    return done
+
+
+if __name__ == "__main__":
+    main()

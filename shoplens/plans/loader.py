@@ -2,9 +2,11 @@
 
 The whole input is checked (syntax, ids, key collisions in insert mode)
 before anything is written, so a bad line or a collision leaves the
-target untouched. Upsert replaces whole documents by key; statistics
-follow the document store's meaning (affected = inserted + matched,
-modified = really changed).
+target untouched. Upsert replaces whole documents by key, with every field
+they have; statistics follow the document store's meaning (affected =
+inserted + matched, modified = really changed). With ``drop`` the batch is
+checked and loaded against an empty collection and published as one version:
+the old one stays live until then.
 """
 
 from __future__ import annotations
@@ -12,53 +14,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoplens.config import LoaderConfig
 from shoplens.operators import upsert
-from shoplens.schemas import COLLECTION_FILES, COLLECTION_KEYS, DOCUMENT_SCHEMAS
+from shoplens.schemas import COLLECTION_FILES, COLLECTION_KEYS
 from shoplens.sinks import snapshot
-from shoplens.sources.ndjson import read_collections, validate_ndjson
+from shoplens.sources.ndjson import DOCUMENT, read_collections, typed_collection, validate_ndjson
 
 MODES = ("upsert", "insert")
 
 
-def _base(spark: SparkSession, root: str, batch: DataFrame) -> DataFrame:
-    base = snapshot.read_current(spark, root)
-    return spark.createDataFrame([], batch.schema) if base is None else base
+def _base(spark: SparkSession, root: str, key: str, drop: bool) -> DataFrame:
+    base = None if drop else snapshot.read_current(spark, root)
+    return spark.createDataFrame([], f"`{key}` STRING, {DOCUMENT} STRING") if base is None else base
 
 
 def check_collection(spark: SparkSession, name: str, batch: DataFrame, target_root: str,
-                     mode: str = "upsert") -> None:
+                     mode: str = "upsert", drop: bool = False) -> None:
     """Ids present and, for insert mode, no key collision."""
     if mode not in MODES:
         raise ValueError(f"Unknown mode: {mode}")
     key = COLLECTION_KEYS[name]
     upsert.assert_ids_present(batch, key, name)
     if mode == "insert":
-        upsert.assert_insertable(_base(spark, f"{target_root.rstrip('/')}/{name}", batch), batch, [key])
+        upsert.assert_insertable(_base(spark, f"{target_root.rstrip('/')}/{name}", key, drop), batch, [key])
 
 
 def load_collection(spark: SparkSession, name: str, batch: DataFrame, target_root: str,
-                    mode: str = "upsert", checked: bool = False) -> dict:
+                    mode: str = "upsert", drop: bool = False, checked: bool = False) -> dict:
     if not checked:
-        check_collection(spark, name, batch, target_root, mode)
+        check_collection(spark, name, batch, target_root, mode, drop)
     key = COLLECTION_KEYS[name]
     root = f"{target_root.rstrip('/')}/{name}"
-    base = _base(spark, root, batch)
+    base = _base(spark, root, key, drop)
     if mode == "insert":
-        new = base.unionByName(batch)
-        n = batch.count()
-        stats = {"affected": n, "modified": 0}
+        rows = upsert.settled(batch.select(key, DOCUMENT), "insert-batch")
+        new, stats = base.unionByName(rows), {"affected": rows.count(), "modified": 0}
     else:
         # Later lines win over earlier ones for the same key.
-        seq = batch.withColumn("_seq", F.struct(F.col("_metadata.file_name"),
-                                                F.col("_metadata.file_block_start"),
-                                                F.monotonically_increasing_id()))
-        s = upsert.upsert_stats(base, seq, [key], seq="_seq").first()
-        new = upsert.upsert(base, seq, [key], seq="_seq")
-        stats = {"affected": s["affected"], "modified": s["modified"]}
+        rows = upsert.settled_batch(base, batch.withColumn("_seq", F.struct("file", "line")).drop("file", "line"),
+                                    [key], "_seq")
+        s = upsert.stats_settled(base, rows, [key]).first()
+        new, stats = upsert.upsert_settled(base, rows, [key]), {"affected": s["affected"], "modified": s["modified"]}
     snapshot.publish_snapshot(spark, new, root)
     return stats
 
 
+def read_collection(spark: SparkSession, target_root: str, name: str) -> DataFrame | None:
+    """A loaded collection with its declared and all other fields."""
+    rows = snapshot.read_current(spark, f"{target_root.rstrip('/')}/{name}")
+    return None if rows is None else typed_collection(rows, name)
+
+
 def run(spark: SparkSession, input_dir: str, target_root: str, mode: str = "upsert",
         drop: bool = False) -> dict[str, dict]:
     """Load all four collections; ``drop`` reloads from empty.
@@ -68,12 +74,23 @@ def run(spark: SparkSession, input_dir: str, target_root: str, mode: str = "upse
     leaves all collections untouched."""
     batches = read_collections(spark, input_dir, COLLECTION_FILES)
     for name, batch in batches.items():
-        validate_ndjson(spark, f"{input_dir.rstrip('/')}/{COLLECTION_FILES[name]}", DOCUMENT_SCHEMAS[name])
-        check_collection(spark, name, batch, target_root, "upsert" if drop else mode)
-    results = {}
-    for name, batch in batches.items():
-        if drop:
-            snapshot.publish_snapshot(spark, spark.createDataFrame([], batch.schema),
-                                      f"{target_root.rstrip('/')}/{name}")
-        results[name] = load_collection(spark, name, batch, target_root, mode, checked=not drop)
-    return results
+        validate_ndjson(spark, f"{input_dir.rstrip('/')}/{COLLECTION_FILES[name]}")
+        check_collection(spark, name, batch, target_root, mode, drop)
+    return {name: load_collection(spark, name, batch, target_root, mode, drop, checked=True)
+            for name, batch in batches.items()}
+
+
+def main(env: dict[str, str] | None = None) -> dict[str, dict]:
+    """``python -m shoplens.plans.loader`` with INPUT_DIR, TARGET_ROOT,
+    LOAD_MODE (upsert, insert) and DROP_BEFORE_LOAD (1)."""
+    from shoplens.session import get_session
+
+    cfg = LoaderConfig.from_env(env)
+    result = run(get_session("collection_loader"), cfg.input_dir, cfg.target_root, cfg.mode, cfg.drop)
+    for name, stats in result.items():
+        print(f"{name}: {stats}")
+    return result
+
+
+if __name__ == "__main__":
+    main()

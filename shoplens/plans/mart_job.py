@@ -1,35 +1,41 @@
-"""RAW -> MART stage: purchase documents (batch) or L0 messages (stream)
--> flatten -> checks -> case -> dedup -> month-partitioned mart + rejects.
-
-Batch keeps the latest copy per key. The stream keeps the first copy per
-key within the watermark (``dropDuplicatesWithinWatermark``), then the
-micro-batch is upserted into the mart snapshot, so a later re-send with a
-newer time still replaces the row.
-"""
+"""RAW -> MART stage for purchases and customers: documents (batch) or L0
+messages (stream) -> flatten -> checks -> case -> latest per key -> mart +
+rejects. Batch and stream give the same mart."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from shoplens.operators import cleaning
-from shoplens.schemas import L0_TOPICS, PURCHASES_DDL, schema
+from shoplens.schemas import DOCUMENT_SCHEMAS, L0_TOPICS, schema
 from shoplens.sinks.export import write_purchases_mart
 from shoplens.streaming import mart_stream as S
 
+RULES = {"purchases": cleaning.PURCHASE_RULES, "customers": cleaning.CUSTOMER_RULES}
+
 
-def run_batch(raw_docs: DataFrame, as_of, mart_path: str, rejects_path: str) -> None:
-    mart, rejects = cleaning.clean(cleaning.flatten_purchases(raw_docs), as_of)
-    write_purchases_mart(mart, mart_path)
+def run_batch(raw_docs: DataFrame, as_of, mart_path: str, rejects_path: str, collection: str = "purchases") -> None:
+    rules = RULES[collection]
+    mart, rejects = cleaning.clean(cleaning.flatten(raw_docs, rules), as_of, rules)
+    if collection == "purchases":
+        write_purchases_mart(mart, mart_path)
+    else:
+        mart.write.mode("overwrite").parquet(mart_path)
     rejects.write.mode("overwrite").parquet(rejects_path)
 
 
-def run_stream(spark: SparkSession, l0_path: str | None, as_of, mart_root: str, checkpoint: str,
-               delay: str = S.DEFAULT_WATERMARK, docs: DataFrame | None = None) -> None:
-    """One ``availableNow`` run over new L0 messages; restartable from
-    ``checkpoint`` (on shared storage). ``docs`` takes any streaming
-    DataFrame of purchase documents instead of message files, e.g.
-    ``kafka_source(spark, servers, "retail.purchases.l0", schema(PURCHASES_DDL))``."""
-    if docs is None:
-        docs = S.l0_message_stream(spark, l0_path, schema(PURCHASES_DDL), topic=L0_TOPICS["purchases"])
-    rows = S.dedup_stream(S.clean_stream(cleaning.flatten_purchases(docs), as_of), delay=delay)
-    S.run_foreach_batch(rows, S.upsert_batches(spark, mart_root), checkpoint)
+def run_stream(spark: SparkSession, messages: DataFrame | str, as_of, root: str, collection: str = "purchases",
+               documents: bool = False) -> None:
+    """One ``availableNow`` run over new messages; restartable from
+    ``{root}/checkpoint`` (on shared storage). ``messages``: a folder of L0
+    message files or a stream of (topic, value), e.g. ``S.kafka_messages``;
+    with ``documents`` a stream of typed documents. Writes ``{root}/mart`` (a
+    snapshot table), ``rejects``, ``malformed``, ``counts`` and ``alerts``."""
+    if isinstance(messages, str):
+        messages = S.file_messages(spark, messages, topic=L0_TOPICS[collection])
+    fn = S.mart_batches(
+        spark, as_of, RULES[collection], f"{root}/mart", f"{root}/rejects",
+        value_schema=None if documents else schema(DOCUMENT_SCHEMAS[collection]),
+        malformed_path=None if documents else f"{root}/malformed",
+        counts_path=f"{root}/counts", alerts_path=f"{root}/alerts")
+    S.run_foreach_batch(messages, fn, f"{root}/checkpoint")

@@ -12,15 +12,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shop_fixtures import documents, streams
+from shop_fixtures import views as fixtures
 from shoplens.functions import time as T
 from shoplens.functions.pii import PiiHasher, normalize_email, normalize_phone
 from shoplens.operators import baskets, cleaning, features, monitor, pii, upsert
 from shoplens.operators.dedup import keep_max
-from shoplens.plans import feature_job
 from shoplens.plans.oracle import FEATURE_KEYS
+from shoplens.session import scratch_path
+from shoplens.sinks import snapshot
 from shoplens.sinks.export import to_messages
-from shoplens.sources import documents, fixtures
 from shoplens.sources.tables import read_table
+from shoplens.streaming import mart_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,14 +36,20 @@ def register(name: str):
     return deco
 
 
+def fixture_matrix(spark, root, ranked=False):
+    """The matrix over the fixture marts derived from the driver's tables."""
+    return features.customer_feature_matrix(fixtures.r_customers(spark, root), fixtures.r_purchases(spark, root),
+                                            as_of=fixtures.FIXTURE_AS_OF, ranked=ranked)
+
+
 @register("customer_feature_matrix")
 def q_customer_feature_matrix(spark, root):
-    return feature_job.fixture_matrix(spark, root)
+    return fixture_matrix(spark, root)
 
 
 def _flag_query(flag: str) -> Query:
     def q(spark, root):
-        return feature_job.fixture_matrix(spark, root).select("customer_id", flag)
+        return fixture_matrix(spark, root).select("customer_id", flag)
     return q
 
 
@@ -126,6 +135,8 @@ BASE_AGG_COLUMNS = ["customer_id", "purchases_cnt", "last_purchase_ts", "cnt_14d
 
 def _agg_query(cols):
     def q(spark, root):
+        if all(c in features.MEASURES for c in cols):
+            return features.customer_totals(_enriched(spark, root), *cols)
         return _aggs(spark, root).select("customer_id", *cols)
     return q
 
@@ -157,23 +168,20 @@ def q_top_store_share(spark, root):
 
 @register("join_features")
 def q_join_features(spark, root):
-    e = _enriched(spark, root)
-    j = (_customers(spark, root).join(features.customer_base_agg(e), "customer_id", "left")
-         .join(features.top_store_share(e), "customer_id", "left"))
+    j = features.join_customers(_customers(spark, root), _aggs(spark, root))
     return j.select("customer_id", "registration_dt", "is_loyalty_member", "purchases_cnt",
                     "sum_30d", "top_store_share_30d")
 
 
 @register("null_fill")
 def q_null_fill(spark, root):
-    e = _enriched(spark, root)
-    return features.join_features(_customers(spark, root), features.customer_base_agg(e),
-                                  features.top_store_share(e))
+    joined = features.join_customers(_customers(spark, root), _aggs(spark, root))
+    return features.fill_defaults(joined).drop("cnt_30d")
 
 
 @register("customer_feature_matrix_window")
 def q_matrix_window(spark, root):
-    return feature_job.fixture_matrix(spark, root, shape="window")
+    return fixture_matrix(spark, root, ranked=True)
 
 
 # --------------------------------------------------------------- P1-P7, K2
@@ -209,7 +217,7 @@ QUERIES["pii_md5"] = _pii_hash_query("md5")
 @register("pii_nested")
 def q_pii_nested(spark, root):
     docs = pii.protect(documents.purchase_documents(spark, root), "purchases", _hasher())
-    return docs.select("purchase_id", "doc_part", F.col("customer.customer_id").alias("customer_id"),
+    return docs.select("purchase_id", F.col("customer.customer_id").alias("customer_id"),
                        F.col("customer.email").alias("email_hash"),
                        F.col("customer.phone").alias("phone_hash"))
 
@@ -275,7 +283,23 @@ def q_customers_mart(spark, root):
 
 @register("purchases_mart")
 def q_purchases_mart(spark, root):
-    return cleaning.purchases_mart(documents.purchase_documents(spark, root, include_items=False))
+    return cleaning.purchases_mart(documents.purchase_documents(spark, root))
+
+
+@register("customers_mart_clean")
+def q_customers_mart_clean(spark, root):
+    return cleaning.clean(fixtures.raw_customers(spark, root), AS_OF, cleaning.CUSTOMER_RULES)[0]
+
+
+@register("customers_rejects")
+def q_customers_rejects(spark, root):
+    return cleaning.clean(fixtures.raw_customers(spark, root), AS_OF, cleaning.CUSTOMER_RULES)[1]
+
+
+@register("customers_normalize_case")
+def q_customers_normalize_case(spark, root):
+    return cleaning.normalize_case(fixtures.raw_customers(spark, root), cleaning.CUSTOMER_RULES).select(
+        "customer_id", "gender", "preferred_language")
 
 
 @register("mart_clean")
@@ -345,20 +369,14 @@ def q_kpi_counts(spark, root):
 
 
 def duplicate_ratios(spark, root):
-    ev = read_table(spark, root, "events").select("event_id")
-    inputs = [
-        (read_table(spark, root, "lineitem"), ["l_orderkey", "l_linenumber"], "lineitem"),
-        (read_table(spark, root, "orders"), ["o_orderkey"], "orders"),
-        (read_table(spark, root, "customer"), ["c_custkey"], "customer"),
-        (ev, ["event_id"], "events"),
-        (ev.unionByName(ev), ["event_id"], "events_x2"),
-        (ev.unionByName(ev).unionByName(ev), ["event_id"], "events_x3"),
-        (_raw(spark, root), ["purchase_id"], "raw_purchases"),
-    ]
-    out = None
-    for df, keys, name in inputs:
-        r = monitor.duplicate_ratio(df.select(*keys), keys, name)
-        out = r if out is None else out.unionByName(r)
+    one = [(read_table(spark, root, "lineitem"), ["l_orderkey", "l_linenumber"], "lineitem"),
+           (read_table(spark, root, "orders"), ["o_orderkey"], "orders"),
+           (read_table(spark, root, "customer"), ["c_custkey"], "customer"),
+           (_raw(spark, root), ["purchase_id"], "raw_purchases")]
+    out = monitor.republished_ratio(read_table(spark, root, "events"), ["event_id"],
+                                    {"events": 1, "events_x2": 2, "events_x3": 3})
+    for df, keys, name in one:
+        out = out.unionByName(monitor.duplicate_ratio(df, keys, name))
     return out
 
 
@@ -372,36 +390,43 @@ def q_duplicate_alert(spark, root):
     return monitor.duplicate_alert(duplicate_ratios(spark, root)).select("table_name", "dup_ratio")
 
 
-# --------------------------------------------------------------- ST1-ST2
+# --------------------------------------------------------------- ST1-ST3
 def _stream_out(spark, name, stream):
-    from shoplens.session import scratch_path
-    from shoplens.streaming.mart_stream import run_to_table
-
     base = scratch_path(spark, name)
-    run_to_table(stream, f"{base}/out", f"{base}/checkpoint")
+    mart_stream.run_to_table(stream, f"{base}/out", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/out")
 
 
 @register("stream_mart_clean")
 def q_stream_mart_clean(spark, root):
-    from shoplens.streaming import mart_stream as S
-
     return _stream_out(spark, "stream_mart_clean",
-                       S.clean_stream(S.raw_purchase_stream(spark, root), AS_OF))
+                       mart_stream.clean_stream(streams.raw_purchase_stream(spark, root), AS_OF))
 
 
 @register("stream_dedup")
 def q_stream_dedup(spark, root):
-    from shoplens.streaming import mart_stream as S
+    return _stream_out(spark, "stream_dedup", mart_stream.dedup_stream(streams.republished_stream(spark, root)))
+
 
-    rows = S.dedup_stream(S.clean_stream(S.raw_purchase_stream(spark, root), AS_OF))
-    return _stream_out(spark, "stream_dedup", rows).select("purchase_id")
+@register("stream_mart_upsert")
+def q_stream_mart_upsert(spark, root):
+    base = scratch_path(spark, "stream_mart_upsert")
+    streams.run_arrivals(spark, root, base, AS_OF)
+    return snapshot.read_current(spark, f"{base}/out/mart")
+
+
+@register("stream_mart_rejects")
+def q_stream_mart_rejects(spark, root):
+    base = scratch_path(spark, "stream_mart_rejects")
+    streams.run_arrivals(spark, root, base, AS_OF)
+    return spark.read.parquet(f"{base}/out/rejects").drop("batch_id")
 
 
 # --------------------------------------------------------------- G1-G9
 @register("purchase_documents")
 def q_purchase_documents(spark, root):
-    return documents.purchase_documents(spark, root)
+    docs = documents.purchase_documents(spark, root)
+    return docs.select(F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"}).alias("document"))
 
 
 @register("basket_items")
@@ -417,6 +442,11 @@ def q_basket_reconcile(spark, root):
                         "matches")
 
 
+@register("basket_reconcile_documents")
+def q_basket_reconcile_documents(spark, root):
+    return baskets.reconcile(documents.purchase_documents(spark, root))
+
+
 @register("customer_home_store")
 def q_customer_home_store(spark, root):
     hs = baskets.home_store(documents.customer_documents(spark, root), documents.store_documents(spark, root))
@@ -431,8 +461,11 @@ def q_sample_per_category(spark, root):
 
 @register("maker_domain")
 def q_maker_domain(spark, root):
-    s = read_table(spark, root, "supplier").select("s_suppkey", "s_name")
-    return baskets.maker_domains(s, "s_name")
+    makers = read_table(spark, root, "supplier").selectExpr(
+        "s_suppkey", "s_name",
+        "CASE s_suppkey % 4 WHEN 0 THEN concat('ООО «', s_name, '»') WHEN 1 THEN concat('АО ', repeat(s_name, 3)) "
+        "WHEN 2 THEN ' «»ИП' ELSE s_name END AS maker")
+    return baskets.maker_domains(makers, "maker")
 
 
 @register("iso_z_roundtrip")

@@ -78,33 +78,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder (never reused)."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        p = path[len("file:"):] if path.startswith("file:") else path
-        os.makedirs(os.path.dirname(p.rstrip("/")) or ".", exist_ok=True)
-
-
-def shuffle_partitions_for(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2,
-                           min_partitions: int = 8, max_partitions: int = 100_000) -> int:
-    """A starting ``spark.sql.shuffle.partitions`` for a job reading
-    ``input_bytes``: about ``target_partition_bytes`` of shuffle input per
-    task (sized to fit executor memory without heavy spill). AQE then
-    coalesces small partitions and splits skewed ones at run time."""
-    n = -(-int(input_bytes) // int(target_partition_bytes))
-    return max(min_partitions, min(max_partitions, n))
-
-
-def cluster_conf(input_bytes: int) -> dict[str, str]:
-    """Settings for a large run (e.g. 100 TB over ~1000 executors)."""
-    return {
-        "spark.sql.shuffle.partitions": str(shuffle_partitions_for(input_bytes)),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 ** 2),
-        "spark.sql.files.maxPartitionBytes": str(512 * 1024 ** 2),
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-    }

@@ -8,7 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.operators.upsert import settled
 from shoplens.schemas import L0_TOPICS
+from shoplens.session import scratch_path
 
 
 def write_ndjson(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -18,15 +20,29 @@ def write_ndjson(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 def export_csv(df: DataFrame, root: str, year: int, month: int, single_file: bool = False,
                mode: str = "overwrite") -> str:
-    """K7: ``{root}/analytic_result_{yyyy}_{MM}`` with a header row.
+    """K7: ``{root}/analytic_result_{yyyy}_{MM}``, a folder of CSV parts with
+    header rows, written by all executors.
 
-    ``single_file`` coalesces the (already aggregated) result into one part
-    file; leave it off for large outputs so every executor writes.
-    """
+    ``single_file`` makes one file ``analytic_result_{yyyy}_{MM}.csv``: the
+    result is computed in parallel and settled first, so the one task that
+    writes the file only copies rows."""
+    spark = df.sparkSession
     path = f"{root.rstrip('/')}/analytic_result_{year:04d}_{month:02d}"
-    out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", True).csv(path)
-    return path
+    if not single_file:
+        df.write.mode(mode).option("header", True).csv(path)
+        return path
+    parts = scratch_path(spark, "csv")
+    settled(df, "csv-result").coalesce(1).write.option("header", True).csv(parts)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    source, target = hadoop.Path(parts), hadoop.Path(f"{path}.csv")
+    conf = spark._jsc.hadoopConfiguration()
+    from_fs, to_fs = source.getFileSystem(conf), target.getFileSystem(conf)
+    if to_fs.exists(target) and mode != "overwrite":
+        raise FileExistsError(f"{path}.csv")
+    part = next(f.getPath() for f in from_fs.listStatus(source) if f.getPath().getName().startswith("part-"))
+    to_fs.mkdirs(target.getParent())
+    hadoop.FileUtil.copy(from_fs, part, to_fs, target, True, True, conf)
+    return f"{path}.csv"
 
 
 def to_messages(df: DataFrame, collection: str, topics: dict[str, str] = L0_TOPICS) -> DataFrame:
@@ -53,9 +69,13 @@ def publish(messages: DataFrame, fmt: str = "kafka", options: dict[str, str] | N
 def write_purchases_mart(mart: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Purchases mart partitioned by month of ``purchase_datetime``: a
     time-range query prunes whole months, and the timestamp range inside
-    a month is pushed into the parquet reader."""
-    (mart.withColumn("purchase_month", F.date_format("purchase_datetime", "yyyy-MM"))
-     .repartition("purchase_month").sortWithinPartitions("customer_id")
+    a month is pushed into the parquet reader.
+
+    Rows are rebalanced by month: small months share a task, and a month over
+    the advisory partition size is split among several, each writing a file."""
+    month = F.date_format("purchase_datetime", "yyyy-MM")
+    (mart.withColumn("purchase_month", month).hint("rebalance", F.col("purchase_month"))
+     .sortWithinPartitions("purchase_month", "customer_id")
      .write.mode(mode).partitionBy("purchase_month").parquet(path))
 
 

@@ -15,10 +15,9 @@ from shoplens.schemas import MATRIX_COLUMNS, MATRIX_DDL, schema
 
 
 def target_path(spark: SparkSession, cfg: JobConfig) -> str:
-    from shoplens.session import shared_dir
-
-    root = cfg.target_root or f"{shared_dir(spark)}/warehouse"
-    return f"{root.rstrip('/')}/{cfg.tgt_db}/{cfg.tgt_table}"
+    if not cfg.target_root:
+        raise ValueError("TARGET_ROOT is required: the folder of the target database")
+    return f"{cfg.target_root.rstrip('/')}/{cfg.tgt_db}/{cfg.tgt_table}"
 
 
 def check_schema(df: DataFrame) -> None:
@@ -46,7 +45,7 @@ def write_matrix(spark: SparkSession, matrix: DataFrame, cfg: JobConfig, path: s
 def ensure_target_table(spark: SparkSession, cfg: JobConfig, path: str | None = None) -> str:
     """K3: register the target in the catalog if absent (fixed schema)."""
     path = path or target_path(spark, cfg)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {cfg.tgt_db}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {cfg.tgt_db} LOCATION '{path.rpartition('/')[0]}'")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {cfg.target} ({MATRIX_DDL}, etl_loaded_at TIMESTAMP) "
               f"USING parquet LOCATION '{path}'")
     return cfg.target

@@ -1,43 +1,78 @@
-"""Snapshot tables with a pointer file (upsert/reload without overwriting
-the data being read).
+"""Snapshot tables with versioned pointer files.
 
-Layout: ``{root}/snapshots/{id}/`` holds data, ``{root}/_CURRENT`` names the
-live snapshot. A new snapshot is written completely, then the pointer is
-replaced; readers see the old or the new version, never a partial one.
-Works on any Hadoop-compatible file system through the JVM FileSystem API.
+Layout: ``{root}/snapshots/{id}/`` holds data; ``{root}/_CURRENT.{n}`` names a
+snapshot, and the highest n is live. Publishing writes the data completely,
+then the next pointer under a temporary name, then renames it: no step removes
+or replaces the live pointer, so a reader or a restart between any two steps
+finds the old or the new version. The first publish starts with pointer 0, the
+empty table; snapshots without any pointer are therefore damage and an error,
+never an empty table. After the switch, pointers older than the previous one
+and snapshots that no kept pointer names are removed.
+
+One writer per table; a second writer loses the rename and fails. Works on any
+Hadoop-compatible file system through the JVM FileSystem API.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+POINTER = re.compile(r"_CURRENT\.(\d+)$")
+KEPT = 2  # the live version and the one before, which a running reader may hold
+
+
+class SnapshotError(RuntimeError):
+    """A table's pointers are missing or a publish lost against another."""
+
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def current(spark: SparkSession, root: str) -> str | None:
-    info = current_info(spark, root)
-    return None if info is None else info[0]
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
-def current_info(spark: SparkSession, root: str) -> tuple[str, str | None] | None:
-    """(snapshot id, tag) of the live snapshot, or None."""
-    fs, p = _fs(spark, f"{root.rstrip('/')}/_CURRENT")
-    if not fs.exists(p):
-        return None
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
     stream = fs.open(p)
     try:
         reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine() or ""
+        return reader.readLine() or ""
     finally:
         stream.close()
-    snap, _, tag = line.partition("\t")
-    return snap, (tag or None)
+
+
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the pointers, ascending."""
+    found = sorted(int(m[1]) for m in map(POINTER.match, _names(spark, root)) if m)
+    if not found and _names(spark, f"{root.rstrip('/')}/snapshots"):
+        raise SnapshotError(f"{root} holds snapshots but no pointer to one")
+    return found
+
+
+def _pointer(spark: SparkSession, root: str, n: int) -> tuple[str | None, str | None]:
+    snap, _, tag = _read_text(spark, f"{root.rstrip('/')}/_CURRENT.{n}").partition("\t")
+    return snap or None, tag or None
+
+
+def current_info(spark: SparkSession, root: str) -> tuple[str, str | None] | None:
+    """(snapshot id, tag) of the live snapshot, or None."""
+    have = versions(spark, root)
+    if not have:
+        return None
+    snap, tag = _pointer(spark, root, have[-1])
+    return None if snap is None else (snap, tag)
+
+
+def current(spark: SparkSession, root: str) -> str | None:
+    info = current_info(spark, root)
+    return None if info is None else info[0]
 
 
 def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame | None:
@@ -45,20 +80,39 @@ def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFr
     return None if snap is None else spark.read.format(fmt).load(f"{root.rstrip('/')}/snapshots/{snap}")
 
 
-def publish_snapshot(spark: SparkSession, df: DataFrame, root: str, fmt: str = "parquet",
-                     tag: str | None = None) -> str:
-    """Write ``df`` as a new snapshot and switch the pointer to it."""
-    snap = uuid.uuid4().hex
-    df.write.format(fmt).mode("errorifexists").save(f"{root.rstrip('/')}/snapshots/{snap}")
-    fs, tmp = _fs(spark, f"{root.rstrip('/')}/_CURRENT.{snap}")
+def _point(spark: SparkSession, root: str, n: int, text: str) -> None:
+    fs, tmp = _fs(spark, f"{root.rstrip('/')}/_tmp.{uuid.uuid4().hex}")
     out = fs.create(tmp, True)
     try:
-        text = snap if tag is None else f"{snap}\t{tag}"
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    _, final = _fs(spark, f"{root.rstrip('/')}/_CURRENT")
-    if fs.exists(final):
-        fs.delete(final, False)
-    fs.rename(tmp, final)
+    _, final = _fs(spark, f"{root.rstrip('/')}/_CURRENT.{n}")
+    if fs.exists(final) or not fs.rename(tmp, final):
+        raise SnapshotError(f"another writer published version {n} of {root}")
+
+
+def _remove_superseded(spark: SparkSession, root: str) -> None:
+    have = versions(spark, root)
+    kept = {_pointer(spark, root, n)[0] for n in have[-KEPT:]}
+    for n in have[:-KEPT]:
+        fs, p = _fs(spark, f"{root.rstrip('/')}/_CURRENT.{n}")
+        fs.delete(p, False)
+    for name in _names(spark, f"{root.rstrip('/')}/snapshots"):
+        if name not in kept:
+            fs, p = _fs(spark, f"{root.rstrip('/')}/snapshots/{name}")
+            fs.delete(p, True)
+
+
+def publish_snapshot(spark: SparkSession, df: DataFrame, root: str, fmt: str = "parquet",
+                     tag: str | None = None) -> str:
+    """Write ``df`` as a new snapshot and make it live."""
+    have = versions(spark, root)
+    if not have:
+        _point(spark, root, 0, "")
+        have = [0]
+    snap = uuid.uuid4().hex
+    df.write.format(fmt).mode("errorifexists").save(f"{root.rstrip('/')}/snapshots/{snap}")
+    _point(spark, root, have[-1] + 1, snap if tag is None else f"{snap}\t{tag}")
+    _remove_superseded(spark, root)
     return snap

@@ -50,16 +50,9 @@ def with_utc_timestamps(df: DataFrame, ddl: str | None = None) -> DataFrame:
 
 
 def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
-               options: dict[str, str] | None = None, spread: bool = True,
+               options: dict[str, str] | None = None,
                schema: str | None = None) -> DataFrame:
-    """Scan one table; ``fmt`` is any Spark source name (parquet, json, orc, ...).
-
-    ``spread`` (only when ``spark.shoplens.spreadSmallScans=true``): a source
-    with fewer input splits than the default parallelism (one small file
-    with a single row group) is round-robin spread over the cores before
-    per-row work. Off by default: measured locally, the extra shuffle costs
-    about what it saves, and large multi-file tables never need it.
-    """
+    """Scan one table; ``fmt`` is any Spark source name (parquet, json, orc, ...)."""
     reader = spark.read.format(fmt)
     ddl = schema or (KNOWN_SCHEMAS.get(name) if fmt == "parquet" else None)
     if ddl:
@@ -67,20 +60,6 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     df = with_utc_timestamps(reader.load(table_path(root, name, fmt)), ddl)
-    if spread:
-        df = spread_small(df)
-    return df
-
-
-SPREAD_CONF = "spark.shoplens.spreadSmallScans"
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    if df.sparkSession.conf.get(SPREAD_CONF, "false").lower() != "true":
-        return df
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
     return df
 
 

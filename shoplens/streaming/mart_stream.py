@@ -1,74 +1,77 @@
 """Continuous RAW -> MART cleaning (ST1-ST4).
 
-Source: the L0 topic in production (``format("kafka")``, JSON in
-``value``); here any file source with the same rows. Each stage is an
-append-only stream with its own checkpoint under the cluster's shared
-checkpoint folder, so a restart resumes without loss or double counting.
-``trigger(availableNow=True)`` processes what is there and stops.
+Source: the L0 topic (``format("kafka")``, JSON in ``value``) or message files
+with the same rows. A micro-batch is cleaned and upserted into the mart
+snapshot: of two copies the later one by event time stays, in whichever order
+and batch they arrive, so the stream's mart equals the batch mart. Rejected rows
+and malformed messages go to a quarantine, key counts to a table over which the
+duplicate ratio is taken. Every output of a batch is written under its batch id,
+so a replayed batch changes nothing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shoplens.operators import cleaning, monitor, upsert
-from shoplens.operators.dedup import keep_max
+from shoplens.operators.cleaning import Cleaning
 from shoplens.sinks import snapshot
-from shoplens.sources import fixtures
+from shoplens.sources.ndjson import is_object
 
 DEFAULT_WATERMARK = "2 hours"
 
 
-def kafka_source(spark: SparkSession, bootstrap: str, topic: str, value_schema: StructType,
-                 starting_offsets: str = "earliest") -> DataFrame:
-    """L0 topic -> typed rows (needs the Kafka connector on the classpath)."""
+# ------------------------------------------------------------------ sources
+def kafka_messages(spark: SparkSession, bootstrap: str, topic: str, starting_offsets: str = "earliest") -> DataFrame:
+    """(topic, value) of an L0 topic (needs the Kafka connector)."""
     raw = (spark.readStream.format("kafka")
            .option("kafka.bootstrap.servers", bootstrap)
            .option("subscribe", topic)
            .option("startingOffsets", starting_offsets).load())
-    return raw.select(F.from_json(F.col("value").cast("string"), value_schema).alias("v")).select("v.*")
-
-
-def l0_message_stream(spark: SparkSession, path: str, value_schema: StructType, fmt: str = "json",
-                      topic: str | None = None) -> DataFrame:
-    """S5 over files: L0 messages ``(topic, value)`` written by the publisher,
-    parsed with ``from_json`` exactly as a Kafka ``value`` column would be."""
-    msgs = spark.readStream.schema("topic STRING, value STRING").format(fmt).load(path)
-    if topic is not None:
-        msgs = msgs.where(F.col("topic") == topic)
-    return msgs.select(F.from_json("value", value_schema).alias("v")).select("v.*")
-
-
-def events_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None,
-                  glob: str = "events.parquet") -> DataFrame:
-    """Files named by ``glob`` under ``root`` as a stream of events (stands
-    in for the L0 topic); new files are picked up by the next trigger."""
-    sch = spark.read.option("pathGlobFilter", glob).parquet(root).schema
-    r = (spark.readStream.schema(sch).format("parquet")
-         .option("pathGlobFilter", glob))
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    ev = r.load(root)
-    cols = [F.col(f.name).cast("timestamp").alias(f.name) if f.dataType.typeName() == "timestamp_ntz"
-            else F.col(f.name) for f in sch.fields]
-    return ev.select(*cols)
-
-
-def clean_stream(raw: DataFrame, as_of) -> DataFrame:
+    return raw.select("topic", F.col("value").cast("string").alias("value"))
+
+
+def file_messages(spark: SparkSession, path: str, fmt: str = "json", topic: str | None = None,
+                  max_files: int | None = None) -> DataFrame:
+    """S5 over files: L0 messages ``(topic, value)`` as the publisher writes them."""
+    reader = spark.readStream.schema("topic STRING, value STRING").format(fmt)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    msgs = reader.load(path)
+    return msgs if topic is None else msgs.where(F.col("topic") == topic)
+
+
+def documents_of(messages: DataFrame, value_schema: StructType) -> DataFrame:
+    """Documents of the messages that are JSON objects."""
+    return (messages.where(is_object(F.col("value")))
+            .select(F.from_json("value", value_schema).alias("v")).select("v.*"))
+
+
+def malformed(messages: DataFrame) -> DataFrame:
+    """Messages that are not a JSON object, as they came."""
+    return messages.where(~is_object(F.col("value"))).select("topic", "value")
+
+
+# ------------------------------------------------------- stateless and dedup
+def clean_stream(raw: DataFrame, as_of, rules: Cleaning = cleaning.PURCHASE_RULES) -> DataFrame:
     """ST1: checks + case normalisation per row (stateless)."""
-    return cleaning.accepted(raw, as_of)
+    return cleaning.accepted(raw, as_of, rules)
 
 
 def dedup_stream(mart_rows: DataFrame, key: str = "purchase_id", event_time: str = "purchase_datetime",
                  delay: str = DEFAULT_WATERMARK) -> DataFrame:
-    """ST2: keep the first copy of each key; a key's state lives until the
-    watermark passes its event time + ``delay`` and is then evicted, so
-    state stays bounded. Late rows are not discarded: a row with a new key
-    is kept even when its event time is behind the watermark, and a copy
-    is dropped while its key's state is alive. A copy arriving after the
-    state was evicted would be kept again: pick ``delay`` to cover re-sends."""
+    """ST2, for feeds whose copies are equal: keep the first copy of each key.
+    A key's state lives until the watermark passes its event time + ``delay``
+    and is then evicted, so state stays bounded. Late rows are not discarded: a
+    row with a new key is kept even when its event time is behind the
+    watermark, and a copy is dropped while its key's state is alive. A copy
+    arriving after the state was evicted would be kept again: pick ``delay`` to
+    cover re-sends. Where a re-send may be newer, use ``mart_batches``, which
+    keeps the latest."""
     return mart_rows.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
@@ -79,35 +82,73 @@ def run_to_table(stream: DataFrame, out_path: str, checkpoint: str, fmt: str = "
     q.awaitTermination()
 
 
-def raw_purchase_stream(spark: SparkSession, root: str, glob: str = "events.parquet") -> DataFrame:
-    return fixtures.raw_purchases_of(fixtures.purchase_events_of(events_stream(spark, root, glob=glob)))
+# ------------------------------------------------------------- batch outputs
+Batch = Callable[[DataFrame, int], None]
 
 
-def upsert_batches(spark: SparkSession, root: str, keys=("purchase_id",), seq: str = "purchase_datetime"):
-    """ST3: a ``foreachBatch`` function that upserts each micro-batch into a
-    snapshot table. The batch id is stored with the pointer, so a replayed
-    batch (after a failure between write and commit) is skipped."""
+def upsert_batches(spark: SparkSession, root: str, rules: Cleaning = cleaning.PURCHASE_RULES) -> Batch:
+    """ST3: upserts a micro-batch of mart rows into a snapshot table; a stored
+    row that is newer than the batch's stays. The batch id is stored with the
+    pointer, so a replayed batch is skipped."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         info = snapshot.current_info(spark, root)
         if info is not None and info[1] is not None and int(info[1]) >= batch_id:
             return
-        upd = keep_max(batch, list(keys), [seq], keep_null_keys=False)
         base = snapshot.read_current(spark, root)
-        new = upd if base is None else upsert.upsert(base, upd, list(keys))
+        new = (cleaning.deduplicated(batch, rules) if base is None
+               else upsert.upsert(base, batch, list(rules.key), rules.latest))
         snapshot.publish_snapshot(spark, new, root, tag=str(batch_id))
     return fn
 
 
-def alert_batches(alerts_path: str, key: str = "purchase_id", table: str = "purchases"):
-    """ST4: duplicate ratio per micro-batch; alert rows appended to a table."""
+def _write_once(rows: DataFrame, path: str, batch_id: int) -> None:
+    """A batch's rows in a folder of its own, replaced if the batch comes again."""
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+
+
+def quarantine_batches(path: str) -> Batch:
+    """Rejected rows or malformed messages, by batch."""
+    return lambda rows, batch_id: _write_once(rows, path, batch_id)
+
+
+def alert_batches(spark: SparkSession, counts_path: str, alerts_path: str, key: str = "purchase_id",
+                  table: str = "purchases") -> Batch:
+    """ST4: the duplicate ratio over everything that has arrived so far; each
+    batch adds its copies per key, and alert rows are kept by batch."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        _write_once(batch.groupBy(key).agg(F.count(F.lit(1)).alias("copies")), counts_path, batch_id)
+        seen = spark.read.parquet(counts_path).where(F.col("batch_id") <= batch_id)
+        ratio = monitor.ratio_of_counts(seen.groupBy(key).agg(F.sum("copies").alias("copies")), table)
+        _write_once(monitor.duplicate_alert(ratio), alerts_path, batch_id)
+    return fn
+
+
+def mart_batches(spark: SparkSession, as_of, rules: Cleaning, mart_root: str, rejects_path: str,
+                 value_schema: StructType | None = None, malformed_path: str | None = None,
+                 counts_path: str | None = None, alerts_path: str | None = None) -> Batch:
+    """A whole micro-batch: messages (with ``value_schema``) or documents ->
+    rejects, counts and alerts, mart. The mart comes last: its pointer marks
+    the batch as done."""
+    put = upsert_batches(spark, mart_root, rules)
+
     def fn(batch: DataFrame, batch_id: int) -> None:
-        ratio = monitor.duplicate_ratio(batch, [key], table)
-        (monitor.duplicate_alert(ratio).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("append").parquet(alerts_path))
+        batch = batch.persist()
+        try:
+            if malformed_path is not None:
+                quarantine_batches(malformed_path)(malformed(batch), batch_id)
+            docs = batch if value_schema is None else documents_of(batch, value_schema)
+            raw = cleaning.flatten(docs, rules)
+            quarantine_batches(rejects_path)(cleaning.rejected(raw, as_of, rules), batch_id)
+            if alerts_path is not None:
+                alert_batches(spark, counts_path, alerts_path, rules.key[0])(
+                    raw.where(F.col(rules.key[0]).isNotNull()), batch_id)
+            put(cleaning.accepted(raw, as_of, rules), batch_id)
+        finally:
+            batch.unpersist()
     return fn
 
 
-def run_foreach_batch(stream: DataFrame, fn, checkpoint: str) -> None:
+def run_foreach_batch(stream: DataFrame, fn: Batch, checkpoint: str) -> None:
     q = (stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()

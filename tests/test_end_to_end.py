@@ -9,8 +9,8 @@ from shoplens.operators import cleaning
 from shoplens.operators.features import customer_feature_matrix
 from shoplens.plans import feature_job, l0_publish, loader, mart_job
 from shoplens.sinks import snapshot
-from shoplens.sinks.export import export_csv, write_ndjson
-from shoplens.sources import documents
+from shoplens.sinks.export import write_ndjson
+from shop_fixtures import documents
 
 AS_OF = "2026-01-01 00:00:00"
 
@@ -28,30 +28,36 @@ def test_end_to_end(spark, tmp_dir):
     docs = {"customers": documents.customer_documents(spark, SF_SMALL),
             "stores": documents.store_documents(spark, SF_SMALL),
             "products": documents.product_documents(spark, SF_SMALL),
-            "purchases": documents.purchase_documents(spark, SF_SMALL).drop("doc_part")}
+            "purchases": documents.purchase_documents(spark, SF_SMALL)}
     for name, df in docs.items():
         _ndjson(df, src, name)
     loaded = loader.run(spark, src, db)
     assert loaded["purchases"]["affected"] == docs["purchases"].count()
 
-    current = {n: snapshot.read_current(spark, os.path.join(db, n)) for n in docs}
-    l0_publish.run(spark, current, PiiHasher.from_text("salt"), fmt="json", path=topics)
+    current = {n: loader.read_collection(spark, db, n) for n in docs}
+    for _ in range(2):  # every document is published twice
+        l0_publish.run(spark, current, PiiHasher.from_text("salt"), fmt="json", path=topics)
+    with open(os.path.join(topics, "purchases", "broken.json"), "w", encoding="utf-8") as f:
+        f.write('{"topic": "retail.purchases.l0", "value": "{not json"}\n')
 
-    mart_root, ckpt = os.path.join(tmp_dir, "mart"), os.path.join(tmp_dir, "ckpt")
-    mart_job.run_stream(spark, os.path.join(topics, "purchases"), AS_OF, mart_root, ckpt)
-    mart = snapshot.read_current(spark, mart_root)
-    want, rejects = cleaning.clean(cleaning.flatten_purchases(docs["purchases"]), AS_OF)
+    root = os.path.join(tmp_dir, "purchases")
+    mart_job.run_stream(spark, os.path.join(topics, "purchases"), AS_OF, root)
+    mart = snapshot.read_current(spark, f"{root}/mart")
+    want, rejects = cleaning.clean(cleaning.flatten(docs["purchases"]), AS_OF)
     assert mart.count() == want.count() and mart.exceptAll(want).count() == 0
     assert rejects.count() == 0  # generated orders are all valid and before AS_OF
+    assert [r.value for r in spark.read.parquet(f"{root}/malformed").collect()] == ["{not json"]
 
     batch_mart, batch_rej = os.path.join(tmp_dir, "bmart"), os.path.join(tmp_dir, "brej")
     mart_job.run_batch(docs["purchases"], AS_OF, batch_mart, batch_rej)
     assert spark.read.parquet(batch_mart).drop("purchase_month").exceptAll(want).count() == 0
 
-    customers = cleaning.customers_mart(current["customers"])
+    root = os.path.join(tmp_dir, "customers")
+    mart_job.run_stream(spark, os.path.join(topics, "customers"), AS_OF, root, "customers")
+    customers = snapshot.read_current(spark, f"{root}/mart")
     matrix = customer_feature_matrix(customers, mart, as_of=AS_OF)
-    assert matrix.count() == docs["customers"].count()
-    res = feature_job.run(spark, JobConfig(target_root=os.path.join(tmp_dir, "wh"), as_of=AS_OF), customers, mart)
+    assert matrix.count() == matrix.select("customer_id").distinct().count() == docs["customers"].count()
+    res = feature_job.run(spark, JobConfig(target_root=os.path.join(tmp_dir, "wh"), tgt_db="e2e", as_of=AS_OF,
+                                           csv_root=os.path.join(tmp_dir, "s3")), customers, mart)
     assert res["rows"] == matrix.count()
-    path = export_csv(matrix, os.path.join(tmp_dir, "s3"), 2026, 1, single_file=True)
-    assert spark.read.option("header", True).csv(path).count() == matrix.count()
+    assert spark.read.option("header", True).csv(res["csv"]).count() == matrix.count()

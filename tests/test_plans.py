@@ -4,9 +4,9 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from shoplens.functions import time as T
-from shoplens.plans.feature_job import fixture_matrix
+from shoplens.plans.registry import fixture_matrix
 from shoplens.plans.registry import QUERIES
-from shoplens.sources import fixtures
+from shop_fixtures import views as fixtures
 from shoplens.sources.tables import read_table
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas")
@@ -23,12 +23,22 @@ def test_one_pass_matrix_scans_purchases_once_with_two_shuffles(spark):
     assert not any(n in p for n in PYTHON_NODES)
 
 
-def test_window_shape_is_the_reference_form(spark):
-    p = plan(fixture_matrix(spark, SF_SMALL, shape="window"))
-    assert p.count("events.parquet") == 3
+def test_ranked_matrix_scans_once(spark):
+    p = plan(fixture_matrix(spark, SF_SMALL, ranked=True))
+    assert p.count("events.parquet") == 1
     assert "Window" in p
 
 
+def test_totals_without_stores_take_one_shuffle(spark):
+    for name in ("agg_count", "agg_share_payment", "agg_avg_check", "agg_window_sums"):
+        assert plan(QUERIES[name](spark, SF_SMALL)).count("Exchange") == 1, name
+
+
+def test_duplicate_ratio_reads_each_table_once(spark):
+    p = plan(QUERIES["duplicate_ratio"](spark, SF_SMALL))
+    assert p.count("FileScan parquet") == 5  # events, lineitem, orders, customer, raw (events again)
+
+
 def test_no_python_workers_in_any_registered_query(spark):
     for name in ("pii_hmac", "pii_md5", "l0_customers", "mart_clean", "upsert_by_key", "basket_reconcile"):
         p = plan(QUERIES[name](spark, SF_SMALL))
@@ -105,33 +115,53 @@ def test_hot_key_keeps_partial_aggregation_and_answers(spark):
                        .otherwise(F.col("store_id")))
     c = fixtures.r_customers(spark, SF_SMALL)
     a = customer_feature_matrix(c, hot, as_of=fixtures.FIXTURE_AS_OF)
-    b = customer_feature_matrix(c, hot, as_of=fixtures.FIXTURE_AS_OF, shape="window")
+    b = customer_feature_matrix(c, hot, as_of=fixtures.FIXTURE_AS_OF, ranked=True)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     pl = plan(a)
     assert pl.count("partial_") >= 2  # both groupings combine map-side before their shuffle
     assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
 
 
-def test_upsert_streams_the_base_against_a_checked_broadcast(spark):
+def test_upsert_reads_a_settled_batch_and_scans_the_base_once_for_counts(spark):
     from shoplens.operators import upsert as U
     from shoplens.plans.registry import UPSERT_KEY, upsert_inputs
 
     base, upd = upsert_inputs(spark, SF_SMALL)
     small = plan(U.upsert(base, upd, UPSERT_KEY, seq="seq"))
-    assert "BroadcastHashJoin" in small and "LeftAnti" in small
-    assert "SortMergeJoin" not in small
+    assert "BroadcastHashJoin" in small and "LeftAnti" in small  # Spark's own decision, by file size
+    stats = plan(U.upsert_stats(base, upd, UPSERT_KEY, seq="seq"))
+    assert stats.count("customer.parquet") == 1
+    for p in (small, stats, plan(U.insert_conflicts(base, upd.drop("seq"), UPSERT_KEY))):
+        assert "LocalLimit" not in p and "GlobalLimit" not in p
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only our checked hint may broadcast
+    a = sorted(map(tuple, U.upsert(base, upd, UPSERT_KEY, seq="seq").collect()))
+    s1 = U.upsert_stats(base, upd, UPSERT_KEY, seq="seq").first()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        big = plan(U.upsert(base, upd, UPSERT_KEY, seq="seq", broadcast_max_rows=10))  # above the bound
-        assert "SortMergeJoin" in big and "BroadcastHashJoin" not in big
-        hinted = plan(U.upsert(base, upd, UPSERT_KEY, seq="seq"))
-        assert "BroadcastHashJoin" in hinted
+        big = U.upsert(base, upd, UPSERT_KEY, seq="seq")
+        assert "SortMergeJoin" in plan(big) and "BroadcastHashJoin" not in plan(big)
+        assert sorted(map(tuple, big.collect())) == a
+        assert U.upsert_stats(base, upd, UPSERT_KEY, seq="seq").first() == s1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    a = sorted(map(tuple, U.upsert(base, upd, UPSERT_KEY, seq="seq").collect()))
-    b = sorted(map(tuple, U.upsert(base, upd, UPSERT_KEY, seq="seq", broadcast_max_rows=10).collect()))
-    assert a == b
-    s1 = U.upsert_stats(base, upd, UPSERT_KEY, seq="seq").first()
-    s2 = U.upsert_stats(base, upd, UPSERT_KEY, seq="seq", broadcast_max_rows=10).first()
-    assert s1 == s2
+
+
+def test_a_month_with_most_rows_is_written_by_several_tasks(spark, tmp_dir):
+    import os
+
+    from shoplens.sinks.export import write_purchases_mart
+
+    rows = spark.range(60_000).selectExpr(
+        "concat('p', id) AS purchase_id", "concat('c', id % 997) AS customer_id", "'s' AS store_id",
+        "CASE WHEN id % 10 = 0 THEN TIMESTAMP '2024-02-05 00:00:00' ELSE TIMESTAMP '2024-01-05 00:00:00' END "
+        "AS purchase_datetime", "rand(1) AS total_amount", "'cash' AS payment_method", "0 AS is_delivery")
+    path = os.path.join(tmp_dir, "mart")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "128k")
+    try:
+        write_purchases_mart(rows, path)
+    finally:
+        spark.conf.unset(key)
+    hot = [f for f in os.listdir(os.path.join(path, "purchase_month=2024-01")) if f.endswith(".parquet")]
+    assert len(hot) > 1
+    assert spark.read.parquet(path).count() == 60_000

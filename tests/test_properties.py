@@ -1,4 +1,4 @@
-"""Properties with generated inputs (one-pass shape = window shape)."""
+"""Properties with generated inputs (merged parts = ranked stores)."""
 
 import datetime as dt
 
@@ -21,7 +21,7 @@ purchase = st.tuples(
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(purchase, min_size=0, max_size=25))
-def test_one_pass_equals_window_shape(spark, rows):
+def test_merged_parts_equal_ranked_stores(spark, rows):
     cust = spark.createDataFrame(
         [("c1", "2026-02-20 00:00:00", 1), ("c2", None, None), ("c3", "2020-01-01 00:00:00", 0)],
         "customer_id string, registration_dt string, is_loyalty_member int")
@@ -35,8 +35,8 @@ def test_one_pass_equals_window_shape(spark, rows):
     pur = pur.selectExpr("purchase_id", "customer_id", "store_id",
                          "CAST(purchase_datetime AS TIMESTAMP) AS purchase_datetime",
                          "total_amount", "payment_method", "is_delivery")
-    a = customer_feature_matrix(cust, pur, as_of=AS_OF, shape="one_pass")
-    b = customer_feature_matrix(cust, pur, as_of=AS_OF, shape="window")
+    a = customer_feature_matrix(cust, pur, as_of=AS_OF)
+    b = customer_feature_matrix(cust, pur, as_of=AS_OF, ranked=True)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 

@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 from conftest import SF_SMALL
 from shoplens.operators import cleaning
 from shoplens.sinks import snapshot
-from shoplens.sources import fixtures
+from shop_fixtures import streams, views as fixtures
 from shoplens.streaming import mart_stream as S
 
 AS_OF = fixtures.FIXTURE_AS_OF
@@ -34,7 +34,7 @@ def test_clean_stream_restart_no_loss_no_double_count(spark, tmp_dir):
     out, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt")
 
     def run():
-        S.run_to_table(S.clean_stream(S.raw_purchase_stream(spark, src, glob="*.parquet"), AS_OF), out, ckpt)
+        S.run_to_table(S.clean_stream(streams.raw_purchase_stream(spark, src, glob="*.parquet"), AS_OF), out, ckpt)
         return spark.read.parquet(out)
 
     first = run()
@@ -54,7 +54,7 @@ def test_dedup_stream_keeps_one_row_per_key(spark, tmp_dir):
     a, _ = _split_events(SF_SMALL, src)
     pq.write_table(a, os.path.join(src, "a.parquet"))
     out, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt")
-    rows = S.dedup_stream(S.clean_stream(S.raw_purchase_stream(spark, src, glob="*.parquet"), AS_OF))
+    rows = S.dedup_stream(S.clean_stream(streams.raw_purchase_stream(spark, src, glob="*.parquet"), AS_OF))
     S.run_to_table(rows, out, ckpt)
     got = spark.read.parquet(out)
     _, mart = _batch_accepted(spark, src)
@@ -69,7 +69,7 @@ def test_foreach_batch_upsert_equals_batch_mart(spark, tmp_dir):
     snap_root, ckpt = os.path.join(tmp_dir, "mart"), os.path.join(tmp_dir, "ckpt")
 
     def run():
-        stream = S.clean_stream(S.raw_purchase_stream(spark, src, glob="*.parquet"), AS_OF)
+        stream = S.clean_stream(streams.raw_purchase_stream(spark, src, glob="*.parquet"), AS_OF)
         S.run_foreach_batch(stream, S.upsert_batches(spark, snap_root), ckpt)
 
     run()
@@ -91,8 +91,8 @@ def test_alert_stream_writes_no_alert_below_threshold(spark, tmp_dir):
     a, _ = _split_events(SF_SMALL, src)
     pq.write_table(a, os.path.join(src, "a.parquet"))
     alerts = os.path.join(tmp_dir, "alerts")
-    stream = S.raw_purchase_stream(spark, src, glob="*.parquet").where("purchase_id IS NOT NULL")
-    S.run_foreach_batch(stream, S.alert_batches(alerts), os.path.join(tmp_dir, "ckpt"))
+    stream = streams.raw_purchase_stream(spark, src, glob="*.parquet").where("purchase_id IS NOT NULL")
+    S.run_foreach_batch(stream, S.alert_batches(spark, os.path.join(tmp_dir, "counts"), alerts), os.path.join(tmp_dir, "ckpt"))
     assert spark.read.parquet(alerts).count() == 0
 
 
@@ -102,14 +102,14 @@ def test_l0_messages_to_mart_stream(spark, tmp_dir):
     from shoplens.operators.pii import protect
     from shoplens.schemas import PURCHASES_DDL, schema
     from shoplens.sinks.export import publish, to_messages
-    from shoplens.sources import documents
+    from shop_fixtures import documents
 
-    docs = documents.purchase_documents(spark, SF_SMALL).drop("doc_part")
+    docs = documents.purchase_documents(spark, SF_SMALL)
     msgs = to_messages(protect(docs, "purchases", PiiHasher.from_text("salt")), "purchases")
     topic_dir = os.path.join(tmp_dir, "topic")
     publish(msgs, fmt="json", path=topic_dir)
     out, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt")
-    stream = S.l0_message_stream(spark, topic_dir, schema(PURCHASES_DDL), topic="retail.purchases.l0")
+    stream = S.documents_of(S.file_messages(spark, topic_dir, topic="retail.purchases.l0"), schema(PURCHASES_DDL))
     S.run_to_table(cleaning.purchases_mart(stream), out, ckpt)
     got = spark.read.parquet(out)
     want = cleaning.purchases_mart(docs)
@@ -143,7 +143,7 @@ def test_watermark_dedup_late_rows(spark, tmp_dir):
 
 
 def test_purchase_documents_delivery_address_only_when_delivered(spark):
-    from shoplens.sources import documents
+    from shop_fixtures import documents
 
     d = documents.purchase_documents(spark, SF_SMALL)
     assert d.where("is_delivery AND delivery_address IS NULL").count() == 0
@@ -157,7 +157,45 @@ def test_alert_stream_fires_above_threshold(spark, tmp_dir):
     for i in range(3):  # the same events re-published three times: 2/3 duplicates
         pq.write_table(a, os.path.join(src, f"copy{i}.parquet"))
     alerts = os.path.join(tmp_dir, "alerts")
-    stream = S.raw_purchase_stream(spark, src, glob="*.parquet").where("purchase_id IS NOT NULL")
-    S.run_foreach_batch(stream, S.alert_batches(alerts), os.path.join(tmp_dir, "ckpt"))
+    stream = streams.raw_purchase_stream(spark, src, glob="*.parquet").where("purchase_id IS NOT NULL")
+    S.run_foreach_batch(stream, S.alert_batches(spark, os.path.join(tmp_dir, "counts"), alerts), os.path.join(tmp_dir, "ckpt"))
     got = spark.read.parquet(alerts).collect()
     assert len(got) == 1 and got[0].dup_ratio > 0.5 and got[0].batch_id == 0
+
+
+def test_a_republish_in_a_later_batch_raises_the_alert(spark, tmp_dir):
+    alerts, counts = os.path.join(tmp_dir, "alerts"), os.path.join(tmp_dir, "counts")
+    fn = S.alert_batches(spark, counts, alerts)
+    batch = spark.range(50).selectExpr("concat('p', id) AS purchase_id")
+    for n in range(3):
+        fn(batch, n)
+    fn(batch, 2)  # a replayed batch is not counted twice
+    got = {r.batch_id: r.dup_ratio for r in spark.read.parquet(alerts).collect()}
+    assert set(got) == {2} and abs(got[2] - 2 / 3) < 1e-9
+
+
+def test_newer_resend_wins_in_any_order_and_bad_messages_are_kept(spark, tmp_dir):
+    import json
+
+    from shoplens.plans import mart_job
+
+    topic, root = os.path.join(tmp_dir, "topic"), os.path.join(tmp_dir, "out")
+    os.makedirs(topic)
+
+    def send(name, *values):
+        with open(os.path.join(topic, name), "w", encoding="utf-8") as f:
+            for v in values:
+                f.write(json.dumps({"topic": "retail.purchases.l0", "value": v if isinstance(v, str) else json.dumps(v)}) + "\n")
+        mart_job.run_stream(spark, topic, AS_OF, root)
+
+    def doc(hour, method, **more):
+        return {"purchase_id": "x", "customer": {"customer_id": "c"}, "store": {"store_id": "s"}, "total_amount": 1.0,
+                "purchase_datetime": f"2024-01-01T{hour:02d}:00:00Z", "payment_method": method, "is_delivery": True, **more}
+
+    send("1.json", doc(10, "cash"), "{broken", doc(9, "cash", purchase_id=None))
+    send("2.json", doc(11, "card"))
+    send("3.json", doc(8, "cash"))
+    got = snapshot.read_current(spark, f"{root}/mart").collect()
+    assert [(r.purchase_id, r.payment_method, r.purchase_datetime.hour) for r in got] == [("x", "card", 11)]
+    assert [r.value for r in spark.read.parquet(f"{root}/malformed").collect()] == ["{broken"]
+    assert [r.reject_reason for r in spark.read.parquet(f"{root}/rejects").collect()] == ["null"]
