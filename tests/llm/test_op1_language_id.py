@@ -1,0 +1,93 @@
+import itertools
+import math
+
+import numpy as np
+import pytest
+from helpers import SF, edge_docs, empty_docs
+from pyspark.sql import functions as F
+
+from shoplens.llm import _common as C
+from shoplens.llm import language_id as L
+
+VOCABULARY = [b" ", b"a", b"b", b" a", b"ab", b"ba", b"aba"]
+PIECES = {p: k for k, p in enumerate(VOCABULARY)}
+PREFIXES = frozenset(p[:k] for p in VOCABULARY for k in range(1, len(p) + 1))
+PROB = [0.1, 0.2, 0.1, 0.15, 0.25, 0.12, 0.08]
+
+
+def segmentations(word):
+    if not word:
+        yield ()
+    for k in range(1, len(word) + 1):
+        if word[:k] in PIECES:
+            for rest in segmentations(word[k:]):
+                yield (word[:k], *rest)
+
+
+def test_forward_sums_all_segmentations():
+    for n in range(1, 7):
+        for letters in itertools.product(b"ab", repeat=n):
+            word = b" " + bytes(letters)
+            want = sum(math.prod(PROB[PIECES[p]] for p in s) for s in segmentations(word))
+            got = L.forward(L.edges(word, PIECES, PREFIXES), PROB)[1]
+            assert math.isclose(got, math.log(want), rel_tol=1e-9)
+
+
+def test_expected_counts_are_posterior_counts():
+    word = b" ababa"
+    every = list(segmentations(word))
+    weight = [math.prod(PROB[PIECES[p]] for p in s) for s in every]
+    want = {}
+    for s, w in zip(every, weight):
+        for p in s:
+            want[PIECES[p]] = want.get(PIECES[p], 0) + 3.0 * w / sum(weight)
+    got = {}
+    L.expected_counts(L.edges(word, PIECES, PREFIXES), PROB, 3.0, got)
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
+
+
+@pytest.fixture(scope="module")
+def model():
+    size = len(L.vocabulary(C.tokenizer_path(L.VOCABULARY))[0])
+    rng = np.random.default_rng(0)
+    return {lang: (lambda v: 0.98 * v / v.sum() + 0.02 / size)(rng.random(size) ** 8) for lang in ("de", "en", "fr")}
+
+
+def test_words_scored_together_equal_words_scored_alone(model):
+    path = C.tokenizer_path(L.VOCABULARY)
+    scorer = L.Scorer(path, model)
+    words = [w.encode() for w in ("a", "plage", "straße", "über", "日本語", "x" * 63, "ab" * 32, "été" * 40, "q" * 900)]
+    scorer.learn(words)
+    for w in words:
+        for k, p in enumerate(scorer.prob):
+            want = L.forward(L.edges(b" " + w, scorer.pieces, scorer.prefixes), p)[1]
+            assert math.isfinite(want) and math.isclose(scorer.known[scorer.memo[w]][k], want, rel_tol=1e-9)
+
+
+def test_memory_of_words_is_bounded(model):
+    scorer = L.Scorer(C.tokenizer_path(L.VOCABULARY), model, most=5)
+    for k in range(30):
+        scorer.learn([f"w{k}{j}".encode() for j in range(3)])
+        assert len(scorer.memo) <= 8
+
+
+def test_edge_cases(spark, model):
+    docs = edge_docs(spark)
+    got = L.predict(docs, model, name="p")
+    assert got.columns == [*docs.columns, "p"]
+    rows = [(r.text, r.p.lang_pred, r.p.score) for r in got.collect()]
+    assert len(rows) == docs.count()
+    for text, lang, score in rows:
+        letters = any(c.isalpha() for c in text or "")
+        assert (lang == "und") == (not letters) and (0 < score <= 1 if letters else score == 0)
+    assert len({x for x in rows if x[0] == "A b c"}) == 1
+    assert L.predict(empty_docs(spark), model, name="p").count() == 0
+    assert {r.p.lang_pred for r in L.predict(docs, {}, name="p").collect()} == {"und"}
+    assert L.fit(empty_docs(spark)) == {}
+
+
+def test_held_out_accuracy(spark):
+    got = L.op1_language_id(spark, SF).join(C.table(spark, SF, "documents").select("doc_id", "lang"), "doc_id")
+    assert got.count() == 1000
+    row = got.where("held_out").agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("a")).first()
+    assert row.n > 100 and row.a > 0.97

@@ -1,0 +1,53 @@
+import numpy as np
+import pyarrow as pa
+import pytest
+import sentencepiece
+from helpers import SMALL, edge_docs, empty_docs
+
+from shoplens.llm import _common as C
+from shoplens.llm import token_counts as T
+
+HARD = ["Hello  world\nfoo\tbar   <s> </s> <unk> é ﬁ  x ① ", "", " ", "\n", " a", "▁a ▁ b", "a\x00b", None, "aaaa" * 50,
+        "((((([[[]]]))]]]}}", "日本語テキスト 12 345  don't I'm", "🙂🙂 ok", "</s>[INST] ok [/INST]", " " * 26 + "x", "a  " * 9,
+        "-----===== == ...... ... *** *****", "<0x41> <0x0A>", "▁▁▁", "x▁y"]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=C.tokenizer_path(T.VOCABULARY))
+
+
+@pytest.fixture(scope="module")
+def merger():
+    return T.merger(C.tokenizer_path(T.VOCABULARY))
+
+
+def test_counts_are_the_librarys(library, merger):
+    want = [len(library.encode(t or "")) for t in HARD]
+    assert merger.counts(C.texts_of(pa.array(HARD, pa.string()))).tolist() == want
+    rng = np.random.default_rng(2)
+    chars = list("aetinoZéß'.,!0 9\n\t <>▁🙂日ー")
+    noise = ["".join(rng.choice(chars, 60)) for _ in range(500)]
+    assert merger.counts(C.texts_of(pa.array(noise))).tolist() == [len(library.encode(t)) for t in noise]
+
+
+def test_merging_without_cuts_gives_the_same(library, merger):
+    for t in ("the theory of the thing", "ouble edoution wh onharent.", "été 123"):
+        assert merger.count(" " + t) == len(library.encode(t))
+
+
+def test_edge_cases(spark, library):
+    docs = edge_docs(spark)
+    got = T.count_tokens(docs, limit=100, name="t")
+    assert got.columns == [*docs.columns, "t"]
+    for r in got.collect():
+        n = len(library.encode(r.text or ""))
+        assert (r.t.n_bytes, r.t.n_tokens, r.t.over_limit) == (len((r.text or "").encode()), n, n > 100)
+    assert T.count_tokens(empty_docs(spark)).count() == 0
+
+
+def test_query(spark, library):
+    texts = {r.doc_id: r.text for r in C.table(spark, SMALL, "documents").collect()}
+    got = T.op7_token_counts(spark, SMALL).collect()
+    assert len(got) == len(texts)
+    assert all(r.n_tokens == len(library.encode(texts[r.doc_id])) for r in got)

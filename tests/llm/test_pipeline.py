@@ -1,0 +1,98 @@
+import numpy as np
+import pytest
+from helpers import SF, SMALL, edge_docs, empty_docs
+
+import corpus_pipeline as P
+from shoplens.llm import _common as C
+from shoplens.llm import language_id, packing
+from shoplens.session import scratch_path
+from test_op4_decontaminate import brute as contaminated
+from test_op5_simhash import components, fingerprint
+from test_op8_suffix_dedup import brute as repeated
+
+
+def staged(spark, docs, sf_dir):
+    out = [docs]
+    for name, stage in P.STAGES:
+        place = scratch_path(spark, name)
+        stage(spark, out[-1], sf_dir).write.parquet(place)
+        out.append(spark.read.parquet(place))
+    return out
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return staged(spark, C.table(spark, SMALL, "documents"), SMALL)
+
+
+def rows(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_stages_and_columns(tables):
+    assert [n for n, _ in P.STAGES] == ["language_id", "simhash_near_dedup", "suffix_array_dedup",
+                                        "benchmark_decontamination", "best_fit_packing"]
+    assert all(t.columns == tables[0].columns for t in tables[:5])
+
+
+def test_language_stage_keeps_clean_documents(spark, tables):
+    before, after = rows(tables[0]), rows(tables[1])
+    model = language_id.fit(tables[0].where(~language_id.held_out()).select("doc_id", "text", "lang"))
+    for r in language_id.predict(tables[0], model, name="p").collect():
+        assert (r.doc_id in after) == (r.p.lang_pred != "und" and r.p.score >= P.LEAST_LANGUAGE_SCORE)
+    assert all(after[i] == before[i] for i in after) and len(after) > 0.98 * len(before)
+
+
+def test_near_duplicate_stage_keeps_one_of_each_group(tables):
+    before, after = rows(tables[1]), rows(tables[2])
+    prints = {i: fingerprint(r.text) for i, r in before.items()}
+    roots = components(prints.values())
+    least = {}
+    for i, p in prints.items():
+        least[roots[p]] = min(i, least.get(roots[p], i))
+    assert sorted(after) == sorted(least.values()) and len(after) < len(before)
+    assert all(after[i] == before[i] for i in after)
+
+
+def test_repeats_stage_removes_whole_characters_of_repeats(tables):
+    before, after = rows(tables[2]), rows(tables[3])
+    ids = sorted(before)
+    assert sorted(after) == ids
+    cut = 0
+    for i, runs in zip(ids, repeated([before[i].text for i in ids], 400)):
+        text, kept, at = before[i].text, [], 0
+        for c in text:
+            size = len(c.encode())
+            if not any(s <= at and at + size <= e for s, e in runs):
+                kept.append(c)
+            at += size
+        assert after[i].text == "".join(kept) and after[i].n_chars == len(kept)
+        cut += bool(runs)
+    assert cut > 0
+
+
+def test_benchmark_stage_drops_contaminated_documents(spark, tables):
+    before, after = rows(tables[3]), rows(tables[4])
+    items = [(r.item_id, r.text) for r in C.table(spark, SMALL, "benchmark").collect()]
+    assert sorted(after) == sorted(i for i, r in before.items() if not contaminated(r.text, items)[3])
+    assert len(after) < len(before)
+
+
+def test_packing_stage_and_run(spark, tables):
+    tok = packing.tokenizer(C.tokenizer_path(packing.VOCABULARY))
+    tokens = {i: len(tok.library.encode(r.text, add_special_tokens=False).ids) + 1 for i, r in rows(tables[4]).items()}
+    got = {}
+    for r in tables[5].collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + r.length
+    assert got == tokens
+    again = P.run(spark, SMALL)
+    assert again.columns == tables[5].columns and again.count() == tables[5].count()
+
+
+def test_edge_cases_pass_through(spark):
+    docs = edge_docs(spark).selectExpr("*", "'s' AS source", "length(text) AS n_chars")
+    got = staged(spark, docs, SF)
+    assert all(t.columns == docs.columns for t in got[:5])
+    assert got[-1].count() > 0
+    nothing = staged(spark, empty_docs(spark).selectExpr("*", "'s' AS source", "length(text) AS n_chars"), SF)
+    assert [t.count() for t in nothing] == [0] * 6 and np.all([t.columns == nothing[0].columns for t in nothing[:5]])
