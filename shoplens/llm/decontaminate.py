@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from shoplens.llm import _common as C
 
 WINDOW = 13
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 2 << 20  # a window of a block takes some hundred bytes in a worker
 FILTER_BITS = 20
 
 WORD = np.zeros(256, bool)
