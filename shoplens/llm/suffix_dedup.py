@@ -12,21 +12,23 @@ what stands before them) finds all equal windows. Suffixes are ordered by 128
 bits of hash of their first 32 bytes, then of all bytes that windows around
 them can hold.
 
-Index family. The texts come in batches. A batch's suffix array has one entry
-per distinct suffix and context, with its number of occurrences and a witness.
-It joins the family as a level of size one, and while two levels have the same
-size they are merged, so that each entry is rewritten a logarithmic number of
-times. The levels are then merge-scanned: what occurs once in all of them has
-no match; what occurs with its whole context again matches for all its windows;
-what matches in part is refined, first in blocks of 24 windows (common core,
-whole extent), then window by window, each time counted over all texts.
-
-Equal texts are one text with a number of copies, so groups of copies cost
-nothing; all counts are pre-aggregated before they are shuffled, so a common
-passage is no hot key. Texts travel compressed and are shuffled once.
-
-Strings are compared by 128 bits of hash; two different ones among n that are
-compared agree with probability n * n / 2 ** 129.
+Index family. The texts come in batches. A batch's suffix array has its distinct
+suffixes, in the order of a hash of their first 32 bytes, with counts. It joins
+the family as a level of size one, and while two levels have the same size they
+are merged, so that each entry is rewritten a logarithmic number of times. A
+merge-scan of the levels finds the suffixes that occur again; all others have no
+match. Of those found, one that occurs with its whole context again matches for
+all its windows; one that matches in part is refined, first in blocks of 24
+windows (common core, whole extent), then window by window, each time counted
+over all texts.
+
+Equal texts are one text with a mark, so groups of copies cost nothing; counts
+are aggregated before they are shuffled, so a common passage is no hot key.
+Texts travel compressed and are shuffled once.
+
+Cores are only a filter. What decides is compared by 128 bits: a whole context
+by the hashes of its core and of itself, a window by two hashes. Two different
+ones among n agree with probability n * n / 2 ** 129.
 
 Edge cases: null and empty texts and texts under ``length`` bytes lose nothing;
 texts of any length are compared whole, in segments; repeated rows are copies
@@ -42,11 +44,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm import _common as C
+from shoplens.session import scratch_path
 
 LENGTH = 400
 GRAM = 32
@@ -68,8 +70,10 @@ class Segment:
         self.data = np.frombuffer(b"".join(x for _, _, x in parts), np.uint8)
         self.hashes = [C.RangeHash(self.data, base) for base in C.BASES]
 
-    def hash(self, start, end) -> list[np.ndarray]:
-        return [h(start, end).view(np.int64) for h in self.hashes]
+    def hash(self, start, end) -> np.ndarray:
+        """Two hashes of a range, made one that is never 0."""
+        a, b = (h(start, end) for h in self.hashes)
+        return (C.scramble(a ^ (b >> np.uint64(1))) | np.uint64(1)).view(np.int64)
 
 
 def segments(rows: list[tuple[int, bytes, np.ndarray | None]], length: int) -> Iterator[tuple[Segment, list]]:
@@ -105,8 +109,8 @@ def sliding_minimum(v: np.ndarray, width: int) -> np.ndarray:
 
 def own_suffixes(rows: list[tuple[int, bytes]], length: int) -> dict[str, np.ndarray]:
     """The suffixes that windows own: row, place, nearest and farthest start
-    of an owned window before it, and hashes of the gram and of the context
-    (``whole`` is false if the context runs over the row's ends)."""
+    of an owned window before it, and hashes of the gram (core) and of all
+    that windows around it can hold (extent; 0 where that runs over the ends)."""
     reach = length - GRAM
     out = []
     for seg, which in segments([(r, x, None) for r, x in rows if len(x) >= length], length):
@@ -126,13 +130,12 @@ def own_suffixes(rows: list[tuple[int, bytes]], length: int) -> dict[str, np.nda
         last = np.append(first[1:], len(window)) - 1
         a, part = place[first], part[first]
         whole = (a - reach >= seg.off[part]) & (a + length <= seg.off[part + 1])
-        core = seg.hash(a, a + GRAM)
-        full = [np.where(whole, h, 0) for h in seg.hash(np.where(whole, a - reach, a), np.where(whole, a + length, a))]
+        core = seg.hashes[0](a, a + GRAM).view(np.int64)
+        extent = np.where(whole, seg.hash(np.where(whole, a - reach, a), np.where(whole, a + length, a)), 0)
         to_row = seg.base[part] - seg.off[part]
-        out.append([seg.row[part], a + to_row, a - window[last], a - window[first], *core, *full, whole])
-    names = ("row", "place", "near", "far", "c1", "c2", "f1", "f2", "whole")
-    cols = {n: np.concatenate([o[k] for o in out]) if out else np.zeros(0, bool if n == "whole" else np.int64)
-            for k, n in enumerate(names)}
+        out.append([seg.row[part], a + to_row, a - window[last], a - window[first], core, extent])
+    names = ("row", "place", "near", "far", "core", "extent")
+    cols = {n: np.concatenate([o[k] for o in out]) if out else np.zeros(0, np.int64) for k, n in enumerate(names)}
     # a suffix at the seam of two stretches is one
     same = np.flatnonzero((cols["row"][1:] == cols["row"][:-1]) & (cols["place"][1:] == cols["place"][:-1])) + 1
     for i in same[::-1].tolist():
@@ -141,12 +144,6 @@ def own_suffixes(rows: list[tuple[int, bytes]], length: int) -> dict[str, np.nda
     return {k: np.delete(c, same) for k, c in cols.items()}
 
 
-def nodes_by_row(lists: pa.ListArray, fields: tuple[str, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
-    flat = lists.flatten()
-    rows = np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths().fill_null(0)))
-    return rows, [flat.field(f).to_numpy(zero_copy_only=False) for f in fields]
-
-
 def _in_segments(rows: list[tuple[int, bytes]], node_row: np.ndarray, place: np.ndarray, length: int):
     """For each slice of segments: the numbers of the nodes in it and where
     they stand in the slice, and their parts."""
@@ -169,7 +166,8 @@ def _in_segments(rows: list[tuple[int, bytes]], node_row: np.ndarray, place: np.
 
 def block_hashes(rows: list[tuple[int, bytes]], node_row, place, near, far, length: int) -> list[np.ndarray]:
     """For each node and each block of distances it has: node, block, nearest
-    and farthest distance, hashes of core and extent, whole."""
+    and farthest distance, core (what all the block's windows share) and extent
+    (all that they hold)."""
     out = []
     top = length - GRAM
     for seg, nodes, at, part in _in_segments(rows, node_row, place, length):
@@ -179,10 +177,10 @@ def block_hashes(rows: list[tuple[int, bytes]], node_row, place, near, far, leng
         n, a, p = np.repeat(nodes, count), np.repeat(at, count), np.repeat(part, count)
         lo, hi = block * BLOCK, np.minimum(block * BLOCK + BLOCK - 1, top)
         whole = (a - hi >= seg.off[p]) & (a - lo + length <= seg.off[p + 1])
-        core = seg.hash(a - lo, a - hi + length)
-        full = [np.where(whole, h, 0) for h in seg.hash(np.where(whole, a - hi, a), np.where(whole, a - lo + length, a))]
-        out.append([n, block, np.maximum(near[n], lo), np.minimum(far[n], hi), *core, *full, whole])
-    return [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 8 + [np.zeros(0, bool)]
+        core = seg.hash(a - lo, a - hi + length) ^ (block + 1)
+        extent = np.where(whole, seg.hash(np.where(whole, a - hi, a), np.where(whole, a - lo + length, a)), 0)
+        out.append([n, block, np.maximum(near[n], lo), np.minimum(far[n], hi), core, extent])
+    return [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 6
 
 
 def window_hashes(rows: list[tuple[int, bytes]], node_row, place, near, far, length: int) -> list[np.ndarray]:
@@ -192,166 +190,216 @@ def window_hashes(rows: list[tuple[int, bytes]], node_row, place, near, far, len
         count = far[nodes] - near[nodes] + 1
         d = C.ragged(near[nodes], count)
         n, a = np.repeat(nodes, count), np.repeat(at, count)
-        out.append([n, place[n] - d, *seg.hash(a - d, a - d + length)])
+        out.append([n, place[n] - d, *[h(a - d, a - d + length).view(np.int64) for h in seg.hashes]])
     return [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 4
 
 
+# ------------------------------------------------------------------- records
+# A record is (k1, k2, node, core, extent): the text's key, a place in it with
+# what it stands for, and two hashes. ``node`` packs place, nearest and
+# farthest distance of the windows, block of distances and whether the text has
+# copies into one long. ``extent`` is 0 where it runs over the text's ends.
+PLACE, NEAR, FAR, BLOCK_AT = 25, 16, 7, 1
+NINE, FIVE = 0x1FF, 0x1F
+KEY = ["k1", "k2"]
+RECORD = "k1 long, k2 long, node long, core long, extent long"
+
+
+def pack_nodes(place, near, far, block, copied) -> np.ndarray:
+    return (place << PLACE) | (near << NEAR) | (far << FAR) | (block << BLOCK_AT) | copied
+
+
+def unpack_nodes(node: np.ndarray) -> tuple[np.ndarray, ...]:
+    """place, nearest, farthest."""
+    return node >> PLACE, (node >> NEAR) & NINE, (node >> FAR) & NINE
+
+
+def _weight():
+    """Occurrences of a record, as far as they matter: 1, or 2 for copies."""
+    return F.lit(1).cast("long") + F.col("node").bitwiseAND(1)
+
+
+def _window_range():
+    """First and last start of the windows a record stands for."""
+    place = F.shiftright("node", PLACE)
+    return F.struct((place - F.shiftright("node", FAR).bitwiseAND(NINE)).alias("first"),
+                    (place - F.shiftright("node", NEAR).bitwiseAND(NINE)).alias("last"))
+
+
+class Scratch:
+    """Tables of one run in the shared folder: written, read back, and removed
+    when they are no longer needed."""
+
+    def __init__(self, spark):
+        self.spark, self.paths = spark, {}
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (path, out)
+        return out
+
+    def drop(self, table: DataFrame) -> None:
+        path, _ = self.paths.pop(id(table))
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
+    def clear(self) -> None:
+        for _, table in list(self.paths.values()):
+            self.drop(table)
+
+
 # ------------------------------------------------------------ index family
 class IndexFamily:
-    """Sorted arrays of suffix entries (key columns, n, m, witness) in levels
-    of sizes 1, 2, 4, ... batches; two of a size are merged."""
+    """Suffix arrays (core, n), in order of core, as levels of 1, 2, 4, ...
+    batches; two levels of a size are merged."""
 
-    def __init__(self, keys: list[str]):
-        self.keys = keys
+    def __init__(self, scratch: Scratch):
+        self.scratch = scratch
         self.levels: list[tuple[int, DataFrame]] = []
 
-    def array(self, records: DataFrame) -> DataFrame:
-        """A batch's suffix array: one entry per key, in order."""
-        return (records.groupBy(*self.keys)
-                .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("m"), F.min(F.struct("text_key", "place")).alias("witness"))
-                .sortWithinPartitions(*self.keys))
-
-    def merged(self, arrays: list[DataFrame]) -> DataFrame:
+    @staticmethod
+    def merged(arrays: list[DataFrame]) -> DataFrame:
         out = arrays[0]
         for x in arrays[1:]:
             out = out.unionByName(x)
-        if len(arrays) == 1:
-            return out
-        return (out.groupBy(*self.keys)
-                .agg(F.sum("n").alias("n"), F.sum("m").alias("m"), F.min("witness").alias("witness"))
-                .sortWithinPartitions(*self.keys))
+        return out.groupBy("core").agg(F.sum("n").alias("n")).sortWithinPartitions("core")
 
     def add(self, records: DataFrame) -> None:
-        size, array = 1, C.cut(self.array(records))
+        """A batch of records becomes a suffix array and joins the family."""
+        size, array = 1, self.scratch.table(self.merged([records.select("core", _weight().alias("n"))]), "suffix-array")
         while self.levels and self.levels[-1][0] == size:
-            array = C.cut(self.merged([self.levels.pop()[1], array]))
+            pair = [self.levels.pop()[1], array]
+            array = self.scratch.table(self.merged(pair), "suffix-array")
             size *= 2
+            for old in pair:
+                self.scratch.drop(old)
         self.levels.append((size, array))
 
-    def scan(self) -> DataFrame:
-        """All levels in one order: entries with their counts over all batches."""
-        return self.merged([array for _, array in self.levels])
+    def matched(self) -> DataFrame:
+        """Merge-scan of all levels: the cores that occur again."""
+        arrays = [array for _, array in self.levels]
+        whole = arrays[0] if len(arrays) == 1 else self.merged(arrays)
+        return whole.where("n > 1").select("core")
 
 
-SUFFIX_KEYS = ["block", "c1", "c2", "f1", "f2", "whole"]
-CORE = ["block", "c1", "c2"]
+def judge(live: DataFrame) -> DataFrame:
+    """Records whose core occurs again: ``repeated`` if their whole extent does
+    (all their windows match), ``open`` if they are to be refined, for
+    themselves or as the one witness of equal extents for others."""
+    whole = F.col("extent") != 0
+    kinds = live.groupBy("core", "extent").agg(
+        F.sum(_weight()).alias("n"), F.count(F.lit(1)).alias("m"), F.min(F.xxhash64(*KEY, "node")).alias("witness"))
+    cores = kinds.groupBy("core").agg(F.sum("n").alias("total"), F.sum(F.when(whole, 1).otherwise(F.col("m"))).alias("kinds"))
+    kinds = kinds.join(cores.where("total > 1"), "core").select(
+        "core", "extent", (whole & (F.col("n") > 1)).alias("repeated"), (F.col("kinds") > 1).alias("mixed"), "witness")
+    is_witness = F.xxhash64(*KEY, "node") == F.col("witness")
+    return live.join(kinds, ["core", "extent"]).select(
+        *KEY, "node", "repeated", (F.col("mixed") & (~F.col("repeated") | is_witness)).alias("open"))
 
 
-def judge(records: DataFrame, entries: DataFrame) -> DataFrame:
-    """Records that match somewhere: ``repeated`` (all their windows do) and
-    ``open`` (to be refined, for themselves or as the witness for others)."""
-    cores = entries.groupBy(*CORE).agg(
-        F.sum("n").alias("total"), F.sum(F.when(F.col("whole"), 1).otherwise(F.col("m"))).alias("kinds"))
-    found = (entries.join(cores.where("total > 1"), CORE)
-             .select(*SUFFIX_KEYS, (F.col("whole") & (F.col("n") > 1)).alias("repeated"), "witness",
-                     (F.col("kinds") > 1).alias("mixed")))
-    is_witness = (F.col("witness.text_key") == F.col("text_key")) & (F.col("witness.place") == F.col("place"))
-    return (records.join(found, SUFFIX_KEYS)
-            .withColumn("open", F.col("mixed") & (~F.col("repeated") | is_witness)))
+# ------------------------------------------------------------------ search
+def text_key(text_col: str) -> list:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
 
 
-# ------------------------------------------------------------------ search
-def distinct_texts(docs: DataFrame, text_col: str) -> DataFrame:
-    """text_key (MD5), n (copies) and z (compressed text) of each distinct
-    text; spread by the key, each partition in its order."""
-    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    rows = rows.select(F.unhex(F.md5("t")).alias("text_key"), "t")
+def distinct_texts(docs: DataFrame, text_col: str, length: int) -> DataFrame:
+    """k1, k2, copied (1 if it has copies) and z (compressed text) of each
+    distinct text that is long enough; spread by the key, each partition in its
+    order. Copies are dropped before texts are shuffled."""
+    rows = docs.select(*text_key(text_col), F.col(text_col).alias("t")).where(F.octet_length("t") >= length)
 
     def squeeze(batches):
-        pack = zstandard.ZstdCompressor(level=1).compress
+        pack = zstandard.ZstdCompressor(level=3).compress
         for b in batches:
             z = pa.array([pack(x) for x in b.column("t").cast(pa.large_binary()).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column("text_key"), z], names=["text_key", "z"])
+            yield pa.RecordBatch.from_arrays([b.column("k1"), b.column("k2"), z], names=["k1", "k2", "z"])
 
     spark = docs.sparkSession
     C.ship(spark)
-    return (rows.mapInArrow(squeeze, "text_key binary, z binary")
-            .groupBy("text_key").agg(F.count(F.lit(1)).alias("n"), F.first("z").alias("z"))
-            .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "text_key").sortWithinPartitions("text_key"))
+    return (rows.mapInArrow(squeeze, "k1 long, k2 long, z binary")
+            .groupBy(*KEY).agg((F.count(F.lit(1)) > 1).cast("long").alias("copied"), F.first("z").alias("z"))
+            .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *KEY).sortWithinPartitions(*KEY))
+
 
+def _map_texts(joined: DataFrame, ddl: str, work) -> DataFrame:
+    """Runs ``work`` on slices of (compressed) texts with their nodes, if any;
+    it returns row numbers and then the columns after k1, k2."""
+    names = [part.split()[0] for part in ddl.split(", ")]
+    with_nodes = "nodes" in joined.columns
 
-def _map_texts(joined: DataFrame, ddl: str, names: list[str], work, with_nodes: tuple[str, ...] = ()) -> DataFrame:
-    """Runs ``work`` on slices of (compressed) texts with their lists of
-    nodes; it returns row numbers and then the columns after text_key, n."""
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
         for big in batches:
             # slices of bounded size: texts are unpacked a few at a time
-            size = np.cumsum([len(x) * 6 for x in big.column("z").to_pylist()])
+            size = np.cumsum([len(x) * 4 for x in big.column("z").to_pylist()])
             i = 0
             while i < len(big):
-                j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + 8 * SEGMENT, side="right")))
+                j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + 4 * SEGMENT, side="right")))
                 b = big.slice(i, j - i)
                 i = j
                 rows = [(r, unpack(z)) for r, z in enumerate(b.column("z").to_pylist())]
-                nodes = nodes_by_row(b.column("nodes"), with_nodes) if with_nodes else None
-                row, *cols = work(rows, nodes)
-                if not len(row):
-                    continue
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("text_key").take(take), b.column("n").take(take), *[pa.array(c) for c in cols]],
-                    names=["text_key", "n", *names])
+                copied = b.column("copied").to_numpy()
+                if with_nodes:
+                    lists = b.column("nodes")
+                    nodes = lists.flatten().to_numpy()
+                    row, *cols = work(rows, copied, np.repeat(np.arange(len(rows)), np.asarray(lists.value_lengths())), nodes)
+                else:
+                    row, *cols = work(rows, copied)
+                if len(row):
+                    take = pa.array(row)
+                    yield pa.RecordBatch.from_arrays([b.column("k1").take(take), b.column("k2").take(take),
+                                                      *[pa.array(c) for c in cols]], names=["k1", "k2", *names])
 
     C.ship(joined.sparkSession)
-    return joined.mapInArrow(run, f"text_key binary, n long, {ddl}")
-
-
-def _nodes(records: DataFrame, *cols: str) -> DataFrame:
-    return (records.select("text_key", F.struct(*cols).alias("node"))
-            .groupBy("text_key").agg(F.collect_list("node").alias("nodes")))
+    return joined.mapInArrow(run, f"k1 long, k2 long, {ddl}")
 
 
-HASHES = "c1 long, c2 long, f1 long, f2 long, whole boolean"
+def _with_open(texts: DataFrame, judged: DataFrame) -> DataFrame:
+    nodes = judged.where("open").groupBy(*KEY).agg(F.collect_list("node").alias("nodes"))
+    return texts.join(nodes, KEY).select(*KEY, "copied", "z", "nodes")
 
 
-def repeated_windows(texts: DataFrame, length: int = LENGTH, batches: int = BATCHES) -> DataFrame:
-    """text_key, ranges: (first, last) starts of windows that occur elsewhere."""
-    names = ["place", "near", "far", "c1", "c2", "f1", "f2", "whole"]
+def repeated_windows(texts: DataFrame, scratch: Scratch, length: int = LENGTH, batches: int = BATCHES) -> DataFrame:
+    """k1, k2, ranges: (first, last) starts of windows that occur elsewhere."""
+    hashes = "node long, core long, extent long"
 
-    def suffixes(rows, _):
+    def suffixes(rows, copied):
         s = own_suffixes(rows, length)
-        return [s["row"], *[s[c] for c in names]]
+        node = pack_nodes(s["place"], s["near"], s["far"], 0, copied[s["row"]])
+        return s["row"], node, s["core"], s["extent"]
 
-    records = C.cut(_map_texts(texts.select("text_key", "n", "z"), f"place long, near long, far long, {HASHES}", names, suffixes)
-                    .withColumn("block", F.lit(0).cast("long")))
-    family = IndexFamily(SUFFIX_KEYS)
+    records = scratch.table(_map_texts(texts.select(*KEY, "copied", "z"), hashes, suffixes), "suffixes")
+    family = IndexFamily(scratch)
     for k in range(batches):
-        family.add(records.where(F.pmod(F.xxhash64("text_key"), F.lit(batches)) == k))
-    judged = C.cut(judge(records, family.scan()))
-    span = F.struct((F.col("place") - F.col("far")).alias("first"), (F.col("place") - F.col("near")).alias("last"))
-    found = [judged.where("repeated").select("text_key", span.alias("range"))]
-
-    names = ["place", "block", "near", "far", "c1", "c2", "f1", "f2", "whole"]
-
-    def blocks(rows, nodes):
-        row, (place, near, far) = nodes
-        node, *cols = block_hashes(rows, row, place, near, far, length)
-        return [row[node], place[node], *cols]
-
-    open_ = texts.join(_nodes(judged.where("open"), "place", "near", "far"), "text_key")
-    records = C.cut(_map_texts(open_, f"place long, block long, near long, far long, {HASHES}", names, blocks,
-                               ("place", "near", "far")))
-    judged = C.cut(judge(records, IndexFamily(SUFFIX_KEYS).array(records)))
-    found.append(judged.where("repeated").select("text_key", span.alias("range")))
-
-    def windows(rows, nodes):
-        row, (place, near, far) = nodes
-        node, *cols = window_hashes(rows, row, place, near, far, length)
-        return [row[node], *cols]
-
-    open_ = texts.join(_nodes(judged.where("open"), "place", "near", "far"), "text_key")
-    records = C.cut(_map_texts(open_, "place long, h1 long, h2 long", ["place", "h1", "h2"], windows, ("place", "near", "far")))
-    again = records.groupBy("h1", "h2").agg(F.sum("n").alias("total")).where("total > 1").select("h1", "h2")
-    found.append(records.join(again, ["h1", "h2"]).select("text_key", F.struct(F.col("place").alias("first"),
-                                                                              F.col("place").alias("last")).alias("range")))
-    every = found[0].unionByName(found[1]).unionByName(found[2])
-    return every.groupBy("text_key").agg(F.collect_list("range").alias("ranges"))
-
-
-def covered(ranges: list[dict], copies: int, size: int, length: int) -> list[tuple[int, int]]:
+        family.add(records.where(F.pmod(F.xxhash64(*KEY), F.lit(batches)) == k))
+    judged = scratch.table(judge(records.join(family.matched(), "core", "left_semi")), "matches")
+    found = judged.where("repeated").select(*KEY, _window_range().alias("range"))
+
+    def blocks(rows, copied, row, nodes):
+        n, block, near, far, core, extent = block_hashes(rows, row, *unpack_nodes(nodes), length)
+        return row[n], pack_nodes(nodes[n] >> PLACE, near, far, block, copied[row[n]]), core, extent
+
+    records = scratch.table(_map_texts(_with_open(texts, judged), hashes, blocks), "blocks")
+    judged = scratch.table(judge(records), "block-matches")
+    found = found.unionByName(judged.where("repeated").select(*KEY, _window_range().alias("range")))
+
+    def windows(rows, copied, row, nodes):
+        n, place, h1, h2 = window_hashes(rows, row, *unpack_nodes(nodes), length)
+        return row[n], (place << 1) | copied[row[n]], h1, h2
+
+    records = scratch.table(_map_texts(_with_open(texts, judged), "node long, h1 long, h2 long", windows), "windows")
+    again = records.groupBy("h1", "h2").agg(F.sum(_weight()).alias("n")).where("n > 1").select("h1", "h2")
+    start = F.shiftright("node", 1)
+    single = records.join(again, ["h1", "h2"]).select(*KEY, F.struct(start.alias("first"), start.alias("last")).alias("range"))
+    return found.unionByName(single).groupBy(*KEY).agg(F.collect_list("range").alias("ranges"))
+
+
+def covered(ranges: list[dict], copied: int, size: int, length: int) -> list[tuple[int, int]]:
     """Maximal runs of removed bytes."""
-    if copies > 1 and size >= length:
+    if copied and size >= length:
         return [(0, size)]
     out: list[list[int]] = []
     for a, b in sorted((r["first"], r["last"] + length) for r in ranges or []):
@@ -362,54 +410,53 @@ def covered(ranges: list[dict], copies: int, size: int, length: int) -> list[tup
     return [(a, b) for a, b in out]
 
 
-RESULT = "text_key binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<first: long, last: long>>"
+RESULT = "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<first: long, last: long>>"
 
 
-def find_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, batches: int = BATCHES) -> tuple[DataFrame, DataFrame]:
-    """By distinct text: text_key, n_bytes, n_removed, n_spans, kept_sha256,
-    spans (bytes removed, end exclusive). And the texts it keeps on disk,
-    to be let go when the result is written."""
+def find_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, batches: int = BATCHES) -> DataFrame:
+    """Of each distinct text that loses bytes: k1, k2 (its key), n_removed,
+    n_spans, kept_sha256, spans (bytes removed, end exclusive)."""
     if length < 2 * GRAM:
         raise ValueError(f"strings of at least {2 * GRAM} bytes are looked for")
-    texts = distinct_texts(docs, text_col).persist(StorageLevel.DISK_ONLY)
-    ranges = repeated_windows(texts, length, batches)
+    texts = distinct_texts(docs, text_col, length).persist()
+    scratch = Scratch(docs.sparkSession)
+    ranges = repeated_windows(texts, scratch, length, batches)
     kinds = C.arrow_schema(C.StructType.fromDDL(RESULT))
 
-    def run(rows):
+    def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
-        for b in rows:
+        for b in batches:
             out = []
-            for key, n, z, found in zip(*(b.column(c).to_pylist() for c in ("text_key", "n", "z", "ranges"))):
+            for k1, k2, copied, z, found in zip(*(b.column(c).to_pylist() for c in ("k1", "k2", "copied", "z", "ranges"))):
                 text = unpack(z)
-                spans = covered(found, n, len(text), length)
+                spans = covered(found, copied, len(text), length)
                 digest, at = hashlib.sha256(), 0
                 for s, e in spans:
                     digest.update(text[at:s])
                     at = e
                 digest.update(text[at:])
-                out.append((key, len(text), sum(e - s for s, e in spans), len(spans), digest.hexdigest(),
+                out.append((k1, k2, sum(e - s for s, e in spans), len(spans), digest.hexdigest(),
                             [{"first": s, "last": e} for s, e in spans]))
             cols = list(zip(*out)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, k.type) for c, k in zip(cols, kinds)], names=kinds.names)
 
     C.ship(docs.sparkSession)
-    return texts.join(ranges, "text_key", "left").select("text_key", "n", "z", "ranges").mapInArrow(run, RESULT), texts
-
-
-def text_key(text_col: str):
-    return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    losing = texts.join(ranges, KEY, "left").where("copied = 1 OR ranges IS NOT NULL")
+    result = Scratch(docs.sparkSession).table(losing.select(*KEY, "copied", "z", "ranges").mapInArrow(run, RESULT), "repeats")
+    texts.unpersist()
+    scratch.clear()
+    return result
 
 
 def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH, batches: int = BATCHES,
                    count_col: str | None = None) -> DataFrame:
     """All rows of ``docs``, without the characters that lie wholly in
     removed bytes; ``count_col``, if given, becomes the text's length."""
-    result, texts = find_repeats(docs, text_col, length, batches)
-    found = C.cut(result.where("n_removed > 0").select("text_key", "spans"))
-    texts.unpersist()
-    key, spans, kept = (C.fresh_name(docs, x) for x in ("repeats_key", "repeats_spans", "repeats_kept"))
-    found = found.select(F.col("text_key").alias(key), F.col("spans").alias(spans))
-    rows = docs.withColumn(key, text_key(text_col)).join(found, key, "left")
+    found = find_repeats(docs, text_col, length, batches)
+    k1, k2, spans, kept = (C.fresh_name(docs, x) for x in ("repeats_k1", "repeats_k2", "repeats_spans", "repeats_kept"))
+    found = found.select(F.col("k1").alias(k1), F.col("k2").alias(k2), F.col("spans").alias(spans))
+    keys = text_key(text_col)
+    rows = docs.withColumns({k1: keys[0], k2: keys[1]}).join(found, [k1, k2], "left")
 
     def make():
         def run(t, batch):
@@ -437,7 +484,10 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH
 
 def op8_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
     docs = C.table(spark, sf_dir, "documents").select("doc_id", "text")
-    result, texts = find_repeats(docs)
-    found = C.cut(result.drop("spans"))
-    texts.unpersist()
-    return docs.select("doc_id", text_key("text").alias("text_key")).join(found, "text_key").drop("text_key")
+    found = find_repeats(docs).drop("spans")
+    text = F.coalesce("text", F.lit(""))
+    whole = docs.select("doc_id", *text_key("text"), F.octet_length(text).cast("long").alias("n_bytes"),
+                        F.sha2(text, 256).alias("whole_sha256"))
+    return whole.join(found, KEY, "left").select(
+        "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", "whole_sha256").alias("kept_sha256"))
