@@ -289,14 +289,17 @@ def judge(live: DataFrame) -> DataFrame:
     (all their windows match), ``open`` if they are to be refined, for
     themselves or as the one witness of equal extents for others."""
     whole = F.col("extent") != 0
-    kinds = live.groupBy("core", "extent").agg(
-        F.sum(_weight()).alias("n"), F.count(F.lit(1)).alias("m"), F.min(F.xxhash64(*KEY, "node")).alias("witness"))
-    cores = kinds.groupBy("core").agg(F.sum("n").alias("total"), F.sum(F.when(whole, 1).otherwise(F.col("m"))).alias("kinds"))
-    kinds = kinds.join(cores.where("total > 1"), "core").select(
-        "core", "extent", (whole & (F.col("n") > 1)).alias("repeated"), (F.col("kinds") > 1).alias("mixed"), "witness")
+    # a core is mixed unless all its extents are whole and the same
+    cores = live.groupBy("core").agg(F.sum(_weight()).alias("total"), F.min("extent").alias("low"), F.max("extent").alias("high"),
+                                     F.max((~whole).cast("int")).alias("cut"))
+    cores = cores.where("total > 1").select("core", ((F.col("low") != F.col("high")) | (F.col("cut") == 1)).alias("mixed"))
+    again = (live.where(whole).groupBy("core", "extent")
+             .agg(F.sum(_weight()).alias("n"), F.min(F.xxhash64(*KEY, "node")).alias("witness"))
+             .where("n > 1").select("core", "extent", "witness"))
+    repeated = F.col("witness").isNotNull()
     is_witness = F.xxhash64(*KEY, "node") == F.col("witness")
-    return live.join(kinds, ["core", "extent"]).select(
-        *KEY, "node", "repeated", (F.col("mixed") & (~F.col("repeated") | is_witness)).alias("open"))
+    return live.join(cores, "core").join(again, ["core", "extent"], "left").select(
+        *KEY, "node", repeated.alias("repeated"), (F.col("mixed") & (~repeated | is_witness)).alias("open"))
 
 
 # ------------------------------------------------------------------ search
@@ -334,10 +337,10 @@ def _map_texts(joined: DataFrame, ddl: str, work) -> DataFrame:
         unpack = zstandard.ZstdDecompressor().decompress
         for big in batches:
             # slices of bounded size: texts are unpacked a few at a time
-            size = np.cumsum([len(x) * 4 for x in big.column("z").to_pylist()])
+            size = np.cumsum([zstandard.frame_content_size(x) for x in big.column("z").to_pylist()])
             i = 0
             while i < len(big):
-                j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + 4 * SEGMENT, side="right")))
+                j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + SEGMENT, side="right")))
                 b = big.slice(i, j - i)
                 i = j
                 rows = [(r, unpack(z)) for r, z in enumerate(b.column("z").to_pylist())]
