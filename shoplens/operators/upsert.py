@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.operators.dedup import keep_max
-from shoplens.session import scratch_path
+from shoplens.session import scratch_path, scratch_table
 
 
 class KeyError_(ValueError):
@@ -32,7 +32,9 @@ def last_wins(updates: DataFrame, keys: Sequence[str], seq: str | None) -> DataF
 
 
 def settled(df: DataFrame, name: str = "batch") -> DataFrame:
-    """``df`` written to the shared folder and read back."""
+    """``df`` written to the shared folder and read back. The lazy forms below
+    need it for as long as their result is used, so the file stays; jobs that
+    write their result at once use ``session.scratch_table`` instead."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -40,7 +42,12 @@ def settled(df: DataFrame, name: str = "batch") -> DataFrame:
 
 def settled_batch(base: DataFrame, updates: DataFrame, keys: Sequence[str], seq: str | None = None) -> DataFrame:
     """The batch's latest row per key, with the base's columns, settled."""
-    return settled(last_wins(updates, keys, seq).select(*base.columns), "upsert-batch")
+    return settled(latest(base, updates, keys, seq), "upsert-batch")
+
+
+def latest(base: DataFrame, updates: DataFrame, keys: Sequence[str], seq: str | None = None) -> DataFrame:
+    """The batch's latest row per key, with the base's columns."""
+    return last_wins(updates, keys, seq).select(*base.columns)
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str], seq: str | None = None) -> DataFrame:
@@ -90,8 +97,15 @@ def insert_conflicts(base: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
     ('exists') or repeated inside the batch ('duplicate_in_batch').
 
     The base is scanned once, against the batch's settled keys."""
+    return _conflicts(base, settled(_copies(batch, keys), "insert-keys"), keys)
+
+
+def _copies(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def _conflicts(base: DataFrame, counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     keys = list(keys)
-    counts = settled(batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")), "insert-keys")
     exists = (base.select(*keys).join(counts.select(*keys), keys, "left_semi").distinct()
               .select(*keys, F.lit("exists").alias("reason")))
     dup = counts.where(F.col("copies") > 1).select(*keys, F.lit("duplicate_in_batch").alias("reason"))
@@ -101,7 +115,8 @@ def insert_conflicts(base: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
 def assert_insertable(base: DataFrame, batch: DataFrame, keys: Sequence[str], sample: int = 3) -> None:
     """Fail the whole load before writing anything, naming up to ``sample``
     conflicts (the check runs on executors; only the sample reaches the driver)."""
-    bad = insert_conflicts(base, batch, keys).limit(sample).collect()
+    with scratch_table(_copies(batch, keys), "insert-keys") as counts:
+        bad = _conflicts(base, counts, keys).limit(sample).collect()
     if bad:
         raise KeyError_(f"insert would collide on {len(bad)}+ keys; first: {[r.asDict() for r in bad]}")
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from shoplens.config import LoaderConfig
 from shoplens.operators import upsert
 from shoplens.schemas import COLLECTION_FILES, COLLECTION_KEYS
+from shoplens.session import scratch_table
 from shoplens.sinks import snapshot
 from shoplens.sources.ndjson import DOCUMENT, read_collections, typed_collection, validate_ndjson
 
@@ -47,16 +48,15 @@ def load_collection(spark: SparkSession, name: str, batch: DataFrame, target_roo
     root = f"{target_root.rstrip('/')}/{name}"
     base = _base(spark, root, key, drop)
     if mode == "insert":
-        rows = upsert.settled(batch.select(key, DOCUMENT), "insert-batch")
-        new, stats = base.unionByName(rows), {"affected": rows.count(), "modified": 0}
-    else:
-        # Later lines win over earlier ones for the same key.
-        rows = upsert.settled_batch(base, batch.withColumn("_seq", F.struct("file", "line")).drop("file", "line"),
-                                    [key], "_seq")
+        with scratch_table(batch.select(key, DOCUMENT), "insert-batch") as rows:
+            snapshot.publish_snapshot(spark, base.unionByName(rows), root)
+            return {"affected": rows.count(), "modified": 0}
+    # Later lines win over earlier ones for the same key.
+    numbered = batch.withColumn("_seq", F.struct("file", "line")).drop("file", "line")
+    with scratch_table(upsert.latest(base, numbered, [key], "_seq"), "upsert-batch") as rows:
         s = upsert.stats_settled(base, rows, [key]).first()
-        new, stats = upsert.upsert_settled(base, rows, [key]), {"affected": s["affected"], "modified": s["modified"]}
-    snapshot.publish_snapshot(spark, new, root)
-    return stats
+        snapshot.publish_snapshot(spark, upsert.upsert_settled(base, rows, [key]), root)
+    return {"affected": s["affected"], "modified": s["modified"]}
 
 
 def read_collection(spark: SparkSession, target_root: str, name: str) -> DataFrame | None:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC wall-clock semantics, ANSI arithmetic,
 # adaptive execution (coalesce, skew-join split, runtime join choice).
@@ -78,3 +79,21 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared folder (never reused)."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder and read back, for as long as the
+    block lasts; its size is then known to Spark."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove_path(spark, path)

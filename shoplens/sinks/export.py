@@ -8,9 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.operators.upsert import settled
 from shoplens.schemas import L0_TOPICS
-from shoplens.session import scratch_path
+from shoplens.session import remove_path, scratch_path, scratch_table
 
 
 def write_ndjson(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -32,7 +31,8 @@ def export_csv(df: DataFrame, root: str, year: int, month: int, single_file: boo
         df.write.mode(mode).option("header", True).csv(path)
         return path
     parts = scratch_path(spark, "csv")
-    settled(df, "csv-result").coalesce(1).write.option("header", True).csv(parts)
+    with scratch_table(df, "csv-result") as result:
+        result.coalesce(1).write.option("header", True).csv(parts)
     hadoop = spark._jvm.org.apache.hadoop.fs
     source, target = hadoop.Path(parts), hadoop.Path(f"{path}.csv")
     conf = spark._jsc.hadoopConfiguration()
@@ -42,6 +42,7 @@ def export_csv(df: DataFrame, root: str, year: int, month: int, single_file: boo
     part = next(f.getPath() for f in from_fs.listStatus(source) if f.getPath().getName().startswith("part-"))
     to_fs.mkdirs(target.getParent())
     hadoop.FileUtil.copy(from_fs, part, to_fs, target, True, True, conf)
+    remove_path(spark, parts)
     return f"{path}.csv"
 
 

@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 
 from shoplens.operators import cleaning, monitor, upsert
 from shoplens.operators.cleaning import Cleaning
+from shoplens.session import scratch_table
 from shoplens.sinks import snapshot
 from shoplens.sources.ndjson import is_object
 
@@ -95,9 +96,9 @@ def upsert_batches(spark: SparkSession, root: str, rules: Cleaning = cleaning.PU
         if info is not None and info[1] is not None and int(info[1]) >= batch_id:
             return
         base = snapshot.read_current(spark, root)
-        new = (cleaning.deduplicated(batch, rules) if base is None
-               else upsert.upsert(base, batch, list(rules.key), rules.latest))
-        snapshot.publish_snapshot(spark, new, root, tag=str(batch_id))
+        with scratch_table(cleaning.deduplicated(batch, rules), "stream-batch") as rows:
+            new = rows if base is None else upsert.upsert_settled(base, rows, list(rules.key), rules.latest)
+            snapshot.publish_snapshot(spark, new, root, tag=str(batch_id))
     return fn
 
 
