@@ -289,17 +289,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
              max_bits: int = MAX_BITS, most: int = MOST_AT_ANCHOR) -> DataFrame:
-    """One row of each group, the one with the smallest id, as it is in ``docs``."""
-    hashed = F.xxhash64(F.col(text_col))
+    """One row of each group, the one with the smallest id, as it is in
+    ``docs``. Rows are known by two hashes of id and text, so that the texts
+    are shuffled once, for the choice and for repeated rows."""
+    def keys(i, t):
+        return [F.xxhash64(F.lit(k), F.col(i), F.col(t)) for k in range(2)]
+
+    k1, k2 = C.fresh_name(docs, "row_k1"), C.fresh_name(docs, "row_k2")
     slim = with_fingerprint(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text", shingle)
-    slim = C.cut(slim.select("doc_id", F.xxhash64("text").alias("hash"), "simhash.fingerprint"))
+    a, b = keys("doc_id", "text")
+    slim = C.cut(slim.select("doc_id", a.alias(k1), b.alias(k2), "simhash.fingerprint"))
     groups = _groups(slim, max_bits, most).select("fingerprint", "root")
     kept = (slim.join(groups, "fingerprint").groupBy("root")
-            .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "hash")).alias("k")).select("k.doc_id", "k.hash"))
-    mark = C.fresh_name(docs, "text_hash")
-    rows = docs.withColumn(mark, hashed)
-    return (rows.join(kept, rows[id_col].eqNullSafe(kept.doc_id) & (rows[mark] == kept.hash), "left_semi")
-            .dropDuplicates([id_col, mark]).select(*[F.col(f"`{c}`") for c in docs.columns]))
+            .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", k1, k2)).alias("k")).select(f"k.{k1}", f"k.{k2}"))
+    a, b = keys(id_col, text_col)
+    rows = docs.withColumns({k1: a, k2: b}).join(kept, [k1, k2], "left_semi")
+    return rows.dropDuplicates([k1, k2]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op5_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
