@@ -44,6 +44,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,7 +55,7 @@ LENGTH = 400
 GRAM = 32
 BLOCK = 24
 BATCHES = 4
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 
 
 # ------------------------------------------------------------ local search
@@ -280,22 +281,26 @@ class IndexFamily:
     def matched(self) -> DataFrame:
         """Merge-scan of all levels: the cores that occur again."""
         arrays = [array for _, array in self.levels]
-        whole = arrays[0] if len(arrays) == 1 else self.merged(arrays)
+        whole = arrays[0] if len(arrays) == 1 else self.scratch.table(self.merged(arrays), "suffix-array")
         return whole.where("n > 1").select("core")
 
 
-def judge(live: DataFrame) -> DataFrame:
+def judge(live: DataFrame, scratch: Scratch) -> DataFrame:
     """Records whose core occurs again: ``repeated`` if their whole extent does
     (all their windows match), ``open`` if they are to be refined, for
-    themselves or as the one witness of equal extents for others."""
+    themselves or as the one witness of equal extents for others. Counts are
+    written before they are joined: between two plain shuffles Spark splits the
+    records of a very common core among tasks."""
     whole = F.col("extent") != 0
     # a core is mixed unless all its extents are whole and the same
     cores = live.groupBy("core").agg(F.sum(_weight()).alias("total"), F.min("extent").alias("low"), F.max("extent").alias("high"),
                                      F.max((~whole).cast("int")).alias("cut"))
-    cores = cores.where("total > 1").select("core", ((F.col("low") != F.col("high")) | (F.col("cut") == 1)).alias("mixed"))
+    cores = scratch.table(cores.where("total > 1").select(
+        "core", ((F.col("low") != F.col("high")) | (F.col("cut") == 1)).alias("mixed")), "cores")
     again = (live.where(whole).groupBy("core", "extent")
              .agg(F.sum(_weight()).alias("n"), F.min(F.xxhash64(*KEY, "node")).alias("witness"))
              .where("n > 1").select("core", "extent", "witness"))
+    again = scratch.table(again, "extents")
     repeated = F.col("witness").isNotNull()
     is_witness = F.xxhash64(*KEY, "node") == F.col("witness")
     return live.join(cores, "core").join(again, ["core", "extent"], "left").select(
@@ -315,6 +320,7 @@ def distinct_texts(docs: DataFrame, text_col: str, length: int) -> DataFrame:
     rows = docs.select(*text_key(text_col), F.col(text_col).alias("t")).where(F.octet_length("t") >= length)
 
     def squeeze(batches):
+        C.hold(__name__)
         pack = zstandard.ZstdCompressor(level=3).compress
         for b in batches:
             z = pa.array([pack(x) for x in b.column("t").cast(pa.large_binary()).to_pylist()], pa.binary())
@@ -334,6 +340,7 @@ def _map_texts(joined: DataFrame, ddl: str, work) -> DataFrame:
     with_nodes = "nodes" in joined.columns
 
     def run(batches):
+        C.hold(__name__)
         unpack = zstandard.ZstdDecompressor().decompress
         for big in batches:
             # slices of bounded size: texts are unpacked a few at a time
@@ -355,6 +362,7 @@ def _map_texts(joined: DataFrame, ddl: str, work) -> DataFrame:
                     take = pa.array(row)
                     yield pa.RecordBatch.from_arrays([b.column("k1").take(take), b.column("k2").take(take),
                                                       *[pa.array(c) for c in cols]], names=["k1", "k2", *names])
+        pa.default_memory_pool().release_unused()
 
     C.ship(joined.sparkSession)
     return joined.mapInArrow(run, f"k1 long, k2 long, {ddl}")
@@ -378,7 +386,8 @@ def repeated_windows(texts: DataFrame, scratch: Scratch, length: int = LENGTH, b
     family = IndexFamily(scratch)
     for k in range(batches):
         family.add(records.where(F.pmod(F.xxhash64(*KEY), F.lit(batches)) == k))
-    judged = scratch.table(judge(records.join(family.matched(), "core", "left_semi")), "matches")
+    live = scratch.table(records.join(family.matched(), "core", "left_semi"), "matched")
+    judged = scratch.table(judge(live, scratch), "matches")
     found = judged.where("repeated").select(*KEY, _window_range().alias("range"))
 
     def blocks(rows, copied, row, nodes):
@@ -386,7 +395,7 @@ def repeated_windows(texts: DataFrame, scratch: Scratch, length: int = LENGTH, b
         return row[n], pack_nodes(nodes[n] >> PLACE, near, far, block, copied[row[n]]), core, extent
 
     records = scratch.table(_map_texts(_with_open(texts, judged), hashes, blocks), "blocks")
-    judged = scratch.table(judge(records), "block-matches")
+    judged = scratch.table(judge(records, scratch), "block-matches")
     found = found.unionByName(judged.where("repeated").select(*KEY, _window_range().alias("range")))
 
     def windows(rows, copied, row, nodes):
@@ -395,6 +404,7 @@ def repeated_windows(texts: DataFrame, scratch: Scratch, length: int = LENGTH, b
 
     records = scratch.table(_map_texts(_with_open(texts, judged), "node long, h1 long, h2 long", windows), "windows")
     again = records.groupBy("h1", "h2").agg(F.sum(_weight()).alias("n")).where("n > 1").select("h1", "h2")
+    again = scratch.table(again, "window-matches")
     start = F.shiftright("node", 1)
     single = records.join(again, ["h1", "h2"]).select(*KEY, F.struct(start.alias("first"), start.alias("last")).alias("range"))
     return found.unionByName(single).groupBy(*KEY).agg(F.collect_list("range").alias("ranges"))
@@ -421,7 +431,7 @@ def find_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH,
     n_spans, kept_sha256, spans (bytes removed, end exclusive)."""
     if length < 2 * GRAM:
         raise ValueError(f"strings of at least {2 * GRAM} bytes are looked for")
-    texts = distinct_texts(docs, text_col, length).persist()
+    texts = distinct_texts(docs, text_col, length).persist(StorageLevel.DISK_ONLY)
     scratch = Scratch(docs.sparkSession)
     ranges = repeated_windows(texts, scratch, length, batches)
     kinds = C.arrow_schema(C.StructType.fromDDL(RESULT))
