@@ -28,7 +28,7 @@ import shoplens
 from shoplens.session import shared_dir
 
 SLICE_BYTES = 1 << 20
-WORD_SLICE_BYTES = 1 << 22  # where each distinct word of a slice costs more than its copies
+WORD_SLICE_BYTES = 1 << 21  # where each distinct word of a slice costs more than its copies
 
 
 _SHIPPED: set[str] = set()
@@ -129,12 +129,25 @@ def arrow_schema(schema: StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(owner: str, release: Callable[[], None] | None = None) -> None:
+    """Of the operators that run in a Python worker after another, only the
+    present one keeps its caches."""
+    for other in [x for x in _HELD if x != owner]:
+        _HELD.pop(other)()
+    if release:
+        _HELD[owner] = release
+
+
 def annotate(df: DataFrame, text_col: str, ddl: str, make: Callable[[], Callable[[Texts, pa.RecordBatch], list]],
-             name: str, budget: int = SLICE_BYTES) -> DataFrame:
+             name: str, budget: int = SLICE_BYTES, caches: Callable[[], None] | None = None) -> DataFrame:
     """``df`` plus the struct column ``name`` with the fields of ``ddl``.
 
     ``make`` runs once per task and returns the function that maps a slice of
     texts (and the Arrow batch it comes from) to one array per field.
+    ``caches``, if given, empties what the operator keeps in the worker.
     """
     fields = StructType.fromDDL(ddl)
     out = StructType([*df.schema.fields, StructField(name, fields, False)])
@@ -142,6 +155,7 @@ def annotate(df: DataFrame, text_col: str, ddl: str, make: Callable[[], Callable
     at = df.columns.index(text_col)
 
     def run(batches):
+        hold(make.__module__, caches)
         fn = make()
         for batch in batches:
             parts = [fn(s, batch) for s in slices(texts_of(batch.column(at)), budget)]
@@ -153,6 +167,7 @@ def annotate(df: DataFrame, text_col: str, ddl: str, make: Callable[[], Callable
                 cols.append(pa.concat_arrays([c if c.type == kind else c.cast(kind) for c in chunks]))
             new = pa.StructArray.from_arrays(cols, names=[n for n, _ in kinds])
             yield pa.RecordBatch.from_arrays([*batch.columns, new], names=[*batch.schema.names, name])
+        pa.default_memory_pool().release_unused()  # a worker that waits for its next task holds little
 
     ship(df.sparkSession)
     return df.mapInArrow(run, out)
@@ -258,7 +273,7 @@ class Memo(dict):
     """A worker's cache of results by segment; emptied when it is full, so
     that its memory is bounded."""
 
-    def __init__(self, fn, most: int = 600_000, longest: int = 48):
+    def __init__(self, fn, most: int = 200_000, longest: int = 48):
         super().__init__()
         self.fn, self.most, self.longest = fn, most, longest
 

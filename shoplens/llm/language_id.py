@@ -14,7 +14,8 @@ rows. Every distinct word of a slice of texts is scored once.
 
 Edge cases: null texts and texts without a letter get ``und`` and score 0, and
 so does every text if there is nothing to learn from; ties go to the language
-that sorts first; texts of any length are scored whole; repeated rows are
+that sorts first; texts of any length are scored whole (memory follows the longest
+run of letters); repeated rows are
 scored each; an empty table gives an empty result; columns of any other name
 are kept.
 """
@@ -24,6 +25,7 @@ from __future__ import annotations
 import base64
 import functools
 import math
+import re
 from pathlib import Path
 
 import numpy as np
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from shoplens.llm import _common as C
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-LONGEST_PIECE = 12
+LONGEST_PIECE = 9
 FIT_ROWS = 3000
 EM_STEPS = 3
 SMOOTHING = 0.02
@@ -43,13 +45,17 @@ LETTER = np.zeros(256, bool)
 LETTER[0x41:0x5B] = LETTER[0x61:0x7B] = LETTER[0x80:] = True
 
 
+IN_WORD = re.compile(rb" ?[a-z\x80-\xff]+").fullmatch
+
+
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str) -> tuple[dict[bytes, int], frozenset[bytes]]:
-    """Piece -> number, for pieces without capitals; and all their prefixes."""
+    """Piece -> number, for pieces that words can hold (letters, a space before)
+    and single bytes; and all their prefixes."""
     pieces: dict[bytes, int] = {}
     for line in Path(path).read_bytes().splitlines():
         piece = base64.b64decode(line.split()[0])
-        if len(piece) == 1 or (len(piece) <= LONGEST_PIECE and piece == piece.lower()):
+        if len(piece) == 1 or (len(piece) <= LONGEST_PIECE and IN_WORD(piece)):
             pieces[piece] = len(pieces)
     return pieces, frozenset(p[:k] for p in pieces for k in range(1, len(p) + 1))
 
@@ -211,7 +217,7 @@ class Trie:
         for p in pieces:
             for k in range(1, len(p) + 1):
                 node.setdefault(p[:k], len(node) + 1)
-        self.step = np.zeros((len(node) + 1, 256), np.int32)
+        self.step = np.zeros((len(node) + 1, 256), np.min_scalar_type(len(node)))
         self.piece = np.full(len(node) + 1, len(pieces), np.int32)
         for part, k in node.items():
             if part:
@@ -231,7 +237,7 @@ TOGETHER, BYTE_SCALE = 64, 256.0
 
 
 class Scorer:
-    def __init__(self, path: str, model: dict[str, np.ndarray], most: int = 700_000):
+    def __init__(self, path: str, model: dict[str, np.ndarray], most: int = 200_000):
         pieces, self.prefixes = vocabulary(path)
         self.pieces, self.trie, self.most = pieces, trie(path), most
         self.langs = sorted(model)
@@ -295,7 +301,14 @@ class Scorer:
         return out
 
 
-_SCORERS: dict[int, Scorer] = {}  # of this Python worker, by broadcast
+_SCORERS: dict[int, Scorer] = {}  # of this Python worker, by model
+
+
+def forget() -> None:
+    """Empties the worker's caches."""
+    _SCORERS.clear()
+    trie.cache_clear()
+    vocabulary.cache_clear()
 
 
 def predict(docs: DataFrame, model: dict[str, np.ndarray], text_col: str = "text", tokenizer_dir: str | None = None,
@@ -322,7 +335,7 @@ def predict(docs: DataFrame, model: dict[str, np.ndarray], text_col: str = "text
         return run
 
     raw = C.fresh_name(docs, f"{name}_raw")
-    scored = C.annotate(docs, text_col, "lang string, score double", make, raw, C.WORD_SLICE_BYTES)
+    scored = C.annotate(docs, text_col, "lang string, score double", make, raw, C.WORD_SLICE_BYTES, forget)
     has_letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     return scored.withColumn(name, F.struct(
         F.when(has_letter, F.col(f"{raw}.lang")).otherwise(UNDETERMINED).alias("lang_pred"),

@@ -80,7 +80,7 @@ class WordTokenizer:
     def learn(self, words: list[bytes]) -> None:
         """Ids of the words that are not yet known."""
         memo, tokenize, alphabet = self.memo, self.model.tokenize, self.alphabet
-        if len(memo) > 700_000:  # bounded memory
+        if len(memo) > 200_000:  # bounded memory
             memo.clear()
         plain = []
         for w in words:
@@ -168,7 +168,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
         return lambda t, _: [cut_pieces(*tok.ids(t), capacity)]
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return (C.annotate(rows, "text", PIECES, make, "cut", C.WORD_SLICE_BYTES)
+    return (C.annotate(rows, "text", PIECES, make, "cut", C.WORD_SLICE_BYTES, tokenizer.cache_clear)
             .select("doc_id", F.explode("cut.p").alias("p")).select("doc_id", "p.*"))
 
 

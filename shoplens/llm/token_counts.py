@@ -12,7 +12,7 @@ cut side by side, so no merge could cross it and counts of segments add up.
 Each distinct segment of a slice is merged once.
 
 Edge cases: null and empty texts have 0 bytes and 0 tokens; a text of any
-length is counted in full; repeated rows are counted each; an empty table
+length is counted in full (memory follows its longest segment without a cut); repeated rows are counted each; an empty table
 gives an empty result; other columns do not matter.
 """
 
@@ -133,7 +133,7 @@ def count_tokens(df: DataFrame, text_col: str = "text", tokenizer_dir: str | Non
         return run
 
     return C.annotate(df, text_col, "n_bytes long, n_tokens long, over_limit boolean", make, name,
-                      C.WORD_SLICE_BYTES)
+                      C.WORD_SLICE_BYTES, merger.cache_clear)
 
 
 def op7_token_counts(spark, sf_dir: str) -> DataFrame:
