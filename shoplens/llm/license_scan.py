@@ -3,15 +3,19 @@
 A template's words are aligned with a text's: words that occur once in both are
 matched, the longest increasing run of these is kept as anchors, and the gaps
 between anchors are aligned the same way; a gap without such words is aligned
-by its longest common subsequence. Coverage is the share of a template's words
-that are matched; at ``least`` or more the license is found there.
+by its longest common subsequence. Coverage is the share of words that are
+matched, of the template's words and the strange words between the first and
+the last match; at ``least`` or more the license is found there.
 
 Where to align: a template covered to ``least`` misses few words, so at least
-one of its ``n - least * n + 1`` rarest words stands in the text. Only stretches
-around these are aligned (two template lengths to either side, which any notice
+one of its ``n - least * n + 1`` rarest words stands in the text. Only places
+around these are looked at (two template lengths to either side, which any notice
 lies in that has no more than a template's length of strange words in it), and
-no other place can reach the coverage. Found stretches are skipped over, so
-each notice of a text is found.
+no other place can reach the coverage. There the stretch with the most matched
+words less ``least`` for each strange one is aligned. Found stretches are
+skipped over, so each notice of a text is found. Where stretches of several
+templates overlap, the one that explains most is kept: matched words less
+unmatched ones of template and stretch, then coverage, then the first by name.
 
 Edge cases: null and empty texts have no licenses; texts of any length are
 scanned whole; of licenses with equal coverage the first by name is best;
@@ -23,6 +27,7 @@ from __future__ import annotations
 
 import bisect
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -152,6 +157,24 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def best_end(text: np.ndarray, words: np.ndarray, strange: float) -> tuple[float, int]:
+    """Over all stretches of ``text``: the most matched words less ``strange``
+    for each other word between them, and the first end (exclusive) where
+    that is reached."""
+    value = np.full(len(words) + 1, -np.inf)  # by number of template words that are passed
+    best, last = 0.0, 0
+    for k in range(len(text)):
+        after = value - strange
+        same = np.flatnonzero(words == text[k])
+        if len(same):
+            after[same + 1] = np.maximum(after[same + 1], np.maximum(value[same], 0.0) + 1.0)
+            np.maximum.accumulate(after, out=after)
+            if after[-1] > best + 1e-9:
+                best, last = float(after[-1]), k + 1
+        value = after
+    return best, last
+
+
 # -------------------------------------------------------------------- scan
 class Templates:
     def __init__(self, texts: dict[str, list[str]], least: float):
@@ -167,12 +190,34 @@ class Templates:
                 in_templates[x] = in_templates.get(x, 0) + 1
         width = {int(h): int(e - s) for h, s, e in zip(w.hash, w.start, w.end)}
         # few templates and many letters make a word rare
-        self.keys = []
-        for h in hashes:
+        self.owners: dict[int, list[int]] = {}
+        for i, h in enumerate(hashes):
             order = sorted(set(h), key=lambda x: (in_templates[x], -width[x], x))
-            self.keys.append(order[:math.floor(len(h) - least * len(h) + 1e-9) + 1])
-        every = np.unique(np.array([x for k in self.keys for x in k], np.uint64))
-        self.every = every
+            for x in order[:math.floor(len(h) - least * len(h) + 1e-9) + 1]:
+                self.owners.setdefault(x, []).append(i)
+        self.keys = [[x for x, some in self.owners.items() if i in some] for i in range(len(hashes))]
+        self.counts = [Counter(h) for h in hashes]
+        self.arrays = [np.array(h, np.uint64) for h in hashes]
+        self.every = np.unique(np.array(list(self.owners), np.uint64))
+
+    def notice(self, text: np.ndarray, i: int) -> tuple[int, int, int] | None:
+        """First and last word (exclusive) and matched words of the notice of
+        template ``i`` in these words, if it is covered to ``least``."""
+        words, counts = self.words[i], self.counts[i]
+        held = [x for x in text.tolist() if x in counts]
+        if len(held) < self.least * len(words) - 1e-9:
+            return None
+        if sum(min(n, counts[x]) for x, n in Counter(held).items()) < self.least * len(words) - 1e-9:
+            return None
+        best, last = best_end(text, self.arrays[i], self.least)
+        if best < self.least * len(words) - 1e-9:
+            return None
+        first = last - best_end(text[:last][::-1], self.arrays[i][::-1], self.least)[1]
+        stretch = text[first:last].tolist()
+        pairs = patience(stretch, words)
+        if len(pairs) * (1 + self.least) < best + self.least * len(stretch) - 1e-6:  # anchors that cross cost matches
+            pairs = common_subsequence(stretch, words)
+        return first, last, len(pairs)
 
     def find(self, w: Words) -> list[list[dict]]:
         """Notices of each row: license, coverage, first and last word
@@ -182,29 +227,50 @@ class Templates:
         hit = np.flatnonzero(self.every[at] == w.hash)
         if not len(hit):
             return out
-        by_row: dict[int, list[int]] = {}
-        for k in hit.tolist():
-            by_row.setdefault(int(w.row[k]), []).append(k)
-        for r, places in by_row.items():
+        by_row: dict[int, dict[int, list[int]]] = {}
+        for k, x, r in zip(hit.tolist(), w.hash[hit].tolist(), w.row[hit].tolist()):
+            places = by_row.setdefault(r, {})
+            for i in self.owners[x]:
+                places.setdefault(i, []).append(k)
+        for r, by_template in by_row.items():
             begin, end = int(w.row_at[r]), int(w.row_at[r + 1])
-            held = {}
-            for k in places:
-                held.setdefault(int(w.hash[k]), []).append(k)
-            for name, words, keys in zip(self.names, self.words, self.keys):
-                after = begin
-                for k in sorted(p for x in keys for p in held.get(x, ())):
+            found = []
+            for i, places in by_template.items():
+                n, after = len(self.words[i]), begin
+                for k in places:
                     if k < after:
                         continue
-                    lo, hi = max(after, k - 2 * len(words)), min(end, k + 2 * len(words) + 1)
-                    pairs = patience(w.hash[lo:hi].tolist(), words)
-                    coverage = len(pairs) / len(words)
-                    if coverage >= self.least:
-                        first, last = lo + pairs[0][0], lo + pairs[-1][0] + 1
-                        out[r].append({"license": name, "coverage": coverage, "first": first - begin, "last": last - begin,
-                                       "from_byte": int(w.start[first]), "to_byte": int(w.end[last - 1])})
-                        after = last
+                    lo, hi = max(after, k - 2 * n), min(end, k + 2 * n + 1)
+                    while after <= k and (x := self.notice(w.hash[lo:hi], i)):
+                        first, last = lo + x[0], lo + x[1]
+                        if first > k:  # has key words of its own
+                            hi = first
+                            continue
+                        found.append((first, last, x[2], i))
+                        lo = after = last
+            for first, last, matched, i in self.most_explained(found):
+                out[r].append({"license": self.names[i], "coverage": self.coverage(first, last, matched, i),
+                               "first": first - begin, "last": last - begin,
+                               "from_byte": int(w.start[first]), "to_byte": int(w.end[last - 1])})
         return out
 
+    def coverage(self, first: int, last: int, matched: int, i: int) -> float:
+        return matched / (len(self.words[i]) + last - first - matched)
+
+    def most_explained(self, found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+        """Of notices (first, last, matched words, template) those that no
+        better one overlaps."""
+        def rank(x):
+            first, last, matched, i = x
+            return 3 * matched - len(self.words[i]) - (last - first), self.coverage(*x), -i, -first
+
+        kept: list[tuple[int, int, int, int]] = []
+        for x in sorted(found, key=rank, reverse=True):
+            at = bisect.bisect_left(kept, x)
+            if (at == 0 or kept[at - 1][1] <= x[0]) and (at == len(kept) or kept[at][0] >= x[1]):
+                kept.insert(at, x)
+        return kept
+
 
 FOUND = ("n_words long, notices array<struct<license: string, coverage: double, first: long, last: long, "
          "from_byte: long, to_byte: long>>")

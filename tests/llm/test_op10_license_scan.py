@@ -2,7 +2,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from helpers import SMALL, edge_docs, empty_docs
+from helpers import SF, SMALL, edge_docs, empty_docs
 
 from shoplens.llm import _common as C
 from shoplens.llm import license_scan as S
@@ -88,3 +88,62 @@ def test_query(spark):
                                         ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
                                         ("GPL-3.0", "licensed under the GNU General Public License, version 3.")) if line in t}
         assert said <= set(got[i].licenses.split(",")) and (got[i].n_notices > 0) == bool(said)
+
+
+def names(text):
+    return [x["license"] for x in find([text])[0]]
+
+
+def test_neighbours_of_a_license_are_not_reported_with_it():
+    for name, some in S.TEMPLATES.items():
+        for template in some:
+            for text in (template, FILLER + template + " " + FILLER):
+                found = find([text])[0]
+                assert [(x["license"], x["coverage"]) for x in found] == [(name, 1.0)], (name, template, found)
+    assert names("Licensed under CC BY-NC 4.0. Licensed under CC BY 4.0.") == ["CC-BY-NC-4.0", "CC-BY-4.0"]
+
+
+def test_strange_words_count():
+    assert names("It was released under the terms of a license.") == []
+    assert names("Released under the Foo License.") == []
+    x = find(["Released under the well known MIT License."])
+    assert x == [[]]
+    x = find(["This work is today licensed under the GNU General Public License, version 3."])[0]
+    assert [(y["license"], y["coverage"]) for y in x] == [("GPL-3.0", 12 / 13)]
+
+
+def test_words_of_a_notice_before_and_after_it_do_not_hide_it():
+    for name, some in S.TEMPLATES.items():
+        for template in some:
+            words = template.split()
+            part = " ".join(words[:len(words) // 2])
+            rest = " ".join(words[len(words) // 2:])
+            found = find([f"{part} and more. {template} And then {rest}"])[0]
+            assert (name, 1.0) in {(x["license"], x["coverage"]) for x in found}, (name, template, found)
+
+
+def test_best_end_against_brute_force():
+    rng = np.random.default_rng(5)
+    for _ in range(150):
+        text, words = rng.integers(0, 5, rng.integers(1, 9)), rng.integers(0, 5, rng.integers(1, 6))
+        values = {(a, b): len(S.common_subsequence(text[a:b].tolist(), words.tolist())) for a, b in
+                  itertools.combinations(range(len(text) + 1), 2)}
+        values = {(a, b): m - 0.8 * (b - a - m) for (a, b), m in values.items()}
+        best = max(0.0, *values.values())
+        got, last = S.best_end(text, words, 0.8)
+        assert abs(got - best) < 1e-9
+        assert not best or last == min(b for (_, b), v in values.items() if v > best - 1e-9)
+
+
+def test_query_names_the_licenses_and_no_others(spark):
+    lines = {"MIT": "Released under the MIT License.", "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+             "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
+             "GPL-3.0": "licensed under the GNU General Public License, version 3."}
+    texts = {r.doc_id: r.text for r in C.table(spark, SF, "documents").collect()}
+    seen = set()
+    for r in S.op10_license_scan(spark, SF).collect():
+        said = sorted(name for name, line in lines.items() if line in (texts[r.doc_id] or ""))
+        seen.update(said)
+        assert r.licenses == ",".join(said) and r.best_license == (said[0] if said else None)
+        assert r.n_notices == sum((texts[r.doc_id] or "").count(line) for line in lines.values())
+    assert seen == set(lines)
