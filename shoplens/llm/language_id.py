@@ -10,7 +10,8 @@ priors.
 The probabilities are learned by expectation maximisation on a documented,
 bounded number of labelled rows per language (``fit_rows``, chosen by a hash of
 the id); each step is one distributed pass over the distinct words of those
-rows. Every distinct word of a slice of texts is scored once.
+rows, of any length: in scripts without spaces a word is a sentence or more.
+Every distinct word of a slice of texts is scored once.
 
 Edge cases: null texts and texts without a letter get ``und`` and score 0, and
 so does every text if there is nothing to learn from; ties go to the language
@@ -102,19 +103,32 @@ def expected_counts(lattice, prob, weight: float, into: dict[int, float]) -> Non
     alpha = [0.0] * (n + 1)
     beta = [0.0] * (n + 1)
     alpha[0] = beta[n] = 1.0
+    shrunk: dict[int, float] = {}  # place: factor by which sums from there on were made smaller, as in forward
     for i, here in enumerate(lattice):
         a = alpha[i]
+        if i % 16 == 15 and 0 < a < 1e-100:
+            for j in range(i, min(i + LONGEST_PIECE, n) + 1):
+                alpha[j] /= a
+            shrunk[i] = a
+            a = 1.0
         for j, k in here:
             alpha[j] += a * prob[k]
-    for i in range(n - 1, -1, -1):
-        beta[i] = sum(prob[k] * beta[j] for j, k in lattice[i])
     whole = alpha[n]
     if whole <= 0.0:
         return
-    for i, here in enumerate(lattice):
+    at, factor = n + 1, 1.0  # the nearest such place after i: pieces that pass it take its factor
+    for i in range(n - 1, -1, -1):
+        if i + 1 in shrunk:
+            at, factor = i + 1, shrunk[i + 1]
         a = alpha[i] * weight / whole
-        for j, k in here:
-            into[k] = into.get(k, 0.0) + a * prob[k] * beta[j]
+        b = 0.0
+        for j, k in lattice[i]:
+            x = prob[k] * beta[j]
+            if j >= at:
+                x /= factor
+            b += x
+            into[k] = into.get(k, 0.0) + a * x
+        beta[i] = b
 
 
 def lower(data: np.ndarray) -> np.ndarray:
@@ -143,9 +157,6 @@ def words_of(t: C.Texts) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     return codes, words, np.searchsorted(at, t.off)
 
 
-LONGEST_FIT_WORD = 64  # longer runs of letters say nothing about a language's pieces
-
-
 def word_counts(sample: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     """lang, word, n of the labelled rows."""
     name = C.fresh_name(sample, "words")
@@ -156,8 +167,7 @@ def word_counts(sample: DataFrame, lang_col: str, text_col: str) -> DataFrame:
             out = []
             for a, b in zip(rows[:-1], rows[1:]):
                 found, n = np.unique(codes[a:b], return_counts=True)
-                out.append([{"word": words[c], "n": int(k)} for c, k in zip(found.tolist(), n.tolist())
-                            if len(words[c]) <= LONGEST_FIT_WORD])
+                out.append([{"word": words[c], "n": int(k)} for c, k in zip(found.tolist(), n.tolist())])
             return [out]
         return run
 

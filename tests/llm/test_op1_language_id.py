@@ -91,3 +91,48 @@ def test_held_out_accuracy(spark):
     assert got.count() == 1000
     row = got.where("held_out").agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("a")).first()
     assert row.n > 100 and row.a > 0.97
+
+
+def test_expected_counts_of_long_words():
+    from decimal import Decimal
+
+    word = b" " + b"abbab" * 700
+    lattice = L.edges(word, PIECES, PREFIXES)
+    n, prob = len(word), [Decimal(p) for p in PROB]
+    alpha, beta = [Decimal(1)] + [Decimal(0)] * n, [Decimal(0)] * n + [Decimal(1)]
+    for i in range(n):
+        for j, k in lattice[i]:
+            alpha[j] += alpha[i] * prob[k]
+    for i in reversed(range(n)):
+        beta[i] = sum(prob[k] * beta[j] for j, k in lattice[i])
+    assert 0 < alpha[n] < Decimal("1e-600")  # far below the smallest double
+    want = {}
+    for i in range(n):
+        for j, k in lattice[i]:
+            want[k] = want.get(k, 0.0) + float(2 * alpha[i] * prob[k] * beta[j] / alpha[n])
+    got = {}
+    L.expected_counts(lattice, PROB, 2.0, got)
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
+
+
+def test_scripts_without_spaces(spark, tmp_path):
+    """Every document is one run of letters over 64 bytes; two labels share their characters."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(7)
+    signs = {"ja": (0x3042, 80), "km": (0x1780, 40), "lo": (0x0E81, 40), "th": (0x0E01, 46), "yue": (0x4E00, 300), "zh": (0x4E00, 300)}
+    rows = []
+    for lang, (first, n) in signs.items():
+        words = ["".join(chr(first + int(k)) for k in rng.integers(0, n, rng.integers(1, 4))) for _ in range(80)]
+        for _ in range(60):
+            text = "".join(words[int(k)] for k in rng.integers(0, len(words), rng.integers(40, 120))) + "。"
+            rows.append((len(rows), text, lang, "web", len(text)))
+    assert all(len(r[1].encode()) > 64 and " " not in r[1] for r in rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in L.op1_language_id(spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows) and {got[r[0]].held_out for r in rows} == {True, False}
+    assert [(r[0], r[2], got[r[0]].lang_pred) for r in rows if got[r[0]].lang_pred != r[2]] == []
+    assert min(r.score for r in got.values()) > 0.9
+    kept = corpus_pipeline.identify_language(spark, C.table(spark, str(tmp_path), "documents"), str(tmp_path))
+    assert {r.doc_id for r in kept.collect()} == set(got)
