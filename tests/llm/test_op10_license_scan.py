@@ -147,3 +147,11 @@ def test_query_names_the_licenses_and_no_others(spark):
         assert r.licenses == ",".join(said) and r.best_license == (said[0] if said else None)
         assert r.n_notices == sum((texts[r.doc_id] or "").count(line) for line in lines.values())
     assert seen == set(lines)
+
+
+def test_licenses_with_nearly_the_same_words_are_told_apart():
+    for kind, name in (("Lesser ", "LGPL-3.0"), ("Affero ", "AGPL-3.0"), ("", "GPL-3.0")):
+        assert names(f"This work is licensed under the GNU {kind}General Public License, version 3.") == [name]
+    assert names("This work is licensed under the GNU General Public License, version 2.") == ["GPL-2.0"]
+    assert names("Licensed under CC BY-NC-SA 4.0.") == ["CC-BY-NC-SA-4.0"]
+    assert names("Licensed under CC BY-ND 4.0.") == ["CC-BY-ND-4.0"]
