@@ -5,6 +5,7 @@ from __future__ import annotations
 from shoplens.llm import (
     chat_format,
     decontaminate,
+    jaccard_join,
     language_id,
     license_scan,
     packing,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_suffix_array_dedup": suffix_dedup.op8_suffix_array_dedup,
     "op9_chat_formatting": chat_format.op9_chat_formatting,
     "op10_license_scan": license_scan.op10_license_scan,
+    "op12_jaccard_join": jaccard_join.op12_jaccard_join,
 }
 
 ORACLE_SQL = {
