@@ -11,21 +11,24 @@ t = ceil(percent * |Q| / 100) shingles in the union of S's group, and, in any
 order of all shingles, one of Q's first |Q| - t + 1 is one of S's first
 |S| - t' + 1. So only these are entered and looked up, rare shingles first:
 those that are frequent anywhere in the corpus come last, which keeps the rows
-of the matrix short. A group that a query meets there is fetched with its
-token union; it is opened, that is its members' overlaps are counted, only if
-the union holds t of the query's shingles.
+of the matrix short. For a group that a query meets there the overlap with the
+group's union is bounded twice: by counts of shingles in ``BUCKETS`` hash
+buckets (the largest of the group's members for each), then, with the group's
+texts at hand, by the union itself. Only a group that passes both is opened,
+that is, its members' overlaps are counted.
 
 The result is components, so a group is opened only where it can still change
-them. First every group is joined within itself and every query looks into one
-other group it meets; then the groups whose members are not all in the query's
-component already are looked into, all of them. Neither step emits the pairs of
-a group of copies: a query yields one link for each component of members.
-
-Bounds: a group has at most ``MOST`` sets and ``GROUP_TOKENS`` shingles (a
-larger set is alone), and its queries come in cells of that size. The frequent
-shingles (at most ``FREQUENT``) and the filter of the sets to fetch (2**BITS
-bits) are broadcast; both are of fixed size and change only the work, never
-the result.
+them. First groups are joined within themselves, and the parts of a group that
+was cut are joined with its first part. Then every query looks into one other
+group that is not all in its component, then into all of these that are left.
+No step emits the pairs of a group of copies: a query yields one link for each
+component of members.
+
+Bounds: a group has at most about ``MOST`` sets and ``GROUP_TOKENS`` shingles
+(a larger set is alone); its queries stream past it, in cells where they are
+many. The frequent shingles (at most ``FREQUENT``) and the filter of the texts
+to fetch (2**BITS bits) are broadcast; both are of fixed size and change only
+the work, never the result.
 
 Edge cases: fewer words than a shingle are one shingle; null and empty texts
 and texts without words have an empty set, linked with nothing, and their own
@@ -51,10 +54,12 @@ from shoplens.llm.components import connected_components
 SHINGLE = 3
 PERCENT = 90
 INSIDE = G.byte_class(0x20, *range(0x09, 0x0E))
-MOST = 512
+MOST = 1024
 GROUP_TOKENS = 1 << 20
 FREQUENT = 1 << 16
 BITS = 26
+BUCKETS = 128
+MOST_COUNTED = 60_000  # larger sets have no bucket counts and are never shut out by them
 CHUNK = 1 << 21  # shingles of a task that are counted at once for frequent ones
 SHARE = 256  # frequent: in one of so many documents of a chunk
 
@@ -139,34 +144,46 @@ def frequent_shingles(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarr
     return top.column("token").to_numpy().view(np.uint64), top.column("n").to_numpy()
 
 
-SET_FIELDS = "n long, handle long, sid binary, least long, first array<bigint>"
+SET_FIELDS = "n long, handle long, sid binary, least long, buckets binary, first array<bigint>"
+
+
+def bucket_counts(s: np.ndarray) -> bytes:
+    if len(s) > MOST_COUNTED:
+        return b""
+    return np.bincount((C.scramble(s) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS).astype(np.uint16).tobytes()
+
+
+def key_of(s: np.ndarray) -> bytes:
+    a, b = signature(s)
+    return a.to_bytes(8, "big") + b.to_bytes(8, "big")
 
 
 def with_sets(docs: DataFrame, order: Order, size: int, percent: int, name: str) -> DataFrame:
     """``docs`` plus a struct: the set's size, its key (16 bytes, of which
     ``handle`` is the first half), its smallest rare shingle by another hash,
-    and the shingles that are entered and looked up."""
+    its bucket counts, and the shingles that are entered and looked up."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def make():
         known = shared.value
 
         def run(t, _):
-            n, handle, sid, least, first, off = [], [], [], [], [], [0]
+            n, sid, least, buckets, first, off = [], [], [], [], [], [0]
             for s in sets_of(t, size):
-                a, b = signature(s)
                 n.append(len(s))
-                handle.append(a - (1 << 64) if a >> 63 else a)
-                sid.append(a.to_bytes(8, "big") + b.to_bytes(8, "big"))
+                sid.append(key_of(s))
                 rare, often = known.split(s)
                 base = rare if len(rare) else often
                 least.append(int(C.scramble(base ^ SALT).min().view(np.int64)) if len(s) else 0)
+                buckets.append(bucket_counts(s))
                 p = len(s) - needed(len(s), percent) + 1 if len(s) else 0
                 some = rare[:p] if len(rare) >= p else np.concatenate([rare, often[:p - len(rare)]])
                 first.append(some)
                 off.append(off[-1] + len(some))
             flat = np.concatenate(first) if first else np.zeros(0, np.uint64)
-            return [n, handle, pa.array(sid, pa.binary()), least, G.lists(flat.view(np.int64), np.array(off))]
+            handle = [int.from_bytes(x[:8], "big", signed=True) for x in sid]
+            return [n, handle, pa.array(sid, pa.binary()), least, pa.array(buckets, pa.binary()),
+                    G.lists(flat.view(np.int64), np.array(off))]
         return run
 
     return C.annotate(docs, "text", SET_FIELDS, make, name)
@@ -174,9 +191,10 @@ def with_sets(docs: DataFrame, order: Order, size: int, percent: int, name: str)
 
 # ------------------------------------------------------------------ groups
 def grouped(sets: DataFrame, percent: int) -> DataFrame:
-    """``sets`` plus gid: groups of sets with the same ``least`` and sizes in
-    the same band. Larger groups have larger numbers. Different groups that
-    get the same number are one group; it does not matter which sets share one."""
+    """``sets`` plus gid and head: groups of sets with the same ``least`` and
+    sizes in the same band, and the first part of the group if it was cut.
+    Larger groups have larger numbers. Different groups that get the same
+    number are one group; it does not matter which sets share one."""
     step = math.log(100 / percent) if percent < 100 else 1.0
     sets = sets.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(step)))
     of_group = C.cut(sets.groupBy("band", "least").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"))
@@ -184,22 +202,83 @@ def grouped(sets: DataFrame, percent: int) -> DataFrame:
     parts = F.greatest(F.ceil(F.col("members") / F.lit(MOST)), F.ceil(F.col("tokens") / F.lit(GROUP_TOKENS)))
     many = of_group.select("band", "least", "members", parts.alias("parts"))
     out = sets.join(many, ["band", "least"], "left")
-    part = F.coalesce(F.pmod(F.xxhash64("sid"), F.col("parts")), F.lit(0))
+    part = F.coalesce(F.pmod(F.xxhash64("sid"), F.col("parts")), F.lit(0).cast("long"))
     size = F.floor(F.log2(F.coalesce(F.col("members") / F.col("parts"), F.lit(1.0)) + F.lit(0.5))).cast("long")
-    number = F.shiftrightunsigned(F.xxhash64("band", "least", part), 8)
-    return out.select("sid", "handle", "n", "first", F.shiftleft(size, 56).bitwiseOR(number).alias("gid"))
+
+    def number(k):
+        return F.shiftleft(size, 56).bitwiseOR(F.shiftrightunsigned(F.xxhash64("band", "least", k), 8))
+
+    return out.withColumns({"gid": number(part), "head": number(F.lit(0).cast("long"))}).drop("band", "least", "members", "parts")
 
 
 def met_groups(sets: DataFrame, percent: int) -> DataFrame:
-    """handle, gid, shared: the groups of no smaller number that a set shares
-    entered shingles with, and how many."""
-    entries = (sets.select(F.explode("first").alias("token"), "handle", "gid", "n").repartition("token"))
-    matrix = entries.groupBy("token", "gid").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
+    """handle, gid, shared: the groups of larger number that a set shares
+    entered shingles with, and how many; not those that are in its component
+    already. ``linked`` is a number of a set's component, null if it is alone."""
+    entries = sets.select(F.explode("first").alias("token"), "handle", "gid", F.col("n").cast("int").alias("n"), "linked").repartition("token")
+    matrix = entries.groupBy("token", "gid").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.min("linked").alias("low"),
+                                                 F.max("linked").alias("high"), F.count_if(F.col("linked").isNull()).alias("alone"))
     q = entries.alias("q")
     g = matrix.alias("g")
     met = q.join(g, (F.col("q.token") == F.col("g.token")) & (F.col("q.gid") < F.col("g.gid"))
-                 & (F.col("g.most_n") * 100 >= F.col("q.n") * percent) & (F.col("g.least_n") * percent <= F.col("q.n") * 100))
-    return met.groupBy("q.handle", "g.gid").agg(F.count(F.lit(1)).alias("shared"))
+                 & ((F.col("g.alone") > 0) | (F.col("g.low") != F.col("g.high")) | ~F.col("q.linked").eqNullSafe(F.col("g.low")))
+                 & (F.col("g.most_n").cast("long") * 100 >= F.col("q.n").cast("long") * percent)
+                 & (F.col("g.least_n").cast("long") * percent <= F.col("q.n").cast("long") * 100))
+    return met.groupBy("q.handle", "g.gid").agg(F.count(F.lit(1)).cast("int").alias("shared"))
+
+
+def can_link(overlap, n, least, percent: int):
+    """Whether so large an overlap of a set of ``n`` with sets of ``least`` or
+    more lets any of them link with it."""
+    least = np.maximum(least, needed(n, percent))
+    return (100 + percent) * overlap >= percent * (n + least)
+
+
+def runs(batches, keys: list[str]):
+    """(first of its key, rows) for each stretch of equal ``keys`` in sorted
+    batches; a key that spans batches comes in several stretches."""
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = [b.column(k).to_numpy() for k in keys]
+        new = np.ones(b.num_rows, bool)
+        new[1:] = np.any([c[1:] != c[:-1] for c in cols], axis=0)
+        at = np.append(np.flatnonzero(new), b.num_rows)
+        for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
+            key = tuple(c[i] for c in cols)
+            yield key != last, b.slice(i, j - i)
+            last = key
+
+
+def bounded(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``met`` whose bucket counts allow a link: the overlap is at
+    most the sum of the smaller counts, the query's or the largest of the group."""
+    asked = met.join(sets.select("handle", "buckets", "n"), "handle").select("gid", "handle", "shared", "buckets", "n", F.lit(True).alias("asks"))
+    members = sets.join(met.select("gid").distinct(), "gid", "left_semi").select(
+        "gid", "handle", F.lit(0).alias("shared"), "buckets", "n", F.lit(False).alias("asks"))
+
+    def run(batches):
+        most, least = None, 0
+        for new, rows in runs(batches, ["gid"]):
+            if new:
+                most, least = np.zeros(BUCKETS, np.int64), np.iinfo(np.int64).max
+            asks = rows.column("asks").to_numpy(zero_copy_only=False)
+            n = rows.column("n").to_numpy()
+            full = np.array([len(x) for x in rows.column("buckets").to_pylist()]) > 0
+            counts = np.full((rows.num_rows, BUCKETS), np.iinfo(np.uint16).max, np.int64)
+            if full.any():
+                counts[full] = np.frombuffer(b"".join(x for x in rows.column("buckets").to_pylist() if x), np.uint16).reshape(-1, BUCKETS)
+            if (~asks).any():  # members come before queries
+                most = np.maximum(most, counts[~asks].max(axis=0))
+                least = min(least, int(n[~asks].min()))
+            both = np.minimum(counts, most).sum(axis=1)
+            keep = asks & (can_link(both, n, least, percent) | ~full)
+            if keep.any():
+                yield rows.filter(pa.array(keep)).select(["handle", "gid", "shared"])
+
+    rows = asked.unionByName(members).repartition("gid").sortWithinPartitions("gid", "asks")
+    return rows.mapInArrow(run, "handle long, gid long, shared int")
 
 
 # ----------------------------------------------------------- opening groups
@@ -220,15 +299,16 @@ class Group:
         self.union, self.first = np.unique(flat[order], return_index=True)
         self.first = np.append(self.first, len(flat))
         self.who = who[order]
+        self.least = int(self.size[members].min()) if len(members) else 0
 
     def linked(self, s: np.ndarray) -> np.ndarray:
         """Members that link with ``s``; none, without opening the group, if
         too few of its tokens are in the union."""
-        if not len(self.union):
+        if not len(self.union) or not len(s):
             return np.zeros(0, np.int64)
         at = np.minimum(np.searchsorted(self.union, s), len(self.union) - 1)
         at = at[self.union[at] == s]
-        if len(at) < needed(len(s), self.percent):
+        if not can_link(len(at), len(s), self.least, self.percent):
             return np.zeros(0, np.int64)
         holders = self.who[C.ragged(self.first[at], self.first[at + 1] - self.first[at])]
         both = np.bincount(holders, minlength=len(self.size))
@@ -262,74 +342,97 @@ class Group:
         return label, links
 
 
-def _open(rows: pa.Table, percent: int) -> pa.Table:
-    """Links of one cell: a group's members, and queries."""
-    asks = rows.column("asks").to_numpy(zero_copy_only=False)
-    within = bool(rows.column("within")[0].as_py()) if rows.num_rows else False
-    tokens = rows.column("tokens").combine_chunks()
-    off = tokens.offsets.to_numpy()
-    flat = tokens.values.to_numpy().view(np.uint64)
-    sets = [flat[off[i]:off[i + 1]] for i in range(rows.num_rows)]
-    sid = rows.column("sid").to_pylist()
-    members = np.flatnonzero(~asks)
-    a, b = [], []
-    group = Group([sets[i] for i in members], percent)
-    label, links = group.components()
-    if within:
-        for i, j in links:
-            a.append(sid[members[i]])
-            b.append(sid[members[j]])
-    for i in np.flatnonzero(asks):
-        found = group.linked(sets[i])
-        if len(found):
-            for j in found[np.unique(label[found], return_index=True)[1]].tolist():
-                a.append(sid[i])
-                b.append(sid[members[j]])
-    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
-
-
-def open_groups(sets: DataFrame, fetched: DataFrame, asked: DataFrame, within: bool, percent: int) -> DataFrame:
-    """a, b: links of queries with members of the groups that they ask, and
-    with ``within`` those inside the groups. ``sets``: sid, handle, n, gid;
-    ``fetched``: sid, handle, tokens; ``asked``: handle, gid."""
-    queries = asked.join(fetched.withColumnRenamed("sid", "asker"), "handle").select("gid", "asker", "tokens")
-    load = asked.join(sets.select("handle", "n"), "handle").groupBy("gid").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("n").alias("size"))
-    cells = C.cut(load.select("gid", F.greatest(F.ceil(F.col("rows") / F.lit(8 * MOST)),
-                                                F.ceil(F.col("size") / F.lit(4 * GROUP_TOKENS))).alias("cells")))
-    members = sets.select("sid", "gid").join(fetched.select("sid", "tokens"), "sid").join(cells, "gid", "left" if within else "inner")
-    members = members.select("gid", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("cells", F.lit(1)).cast("long") - 1)).alias("cell"),
-                             "sid", "tokens", F.lit(False).alias("asks"))
-    queries = queries.join(cells, "gid").select(
-        "gid", F.pmod(F.xxhash64("asker"), F.col("cells")).cast("long").alias("cell"), F.col("asker").alias("sid"), "tokens", F.lit(True).alias("asks"))
-    rows = members.unionByName(queries).withColumn("within", F.lit(within) & (F.col("cell") == 0))
-    return rows.groupBy("gid", "cell").applyInArrow(lambda t: _open(t, percent), "a binary, b binary")
-
-
-def fetch(texts: DataFrame, sets: DataFrame, size: int) -> DataFrame:
-    """sid, handle, tokens of the sets named in ``sets``. Texts that a bounded
-    filter of their keys excludes are not cut into shingles, and only the
-    wanted sets are shuffled."""
-    shared = texts.sparkSession.sparkContext.broadcast(G.Bits.of(sets.select("row_key").distinct(), "row_key", BITS))
-
-    def make(batches):
+def _open_sorted(batches, size: int, percent: int):
+    """Links of cells whose rows come sorted, members before queries."""
+    group, sets, sid, label, a, b = None, [], [], None, [], []
+
+    def flush():
+        out = pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+        a.clear()
+        b.clear()
+        return out
+
+    def close(within):
+        nonlocal group, label
+        group = Group(sets, percent)
+        label, links = group.components()
+        if within:
+            a.extend(sid[i] for i, _ in links)
+            b.extend(sid[j] for _, j in links)
+
+    inside = False
+    for new, rows in runs(batches, ["gid", "cell"]):
+        if new:
+            if group is None and sets:
+                close(inside)
+            group, sets, sid = None, [], []
+            inside = rows.column("within")[0].as_py()
+        asks = rows.column("asks").to_numpy(zero_copy_only=False)
+        keys = rows.column("sid").to_pylist()
+        found = [s for part in C.slices(C.texts_of(rows.column("text"))) for s in sets_of(part, size)]
+        for asking, key, s in zip(asks.tolist(), keys, found):
+            if not asking:
+                sets.append(s)
+                sid.append(key)
+                continue
+            if group is None:
+                close(inside)
+            hit = group.linked(s)
+            if len(hit):
+                mine = [sid[j] for j in hit[np.unique(label[hit], return_index=True)[1]].tolist()]
+                a.extend([key] * len(mine))
+                b.extend(mine)
+        if len(a) > 10_000:
+            yield flush()
+    if group is None and sets:
+        close(inside)
+    yield flush()
+
+
+def fetched(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """k1, k2, text: each text that a row of ``wanted`` names, once. Texts that
+    a bounded filter of the keys excludes are not shuffled."""
+    shared = texts.sparkSession.sparkContext.broadcast(G.Bits.of(wanted.select("k1").distinct(), "k1", BITS))
+
+    def run(batches):
         bits = shared.value
         for b in batches:
-            some = b.filter(pa.array(bits.hits(b.column("row_key").to_numpy().view(np.uint64))))
-            for part in C.slices(C.texts_of(some.column("text"))):
-                found = [s for s in sets_of(part, size) if len(s)]
-                off = np.concatenate([[0], np.cumsum([len(s) for s in found])]).astype(np.int64)
-                flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
-                sid = [x.to_bytes(8, "big") + y.to_bytes(8, "big") for x, y in map(signature, found)]
-                yield pa.RecordBatch.from_arrays([pa.array(sid, pa.binary()), G.lists(flat.view(np.int64), off)], names=["sid", "tokens"])
+            yield b.filter(pa.array(bits.hits(b.column("k1").to_numpy().view(np.uint64))))
+
+    C.ship(texts.sparkSession)
+    got = texts.select(*text_keys(), "text").mapInArrow(run, "k1 long, k2 long, text string")
+    return got.groupBy("k1", "k2").agg(F.first("text").alias("text"))
+
+
+def text_keys():
+    return [F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), F.col("text")).alias("k2")]
 
-    got = texts.select(row_key(), "text").mapInArrow(make, "sid binary, tokens array<bigint>")
-    wanted = sets.select("sid", "handle")
-    return got.join(wanted, "sid", "inner").groupBy("sid").agg(F.first("handle").alias("handle"), F.first("tokens").alias("tokens"))
 
+def open_groups(texts: DataFrame, sets: DataFrame, asked: DataFrame, crowds: DataFrame | None, size: int, percent: int) -> DataFrame:
+    """a, b: links of queries with members of the groups that they ask, and of
+    the members of ``crowds`` with each other. ``sets``: sid, handle, n, gid,
+    k1, k2 of every set; ``asked``: handle, gid; ``crowds``: gid."""
+    asking = asked.join(sets.select("handle", "sid", "n", "k1", "k2"), "handle")
+    load = asking.groupBy("gid").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("size"))
+    cells = load.select("gid", F.greatest(F.ceil(F.col("rows") / F.lit(8 * MOST)), F.ceil(F.col("size") / F.lit(4 * GROUP_TOKENS)))
+                        .cast("long").alias("cells"), F.lit(False).alias("within"))
+    if crowds is not None:
+        cells = cells.unionByName(crowds.select("gid", F.lit(1).cast("long").alias("cells"), F.lit(True).alias("within")))
+        cells = cells.groupBy("gid").agg(F.max("cells").alias("cells"), F.max("within").alias("within"))
+    cells = C.cut(cells)
+    members = sets.join(cells, "gid").select(
+        "gid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)).alias("cell"), "within", "sid", "k1", "k2", F.lit(False).alias("asks"))
+    members = members.withColumn("within", F.col("within") & (F.col("cell") == 0))
+    queries = asking.join(cells, "gid").select(
+        "gid", F.pmod(F.xxhash64("sid"), F.col("cells")).alias("cell"), F.lit(False).alias("within"), "sid", "k1", "k2", F.lit(True).alias("asks"))
+    rows = C.cut(members.unionByName(queries))
+    rows = rows.join(fetched(texts, rows), ["k1", "k2"]).drop("k1", "k2")
+    rows = rows.repartition("gid", "cell").sortWithinPartitions("gid", "cell", "asks")
+    return rows.mapInArrow(lambda batches: _open_sorted(batches, size, percent), "a binary, b binary")
 
-def row_key():
-    return F.xxhash64("text").alias("row_key")
+
+def _labelled(sets: DataFrame, roots: DataFrame) -> DataFrame:
+    return sets.join(roots, sets.sid == roots.node, "left").select(*sets.columns, F.coalesce("root", "sid").alias("root"))
 
 
 def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -339,42 +442,46 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         raise ValueError("percent is from 1 to 100")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     order = Order(*frequent_shingles(texts, shingle))
-    slim = with_sets(texts, order, shingle, percent, "s").select("doc_id", row_key(), "s.*")
-    slim = C.cut(slim)
-    some = slim.where("n > 0")
-    sets = some.groupBy("sid").agg(*[F.first(c).alias(c) for c in ("handle", "n", "least", "first")],
-                                   F.min("row_key").alias("row_key"), F.min("doc_id").alias("min_id"))
-    sets = C.cut(sets)
-    groups = C.cut(grouped(sets, percent))
-    met = C.cut(met_groups(groups, percent))
-
-    members = groups.select("sid", "handle", "n", "gid")
-    crowd = members.groupBy("gid").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gid")
-    used = crowd.unionByName(met.select("gid")).distinct()
-    keys = (members.join(used, "gid", "left_semi").select("sid", "handle")
-            .unionByName(members.join(met.select("handle").distinct(), "handle", "left_semi").select("sid", "handle")).distinct())
-    fetched = C.cut(fetch(texts, keys.join(sets.select("sid", "row_key"), "sid"), shingle))
-
+    full = C.cut(with_sets(texts, order, shingle, percent, "s").select("doc_id", *text_keys(), "s.*"))
+    slim = full.select("doc_id", "n", "sid")
+    sets = full.where("n > 0").groupBy("sid").agg(*[F.first(c).alias(c) for c in ("handle", "n", "least", "buckets", "first")],
+                                                  F.min(F.struct("k1", "k2")).alias("k"), F.min("doc_id").alias("min_id"))
+    sets = C.cut(grouped(sets.select("*", "k.k1", "k.k2").drop("k"), percent))
+    members = sets.select("sid", "handle", "n", "gid", "k1", "k2")
+
+    # groups within themselves, and the parts of one group with its first
+    crowds = sets.groupBy("gid").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gid")
+    parts = sets.where("gid <> head").select("handle", F.col("head").alias("gid"))
+    roots = connected_components(open_groups(texts, members, parts, crowds, shingle, percent))
+
+    # other groups, where they can change a component
+    linked = roots.select("node", F.xxhash64("root").alias("linked"))
+    met = C.cut(met_groups(sets.select("sid", "handle", "n", "gid", "first").join(linked, F.col("sid") == F.col("node"), "left"), percent))
+    met = C.cut(bounded(met, sets, percent))
     best = met.groupBy("handle").agg(F.max_by("gid", F.struct("shared", F.xxhash64("handle", "gid"))).alias("gid"))
-    links = C.cut(open_groups(members, fetched, best, True, percent))
-    roots = connected_components(links)
-    now = C.cut(members.join(roots, members.sid == roots.node, "left").select("sid", "handle", "gid", F.coalesce("root", "sid").alias("root")))
+    roots = _grown(roots, open_groups(texts, members, best, None, shingle, percent))
+    now = C.cut(_labelled(members, roots).select("handle", "gid", "root"))
     span = now.groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    rest = (met.select("handle", "gid").join(best, ["handle", "gid"], "left_anti").join(now.select("handle", "root"), "handle")
-            .join(span, "gid").where("low <> high OR root <> low").select("handle", "gid").distinct())
-    rest = C.cut(rest)
+    rest = C.cut(met.select("handle", "gid").join(best, ["handle", "gid"], "left_anti").join(now.select("handle", "root"), "handle")
+                 .join(span, "gid").where("low <> high OR root <> low").select("handle", "gid").distinct())
     if not rest.isEmpty():
-        more = C.cut(open_groups(members, fetched, rest, False, percent))
-        if not more.isEmpty():
-            old = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-            roots = connected_components(old.unionByName(more))
-    ids = sets.select("sid", "min_id").join(roots, sets.sid == roots.node, "left").select("sid", "min_id", F.coalesce("root", "sid").alias("root"))
+        roots = _grown(roots, open_groups(texts, members, rest, None, shingle, percent))
+
+    ids = _labelled(sets.select("sid", "min_id"), roots)
     least = ids.groupBy("root").agg(F.min("min_id").alias("component_id"))
-    ids = ids.join(least, "root").select("sid", "component_id")
-    found = slim.join(ids, "sid", "left")
+    found = slim.join(ids.join(least, "root").select("sid", "component_id"), "sid", "left")
     return found.select("doc_id", F.col("n").alias("n_shingles"),
                         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def _grown(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of the stars ``roots`` and further links."""
+    links = C.cut(links)
+    if links.isEmpty():
+        return roots
+    stars = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return connected_components(stars.unionByName(links))
+
+
 def op12_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return similarity_join(C.table(spark, sf_dir, "documents"))
