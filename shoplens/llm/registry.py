@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from shoplens.llm import (
     chat_format,
+    collocations,
     decontaminate,
+    hard_negatives,
     jaccard_join,
     language_id,
     license_scan,
@@ -27,11 +29,15 @@ QUERIES = {
     "op8_suffix_array_dedup": suffix_dedup.op8_suffix_array_dedup,
     "op9_chat_formatting": chat_format.op9_chat_formatting,
     "op10_license_scan": license_scan.op10_license_scan,
+    "op11_collocations": collocations.op11_collocations,
     "op12_jaccard_join": jaccard_join.op12_jaccard_join,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 ORACLE_SQL = {
     "op2_rotated_bit_search": vector_search.ORACLE,
     "op4_benchmark_decontamination": decontaminate.ORACLE,
     "op9_chat_formatting": chat_format.ORACLE,
+    "op11_collocations": collocations.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }
