@@ -5,24 +5,33 @@ link when the intersection has at least ``percent`` hundredths of the union.
 
 Documents with equal sets are one set. Sets are partitioned into groups of
 similar ones: of about the same size and with the same smallest shingle (by a
-hash); a group that is too large for a task is cut into several. The matrix
-says which groups hold a shingle. If Q and S link, Q has at least
-t = ceil(percent * |Q| / 100) shingles in the union of S's group, and, in any
-order of all shingles, one of Q's first |Q| - t + 1 is one of S's first
-|S| - t' + 1. So only these are entered and looked up, rare shingles first:
-those that are frequent anywhere in the corpus come last, which keeps the rows
-of the matrix short. For a group that a query meets there the overlap with the
-group's union is bounded twice: by counts of shingles in ``BUCKETS`` hash
-buckets (the largest of the group's members for each), then, with the group's
-texts at hand, by the union itself. Only a group that passes both is opened,
-that is, its members' overlaps are counted.
-
-The result is components, so a group is opened only where it can still change
-them. First groups are joined within themselves, and the parts of a group that
-was cut are joined with its first part. Then every query looks into one other
-group that is not all in its component, then into all of these that are left.
-No step emits the pairs of a group of copies: a query yields one link for each
-component of members.
+hash); a group that is too large for a task is cut into several.
+
+Which groups to look at. Linked sets differ in at most d shingles, d known from
+their sizes. So when shingles are dealt by hash into d + 1 parts, linked sets are
+equal in at least one part. The rows of the matrix are such parts - a hash of all
+shingles of a set that fall into one - and its columns the groups that have a
+member with it: as a part holds several shingles, sets that are not alike hardly
+ever meet, however large the corpus. A part without shingles says nothing: a set
+that has one is dealt a second time by another hash, and so on ``ROUNDS`` times.
+
+A part that very many sets have (more than ``HOT``: the words of a common line,
+or a crowd of near copies) is divided further by single shingles. In any order of
+all shingles, the larger of two linked sets has, among its first
+n - ceil(percent n / 100) + 1, one of the smaller's first n - ceil(2 percent n /
+(100 + percent)) + 1. Shingles that are frequent anywhere in the corpus come
+last in the order, so what meets there shares something rare.
+
+For a group that a query meets, the group's texts are fetched. The query's overlap
+with the union of the members' shingles bounds that with any member; only a
+group that passes is opened, that is, its members' overlaps are counted.
+
+The result is components, so a group is looked into only where it can still
+change them. First groups are joined within themselves, and the parts of a group
+that was cut with its first part. Then every query looks into one other group
+that is not all in its component, then into all of these that are left. No step
+emits the pairs of a group of copies: a query yields one link for each component
+of members.
 
 Bounds: a group has at most about ``MOST`` sets and ``GROUP_TOKENS`` shingles
 (a larger set is alone); its queries stream past it, in cells where they are
@@ -40,6 +49,7 @@ result; columns of any other name do not matter.
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -58,8 +68,9 @@ MOST = 1024
 GROUP_TOKENS = 1 << 20
 FREQUENT = 1 << 16
 BITS = 26
-BUCKETS = 128
-MOST_COUNTED = 60_000  # larger sets have no bucket counts and are never shut out by them
+STEP = 1.25  # sizes of one band of sets
+ROUNDS = 4
+HOT = 64
 CHUNK = 1 << 21  # shingles of a task that are counted at once for frequent ones
 SHARE = 256  # frequent: in one of so many documents of a chunk
 
@@ -144,13 +155,57 @@ def frequent_shingles(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarr
     return top.column("token").to_numpy().view(np.uint64), top.column("n").to_numpy()
 
 
-SET_FIELDS = "n long, handle long, sid binary, least long, buckets binary, first array<bigint>"
+def first_ones(order: Order, s: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """The shingles by which a set meets smaller ones, in order, and how many of
+    them it meets larger ones by."""
+    rare, often = order.split(s)
+    n = len(s)
+    p = n - needed(n, percent) + 1
+    some = rare[:p] if len(rare) >= p else np.concatenate([rare, often[:p - len(rare)]])
+    return some, n - -(-2 * percent * n // (100 + percent)) + 1
 
 
-def bucket_counts(s: np.ndarray) -> bytes:
-    if len(s) > MOST_COUNTED:
-        return b""
-    return np.bincount((C.scramble(s) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS).astype(np.uint16).tobytes()
+# ------------------------------------------------------------------- parts
+@functools.lru_cache(maxsize=1 << 16)
+def band_of(n: int) -> int:
+    return int(math.log(n) / math.log(STEP) + 1e-9)
+
+
+@functools.lru_cache(maxsize=1 << 12)
+def parts_of(band: int, percent: int) -> int:
+    """More than two linked sets can differ in, the larger of which is in ``band``."""
+    top = int(STEP ** (band + 1)) + 2
+    while band_of(top) > band:
+        top -= 1
+    return (100 - percent) * 2 * top // (100 + percent) + 1
+
+
+def part_keys(s: np.ndarray, percent: int) -> np.ndarray:
+    """Hashes of a set's parts, for each band that the larger set of a link
+    can be in."""
+    n = len(s)
+    out = []
+    for band in range(band_of(n), band_of(100 * n // percent) + 1):
+        parts = parts_of(band, percent)
+        if parts == 1:
+            continue  # only equal sets link
+        for turn in range(ROUNDS):
+            mixed = C.scramble(s ^ np.uint64((turn + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+            place = (mixed % np.uint64(parts)).astype(np.int64)
+            total = np.zeros(parts, np.uint64)
+            np.add.at(total, place, C.scramble(mixed ^ SALT))
+            held = np.bincount(place, minlength=parts)
+            with np.errstate(over="ignore"):
+                number = np.uint64((band * ROUNDS + turn) << 32) + np.arange(parts, dtype=np.uint64)
+                keys = C.scramble(total + C.scramble(number) + held.astype(np.uint64))
+            empty = held == 0
+            out.append(keys if turn == ROUNDS - 1 else keys[~empty])
+            if not empty.any():
+                break
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+SET_FIELDS = "n long, handle long, sid binary, least long, parts array<bigint>"
 
 
 def key_of(s: np.ndarray) -> bytes:
@@ -158,37 +213,54 @@ def key_of(s: np.ndarray) -> bytes:
     return a.to_bytes(8, "big") + b.to_bytes(8, "big")
 
 
-def with_sets(docs: DataFrame, order: Order, size: int, percent: int, name: str) -> DataFrame:
-    """``docs`` plus a struct: the set's size, its key (16 bytes, of which
-    ``handle`` is the first half), its smallest rare shingle by another hash,
-    its bucket counts, and the shingles that are entered and looked up."""
-    shared = docs.sparkSession.sparkContext.broadcast(order)
+def handle_of(sid: bytes) -> int:
+    return int.from_bytes(sid[:8], "big", signed=True)
 
-    def make():
-        known = shared.value
 
+def with_sets(docs: DataFrame, size: int, percent: int, name: str) -> DataFrame:
+    """``docs`` plus a struct: the set's size, its key (16 bytes, of which
+    ``handle`` is the first half), its smallest shingle by another hash, and its parts."""
+    def make():
         def run(t, _):
-            n, sid, least, buckets, first, off = [], [], [], [], [], [0]
+            n, sid, least, parts, off = [], [], [], [], [0]
             for s in sets_of(t, size):
                 n.append(len(s))
                 sid.append(key_of(s))
-                rare, often = known.split(s)
-                base = rare if len(rare) else often
-                least.append(int(C.scramble(base ^ SALT).min().view(np.int64)) if len(s) else 0)
-                buckets.append(bucket_counts(s))
-                p = len(s) - needed(len(s), percent) + 1 if len(s) else 0
-                some = rare[:p] if len(rare) >= p else np.concatenate([rare, often[:p - len(rare)]])
-                first.append(some)
-                off.append(off[-1] + len(some))
-            flat = np.concatenate(first) if first else np.zeros(0, np.uint64)
-            handle = [int.from_bytes(x[:8], "big", signed=True) for x in sid]
-            return [n, handle, pa.array(sid, pa.binary()), least, pa.array(buckets, pa.binary()),
-                    G.lists(flat.view(np.int64), np.array(off))]
+                least.append(int(C.scramble(s ^ SALT).min().view(np.int64)) if len(s) else 0)
+                parts.append(part_keys(s, percent) if len(s) else s)
+                off.append(off[-1] + len(parts[-1]))
+            flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+            return [n, [handle_of(x) for x in sid], pa.array(sid, pa.binary()), least, G.lists(flat.view(np.int64), np.array(off))]
         return run
 
     return C.annotate(docs, "text", SET_FIELDS, make, name)
 
 
+def shared_parts(full: DataFrame) -> DataFrame:
+    """key, handle: each part that different sets have, with these."""
+    def run(batches):
+        key, handle, sent = np.zeros(0, np.int64), np.zeros(0, np.int64), False  # the last key's rows so far
+        for b in batches:
+            k = np.concatenate([key, b.column("key").to_numpy()])
+            h = np.concatenate([handle, b.column("handle").to_numpy()])
+            if not len(k):
+                continue
+            new = np.ones(len(k), bool)
+            new[1:] = (k[1:] != k[:-1]) | (h[1:] != h[:-1])
+            k, h = k[new], h[new]
+            first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+            size = np.diff(np.append(first, len(k)))
+            several = np.repeat(size > 1, size)
+            if sent:
+                several[0] = False  # went out with the batch before
+            yield pa.RecordBatch.from_arrays([pa.array(k[several]), pa.array(h[several])], names=["key", "handle"])
+            sent = bool(size[-1] > 1) or (sent and len(size) == 1)
+            key, handle = k[-1:], h[-1:]
+
+    entries = full.select(F.explode("parts").alias("key"), "handle").repartition("key").sortWithinPartitions("key", "handle")
+    return entries.mapInArrow(run, "key long, handle long")
+
+
 # ------------------------------------------------------------------ groups
 def grouped(sets: DataFrame, percent: int) -> DataFrame:
     """``sets`` plus gid and head: groups of sets with the same ``least`` and
@@ -211,17 +283,52 @@ def grouped(sets: DataFrame, percent: int) -> DataFrame:
     return out.withColumns({"gid": number(part), "head": number(F.lit(0).cast("long"))}).drop("band", "least", "members", "parts")
 
 
-def met_groups(sets: DataFrame, percent: int) -> DataFrame:
-    """handle, gid, shared: the groups of larger number that a set shares
-    entered shingles with, and how many; not those that are in its component
-    already. ``linked`` is a number of a set's component, null if it is alone."""
-    entries = sets.select(F.explode("first").alias("token"), "handle", "gid", F.col("n").cast("int").alias("n"), "linked").repartition("token")
-    matrix = entries.groupBy("token", "gid").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.min("linked").alias("low"),
-                                                 F.max("linked").alias("high"), F.count_if(F.col("linked").isNull()).alias("alone"))
+def divided(texts: DataFrame, shared: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
+    """key, handle, first: ``shared``, with the keys of very many sets divided by
+    single shingles. ``first``: whether the set meets larger ones by it."""
+    hot = C.cut(shared.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("key"))
+    plain = shared.withColumn("first", F.lit(True))
+    if hot.isEmpty():
+        return plain
+    order = texts.sparkSession.sparkContext.broadcast(Order(*frequent_shingles(texts, size)))
+    rows = C.cut(shared.join(hot, "key", "left_semi"))
+    wanted = sets.join(rows.select("handle").distinct(), "handle", "left_semi").select("k1", "k2")
+
+    def run(batches):
+        known = order.value
+        for b in batches:
+            for part in C.slices(C.texts_of(b.column("text"))):
+                handle, tokens, off, first = [], [], [0], []
+                for s in sets_of(part, size):
+                    if len(s):
+                        some, n = first_ones(known, s, percent)
+                        handle.append(handle_of(key_of(s)))
+                        tokens.append(some)
+                        off.append(off[-1] + len(some))
+                        first.append(n)
+                flat = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(handle, pa.int64()), G.lists(flat.view(np.int64), np.array(off)),
+                                                  pa.array(first, pa.int32())], names=["handle", "tokens", "n_first"])
+
+    ones = fetched(texts, wanted).select("text").mapInArrow(run, "handle long, tokens array<bigint>, n_first int").dropDuplicates(["handle"])
+    parted = rows.join(ones, "handle").select("key", "handle", "n_first", F.posexplode("tokens").alias("at", "token")).select(
+        F.xxhash64("key", "token").alias("key"), "handle", (F.col("at") < F.col("n_first")).alias("first"))
+    return plain.join(hot, "key", "left_anti").unionByName(parted)
+
+
+def met_groups(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """handle, gid, shared: the groups of larger number that a set meets, and
+    in how many keys; not those that are in its component already. ``sets``:
+    handle, gid, n, and ``linked``, a number of its component, null if it is alone."""
+    entries = entries.join(sets.select("handle", "gid", F.col("n").cast("int").alias("n"), "linked"), "handle").repartition("key")
+    matrix = entries.groupBy("key", "gid").agg(
+        F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.min(F.when(F.col("first"), F.col("n"))).alias("least_first"),
+        F.min("linked").alias("low"), F.max("linked").alias("high"), F.count_if(F.col("linked").isNull()).alias("alone"))
     q = entries.alias("q")
     g = matrix.alias("g")
-    met = q.join(g, (F.col("q.token") == F.col("g.token")) & (F.col("q.gid") < F.col("g.gid"))
+    met = q.join(g, (F.col("q.key") == F.col("g.key")) & (F.col("q.gid") < F.col("g.gid"))
                  & ((F.col("g.alone") > 0) | (F.col("g.low") != F.col("g.high")) | ~F.col("q.linked").eqNullSafe(F.col("g.low")))
+                 & ((F.col("q.first") & (F.col("g.most_n") >= F.col("q.n"))) | F.coalesce(F.col("g.least_first") <= F.col("q.n"), F.lit(False)))
                  & (F.col("g.most_n").cast("long") * 100 >= F.col("q.n").cast("long") * percent)
                  & (F.col("g.least_n").cast("long") * percent <= F.col("q.n").cast("long") * 100))
     return met.groupBy("q.handle", "g.gid").agg(F.count(F.lit(1)).cast("int").alias("shared"))
@@ -251,36 +358,6 @@ def runs(batches, keys: list[str]):
             last = key
 
 
-def bounded(met: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The rows of ``met`` whose bucket counts allow a link: the overlap is at
-    most the sum of the smaller counts, the query's or the largest of the group."""
-    asked = met.join(sets.select("handle", "buckets", "n"), "handle").select("gid", "handle", "shared", "buckets", "n", F.lit(True).alias("asks"))
-    members = sets.join(met.select("gid").distinct(), "gid", "left_semi").select(
-        "gid", "handle", F.lit(0).alias("shared"), "buckets", "n", F.lit(False).alias("asks"))
-
-    def run(batches):
-        most, least = None, 0
-        for new, rows in runs(batches, ["gid"]):
-            if new:
-                most, least = np.zeros(BUCKETS, np.int64), np.iinfo(np.int64).max
-            asks = rows.column("asks").to_numpy(zero_copy_only=False)
-            n = rows.column("n").to_numpy()
-            full = np.array([len(x) for x in rows.column("buckets").to_pylist()]) > 0
-            counts = np.full((rows.num_rows, BUCKETS), np.iinfo(np.uint16).max, np.int64)
-            if full.any():
-                counts[full] = np.frombuffer(b"".join(x for x in rows.column("buckets").to_pylist() if x), np.uint16).reshape(-1, BUCKETS)
-            if (~asks).any():  # members come before queries
-                most = np.maximum(most, counts[~asks].max(axis=0))
-                least = min(least, int(n[~asks].min()))
-            both = np.minimum(counts, most).sum(axis=1)
-            keep = asks & (can_link(both, n, least, percent) | ~full)
-            if keep.any():
-                yield rows.filter(pa.array(keep)).select(["handle", "gid", "shared"])
-
-    rows = asked.unionByName(members).repartition("gid").sortWithinPartitions("gid", "asks")
-    return rows.mapInArrow(run, "handle long, gid long, shared int")
-
-
 # ----------------------------------------------------------- opening groups
 class Group:
     """Members of a group: the token union and who holds each token."""
@@ -441,10 +518,9 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not 0 < percent <= 100:
         raise ValueError("percent is from 1 to 100")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    order = Order(*frequent_shingles(texts, shingle))
-    full = C.cut(with_sets(texts, order, shingle, percent, "s").select("doc_id", *text_keys(), "s.*"))
+    full = C.cut(with_sets(texts, shingle, percent, "s").select("doc_id", *text_keys(), "s.*"))
     slim = full.select("doc_id", "n", "sid")
-    sets = full.where("n > 0").groupBy("sid").agg(*[F.first(c).alias(c) for c in ("handle", "n", "least", "buckets", "first")],
+    sets = full.where("n > 0").groupBy("sid").agg(*[F.first(c).alias(c) for c in ("handle", "n", "least")],
                                                   F.min(F.struct("k1", "k2")).alias("k"), F.min("doc_id").alias("min_id"))
     sets = C.cut(grouped(sets.select("*", "k.k1", "k.k2").drop("k"), percent))
     members = sets.select("sid", "handle", "n", "gid", "k1", "k2")
@@ -455,9 +531,11 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = connected_components(open_groups(texts, members, parts, crowds, shingle, percent))
 
     # other groups, where they can change a component
+    shared = C.cut(shared_parts(full))
+    entries = divided(texts, shared, members, shingle, percent)
     linked = roots.select("node", F.xxhash64("root").alias("linked"))
-    met = C.cut(met_groups(sets.select("sid", "handle", "n", "gid", "first").join(linked, F.col("sid") == F.col("node"), "left"), percent))
-    met = C.cut(bounded(met, sets, percent))
+    linked = members.select("sid", "handle", "n", "gid").join(linked, F.col("sid") == F.col("node"), "left")
+    met = C.cut(met_groups(entries, linked, percent))
     best = met.groupBy("handle").agg(F.max_by("gid", F.struct("shared", F.xxhash64("handle", "gid"))).alias("gid"))
     roots = _grown(roots, open_groups(texts, members, best, None, shingle, percent))
     now = C.cut(_labelled(members, roots).select("handle", "gid", "root"))

@@ -84,6 +84,67 @@ def test_families_in_groups_of_any_size(spark, monkeypatch, percent, most):
     assert run(df, percent=percent) == brute(rows, percent)
 
 
+@pytest.mark.parametrize("percent", [90, 75])
+def test_linked_sets_are_equal_in_a_part(percent):
+    """Whatever their sizes, also with parts that have no shingles."""
+    rng = np.random.default_rng(percent)
+    met = unlike = 0
+    for _ in range(600):
+        n = int(rng.choice([3, 7, 9, 10, 11, 14, 25, 60, 300, 900]))
+        a = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        cut = int(rng.integers(0, max(1, (100 - percent) * n // 100) + 1))
+        more = int(rng.integers(0, max(1, (100 - percent) * n // 100) + 1))
+        b = np.unique(np.concatenate([a[cut:], rng.integers(0, 1 << 62, more).astype(np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        keys = np.intersect1d(J.part_keys(a, percent), J.part_keys(b, percent))
+        if len(a) and 100 * both >= percent * (len(a) + len(b) - both) and len(np.setxor1d(a, b)):
+            assert len(keys)
+            met += 1
+        c = np.unique(np.concatenate([a[:len(a) // 3], rng.integers(0, 1 << 62, n).astype(np.uint64)]))
+        if n > 50:
+            unlike += len(np.intersect1d(J.part_keys(a, percent), J.part_keys(c, percent))) > 0
+    assert met > 150 and (unlike < 15 or percent < 90)  # a part holds fewer shingles at a lower share
+
+
+def test_linked_sets_share_a_first_shingle():
+    rng = np.random.default_rng(2)
+    tokens = rng.integers(0, 1 << 62, 400).astype(np.uint64)
+    order = J.Order(tokens[:100], rng.integers(4, 50, 100))
+    for _ in range(300):
+        a = np.unique(rng.choice(tokens, int(rng.integers(5, 200)), replace=False))
+        b = np.unique(np.concatenate([rng.choice(a, max(1, int(len(a) * rng.uniform(0.85, 1))), replace=False), rng.choice(tokens, int(rng.integers(0, 6)))]))
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= 90 * (len(a) + len(b) - both):
+            (x, _), (y, k) = sorted((J.first_ones(order, s, 90) for s in (a, b)), key=lambda f: len(f[0]), reverse=True) if len(a) == len(b) else (
+                (J.first_ones(order, a, 90), J.first_ones(order, b, 90)) if len(a) > len(b) else (J.first_ones(order, b, 90), J.first_ones(order, a, 90)))
+            assert len(np.intersect1d(x, y[:k]))
+
+
+def test_hot_parts_are_divided(spark, monkeypatch):
+    """A common line fills short documents; few of them link."""
+    monkeypatch.setattr(J, "HOT", 5)
+    rng = np.random.default_rng(6)
+    line = " ".join(f"common{i}" for i in range(30))
+    rows = [(i, line + f" a{int(rng.integers(0, 60))} b{int(rng.integers(0, 3))}") for i in range(200)]
+    rows += [(1000 + i, f"x{int(rng.integers(0, 9))} " + line) for i in range(60)]
+    assert run(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == brute(rows)
+
+
+def test_shared_parts_over_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rng = np.random.default_rng(1)
+        rows = [(int(h), [int(k) for k in rng.integers(0, 40, 5)]) for h in rng.integers(0, 60, 150)] + [(h, [77]) for h in range(100)]
+        got = J.shared_parts(spark.createDataFrame(rows, "handle long, parts array<long>")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    have = {}
+    for h, keys in rows:
+        for k in keys:
+            have.setdefault(k, set()).add(h)
+    assert sorted(map(tuple, got)) == sorted((k, h) for k, hs in have.items() if len(hs) > 1 for h in hs)
+
+
 def test_group_bound_and_components():
     rng = np.random.default_rng(1)
     base = np.unique(rng.integers(0, 1 << 62, 100).astype(np.uint64))
