@@ -18,8 +18,9 @@ counts decide.
 
 Bounds: a partition holds about ``PART_MASS`` occurrences, so a merge fits a
 task at any size of the corpus; survivors are sent to the tasks as a table of
-2**BITS bits, which lets some others through to be counted but misses none. A
-frequent phrase is one row per task stretch before it is shuffled.
+2**BITS bits, which lets some others through to be counted but misses none.
+Counts and phrases are shuffled as compressed blocks, one for each partition and
+stretch of texts, in which every n-gram of the stretch is once.
 
 Scores are exact: whole numbers in decimals wider than 64 bits.
 
@@ -33,6 +34,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,7 +51,7 @@ INSIDE = ~PARTING & G.byte_class(0x20, 0x09)
 PART_MASS = 1 << 21
 CHUNK = 1 << 22
 BITS = 25
-MOST_HELD, MOST_HELD_BYTES = 250_000, 32 << 20
+MOST_HELD, MOST_HELD_BYTES = 600_000, 32 << 20
 
 
 class Summary:
@@ -80,12 +82,12 @@ class Summary:
 class Grams:
     """n-grams of a slice that can be frequent by what is known of their parts."""
 
-    def __init__(self, t: C.Texts, langs: list, known: dict[int, G.Bits]):
+    def __init__(self, t: C.Texts, langs: list, known: dict[int, G.Bits], parts: int):
         self.words = G.Words(t, INSIDE, PARTING)
         self.langs = [UNDETERMINED if x is None else x for x in langs]
         salt = {x: xxhash.xxh64_intdigest(x.encode()) for x in set(self.langs)}
         self.salt = np.array([salt[x] for x in self.langs], np.uint64)
-        self.known = known
+        self.known, self.parts = known, parts
         self.good: dict[int, np.ndarray] = {}
 
     def of(self, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +101,7 @@ class Grams:
             at = some[self.words.piece[some] == self.words.piece[some + size - 1]] if len(some) else some
             h = self.words.hash_at(at, size, self.salt)
         if size in self.known:
-            keep = self.known[size].hits(h)
+            keep = self.known[size].hits(C.scramble(reduced(h, self.parts)))
             at, h = at[keep], h[keep]
         return at, h
 
@@ -125,8 +127,31 @@ def _parts(texts: DataFrame) -> int:
     return max(1, size // (4 * PART_MASS))
 
 
+def reduced(h: np.ndarray, parts: int) -> np.ndarray:
+    """What of a hash the summaries keep: its partition and 32 bits. n-grams
+    that agree in these are summed up together, which can only make more survive."""
+    part = (h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+    return part << np.uint64(32) | h & np.uint64(0xFFFFFFFF)
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, compressed byte by byte of their places."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes())
+
+
+def unpacked(block: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(block), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, -1).T).view(np.uint32).ravel()
+
+
+def _split(part: np.ndarray) -> list[tuple[int, int, int]]:
+    """(partition, first, end) of the runs of a sorted array."""
+    names, first = np.unique(part, return_index=True)
+    return list(zip(names.tolist(), first.tolist(), [*first[1:].tolist(), len(part)]))
+
+
 def survivors(texts: DataFrame, sizes: tuple[int, ...], known: dict[int, G.Bits], parts: int, threshold: int) -> DataFrame:
-    """key: hashes of n-grams, all with ``threshold`` occurrences among them."""
+    """key: reduced hashes of n-grams, all with ``threshold`` occurrences among them."""
     shared = texts.sparkSession.sparkContext.broadcast(known)
 
     def summed(batches):
@@ -135,20 +160,18 @@ def survivors(texts: DataFrame, sizes: tuple[int, ...], known: dict[int, G.Bits]
 
         def flush():
             keys, n = np.unique(np.concatenate(held), return_counts=True)
-            part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-            names, first = np.unique(part, return_index=True)
-            ends = np.append(first[1:], len(keys))
-            n = n.astype(np.uint32)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(names), pa.array([keys[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
-                 pa.array([n[a:b].tobytes() for a, b in zip(first, ends)], pa.binary())], names=["part", "keys", "counts"])
+            low = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            rows = [(p, packed(np.diff(low[a:b], prepend=np.uint32(0))), packed(n[a:b]))
+                    for p, a, b in _split((keys >> np.uint64(32)).astype(np.int64))]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.binary()))],
+                                              names=["part", "keys", "counts"])
 
         for b in batches:
             langs = b.column("lang").to_pylist()
             for s in C.slices(C.texts_of(b.column("text"))):
-                g = Grams(s, langs[s.first:s.first + len(s)], bits)
+                g = Grams(s, langs[s.first:s.first + len(s)], bits, parts)
                 for size in sizes:
-                    h = g.of(size)[1]
+                    h = reduced(g.of(size)[1], parts)
                     held.append(h)
                     total += len(h)
                 if total >= CHUNK:
@@ -157,65 +180,82 @@ def survivors(texts: DataFrame, sizes: tuple[int, ...], known: dict[int, G.Bits]
         if total:
             yield flush()
 
-    def merged(rows: pa.Table) -> pa.Table:
-        some = [(np.frombuffer(k, np.uint64), np.frombuffer(n, np.uint32).astype(np.int64))
+    def merged(key: tuple, rows: pa.Table) -> pa.Table:
+        some = [(np.cumsum(unpacked(k), dtype=np.uint64), unpacked(n).astype(np.int64))
                 for k, n in zip(rows.column("keys").to_pylist(), rows.column("counts").to_pylist())]
-        mass = sum(int(n.sum()) for _, n in some)
-        summary = Summary(mass // threshold + 1)
+        summary = Summary(sum(int(n.sum()) for _, n in some) // threshold + 1)
         for k, n in some:
             summary.add(k, n)
-        return pa.table({"key": pa.array(summary.may_reach(threshold).view(np.int64))})
+        part = np.uint64(key[0].as_py() << 32)
+        return pa.table({"key": pa.array((summary.may_reach(threshold) | part).view(np.int64))})
 
     C.ship(texts.sparkSession)
     return (texts.select("lang", "text").mapInArrow(summed, "part long, keys binary, counts binary")
             .groupBy("part").applyInArrow(merged, "key long"))
 
 
-def exact_counts(texts: DataFrame, known: dict[int, G.Bits], most_words: int, threshold: int) -> DataFrame:
+def exact_counts(texts: DataFrame, known: dict[int, G.Bits], parts: int, most_words: int, threshold: int) -> DataFrame:
     """lang, n, phrase, f of all phrases of up to ``most_words`` words with
     ``threshold`` occurrences or more; n = 0 has all word occurrences."""
     shared = texts.sparkSession.sparkContext.broadcast(known)
-    names = ["lang", "n", "phrase", "f"]
 
     def counted(batches):
         bits = shared.value
-        held: dict[int, list] = {}
-        words: dict[str, int] = {}
-        weight = 0
+        held: dict[int, bytes] = {}  # by hash
+        keys, counts, words, weight = [], [], {}, 0
 
         def flush():
-            rows = [*held.values(), *[[x, 0, b"", k] for x, k in words.items()]]
-            lang, n, phrase, f = zip(*rows)
-            return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(n, pa.int32()),
-                                               pa.array(phrase, pa.binary()), pa.array(f, pa.int64())], names=names)
+            flat, back = np.unique(np.concatenate(keys), return_inverse=True)
+            n = np.zeros(len(flat), np.int64)
+            np.add.at(n, back, np.concatenate(counts))
+            rows = []
+            for p, a, b in _split(((flat >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)):
+                named = sorted((held[k], c) for k, c in zip(flat[a:b].tolist(), n[a:b].tolist()))
+                rows.append((p, zstandard.ZstdCompressor(level=1).compress(b"\n".join(x for x, _ in named)),
+                             packed(np.array([c for _, c in named]))))
+            rows += [(xxhash.xxh64_intdigest(x) % parts, zstandard.compress(_named(x, 0, b"")), packed(np.array([c]))) for x, c in words.items()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.binary(), pa.binary()))],
+                                              names=["part", "phrases", "counts"])
 
         for b in batches:
             langs = b.column("lang").to_pylist()
             for s in C.slices(C.texts_of(b.column("text"))):
-                g = Grams(s, langs[s.first:s.first + len(s)], bits)
+                g = Grams(s, langs[s.first:s.first + len(s)], bits, parts)
                 for x, k in zip(g.langs, g.words.count.tolist()):
-                    words[x] = words.get(x, 0) + k
+                    words[x.encode()] = words.get(x.encode(), 0) + k
                 for size in range(1, most_words + 1):
                     at, h = g.of(size)
-                    keys, first, n = np.unique(h, return_index=True, return_counts=True)
-                    for key, i, k in zip(keys.tolist(), at[first].tolist(), n.tolist()):
-                        row = held.get(key)
-                        if row is None:
-                            phrase = g.words.text(i, size)
-                            weight += len(phrase)
-                            held[key] = [g.langs[g.words.row[i]], size, phrase, k]
-                        else:
-                            row[3] += k
+                    some, first, n = np.unique(h, return_index=True, return_counts=True)
+                    keys.append(some)
+                    counts.append(n)
+                    for key, i in zip(some.tolist(), at[first].tolist()):
+                        if key not in held:
+                            held[key] = _named(g.langs[g.words.row[i]].encode(), size, g.words.text(i, size))
+                            weight += len(held[key])
                 if len(held) > MOST_HELD or weight > MOST_HELD_BYTES:
                     yield flush()
-                    held, words, weight = {}, {}, 0
-        if held or words:
+                    held, keys, counts, words, weight = {}, [], [], {}, 0
+        if keys:
             yield flush()
 
+    def summed(rows: pa.Table) -> pa.Table:
+        phrases = [x for block in rows.column("phrases").to_pylist() for x in zstandard.decompress(block).split(b"\n")]
+        counts = [unpacked(n).astype(np.int64) for n in rows.column("counts").to_pylist()]
+        both = pa.table({"t": pa.array(phrases, pa.binary()), "n": np.concatenate(counts)}).group_by("t").aggregate([("n", "sum")])
+        out = [(*t.split(b"\t"), f) for t, f in zip(both.column("t").to_pylist(), both.column("n_sum").to_pylist())
+               if f >= threshold or t.endswith(b"\t0\t")]
+        lang, size, phrase, f = zip(*out) if out else ((), (), (), ())
+        return pa.table({"lang": pa.array([bytes.fromhex(x.decode()).decode() for x in lang], pa.string()), "n": pa.array(map(int, size), pa.int32()),
+                         "phrase": pa.array(phrase, pa.binary()), "f": pa.array(f, pa.int64())})
+
     C.ship(texts.sparkSession)
-    found = texts.select("lang", "text").mapInArrow(counted, "lang string, n int, phrase binary, f long")
-    return (found.groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f")).where(f"n = 0 OR f >= {threshold}")
-            .withColumn("phrase", F.col("phrase").cast("string")))
+    return (texts.select("lang", "text").mapInArrow(counted, "part long, phrases binary, counts binary")
+            .groupBy("part").applyInArrow(summed, "lang string, n int, phrase binary, f long").withColumn("phrase", F.col("phrase").cast("string")))
+
+
+def _named(lang: bytes, size: int, phrase: bytes) -> bytes:
+    """A counted phrase; words have neither tabs nor line feeds, languages might."""
+    return lang.hex().encode() + b"\t%d\t" % size + phrase
 
 
 # -------------------------------------------------------------------- scores
@@ -240,6 +280,15 @@ def scored(counts: DataFrame, overlap: int = OVERLAP) -> DataFrame:
             .where(f"within IS NULL OR CAST(within AS DECIMAL(20, 0)) * 100 < CAST(a AS DECIMAL(20, 0)) * {overlap}").drop("within"))
 
 
+def _scrambled(keys: DataFrame) -> DataFrame:
+    """Reduced hashes fill the bits of a long unevenly; a filter wants them spread."""
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(C.scramble(b.column(0).to_numpy().view(np.uint64)).view(np.int64))], names=["key"])
+
+    return keys.mapInArrow(run, "key long")
+
+
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", threshold: int = THRESHOLD,
                  most_words: int = MOST_WORDS, first: int = FIRST, overlap: int = OVERLAP) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's first phrases."""
@@ -249,9 +298,9 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     for sizes in [(1,), (2,), tuple(range(3, most_words + 1))]:
         if sizes and sizes[-1] <= most_words:
             keys = C.cut(survivors(texts, sizes, known, parts, threshold))
-            bits = G.Bits.of(keys, "key", BITS)
+            bits = G.Bits.of(_scrambled(keys), "key", BITS)
             known = {**known, **{size: bits for size in sizes}}
-    counts = C.cut(exact_counts(texts, known, most_words, threshold))
+    counts = C.cut(exact_counts(texts, known, parts, most_words, threshold))
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
     top = scored(counts, overlap).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= first)
     words = counts.where("n = 0").selectExpr("lang", "f AS n")

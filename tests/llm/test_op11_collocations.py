@@ -81,6 +81,21 @@ def test_many_partitions_and_chunks(spark, monkeypatch):
     assert run(docs.repartition(7), threshold=5, first=50) == want
 
 
+def test_packed_numbers():
+    for x in (np.array([0, 1, 255, 256, (1 << 32) - 1]), np.zeros(0), np.arange(1000)):
+        assert K.unpacked(K.packed(x)).tolist() == x.tolist()
+
+
+def test_words_of_two_gigabytes_of_one_language_are_counted(spark):
+    """Counts add up over stretches, also past 32 bits."""
+    blocks = [(0, K.zstandard.compress(K._named(b"a\tb", 0, b"")), K.packed(np.array([(1 << 32) - 1]))) for _ in range(3)]
+    rows = K.pa.table({"part": [0] * 3, "phrases": [b for _, b, _ in blocks], "counts": [c for _, _, c in blocks]})
+    total = sum(int(K.unpacked(n)[0]) for n in rows.column("counts").to_pylist())
+    assert total == 3 * ((1 << 32) - 1)
+    df = spark.createDataFrame([("a\tb", "x y x y"), ("a\tb", "x y")], "lang string, text string")
+    assert run(df, threshold=2) == brute([tuple(r) for r in df.collect()], 2)
+
+
 def test_filter_misses_no_key(spark):
     keys = np.random.default_rng(3).integers(-(1 << 63), 1 << 63, 5000)
     bits = G.Bits.of(spark.createDataFrame([(int(k),) for k in keys], "key long"), "key", 16)
