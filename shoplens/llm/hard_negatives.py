@@ -46,8 +46,8 @@ LIMIT = 1 << 26
 PLANES = 8
 POSITIVES, NEGATIVES = 5, 10
 LEAST, MOST = 30, 90  # hundredths of the positive's score
-ROW_BLOCK, ANCHOR_BLOCK, LEAST_BLOCK = 65536, 16384, 2048
-FIRST_SCORED = 64
+ROW_BLOCK, ANCHOR_BLOCK, LEAST_BLOCK = 65536, 16384, 8192
+FIRST_SCORED = 128
 
 
 @functools.lru_cache(maxsize=8)
@@ -105,6 +105,7 @@ class Block:
         self.ones = np.bitwise_count(self.codes).sum(axis=1, dtype=np.int64)
         self.largest = int(np.abs(self.v).max(initial=0))
         self.doubles = self.v.astype(np.float64)
+        self.once = len(np.unique(self.ids)) == len(self.ids)
 
     def of_label(self, label) -> tuple[int, int]:
         return int(np.searchsorted(self.labels, label, "left")), int(np.searchsorted(self.labels, label, "right"))
@@ -126,28 +127,36 @@ def first_of(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return order[np.sort(once)[:k]]
 
 
-def best_in(block: Block, q: np.ndarray, at: np.ndarray, estimate, low, high, k: int, least: float, most: float,
-            counted: list | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Places (of ``at``) and scores of the k best rows with least <= score <= most."""
+def best_in(block: Block, q: np.ndarray, at: np.ndarray, estimate, low, high, k: int, windows: list[tuple[float, float]],
+            counted: list | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each window (least, most): places (of ``at``) and scores of the k
+    best rows with least <= score <= most. Rows are scored once for all windows."""
+    least, most = min(a for a, _ in windows), max(b for _, b in windows)
     may = np.flatnonzero((high >= least) & (low <= most))
-    if not len(may):
-        return may, np.zeros(0, np.int64)
-    likely = np.where(estimate[may] <= most, estimate[may], -np.inf)
     few = min(FIRST_SCORED, len(may))
-    some = may[np.argpartition(-likely, few - 1)[:few]]
-    s = block.scores(q, at[some])
-    inside = (s >= least) & (s <= most)
-    kept = first_of(block.ids[at[some[inside]]], s[inside], k)
-    if len(kept) == k:
-        may = may[high[may] >= s[inside][kept[-1]]]
-        may = np.union1d(may, some[inside][kept])
+    some = may
+    if few < len(may):
+        likely = np.where(estimate[may] <= most, estimate[may], -np.inf)
+        some = may[np.argpartition(-likely, few - 1)[:few]]
+        s = np.sort(block.scores(q, at[some]))
+        # each id may have several rows, so these are no proof unless ids differ
+        if block.once:
+            reach = []
+            for a, b in windows:
+                inside = s[np.searchsorted(s, a, "left"):np.searchsorted(s, b, "right")]
+                reach.append(inside[-k] if len(inside) >= k else a)
+            may = may[high[may] >= min(reach)]
     if counted is not None:
         counted.append(len(may))
     s = block.scores(q, at[may])
-    inside = (s >= least) & (s <= most)
-    may, s = may[inside], s[inside]
-    kept = first_of(block.ids[at[may]], s, k)
-    return may[kept], s[kept]
+    out = []
+    for a, b in windows:
+        inside = np.flatnonzero((s >= a) & (s <= b))
+        if len(inside) > 4 * k and block.once:
+            inside = inside[s[inside] >= -np.partition(-s[inside], k - 1)[k - 1]]
+        kept = inside[first_of(block.ids[at[may[inside]]], s[inside], k)]
+        out.append((may[kept], s[kept]))
+    return out
 
 
 # -------------------------------------------------------------------- Spark
@@ -221,7 +230,7 @@ def find_positives(index: DataFrame, anchors: DataFrame, k: int = POSITIVES) ->
             at = first + np.flatnonzero(block.ids[first:end] != anchor)
             if len(at):
                 some = [x[at - first] for x in block.intervals(Anchor(q), slice(first, end))]
-                places, scores = best_in(block, q, at, *some, k, -np.inf, np.inf)
+                [(places, scores)] = best_in(block, q, at, *some, k, [(-np.inf, np.inf)])
                 yield from ((anchor, i, s) for i, s in zip(block.ids[at[places]].tolist(), scores.tolist()))
 
     found = _cells(index, anchors, find, "anchor_id long, positive_id long, positive_score long")
@@ -243,11 +252,13 @@ def find_negatives(index: DataFrame, anchors: DataFrame, positives: DataFrame, k
             at = np.flatnonzero((block.labels != label) & (block.ids != anchor))
             if not len(at):
                 continue
+            pairs = [(positive, p) for positive, p in zip(ids[n], scores[n]) if p >= 0]
+            if not pairs:
+                continue
             some = [x[at] for x in block.intervals(Anchor(q), slice(None))]
-            for positive, p in zip(ids[n], scores[n]):
-                if p >= 0:
-                    places, got = best_in(block, q, at, *some, k, -(-least * p // 100), most * p // 100)
-                    yield from ((anchor, positive, p, i, s) for i, s in zip(block.ids[at[places]].tolist(), got.tolist()))
+            windows = [(-(-least * p // 100), most * p // 100) for _, p in pairs]
+            for (positive, p), (places, got) in zip(pairs, best_in(block, q, at, *some, k, windows)):
+                yield from ((anchor, positive, p, i, s) for i, s in zip(block.ids[at[places]].tolist(), got.tolist()))
 
     found = _cells(index, asking, find, "anchor_id long, positive_id long, positive_score long, negative_id long, negative_score long")
     found = found.groupBy("anchor_id", "positive_id", "positive_score", "negative_id").agg(F.max("negative_score").alias("negative_score"))

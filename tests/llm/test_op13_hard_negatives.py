@@ -65,7 +65,7 @@ def test_the_filter_leaves_rows_unscored():
         q, at = v[i].astype(np.int64), np.flatnonzero(block.labels == labels[i])
         at = at[block.ids[at] != i]
         some = [x[at] for x in block.intervals(H.Anchor(q), slice(None))]
-        places, s = H.best_in(block, q, at, *some, 5, -np.inf, np.inf, scored)
+        [(places, s)] = H.best_in(block, q, at, *some, 5, [(-np.inf, np.inf)], scored)
         true = sorted((-int(v[j].astype(np.int64) @ q), int(j)) for j in np.flatnonzero(labels == labels[i]) if j != i)[:5]
         assert [(-a, int(b)) for a, b in zip(s.tolist(), block.ids[at[places]])] == true
         asked += len(at)
