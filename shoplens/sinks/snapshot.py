@@ -33,12 +33,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def names(spark: SparkSession, path: str) -> list[str]:
     fs, p = _fs(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
-def _read_text(spark: SparkSession, path: str) -> str:
+def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     stream = fs.open(p)
     try:
@@ -50,14 +50,18 @@ def _read_text(spark: SparkSession, path: str) -> str:
 
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Numbers of the pointers, ascending."""
-    found = sorted(int(m[1]) for m in map(POINTER.match, _names(spark, root)) if m)
-    if not found and _names(spark, f"{root.rstrip('/')}/snapshots"):
+    found = sorted(int(m[1]) for m in map(POINTER.match, names(spark, root)) if m)
+    if not found and names(spark, f"{root.rstrip('/')}/snapshots"):
         raise SnapshotError(f"{root} holds snapshots but no pointer to one")
     return found
 
 
+def read_pointer(spark: SparkSession, root: str, n: int) -> str:
+    return read_text(spark, f"{root.rstrip('/')}/_CURRENT.{n}")
+
+
 def _pointer(spark: SparkSession, root: str, n: int) -> tuple[str | None, str | None]:
-    snap, _, tag = _read_text(spark, f"{root.rstrip('/')}/_CURRENT.{n}").partition("\t")
+    snap, _, tag = read_pointer(spark, root, n).partition("\t")
     return snap or None, tag or None
 
 
@@ -80,25 +84,55 @@ def read_current(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFr
     return None if snap is None else spark.read.format(fmt).load(f"{root.rstrip('/')}/snapshots/{snap}")
 
 
-def _point(spark: SparkSession, root: str, n: int, text: str) -> None:
-    fs, tmp = _fs(spark, f"{root.rstrip('/')}/_tmp.{uuid.uuid4().hex}")
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a file; an error if the target exists."""
+    fs, old = _fs(spark, source)
+    _, new = _fs(spark, target)
+    if fs.exists(new) or not fs.rename(old, new):
+        raise SnapshotError(f"{target} exists or cannot be written")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all; an error if it
+    exists."""
+    folder = path.rpartition("/")[0]
+    fs, tmp = _fs(spark, f"{folder}/_tmp.{uuid.uuid4().hex}")
     out = fs.create(tmp, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    _, final = _fs(spark, f"{root.rstrip('/')}/_CURRENT.{n}")
-    if fs.exists(final) or not fs.rename(tmp, final):
-        raise SnapshotError(f"another writer published version {n} of {root}")
+    move(spark, tmp.toString(), path)
 
 
-def _remove_superseded(spark: SparkSession, root: str) -> None:
+def _point(spark: SparkSession, root: str, n: int, text: str) -> None:
+    try:
+        write_text(spark, f"{root.rstrip('/')}/_CURRENT.{n}", text)
+    except SnapshotError as e:
+        raise SnapshotError(f"another writer published version {n} of {root}") from e
+
+
+def publish_pointer(spark: SparkSession, root: str, text: str) -> None:
+    """Makes ``text`` (one line) the table's next pointer; the first one
+    follows pointer 0, the empty table."""
     have = versions(spark, root)
-    kept = {_pointer(spark, root, n)[0] for n in have[-KEPT:]}
-    for n in have[:-KEPT]:
+    if not have:
+        _point(spark, root, 0, "")
+        have = [0]
+    _point(spark, root, have[-1] + 1, text)
+
+
+def remove_pointers(spark: SparkSession, root: str) -> None:
+    """Removes the pointers before the last KEPT ones."""
+    for n in versions(spark, root)[:-KEPT]:
         fs, p = _fs(spark, f"{root.rstrip('/')}/_CURRENT.{n}")
         fs.delete(p, False)
-    for name in _names(spark, f"{root.rstrip('/')}/snapshots"):
+
+
+def _remove_superseded(spark: SparkSession, root: str) -> None:
+    kept = {_pointer(spark, root, n)[0] for n in versions(spark, root)[-KEPT:]}
+    remove_pointers(spark, root)
+    for name in names(spark, f"{root.rstrip('/')}/snapshots"):
         if name not in kept:
             fs, p = _fs(spark, f"{root.rstrip('/')}/snapshots/{name}")
             fs.delete(p, True)
