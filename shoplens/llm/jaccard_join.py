@@ -49,6 +49,7 @@ result; columns of any other name do not matter.
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import math
 
@@ -71,6 +72,7 @@ BITS = 26
 STEP = 1.25  # sizes of one band of sets
 ROUNDS = 4
 HOT = 64
+LINKS_PER_PARTITION = 1 << 17
 CHUNK = 1 << 21  # shingles of a task that are counted at once for frequent ones
 SHARE = 256  # frequent: in one of so many documents of a chunk
 
@@ -508,6 +510,24 @@ def open_groups(texts: DataFrame, sets: DataFrame, asked: DataFrame, crowds: Dat
     return rows.mapInArrow(lambda batches: _open_sorted(batches, size, percent), "a binary, b binary")
 
 
+@contextlib.contextmanager
+def _sized_for(spark, rows: int):
+    """As many shuffle partitions as so few rows need, for jobs run inside."""
+    name = "spark.sql.shuffle.partitions"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, str(max(1, min(int(usual), -(-rows // LINKS_PER_PARTITION)))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, usual)
+
+
+def _components(links: DataFrame) -> DataFrame:
+    links = C.cut(links)
+    with _sized_for(links.sparkSession, links.count()):
+        return C.cut(connected_components(links))
+
+
 def _labelled(sets: DataFrame, roots: DataFrame) -> DataFrame:
     return sets.join(roots, sets.sid == roots.node, "left").select(*sets.columns, F.coalesce("root", "sid").alias("root"))
 
@@ -528,7 +548,7 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # groups within themselves, and the parts of one group with its first
     crowds = sets.groupBy("gid").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gid")
     parts = sets.where("gid <> head").select("handle", F.col("head").alias("gid"))
-    roots = connected_components(open_groups(texts, members, parts, crowds, shingle, percent))
+    roots = _components(open_groups(texts, members, parts, crowds, shingle, percent))
 
     # other groups, where they can change a component
     shared = C.cut(shared_parts(full))
@@ -558,7 +578,7 @@ def _grown(roots: DataFrame, links: DataFrame) -> DataFrame:
     if links.isEmpty():
         return roots
     stars = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return connected_components(stars.unionByName(links))
+    return _components(stars.unionByName(links))
 
 
 def op12_jaccard_join(spark, sf_dir: str) -> DataFrame:
