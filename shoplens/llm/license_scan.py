@@ -1,26 +1,31 @@
 """License scans by patience alignment (operator 10).
 
-A template's words are aligned with a text's: words that occur once in both are
-matched, the longest increasing run of these is kept as anchors, and the gaps
-between anchors are aligned the same way; a gap without such words is aligned
-by its longest common subsequence. Coverage is the share of words that are
-matched, of the template's words and the strange words between the first and
-the last match; at ``least`` or more the license is found there.
+A template's words are aligned with a text's: equal words at the heads and tails
+are matched, then words that occur once in both; the longest increasing run of
+these is kept as anchors, and the gaps between anchors are aligned the same way.
+What is left without such words stays unmatched. Of the matches, the run that
+has the most matched words less ``least`` for each strange word inside it is the
+stretch, and it is aligned again by itself, as more of its words are unique
+there, until it no longer shrinks. Coverage is the share of words that are
+matched, of the template's words and the strange words of the stretch; at
+``least`` or more the license is found there.
 
 Where to align: a template covered to ``least`` misses few words, so at least
-one of its ``n - least * n + 1`` rarest words stands in the text. Only places
-around these are looked at (two template lengths to either side, which any notice
-lies in that has no more than a template's length of strange words in it), and
-no other place can reach the coverage. There the stretch with the most matched
-words less ``least`` for each strange one is aligned. Found stretches are
-skipped over, so each notice of a text is found. Where stretches of several
-templates overlap, the one that explains most is kept: matched words less
-unmatched ones of template and stretch, then coverage, then the first by name.
+one of its ``n - least * n + 1`` rarest words stands in the text, and the stretch
+has at most ``n / least - n`` strange words. So only windows around these words
+are looked at: where the template would lie if nothing were changed, then with
+room for all strange words. Found stretches are skipped over, so each notice of
+a text is found. Where stretches of several templates overlap, the one that
+explains most is kept: matched words less unmatched ones of template and
+stretch, then coverage, then the first by name.
+
+Templates are a table (license, text) or the set below; they are held by every
+worker, so a table over ``MOST_BYTES`` is an error.
 
 Edge cases: null and empty texts have no licenses; texts of any length are
 scanned whole; of licenses with equal coverage the first by name is best;
-repeated rows are scanned each; an empty table gives an empty result; columns
-of any other name are kept.
+repeated rows are scanned each; templates without words find nothing; an empty
+table gives an empty result; columns of any other name are kept.
 """
 
 from __future__ import annotations
@@ -38,6 +43,7 @@ from shoplens.llm import _common as C
 from shoplens.llm.decontaminate import Words
 
 LEAST = 0.8
+MOST_BYTES = 8 << 20
 
 # Usual license notices (public texts), by SPDX-like name.
 TEMPLATES = {
@@ -138,25 +144,6 @@ TEMPLATES = {
 
 
 # --------------------------------------------------------------- alignment
-def common_subsequence(a: list, b: list) -> list[tuple[int, int]]:
-    n, m = len(a), len(b)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        row, below = best[i], best[i + 1]
-        for j in range(m - 1, -1, -1):
-            row[j] = below[j + 1] + 1 if a[i] == b[j] else max(below[j], row[j + 1])
-    out, i, j = [], 0, 0
-    while i < n and j < m:
-        if a[i] == b[j]:
-            out.append((i, j))
-            i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
-            i += 1
-        else:
-            j += 1
-    return out
-
-
 def unique_places(words: list) -> dict:
     seen: dict = {}
     for i, w in enumerate(words):
@@ -190,36 +177,35 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     todo = [(0, len(a), 0, len(b))]
     while todo:
         a0, a1, b0, b1 = todo.pop()
+        while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
+            out.append((a0, b0))
+            a0, b0 = a0 + 1, b0 + 1
+        while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
+            a1, b1 = a1 - 1, b1 - 1
+            out.append((a1, b1))
         if a0 >= a1 or b0 >= b1:
             continue
         left, right = unique_places(a[a0:a1]), unique_places(b[b0:b1])
-        pairs = sorted((a0 + i, b0 + right[w]) for w, i in left.items() if w in right)
-        if not pairs:
-            out += [(a0 + i, b0 + j) for i, j in common_subsequence(a[a0:a1], b[b0:b1])]
-            continue
-        anchors = longest_increasing(pairs)
-        out += anchors
-        ends = [(a0 - 1, b0 - 1), *anchors, (a1, b1)]
-        todo += [(i + 1, k, j + 1, m) for (i, j), (k, m) in zip(ends, ends[1:])]
+        anchors = longest_increasing(sorted((a0 + i, b0 + right[w]) for w, i in left.items() if w in right))
+        if anchors:
+            out += anchors
+            ends = [(a0 - 1, b0 - 1), *anchors, (a1, b1)]
+            todo += [(i + 1, k, j + 1, m) for (i, j), (k, m) in zip(ends, ends[1:])]
     return sorted(out)
 
 
-def best_end(text: np.ndarray, words: np.ndarray, strange: float) -> tuple[float, int]:
-    """Over all stretches of ``text``: the most matched words less ``strange``
-    for each other word between them, and the first end (exclusive) where
-    that is reached."""
-    value = np.full(len(words) + 1, -np.inf)  # by number of template words that are passed
-    best, last = 0.0, 0
-    for k in range(len(text)):
-        after = value - strange
-        same = np.flatnonzero(words == text[k])
-        if len(same):
-            after[same + 1] = np.maximum(after[same + 1], np.maximum(value[same], 0.0) + 1.0)
-            np.maximum.accumulate(after, out=after)
-            if after[-1] > best + 1e-9:
-                best, last = float(after[-1]), k + 1
-        value = after
-    return best, last
+def densest(pairs: list[tuple[int, int]], strange: float) -> list[tuple[int, int]]:
+    """The run of matches with the most of them less ``strange`` for each other
+    word of the first list between them."""
+    best, value, first, out = 0.0, 0.0, 0, (0, 0)
+    for k, (i, _) in enumerate(pairs):
+        value -= strange * (i - pairs[k - 1][0] - 1) if k else 0.0
+        if value <= 0:
+            value, first = 0.0, k
+        value += 1
+        if value > best + 1e-9:
+            best, out = value, (first, k + 1)
+    return pairs[out[0]:out[1]]
 
 
 # -------------------------------------------------------------------- scan
@@ -244,36 +230,58 @@ class Templates:
                 self.owners.setdefault(x, []).append(i)
         self.keys = [[x for x, some in self.owners.items() if i in some] for i in range(len(hashes))]
         self.counts = [Counter(h) for h in hashes]
-        self.arrays = [np.array(h, np.uint64) for h in hashes]
+        self.places: list[dict[int, list[int]]] = [{} for _ in hashes]
+        for i, h in enumerate(hashes):
+            for p, x in enumerate(h):
+                self.places[i].setdefault(x, []).append(p)
         self.every = np.unique(np.array(list(self.owners), np.uint64))
 
-    def notice(self, text: np.ndarray, i: int) -> tuple[int, int, int] | None:
+    def notice(self, text: list, i: int) -> tuple[int, int, int] | None:
         """First and last word (exclusive) and matched words of the notice of
         template ``i`` in these words, if it is covered to ``least``."""
         words, counts = self.words[i], self.counts[i]
-        held = [x for x in text.tolist() if x in counts]
-        if len(held) < self.least * len(words) - 1e-9:
+        held = Counter(x for x in text if x in counts)
+        if sum(min(n, counts[x]) for x, n in held.items()) < self.least * len(words) - 1e-9:
             return None
-        if sum(min(n, counts[x]) for x, n in Counter(held).items()) < self.least * len(words) - 1e-9:
-            return None
-        best, last = best_end(text, self.arrays[i], self.least)
-        if best < self.least * len(words) - 1e-9:
-            return None
-        first = last - best_end(text[:last][::-1], self.arrays[i][::-1], self.least)[1]
-        stretch = text[first:last].tolist()
-        pairs = patience(stretch, words)
-        if len(pairs) * (1 + self.least) < best + self.least * len(stretch) - 1e-6:  # anchors that cross cost matches
-            pairs = common_subsequence(stretch, words)
-        return first, last, len(pairs)
+        lo, hi = 0, len(text)
+        while True:
+            run = [(lo + x, y) for x, y in densest(patience(text[lo:hi], words), self.least)]
+            if not run:
+                return None
+            first, last = run[0][0], run[-1][0] + 1
+            if (first, last) == (lo, hi):
+                break
+            lo, hi = first, last
+        covered = self.coverage(first, last, len(run), i) >= self.least - 1e-9
+        return (first, last, len(run)) if covered else None
+
+    def around(self, hashes: list, k: int, i: int, lo: int, hi: int) -> tuple[int, int, int] | None:
+        """The best covered notice of template ``i`` that word ``k`` is in,
+        between the words lo and hi."""
+        n = len(self.words[i])
+        room = math.ceil(n / self.least - n)
+        found = []
+        for p in self.places[i][hashes[k]]:
+            for more in (0, room // 3, room):
+                a, b = max(lo, k - p - more), min(hi, k - p + n + more)
+                x = self.notice(hashes[a:b], i)
+                if x and a + x[0] <= k < a + x[1]:
+                    found.append((self.coverage(*x, i), (a + x[0], a + x[1], x[2])))
+                    if x[2] == n == x[1] - x[0]:
+                        return found[-1][1]
+        return max(found, key=lambda x: x[0])[1] if found else None
 
     def find(self, w: Words) -> list[list[dict]]:
         """Notices of each row: license, coverage, first and last word
         (exclusive) and the bytes they span."""
         out: list[list[dict]] = [[] for _ in range(len(w.count))]
+        if not len(self.every):
+            return out
         at = np.minimum(np.searchsorted(self.every, w.hash), len(self.every) - 1)
         hit = np.flatnonzero(self.every[at] == w.hash)
         if not len(hit):
             return out
+        hashes = w.hash.tolist()
         by_row: dict[int, dict[int, list[int]]] = {}
         for k, x, r in zip(hit.tolist(), w.hash[hit].tolist(), w.row[hit].tolist()):
             places = by_row.setdefault(r, {})
@@ -283,18 +291,11 @@ class Templates:
             begin, end = int(w.row_at[r]), int(w.row_at[r + 1])
             found = []
             for i, places in by_template.items():
-                n, after = len(self.words[i]), begin
+                after = begin
                 for k in places:
-                    if k < after:
-                        continue
-                    lo, hi = max(after, k - 2 * n), min(end, k + 2 * n + 1)
-                    while after <= k and (x := self.notice(w.hash[lo:hi], i)):
-                        first, last = lo + x[0], lo + x[1]
-                        if first > k:  # has key words of its own
-                            hi = first
-                            continue
-                        found.append((first, last, x[2], i))
-                        lo = after = last
+                    if k >= after and (x := self.around(hashes, k, i, after, end)):
+                        found.append((*x, i))
+                        after = x[1]
             for first, last, matched, i in self.most_explained(found):
                 out[r].append({"license": self.names[i], "coverage": self.coverage(first, last, matched, i),
                                "first": first - begin, "last": last - begin,
@@ -323,10 +324,24 @@ FOUND = ("n_words long, notices array<struct<license: string, coverage: double,
          "from_byte: long, to_byte: long>>")
 
 
-def scan_licenses(docs: DataFrame, text_col: str = "text", templates: dict[str, list[str]] | None = None,
+def templates_of(table: DataFrame, license_col: str = "license", text_col: str = "text") -> dict[str, list[str]]:
+    """Templates from a table: notices or whole license texts."""
+    rows = table.select(F.col(license_col).cast("string").alias("name"), F.col(text_col).cast("string").alias("t")).where(
+        "name IS NOT NULL AND t IS NOT NULL").distinct()
+    size = rows.agg(F.sum(F.octet_length("t") + F.octet_length("name"))).first()[0] or 0
+    if size > MOST_BYTES:
+        raise ValueError(f"{size} bytes of templates; at most {MOST_BYTES} are held by each worker")
+    out: dict[str, list[str]] = {}
+    for r in sorted(rows.collect()):
+        out.setdefault(r.name, []).append(r.t)
+    return out
+
+
+def scan_licenses(docs: DataFrame, text_col: str = "text", templates: dict[str, list[str]] | DataFrame | None = None,
                   least: float = LEAST, name: str = "licenses") -> DataFrame:
-    """``docs`` plus a struct ``name``: n_words and the notices found."""
-    texts = templates or TEMPLATES
+    """``docs`` plus a struct ``name``: n_words and the notices found.
+    ``templates``: a table (license, text), texts by license, or TEMPLATES."""
+    texts = TEMPLATES if templates is None else templates if isinstance(templates, dict) else templates_of(templates)
 
     def make():
         known = Templates(texts, least)

@@ -2,6 +2,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from helpers import SF, SMALL, edge_docs, empty_docs
 
 from shoplens.llm import _common as C
@@ -9,6 +10,16 @@ from shoplens.llm import license_scan as S
 from shoplens.llm.decontaminate import Words
 
 
+def common_subsequence(a, b):
+    """Longest, by a table over both lists."""
+    n, m = len(a), len(b)
+    best = [[0] * (m + 1) for _ in range(n + 1)]
+    for i in range(n - 1, -1, -1):
+        for j in range(m - 1, -1, -1):
+            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+    return best[0][0]
+
+
 def test_longest_increasing_against_brute_force():
     rng = np.random.default_rng(0)
     for _ in range(100):
@@ -28,7 +39,7 @@ def test_alignment_is_a_common_subsequence_and_complete_on_equal_lists():
         assert all(a[i] == b[j] for i, j in got)
         assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(got, got[1:]))
         assert len(S.patience(a, a)) == len(a)
-        assert len(S.common_subsequence(a, b)) >= len(got)
+        assert common_subsequence(a, b) >= len(got)
 
 
 def find(texts, least=S.LEAST):
@@ -122,17 +133,64 @@ def test_words_of_a_notice_before_and_after_it_do_not_hide_it():
             assert (name, 1.0) in {(x["license"], x["coverage"]) for x in found}, (name, template, found)
 
 
-def test_best_end_against_brute_force():
+def test_densest_run_against_brute_force():
     rng = np.random.default_rng(5)
-    for _ in range(150):
-        text, words = rng.integers(0, 5, rng.integers(1, 9)), rng.integers(0, 5, rng.integers(1, 6))
-        values = {(a, b): len(S.common_subsequence(text[a:b].tolist(), words.tolist())) for a, b in
-                  itertools.combinations(range(len(text) + 1), 2)}
-        values = {(a, b): m - 0.8 * (b - a - m) for (a, b), m in values.items()}
-        best = max(0.0, *values.values())
-        got, last = S.best_end(text, words, 0.8)
-        assert abs(got - best) < 1e-9
-        assert not best or last == min(b for (_, b), v in values.items() if v > best - 1e-9)
+    for _ in range(200):
+        at = np.sort(rng.choice(30, int(rng.integers(1, 9)), replace=False)).tolist()
+        pairs = [(int(i), k) for k, i in enumerate(at)]
+
+        def value(run):
+            return len(run) - 0.8 * (run[-1][0] - run[0][0] + 1 - len(run))
+        best = max(value(pairs[x:y]) for x, y in itertools.combinations(range(len(pairs) + 1), 2))
+        assert abs(value(S.densest(pairs, 0.8)) - best) < 1e-9
+    assert S.densest([], 0.8) == []
+
+
+def damaged(rng, template):
+    """A notice with a few words lost, changed and added."""
+    out = []
+    for w in template.split():
+        x = rng.random()
+        out += [] if x < 0.03 else [f"odd{int(rng.integers(99))}"] if x < 0.06 else [w, "extra"] if x < 0.09 else [w]
+    return " ".join(out)
+
+
+def test_alignment_of_damaged_notices_against_the_longest_common_subsequence():
+    """Nearly all that the longest common subsequence covers is found."""
+    rng = np.random.default_rng(6)
+    long = [(n, t) for n, some in S.TEMPLATES.items() for t in some if len(t.split()) > 15]
+    good = found = 0
+    for k in range(150):
+        name, template = long[k % len(long)]
+        text = damaged(rng, template)
+        a, b = (Words(C.texts_of(pa.array([x]))).hash.tolist() for x in (text, template))
+        m = common_subsequence(a, b)
+        if m / (len(a) + len(b) - m) >= 0.85:
+            good += 1
+            found += name in names(f"{FILLER[:90]} {text} {FILLER[:90]}")
+    assert good > 60 and found >= 0.95 * good
+
+
+def test_anchors_decide(monkeypatch):
+    """Without anchors damaged notices are not found."""
+    rng = np.random.default_rng(7)
+    texts = [damaged(rng, t) for some in S.TEMPLATES.values() for t in some if len(t.split()) > 15]
+    with_anchors = sum(map(len, find(texts)))
+    monkeypatch.setattr(S, "longest_increasing", lambda pairs: [])
+    assert sum(map(len, find(texts))) < 0.5 * with_anchors
+
+
+def test_templates_from_a_table(spark):
+    rows = [("Foo-1.0", "You may use this foo in any way that the authors of foo would like."), ("Foo-1.0", ""), (None, "x"), ("None", None),
+            ("Bar", " ".join(f"clause{i} of the bar license says that" for i in range(400)))]
+    table = spark.createDataFrame(rows, "license string, text string")
+    docs = spark.createDataFrame([(1, f"a b {rows[0][1]} c"), (2, rows[4][1].replace("clause7 ", "paragraph7 ")), (3, "Released under the MIT License.")],
+                                 "doc_id long, text string")
+    got = {r.doc_id: [x.license for x in r.s.notices] for r in S.scan_licenses(docs, templates=table, name="s").collect()}
+    assert got == {1: ["Foo-1.0"], 2: ["Bar"], 3: []}
+    assert S.scan_licenses(docs, templates=table.where("false"), name="s").where("size(s.notices) > 0").count() == 0
+    with pytest.raises(ValueError):
+        S.templates_of(spark.range(1).selectExpr("'x' AS license", f"repeat('word ', {S.MOST_BYTES // 4}) AS text"))
 
 
 def test_query_names_the_licenses_and_no_others(spark):
