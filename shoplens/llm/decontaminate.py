@@ -6,10 +6,11 @@ shorter item is one window) become a hash set. Documents are scanned in slices:
 rolling 64-bit hashes of all their windows are looked up in it, every hit is
 verified word by word, and the words inside a verified window are hit.
 
-What is broadcast is bounded: the benchmark is measured first and dealt by
-hash into blocks of at most ``block_bytes`` of text on average; the documents
-are scanned once for each block, with a checkpoint between scans, and the
-blocks' hits are united per row. Usual benchmarks are one block.
+What is broadcast is bounded: the distinct items are measured first and dealt
+by hash into blocks, so many that none has more than twice ``block_bytes`` of
+text unless it is one item. The documents are scanned once for each block. Usual
+benchmarks are one block; of further ones only the hits are kept, by two hashes of
+the text, and joined to the documents at the end.
 
 Edge cases: null and empty texts and texts without words have no words and no
 hits, as have such items; items with a null id mark words but are not named;
@@ -136,22 +137,36 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     """``docs`` plus a struct ``name``: n_words, n_hit, spans (of hit words,
     end exclusive, with byte places), items (sorted ids), contaminated."""
     spark = docs.sparkSession
-    bench = benchmark.select(F.col(item_col).cast("string").alias("id"), F.col(item_text_col).alias("t"))
-    size = bench.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    blocks = int(-(-size // block_bytes)) or 1
-    found = []
-    for k in range(blocks):
+    bench = benchmark.select(F.col(item_col).cast("string").alias("id"), F.col(item_text_col).alias("t")).distinct()
+    blocks = _blocks(bench, block_bytes)
+
+    def marked(rows: DataFrame, col: str, k: int, at: str) -> DataFrame:
         mine = bench.where(F.pmod(F.xxhash64("id", "t"), F.lit(blocks)) == k)
         held = spark.sparkContext.broadcast(WindowSet([(r.id, r.t) for r in mine.collect()], window))
 
-        def make(held=held):
+        def make():
             prepared, ids = held.value.prepare(), held.value.ids
             return lambda t, _: scan(t, prepared, ids)
 
-        if k:
-            docs = C.cut(docs)
-        found.append(C.fresh_name(docs, f"{name}_block_{k}"))
-        docs = C.annotate(docs, text_col, FOUND, make, found[-1])
+        return C.annotate(rows, col, FOUND, make, at)
+
+    found = [C.fresh_name(docs, f"{name}_block")]
+    more = None
+    for k in range(1, blocks):
+        hits = (marked(docs.select(F.col(text_col).alias("t")), "t", k, "f").where("size(f.spans) > 0")
+                .groupBy(*_text_keys("t")).agg(F.first("f").alias("f")))
+        more = hits if more is None else more.unionByName(hits)
+    kept = docs
+    if more is not None:
+        found.append(C.fresh_name(docs, f"{name}_others"))
+        k1, k2 = C.fresh_name(docs, "text_k1"), C.fresh_name(docs, "text_k2")
+        a, b = _text_keys(text_col)
+        flat = C.cut(more).groupBy(F.col("k1").alias(k1), F.col("k2").alias(k2)).agg(F.struct(
+            F.flatten(F.collect_list("f.spans")).alias("spans"), F.flatten(F.collect_list("f.items")).alias("items")).alias(found[1]))
+        kept = docs.withColumns({k1: a, k2: b}).join(flat, [k1, k2], "left").drop(k1, k2)
+        none = F.struct(F.array().cast(f"array<{SPAN}>").alias("spans"), F.array().cast("array<string>").alias("items"))
+        kept = kept.withColumn(found[1], F.coalesce(F.col(found[1]), none))
+    docs = marked(kept, text_col, 0, found[0])
 
     spans = F.array_sort(F.concat(*[F.col(f"{c}.spans") for c in found]))
     n_hit = F.aggregate(
@@ -167,6 +182,22 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     return docs.withColumn(name, out).drop(*found)
 
 
+def _blocks(bench: DataFrame, block_bytes: int) -> int:
+    """So many blocks that the largest is small enough, if items can be parted."""
+    size = bench.select("id", "t", F.octet_length("t").alias("n"))
+    blocks = max(1, -(-(size.agg(F.sum("n")).first()[0] or 0) // block_bytes))
+    while blocks > 1:
+        of = size.groupBy(F.pmod(F.xxhash64("id", "t"), F.lit(blocks))).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))
+        if not of.where(f"n > {2 * block_bytes} AND k > 1").limit(1).count():
+            break
+        blocks *= 2
+    return blocks
+
+
+def _text_keys(col: str) -> list:
+    return [F.xxhash64(F.col(col)).alias("k1"), F.xxhash64(F.lit(1), F.col(col)).alias("k2")]
+
+
 def remove_documents(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """Rows that are not contaminated, with the columns of ``docs``."""
     name = C.fresh_name(docs, "contamination")

@@ -54,6 +54,27 @@ def test_against_brute_force_in_one_block_and_many(spark):
     assert found(many) == want
 
 
+def test_a_third_of_the_benchmark_is_copies_of_one_item(spark):
+    """Copies are one item, whatever the block size; blocks stay small."""
+    d = docs(spark)
+    want = sorted((str(r.doc_id), *brute(r.text, ITEMS)) for r in d.collect())
+    copies = bench(spark)
+    for _ in range(6):
+        copies = copies.unionByName(copies.limit(2))
+    some = copies.selectExpr("CAST(item_id AS STRING) AS id", "text AS t").distinct()
+    blocks = D._blocks(some, 60)
+    sizes = some.selectExpr(f"pmod(xxhash64(id, t), {blocks}) AS k", "octet_length(t) AS n").groupBy("k").agg({"n": "sum", "*": "count"}).collect()
+    assert blocks > 1 and all(r["sum(n)"] is None or r["sum(n)"] <= 120 or r["count(1)"] == 1 for r in sizes)
+    for size in (60, 1 << 20):
+        assert found(D.find_windows(d, copies, block_bytes=size, name="c")) == want
+
+
+def test_clashing_names_with_many_blocks(spark):
+    d = docs(spark).selectExpr("*", "2 AS text_k1", "3 AS c_others")
+    out = D.find_windows(d, bench(spark), block_bytes=150, name="c")
+    assert out.columns == [*d.columns, "c"] and out.count() == d.count()
+
+
 def test_removal(spark):
     d = docs(spark)
     kept = D.remove_documents(d, bench(spark))
