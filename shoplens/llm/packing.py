@@ -4,14 +4,16 @@ Each document becomes token ids (a public BPE tokenizer, then the end id);
 only documents longer than a sequence are cut into pieces. Pieces are dealt
 into groups of bounded size and each group is packed by best-fit decreasing.
 Dual feasible functions give a lower bound on each group's number of
-sequences. A group that meets its bound is certified and stays; of the others,
-the pieces in sequences that are not full are exchanged: pooled, dealt anew
-into larger groups and packed again by best-fit decreasing. An exchange is kept
-only if it saves sequences; rounds end when nothing can be saved any more by
-the pool's own bound, or after ``rounds``.
+sequences. A group that meets its bound is certified and stays, but for its
+least filled sequence; of the others, all sequences that are not full are open.
+The pieces of open sequences are exchanged: pooled, dealt anew into larger
+groups and packed again by best-fit decreasing. An exchange is kept only if it
+saves sequences. Rounds go on until one saves nothing, or the whole table's
+bound is met.
 
-Only the pieces' lengths are shuffled, never texts or ids. The driver sees
-a few sums per round.
+Only the pieces' lengths are shuffled, never texts or ids. The driver sees a few
+sums per round and, for the table's bound, how many pieces have each length.
+``certificate`` gives sequences and bound of a packed table.
 
 Tokenizing: texts are cut where the tokenizer itself always begins a new word
 (at ASCII white space, and between a Latin letter and ASCII punctuation other
@@ -43,7 +45,6 @@ CAPACITY = 2048
 END_ID = 0
 GROUP = 8192  # pieces packed together in the first round
 POOL = 32768  # and in the exchange rounds
-ROUNDS = 3
 
 ASCII_SPACE = np.zeros(256, bool)
 ASCII_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -202,8 +203,9 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return bins, places, np.array(loads, np.int64)
 
 
-def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """Least number of bins, by two families of dual feasible functions.
+def lower_bound(lengths: np.ndarray, capacity: int, counts: np.ndarray | None = None) -> int:
+    """Least number of bins, by two families of dual feasible functions, for
+    pieces of ``lengths``, each as often as ``counts`` says (once).
 
     For each threshold x up to half the capacity, pieces over capacity - x
     count as full bins and pieces under x as nothing; and for k = 1, 2, ...
@@ -211,28 +213,43 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     """
     if not len(lengths):
         return 0
-    size = np.sort(lengths).astype(np.int64)
-    total = np.concatenate([[0], np.cumsum(size)])
+    order = np.argsort(lengths, kind="stable")
+    size = lengths[order].astype(np.int64)
+    many = np.ones(len(size), np.int64) if counts is None else counts[order].astype(np.int64)
+    total = np.concatenate([[0], np.cumsum(size * many)])
+    number = np.concatenate([[0], np.cumsum(many)])
     x = np.unique(np.concatenate([[0], size[size <= capacity // 2]]))
     lo = np.searchsorted(size, x, side="left")
     hi = np.searchsorted(size, capacity - x, side="right")
-    best = int(np.max(len(size) - hi + -(-(total[hi] - total[lo]) // capacity)))
+    best = int(np.max(number[-1] - number[hi] + -(-(total[hi] - total[lo]) // capacity)))
     for k in range(1, 21):
         scaled = (k + 1) * size
         whole = scaled % capacity == 0
         # in units of 1 / (k * capacity) of a bin
         units = np.where(whole, size * k, scaled // capacity * capacity)
-        best = max(best, int(-(-int(units.sum()) // (k * capacity))))
+        best = max(best, int(-(-int((units * many).sum()) // (k * capacity))))
     return best
 
 
+def table_bound(items: DataFrame, capacity: int = CAPACITY) -> int:
+    """Least number of sequences for all pieces (of at most ``capacity``
+    different lengths)."""
+    rows = items.groupBy("length").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    return lower_bound(rows.column("length").to_numpy(), capacity, rows.column("n").to_numpy())
+
+
+def certificate(packed: DataFrame, capacity: int = CAPACITY) -> dict[str, int]:
+    """Sequences of a packed table, and the bound that no packing can be under."""
+    return {"sequences": packed.where("offset = 0").count(), "bound": table_bound(packed, capacity)}
+
+
 def pack_groups(items: DataFrame, groups: int, turn: int, capacity: int) -> DataFrame:
     """Packs each group; adds bin, offset, load (of the bin), bins and bound
-    (of the group)."""
-    keep = [c for c in items.columns if c not in ("group", "turn", "bin", "offset", "load", "bins", "bound")]
+    (of the group), and whether the bin is the group's least filled one."""
+    keep = [c for c in items.columns if c not in ("group", "turn", "bin", "offset", "load", "bins", "bound", "tail")]
     dealt = items.select(*keep, F.pmod(F.xxhash64("deal", F.lit(turn)), F.lit(groups)).alias("group"),
                          F.lit(turn).alias("turn"))
-    extra = "bin long, offset long, load long, bins long, bound long"
+    extra = "bin long, offset long, load long, bins long, bound long, tail boolean"
 
     def run(rows: pa.Table) -> pa.Table:
         lengths = rows.column("length").to_numpy()
@@ -245,7 +262,7 @@ def pack_groups(items: DataFrame, groups: int, turn: int, capacity: int) -> Data
         for name, values in (("bin", bins[back]), ("offset", places[back]), ("load", loads[bins[back]]),
                              ("bins", np.full(n, len(loads))), ("bound", np.full(n, lower_bound(lengths, capacity)))):
             rows = rows.append_column(name, pa.array(values, pa.int64()))
-        return rows
+        return rows.append_column("tail", pa.array(bins[back] == (int(loads.argmin()) if len(loads) else -1)))
 
     C.ship(items.sparkSession)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema.fields) + ", " + extra
@@ -253,33 +270,40 @@ def pack_groups(items: DataFrame, groups: int, turn: int, capacity: int) -> Data
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP, pool: int = POOL,
-         rounds: int = ROUNDS) -> DataFrame:
-    """Pieces with sequence_id and offset. ``items``: any columns and length."""
+         rounds: int | None = None) -> DataFrame:
+    """Pieces with sequence_id and offset. ``items``: any columns and length.
+    ``rounds`` of exchange at most, by default as many as save anything."""
     items = C.cut(items.withColumn("deal", F.monotonically_increasing_id()))  # fixed by the checkpoint
     n = items.count()
+    least = table_bound(items, capacity)
     state = C.cut(pack_groups(items, max(1, -(-n // group)), 0, capacity))
-    done = None
-    for turn in range(1, rounds + 1):
-        gap = (F.col("bins") > F.col("bound")) & (F.col("load") < capacity)
+    sequences = state.where("offset = 0").count()  # an offset of 0 is a sequence's first piece
+    done, turn = None, 0
+    while sequences > least and turn != rounds:
+        turn += 1
+        gap = (F.col("load") < capacity) & ((F.col("bins") > F.col("bound")) | F.col("tail"))
         open_ = state.where(gap)
-        # offset 0 is the first piece of a sequence, so these count sequences
         have = open_.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("tokens"),
                          F.sum((F.col("offset") == 0).cast("long")).alias("bins")).first()
         if not have.n or have.bins <= -(-have.tokens // capacity):
             break
         again = C.cut(pack_groups(open_, max(1, -(-have.n // pool)), turn, capacity))
-        if again.where("offset = 0").count() >= have.bins:
+        saved = have.bins - again.where("offset = 0").count()
+        if saved <= 0:
             break
+        sequences -= saved
         kept = state.where(~gap)
         done = kept if done is None else done.unionByName(kept)
         state = again
     out = state if done is None else done.unionByName(state)
-    sequence = F.col("turn").cast("long") * (1 << 58) + F.col("group") * (1 << 24) + F.col("bin")
-    return out.withColumn("sequence_id", sequence).drop("deal", "group", "turn", "bin", "load", "bins", "bound")
+    # a turn's groups are numbered after those of the turns before
+    sequence = (F.col("turn").cast("long") * max(1, -(-n // min(group, pool))) + F.col("group")) * (1 << 24) + F.col("bin")
+    return out.withColumn("sequence_id", sequence).drop("deal", "group", "turn", "bin", "load", "bins", "bound", "tail")
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer_dir: str | None = None,
-                   capacity: int = CAPACITY, group: int = GROUP, pool: int = POOL, rounds: int = ROUNDS) -> DataFrame:
+                   capacity: int = CAPACITY, group: int = GROUP, pool: int = POOL,
+                   rounds: int | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     packed = pack(pieces(docs, id_col, text_col, tokenizer_dir, capacity), capacity, group, pool, rounds)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

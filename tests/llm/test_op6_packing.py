@@ -101,6 +101,26 @@ def test_exchange_saves_sequences_and_keeps_every_piece(spark):
     assert bound <= n1 < n0
 
 
+def test_bound_of_a_whole_table(spark):
+    rng = np.random.default_rng(2)
+    for top in (60, 100):
+        sizes = rng.integers(1, top + 1, 500)
+        items = spark.createDataFrame([(int(x),) for x in sizes], "length long")
+        assert P.table_bound(items, 100) == P.lower_bound(sizes, 100)
+    assert P.table_bound(items.where("false"), 100) == 0
+
+
+def test_least_filled_sequences_of_certified_groups_are_pooled(spark):
+    """Every group is certified alone, with a sequence that is half empty."""
+    items = spark.range(4000).select(F.lit(30).alias("length"))
+    alone = P.pack(items, 100, group=10, rounds=0)
+    after = P.pack(items, 100, group=10, pool=500)
+    n0, n1 = checked(alone, 100), checked(after, 100)
+    found = P.certificate(after, 100)
+    assert n0 > 1.1 * n1 and found["sequences"] == n1
+    assert found["bound"] <= n1 <= found["bound"] + 1 and after.count() == 4000
+
+
 def test_edge_cases(spark):
     docs = edge_docs(spark)
     packed = P.pack_documents(docs, capacity=64)
