@@ -33,7 +33,7 @@ PENALTIES = (0.03, 0.01, 0.003, 0.001)
 CUT = 0.3
 
 
-STATISTICS = ("chars", "words", "word_length", "letters", "capitals", "digits", "marks", "bars", "stops",
+STATISTICS = ("chars", "words", "word_length", "letters", "capitals", "digits", "symbols", "bare_words", "stops",
               "distinct_words", "doubled_words", "line_length")
 
 
@@ -48,9 +48,9 @@ SPACE = _flags((0x09, 0x0D), (0x20, 0x20))
 LETTER = _flags((0x41, 0x5A), (0x61, 0x7A), (0xC3, 0xF4))  # by first byte
 CAPITAL = _flags((0x41, 0x5A))
 DIGIT = _flags((0x30, 0x39))
-MARK = _flags((0x21, 0x21), (0x23, 0x26), (0x2A, 0x2A))
-BAR = _flags((0x7C, 0x7C))
-STOP = _flags((0x2E, 0x2E), (0x3F, 0x3F))
+STOP = _flags((0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))  # ends of sentences
+PROSE = STOP | _flags((0x22, 0x22), (0x27, 0x29), (0x2C, 0x2D), (0x3A, 0x3B))  # and what else stands in them
+SYMBOL = _flags((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E)) & ~PROSE  # all other ASCII signs
 
 
 def measure(t: C.Texts) -> list[np.ndarray]:
@@ -81,9 +81,11 @@ def measure(t: C.Texts) -> list[np.ndarray]:
     different = np.bincount(np.unique(row * (len(found) + 1) + codes) // (len(found) + 1), minlength=n).astype(np.float64)
     again = np.bincount(row[1:][(codes[1:] == codes[:-1]) & (row[1:] == row[:-1])], minlength=n).astype(np.float64)
     lines = per_row(d == 0x0A) + 1
+    bare = np.add.reduceat((LETTER | DIGIT)[d], at, dtype=np.int64) == 0 if len(at) else at  # words without a letter or digit
+    bare = np.bincount(row[bare], minlength=n).astype(np.float64) if len(at) else np.zeros(n)
     return [chars, words, share(per_row(inside & ((d & 0xC0) != 0x80)), words), share(letters, chars),
-            share(per_row(CAPITAL[d] | latin), letters), share(per_row(DIGIT[d]), chars), share(per_row(MARK[d]), words),
-            share(per_row(BAR[d]), words), share(per_row(STOP[d]), words), share(different, words), share(again, words),
+            share(per_row(CAPITAL[d] | latin), letters), share(per_row(DIGIT[d]), chars), share(per_row(SYMBOL[d]), words),
+            share(bare, words), share(per_row(STOP[d]), words), share(different, words), share(again, words),
             share(chars, lines)]
 
 

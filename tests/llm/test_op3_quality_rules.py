@@ -9,7 +9,7 @@ from shoplens.llm import quality_rules as Q
 def test_statistics_against_a_plain_count():
     import pyarrow as pa
 
-    texts = [None, "", "a a b\nB! É|é 12 ..", "x" * 40, "  ", "é é\té"]
+    texts = [None, "", "a a b\nB! É|é 12 ..", "x" * 40, "  ", "é é\té", "", "@^~ <a> = _x_ {1} \\ -- ?!", "&&& | *"]
     got = np.stack(Q.measure(C.texts_of(pa.array(texts, pa.string()))), axis=1)
     for row, text in zip(got, texts):
         text = text or ""
@@ -20,6 +20,9 @@ def test_statistics_against_a_plain_count():
             assert np.isclose(s["distinct_words"], len(set(words)) / len(words))
             assert np.isclose(s["doubled_words"], sum(a == b for a, b in zip(words, words[1:])) / len(words))
             assert np.isclose(s["word_length"], sum(map(len, words)) / len(words))
+            assert np.isclose(s["bare_words"], sum(not any(c.isalnum() for c in w) for w in words) / len(words))
+            assert np.isclose(s["symbols"], sum(c in "#$%&*+/<=>@[\\]^_`{|}~" for c in text) / len(words))
+            assert np.isclose(s["stops"], sum(c in ".!?" for c in text) / len(words))
             assert np.isclose(s["capitals"], sum(c in "BÉ" for c in text) / max(1, sum(c.isalpha() for c in text)))
 
 
@@ -34,6 +37,20 @@ def test_rules_are_paths_and_weights_are_sparse():
     assert np.mean((z > 0) == y) > 0.98
 
 
+def test_lasso_reaches_the_optimum():
+    """The conditions of an optimum: no slope along a weight that is not zero
+    beyond the penalty, and none steeper than the penalty along the others."""
+    rng = np.random.default_rng(4)
+    r = (rng.random((800, 30)) < 0.4).astype(float)
+    y = (rng.random(800) < Q.sigmoid(2 * r[:, 0] - 3 * r[:, 1] + r[:, 2] - 0.5)).astype(float)
+    for penalty in (0.03, 0.01):
+        w, b = Q.lasso(r, y, penalty, 4000)
+        slope = r.T @ (Q.sigmoid(r @ w + b) - y) / len(y)
+        assert abs((Q.sigmoid(r @ w + b) - y).mean()) < 1e-4
+        assert np.abs(slope[w != 0] + penalty * np.sign(w[w != 0])).max() < 1e-3
+        assert np.abs(slope[w == 0]).max() <= penalty + 1e-6 and (w == 0).sum() > 10
+
+
 def test_rule_limits_are_merged():
     assert Q.simplest(((1, True, 0.2), (1, True, 0.5), (1, False, 0.9), (0, False, 3.0))) == (
         (0, False, 3.0), (1, False, 0.9), (1, True, 0.5))
@@ -65,6 +82,16 @@ def test_edge_cases(spark):
     assert one.rules == [] and one.intercept > 0
 
 
+def test_junk_of_other_symbols_is_seen_too(spark):
+    """The same documents with signs in their junk that the given ones lack."""
+    docs = C.table(spark, SF, "documents").select("doc_id", F.translate("text", "!#$%&*|", "@^~=<>_").alias("text"))
+    held_out = C.by_crc("doc_id", 5) == 0
+    measured = Q.with_statistics(docs).join(C.table(spark, SF, "labels").select("doc_id", "quality"), "doc_id")
+    model = Q.fit(measured.where(~held_out), "quality")
+    got = Q.score(measured.where(held_out), model, name="q").agg(F.avg((F.col("q.predicted") == F.col("quality")).cast("int"))).first()
+    assert got[0] > 0.95
+
+
 def test_held_out_accuracy(spark):
     got = Q.op3_quality_rules(spark, SF)
     assert got.count() == 1000 and got.where("score < 0 OR score > 1").count() == 0
