@@ -8,19 +8,20 @@ Suffixes. Indexing all suffixes of the corpus would take several times its
 size, so the arrays are sparse. A window of ``length`` bytes owns the suffix
 that starts at its smallest 32-byte gram (by hash, leftmost on ties). Equal
 windows own equal suffixes at the same distance, so comparing suffixes (and
-what stands before them) finds all equal windows. Suffixes are ordered by 128
-bits of hash of their first 32 bytes, then of all bytes that windows around
-them can hold.
-
-Index family. The texts come in batches. A batch's suffix array has its distinct
-suffixes, in the order of a hash of their first 32 bytes, with counts. It joins
-the family as a level of size one, and while two levels have the same size they
-are merged, so that each entry is rewritten a logarithmic number of times. A
-merge-scan of the levels finds the suffixes that occur again; all others have no
-match. Of those found, one that occurs with its whole context again matches for
-all its windows; one that matches in part is refined, first in blocks of 24
-windows (common core, whole extent), then window by window, each time counted
-over all texts.
+what stands before them) finds all equal windows. Their order is that of a hash
+of their first 32 bytes, not of the bytes: equal ones stand together, which is
+all that matching asks for.
+
+Index family. The texts come in batches. A batch's suffix array has its owned
+suffixes - text, place, windows, hashes - in the order of a hash of their first
+32 bytes (the core), then of text and place. On arrival it is scanned against
+every level of the family, which finds the suffixes that occur again, in it or
+in an earlier batch; then it joins the family as a level of size one, and while
+two levels have the same size they are merged, so that each entry is rewritten a
+logarithmic number of times. All other suffixes have no match. Of those found,
+one that occurs with its whole context again matches for all its windows; one
+that matches in part is refined, first in blocks of 24 windows (common core,
+whole extent), then window by window, each time counted over all texts.
 
 Equal texts are one text with a mark, so groups of copies cost nothing; counts
 are aggregated before they are shuffled, so a common passage is no hot key.
@@ -253,36 +254,46 @@ class Scratch:
 
 # ------------------------------------------------------------ index family
 class IndexFamily:
-    """Suffix arrays (core, n), in order of core, as levels of 1, 2, 4, ...
-    batches; two levels of a size are merged."""
+    """Suffix arrays as levels of 1, 2, 4, ... batches. An array holds records
+    in the order of (core, text, place); a batch that arrives is scanned
+    against every level, and two levels of a size are merged into one."""
 
     def __init__(self, scratch: Scratch):
         self.scratch = scratch
         self.levels: list[tuple[int, DataFrame]] = []
+        self.found: list[DataFrame] = []
 
-    @staticmethod
-    def merged(arrays: list[DataFrame]) -> DataFrame:
-        out = arrays[0]
-        for x in arrays[1:]:
-            out = out.unionByName(x)
-        return out.groupBy("core").agg(F.sum("n").alias("n")).sortWithinPartitions("core")
+    def _array(self, records: DataFrame) -> DataFrame:
+        """Sorted by range; a core with very many records is cut by text."""
+        order = ["core", *KEY, "node"]
+        return self.scratch.table(records.repartitionByRange(*order).sortWithinPartitions(*order), "suffix-array")
 
     def add(self, records: DataFrame) -> None:
-        """A batch of records becomes a suffix array and joins the family."""
-        size, array = 1, self.scratch.table(self.merged([records.select("core", _weight().alias("n"))]), "suffix-array")
+        """A batch of records (a written table) becomes a suffix array; the
+        cores that it has more than once or that a level has are matches."""
+        size, array = 1, self._array(records)
+        cores = array.groupBy("core").agg(F.sum(_weight()).alias("n"))
+        hits = cores.where("n > 1").select("core")
+        for _, level in self.levels:
+            hits = hits.unionByName(cores.select("core").join(level.select("core").distinct(), "core", "left_semi"))
+        self.found.append(self.scratch.table(hits.distinct(), "core-matches"))
         while self.levels and self.levels[-1][0] == size:
             pair = [self.levels.pop()[1], array]
-            array = self.scratch.table(self.merged(pair), "suffix-array")
+            array = self._array(pair[0].unionByName(pair[1]))
             size *= 2
             for old in pair:
                 self.scratch.drop(old)
         self.levels.append((size, array))
 
     def matched(self) -> DataFrame:
-        """Merge-scan of all levels: the cores that occur again."""
-        arrays = [array for _, array in self.levels]
-        whole = arrays[0] if len(arrays) == 1 else self.scratch.table(self.merged(arrays), "suffix-array")
-        return whole.where("n > 1").select("core")
+        """All records whose core occurs again, in whichever batch."""
+        cores, live = self.found[0], self.levels[0][1]
+        for x in self.found[1:]:
+            cores = cores.unionByName(x)
+        for _, x in self.levels[1:]:
+            live = live.unionByName(x)
+        cores = self.scratch.table(cores.distinct(), "core-matches")
+        return self.scratch.table(live.join(cores, "core", "left_semi"), "matched")
 
 
 def judge(live: DataFrame, scratch: Scratch) -> DataFrame:
@@ -382,12 +393,13 @@ def repeated_windows(texts: DataFrame, scratch: Scratch, length: int = LENGTH, b
         node = pack_nodes(s["place"], s["near"], s["far"], 0, copied[s["row"]])
         return s["row"], node, s["core"], s["extent"]
 
-    records = scratch.table(_map_texts(texts.select(*KEY, "copied", "z"), hashes, suffixes), "suffixes")
     family = IndexFamily(scratch)
     for k in range(batches):
-        family.add(records.where(F.pmod(F.xxhash64(*KEY), F.lit(batches)) == k))
-    live = scratch.table(records.join(family.matched(), "core", "left_semi"), "matched")
-    judged = scratch.table(judge(live, scratch), "matches")
+        batch = texts.where(F.pmod(F.xxhash64(*KEY), F.lit(batches)) == k).select(*KEY, "copied", "z")
+        records = scratch.table(_map_texts(batch, hashes, suffixes), "suffixes")
+        family.add(records)
+        scratch.drop(records)
+    judged = scratch.table(judge(family.matched(), scratch), "matches")
     found = judged.where("repeated").select(*KEY, _window_range().alias("range"))
 
     def blocks(rows, copied, row, nodes):

@@ -82,15 +82,34 @@ def test_every_window_owns_one_suffix(texts):
     assert owned == list(range(len(texts[-1]) - 400 + 1))
 
 
-def test_levels_merge_geometrically(spark, texts):
-    family = S.IndexFamily(S.Scratch(spark))
-    sizes = []
+def test_levels_merge_geometrically_and_are_scanned_on_arrival(spark):
+    scratch = S.Scratch(spark)
+    family = S.IndexFamily(scratch)
+    sizes, found = [], []
     for k in range(5):
-        records = spark.range(k, k + 3).selectExpr("id AS core", "0L AS node")
+        records = scratch.table(spark.range(k, k + 3).selectExpr(
+            "id AS k1", "id AS k2", "CASE WHEN id = 9 THEN 1L ELSE 0L END AS node", "id AS core", "0L AS extent"), "batch")
         family.add(records)
         sizes.append([n for n, _ in family.levels])
+        found.append(sorted(r.core for r in family.found[-1].collect()))
     assert sizes == [[1], [2], [2, 1], [4], [4, 1]]
-    assert sorted(r.core for r in family.matched().collect()) == [1, 2, 3, 4, 5]
+    assert found == [[], [1, 2], [2, 3], [3, 4], [4, 5]]  # what earlier batches had
+    for _, level in family.levels:  # whole records, in the order of their cores
+        assert level.columns == ["k1", "k2", "node", "core", "extent"]
+        for part in level.rdd.glom().collect():
+            assert [r.core for r in part] == sorted(r.core for r in part)
+    live = [r.core for r in family.matched().collect()]
+    assert sorted(live) == sorted(c for k in range(5) for c in range(k, k + 3) if c in (1, 2, 3, 4, 5))
+    scratch.clear()
+
+
+@pytest.mark.parametrize("batches", [2, 7])
+def test_matches_across_batches(spark, batches):
+    """Repeats whose texts come in different batches, and in one."""
+    rng = np.random.default_rng(11)
+    p = [words(rng, 500) for _ in range(6)]
+    texts = [words(rng, 200 + 10 * i) + p[i % 6][:450 + i] + words(rng, 150) for i in range(30)]
+    assert spans(spark, frame(spark, texts), batches=batches) == brute(texts, 400)
 
 
 def test_removal_cuts_whole_characters_only(spark):
