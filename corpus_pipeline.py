@@ -20,6 +20,10 @@ from shoplens.session import scratch_path
 #: A text whose best language has less than this share of belief is rejected.
 LEAST_LANGUAGE_SCORE = 0.3
 
+#: Strings of so many bytes are removed where they repeat: 50 words of four
+#: letters and a space, so that a passage of more words holds at least one.
+PASSAGE_BYTES = 250
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents of a learned language: texts without a letter (null
@@ -37,10 +41,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def remove_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps every document, without the characters of 400-byte strings that
-    also start elsewhere; n_chars follows the text."""
+    """Keeps every document, without the characters of strings of
+    PASSAGE_BYTES bytes that also start elsewhere; n_chars follows the text."""
     counted = "n_chars" if "n_chars" in docs.columns else None
-    return suffix_dedup.remove_repeats(docs, count_col=counted)
+    return suffix_dedup.remove_repeats(docs, length=PASSAGE_BYTES, count_col=counted)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,7 +59,7 @@ def test_repeats_stage_removes_whole_characters_of_repeats(tables):
     ids = sorted(before)
     assert sorted(after) == ids
     cut = 0
-    for i, runs in zip(ids, repeated([before[i].text for i in ids], 400)):
+    for i, runs in zip(ids, repeated([before[i].text for i in ids], P.PASSAGE_BYTES)):
         text, kept, at = before[i].text, [], 0
         for c in text:
             size = len(c.encode())
@@ -71,6 +71,29 @@ def test_repeats_stage_removes_whole_characters_of_repeats(tables):
     assert cut > 0
 
 
+def test_repeats_stage_catches_passages_of_over_50_words(spark):
+    """Passages of 51 to 60 words that two documents share go; documents that
+    share only short phrases stay as they are."""
+    rng = np.random.default_rng(8)
+
+    def prose(n):
+        return " ".join("".join(map(chr, rng.integers(97, 123, int(k)))) for k in rng.integers(2, 9, n))
+
+    rows, passages = [], []
+    for n in range(51, 61):
+        passages.append(prose(n))
+        rows += [(len(rows) + k, f"{prose(80)} {passages[-1]} {prose(40)}") for k in range(2)]
+    phrase = prose(20)
+    clean = [(100 + k, f"{prose(60)} {phrase} {prose(60)}") for k in range(10)]
+    docs = spark.createDataFrame(rows + clean, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "'en' AS lang", "'s' AS source", "length(text) AS n_chars")
+    got = {r.doc_id: r.text for r in P.remove_repeated_strings(spark, docs, SMALL).collect()}
+    for i, text in rows:
+        passage = passages[i // 2]
+        assert passage not in got[i] and len(got[i]) <= len(text) - len(passage)
+    assert all(got[i] == text for i, text in clean)
+
+
 def test_benchmark_stage_drops_contaminated_documents(spark, tables):
     before, after = rows(tables[3]), rows(tables[4])
     items = [(r.item_id, r.text) for r in C.table(spark, SMALL, "benchmark").collect()]
