@@ -64,6 +64,7 @@ class JobConfig:
     target_root: str | None = None
     thresholds: Thresholds = field(default_factory=Thresholds)
     as_of: str | None = None
+    run_id: str | None = None  # of the load; a load repeated under it is not added twice
     # source_format "jdbc": the warehouse with the marts
     jdbc_url: str | None = None
     jdbc_user: str | None = None
@@ -105,6 +106,7 @@ class JobConfig:
             csv_single_file=e.get("CSV_SINGLE_FILE", "1") == "1",
             thresholds=Thresholds.from_env(e),
             as_of=e.get("AS_OF"),
+            run_id=e.get("RUN_ID"),
         )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions import time as T
-from shoplens.functions.text import strip
+from shoplens.functions.text import is_blank, strip
 from shoplens.operators.dedup import keep_max
 
 REJECT_ORDER = ("null", "blank", "bad_date", "future", "birth_after_registration")
@@ -80,7 +80,7 @@ def null_violation(rules: Cleaning) -> Column:
 
 
 def blank_violation(rules: Cleaning) -> Column:
-    return _any(F.coalesce(strip(F.col(c)) == "", F.lit(False)) for c in rules.required_text)
+    return _any(F.coalesce(is_blank(F.col(c)), F.lit(False)) for c in rules.required_text)
 
 
 def parsed_ts(rules: Cleaning) -> Column:

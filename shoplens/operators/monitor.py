@@ -12,10 +12,14 @@ DUPLICATE_ALERT_RATIO = 0.5
 
 
 def kpi_counts(purchases: DataFrame) -> DataFrame:
-    """M1: purchases, distinct stores, distinct customers (one row)."""
-    return purchases.agg(F.expr("count(1) AS purchases"),
-                         F.expr("count(DISTINCT store_id) AS stores"),
-                         F.expr("count(DISTINCT customer_id) AS customers"))
+    """M1: purchases, distinct stores, distinct customers (one row).
+
+    Purchases are first counted by store and customer, so only these pairs,
+    not the rows, are taken apart for the two distinct counts."""
+    pairs = purchases.groupBy("store_id", "customer_id").agg(F.expr("count(1) AS n"))
+    return pairs.agg(F.expr("coalesce(sum(n), 0) AS purchases"),
+                     F.expr("count(DISTINCT store_id) AS stores"),
+                     F.expr("count(DISTINCT customer_id) AS customers"))
 
 
 def duplicate_ratio(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame:
@@ -30,9 +34,14 @@ def duplicate_ratio(df: DataFrame, keys: Sequence[str], table: str) -> DataFrame
 
 def ratio_of_counts(per_key: DataFrame, table: str) -> DataFrame:
     """``duplicate_ratio`` from one row per key with its ``copies``."""
+    return ratio_of_totals(per_key.agg(F.expr("coalesce(sum(copies), 0) AS rows"),
+                                       F.expr("count(1) AS distinct_keys")), table)
+
+
+def ratio_of_totals(totals: DataFrame, table: str) -> DataFrame:
+    """``duplicate_ratio`` from one row with ``rows`` and ``distinct_keys``."""
     name = table.replace("'", "''")
-    return per_key.agg(F.expr("coalesce(sum(copies), 0) AS rows"),
-                       F.expr("count(1) AS distinct_keys")).selectExpr(
+    return totals.selectExpr(
         f"'{name}' AS table_name", "rows", "distinct_keys",
         "rows - distinct_keys AS duplicate_rows",
         "try_divide(CAST(rows - distinct_keys AS DOUBLE), rows) AS dup_ratio")

@@ -10,13 +10,13 @@ from shoplens.config import JobConfig, as_of_text
 from shoplens.operators.features import customer_feature_matrix
 from shoplens.schemas import CUSTOMERS_MART_DDL, PURCHASES_MART_DDL
 from shoplens.sinks.export import export_csv
-from shoplens.sinks.matrix import ensure_target_table, target_path, write_matrix
+from shoplens.sinks.matrix import ensure_target_table, read_target, target_path, write_matrix
 from shoplens.sources.tables import jdbc_options, read_jdbc, read_table
 
 
 def run(spark: SparkSession, cfg: JobConfig, customers: DataFrame, purchases: DataFrame) -> dict:
     """Makes sure of the target, builds and writes the matrix (one action) and
-    exports what was written, if an export folder is configured."""
+    exports this run's files, if an export folder is configured."""
     path = target_path(spark, cfg)
     ensure_target_table(spark, cfg, path)
     result = write_matrix(spark, customer_feature_matrix(customers, purchases, as_of=cfg.as_of, th=cfg.thresholds),
@@ -24,9 +24,8 @@ def run(spark: SparkSession, cfg: JobConfig, customers: DataFrame, purchases: Da
     spark.sql(f"REFRESH TABLE {cfg.target}")
     if cfg.csv_root:
         month = dt.datetime.fromisoformat(as_of_text(cfg.as_of)) if cfg.as_of else dt.datetime.now(dt.timezone.utc)
-        loaded = spark.read.parquet(path)
-        last = loaded.where(loaded.etl_loaded_at == loaded.agg({"etl_loaded_at": "max"}).first()[0]).drop("etl_loaded_at")
-        result["csv"] = export_csv(last, cfg.csv_root, month.year, month.month, cfg.csv_single_file)
+        mine = read_target(spark, path, result["run_id"]).drop("etl_loaded_at")
+        result["csv"] = export_csv(mine, cfg.csv_root, month.year, month.month, cfg.csv_single_file)
     return result
 
 

@@ -18,10 +18,13 @@ from shoplens.functions import time as T
 from shoplens.functions.pii import PiiHasher, normalize_email, normalize_phone
 from shoplens.operators import baskets, cleaning, features, monitor, pii, upsert
 from shoplens.operators.dedup import keep_max
+from shoplens.plans import mart_job
 from shoplens.plans.oracle import FEATURE_KEYS
+from shoplens.schemas import L0_TOPICS
 from shoplens.session import scratch_path
-from shoplens.sinks import snapshot
+from shoplens.sinks import keyed, rollup
 from shoplens.sinks.export import to_messages
+from shoplens.sources import message_log
 from shoplens.sources.tables import read_table
 from shoplens.streaming import mart_stream
 
@@ -184,6 +187,36 @@ def q_matrix_window(spark, root):
     return fixture_matrix(spark, root, ranked=True)
 
 
+# Two days for the incremental matrix; the earlier one lies inside the data.
+INCREMENTAL_AS_OF = ("2024-01-24 00:00:00", AS_OF)
+
+
+def incremental_loads(spark, root):
+    """r_purchases in two deliveries. The first lacks every third purchase and
+    has an earlier version of every fifth (two days before, another amount);
+    the second has what was missing, the versions that stay, and copies of
+    every seventh that are older than what is stored."""
+    p = fixtures.r_purchases(spark, root)
+    number = F.expr("CAST(substring(purchase_id, 5) AS BIGINT)")
+
+    def earlier(rows, days):
+        return rows.withColumns({"purchase_datetime": F.expr(f"purchase_datetime - INTERVAL {days} DAYS"),
+                                 "total_amount": F.col("total_amount") + 1})
+
+    late, changed = number % 3 == 0, number % 5 == 0
+    first = p.where(~late & ~changed).unionByName(earlier(p.where(~late & changed), 2))
+    return first, p.where(late | changed).unionByName(earlier(p.where(number % 7 == 0), 3))
+
+
+@register("feature_matrix_incremental")
+def q_feature_matrix_incremental(spark, root):
+    table = rollup.open_rollup(spark, scratch_path(spark, "feature_matrix_incremental"), buckets=8)
+    for n, purchases in enumerate(incremental_loads(spark, root)):
+        table = table.loaded(purchases, tag=str(n)).commit()
+    out = [table.matrix(fixtures.r_customers(spark, root), as_of).withColumn("as_of", F.lit(as_of)) for as_of in INCREMENTAL_AS_OF]
+    return out[0].unionByName(out[1])
+
+
 # --------------------------------------------------------------- P1-P7, K2
 def _hasher(algorithm="hmac_sha256"):
     return PiiHasher.from_text(FIXTURE_SALT, algorithm)
@@ -339,6 +372,24 @@ def q_upsert_by_key(spark, root):
     return upsert.upsert(base, upd, UPSERT_KEY, seq="seq")
 
 
+def merge_on_read_table(spark, root):
+    """Every customer as the base, then ``upsert_inputs``' updates in three
+    batches: the stale versions, the odd keys, the even keys."""
+    base, upd = upsert_inputs(spark, root)
+    columns = [*base.columns, "seq"]
+    place = scratch_path(spark, "upsert_merge_on_read")
+    table = keyed.create(spark, place, base.withColumn("seq", F.lit(0)).schema, UPSERT_KEY, "seq", buckets=8)
+    table = table.loaded(base.withColumn("seq", F.lit(0)).select(*columns)).commit()
+    for which in ("seq = 1", "seq = 2 AND c_custkey % 2 = 1", "seq = 2 AND c_custkey % 2 = 0"):
+        table = table.upserted(upd.where(which).select(*columns)).commit()
+    return table
+
+
+@register("upsert_merge_on_read")
+def q_upsert_merge_on_read(spark, root):
+    return merge_on_read_table(spark, root).read().drop("seq")
+
+
 @register("upsert_stats")
 def q_upsert_stats(spark, root):
     base, upd = upsert_inputs(spark, root)
@@ -351,6 +402,13 @@ def q_insert_conflicts(spark, root):
     return upsert.insert_conflicts(base, upd.drop("seq"), UPSERT_KEY)
 
 
+@register("insert_conflicts_indexed")
+def q_insert_conflicts_indexed(spark, root):
+    base, upd = upsert_inputs(spark, root)
+    table = keyed.create(spark, scratch_path(spark, "insert_conflicts_indexed"), base.schema, UPSERT_KEY, buckets=8).loaded(base)
+    return table.conflicts(upsert.settled(upd.drop("seq"), "insert-batch"))
+
+
 @register("unique_violations")
 def q_unique_violations(spark, root):
     li = read_table(spark, root, "lineitem")
@@ -412,7 +470,7 @@ def q_stream_dedup(spark, root):
 def q_stream_mart_upsert(spark, root):
     base = scratch_path(spark, "stream_mart_upsert")
     streams.run_arrivals(spark, root, base, AS_OF)
-    return snapshot.read_current(spark, f"{base}/out/mart")
+    return mart_stream.read_mart(spark, f"{base}/out/mart")
 
 
 @register("stream_mart_rejects")
@@ -422,6 +480,22 @@ def q_stream_mart_rejects(spark, root):
     return spark.read.parquet(f"{base}/out/rejects").drop("batch_id")
 
 
+@register("stream_l0_messages")
+def q_stream_l0_messages(spark, root):
+    """All four collections through the message log: RAW purchases in three
+    publications, the mart's stream restarted after each."""
+    base = scratch_path(spark, "stream_l0_messages")
+    log = f"{base}/log"
+    others = {"customers": documents.customer_documents, "products": documents.product_documents, "stores": documents.store_documents}
+    for n, docs in enumerate(streams.arrivals(spark, root)):
+        message_log.append(to_messages(docs, "purchases"), log)
+        if n == 0:
+            for name, view in others.items():
+                message_log.append(to_messages(view(spark, root), name), log)
+        mart_job.run_stream(spark, message_log.message_stream(spark, log, L0_TOPICS["purchases"]), AS_OF, f"{base}/out")
+    return mart_stream.read_mart(spark, f"{base}/out/mart")
+
+
 # --------------------------------------------------------------- G1-G9
 @register("purchase_documents")
 def q_purchase_documents(spark, root):

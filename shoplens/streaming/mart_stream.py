@@ -2,25 +2,27 @@
 
 Source: the L0 topic (``format("kafka")``, JSON in ``value``) or message files
 with the same rows. A micro-batch is cleaned and upserted into the mart
-snapshot: of two copies the later one by event time stays, in whichever order
-and batch they arrive, so the stream's mart equals the batch mart. Rejected rows
-and malformed messages go to a quarantine, key counts to a table over which the
-duplicate ratio is taken. Every output of a batch is written under its batch id,
-so a replayed batch changes nothing.
+(a keyed table, merged on read): of two copies the later one by event time
+stays, in whichever order and batch they arrive, so the stream's mart equals the
+batch mart, and a batch costs what the batch holds, not the mart. Rejected rows
+and malformed messages go to a quarantine. The duplicate ratio runs over totals
+that each batch adds to, with a keyed table of the keys seen. Every output of a
+batch carries its batch id, so a replayed batch changes nothing.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from shoplens.operators import cleaning, monitor, upsert
+from shoplens.operators import cleaning, monitor
 from shoplens.operators.cleaning import Cleaning
 from shoplens.session import scratch_table
-from shoplens.sinks import snapshot
+from shoplens.sinks import keyed
 from shoplens.sources.ndjson import is_object
 
 DEFAULT_WATERMARK = "2 hours"
@@ -87,21 +89,25 @@ def run_to_table(stream: DataFrame, out_path: str, checkpoint: str, fmt: str = "
 Batch = Callable[[DataFrame, int], None]
 
 
-def upsert_batches(spark: SparkSession, root: str, rules: Cleaning = cleaning.PURCHASE_RULES) -> Batch:
-    """ST3: upserts a micro-batch of mart rows into a snapshot table; a stored
-    row that is newer than the batch's stays. The batch id is stored with the
+def upsert_batches(spark: SparkSession, root: str, rules: Cleaning = cleaning.PURCHASE_RULES, buckets: int = 16) -> Batch:
+    """ST3: upserts a micro-batch of mart rows into a keyed table; a stored row
+    that is newer than the batch's stays. The batch id is stored with the
     pointer, so a replayed batch is skipped."""
     def fn(batch: DataFrame, batch_id: int) -> None:
-        info = snapshot.current_info(spark, root)
-        if info is not None and info[1] is not None and int(info[1]) >= batch_id:
+        table = keyed.open_table(spark, root)
+        if table is None:
+            table = keyed.create(spark, root, batch.schema, rules.key, rules.latest, buckets, newest_wins=False)
+        elif int(table.tag) >= batch_id:
             return
-        base = snapshot.read_current(spark, root)
-        with scratch_table(cleaning.deduplicated(batch, rules), "stream-batch") as rows:
-            new = rows if base is None else upsert.upsert_settled(base, rows, list(rules.key), rules.latest)
-            snapshot.publish_snapshot(spark, new, root, tag=str(batch_id))
+        table.upserted(batch).commit(str(batch_id))
     return fn
 
 
+def read_mart(spark: SparkSession, root: str) -> DataFrame:
+    """The mart that ``upsert_batches`` keeps under ``root``."""
+    return keyed.open_table(spark, root).read()
+
+
 def _write_once(rows: DataFrame, path: str, batch_id: int) -> None:
     """A batch's rows in a folder of its own, replaced if the batch comes again."""
     rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
@@ -113,14 +119,26 @@ def quarantine_batches(path: str) -> Batch:
 
 
 def alert_batches(spark: SparkSession, counts_path: str, alerts_path: str, key: str = "purchase_id",
-                  table: str = "purchases") -> Batch:
-    """ST4: the duplicate ratio over everything that has arrived so far; each
-    batch adds its copies per key, and alert rows are kept by batch."""
+                  table: str = "purchases", buckets: int = 16) -> Batch:
+    """ST4: the duplicate ratio over everything that has arrived so far. The
+    keys seen are a keyed table that carries the totals; a batch asks its
+    filters which of its keys are new and adds these, so its cost does not
+    depend on how many came before. Alert rows are kept by batch."""
     def fn(batch: DataFrame, batch_id: int) -> None:
-        _write_once(batch.groupBy(key).agg(F.count(F.lit(1)).alias("copies")), counts_path, batch_id)
-        seen = spark.read.parquet(counts_path).where(F.col("batch_id") <= batch_id)
-        ratio = monitor.ratio_of_counts(seen.groupBy(key).agg(F.sum("copies").alias("copies")), table)
-        _write_once(monitor.duplicate_alert(ratio), alerts_path, batch_id)
+        seen = keyed.open_table(spark, counts_path)
+        state = json.loads(seen.tag) if seen is not None else {"batch": -1, "rows": 0, "keys": 0}
+        if state["batch"] < batch_id:
+            if seen is None:
+                seen = keyed.create(spark, counts_path, batch.select(key).schema, [key], buckets=buckets)
+            counts = batch.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
+            with scratch_table(counts, "batch-keys") as keys:
+                new = keys.join(seen.lookup(keys), key, "left_anti").select(key)
+                total = keys.agg(F.expr("coalesce(sum(copies), 0) AS n")).first().n
+                seen = seen.upserted(new)
+                state = {"batch": batch_id, "rows": state["rows"] + total, "keys": sum(r.rows for r in seen.runs)}
+                seen.commit(json.dumps(state))
+        rows = spark.createDataFrame([(state["rows"], state["keys"])], "rows LONG, distinct_keys LONG")
+        _write_once(monitor.duplicate_alert(monitor.ratio_of_totals(rows, table)), alerts_path, batch_id)
     return fn
 
 

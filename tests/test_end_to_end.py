@@ -8,8 +8,8 @@ from shoplens.functions.pii import PiiHasher
 from shoplens.operators import cleaning
 from shoplens.operators.features import customer_feature_matrix
 from shoplens.plans import feature_job, l0_publish, loader, mart_job
-from shoplens.sinks import snapshot
 from shoplens.sinks.export import write_ndjson
+from shoplens.streaming.mart_stream import read_mart
 from shop_fixtures import documents
 
 AS_OF = "2026-01-01 00:00:00"
@@ -42,7 +42,7 @@ def test_end_to_end(spark, tmp_dir):
 
     root = os.path.join(tmp_dir, "purchases")
     mart_job.run_stream(spark, os.path.join(topics, "purchases"), AS_OF, root)
-    mart = snapshot.read_current(spark, f"{root}/mart")
+    mart = read_mart(spark, f"{root}/mart")
     want, rejects = cleaning.clean(cleaning.flatten(docs["purchases"]), AS_OF)
     assert mart.count() == want.count() and mart.exceptAll(want).count() == 0
     assert rejects.count() == 0  # generated orders are all valid and before AS_OF
@@ -54,7 +54,7 @@ def test_end_to_end(spark, tmp_dir):
 
     root = os.path.join(tmp_dir, "customers")
     mart_job.run_stream(spark, os.path.join(topics, "customers"), AS_OF, root, "customers")
-    customers = snapshot.read_current(spark, f"{root}/mart")
+    customers = read_mart(spark, f"{root}/mart")
     matrix = customer_feature_matrix(customers, mart, as_of=AS_OF)
     assert matrix.count() == matrix.select("customer_id").distinct().count() == docs["customers"].count()
     res = feature_job.run(spark, JobConfig(target_root=os.path.join(tmp_dir, "wh"), tgt_db="e2e", as_of=AS_OF,

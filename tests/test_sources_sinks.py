@@ -81,6 +81,51 @@ def test_matrix_sink_append_truncate_and_count(spark, tmp_dir):
         msink.write_matrix(spark, m.withColumn("sum_7d", F.col("sum_7d").cast("string")), cfg)
 
 
+def test_a_load_repeated_under_its_run_id_leaves_one_copy(spark, tmp_dir, monkeypatch):
+    m = fixture_matrix(spark, SF_SMALL)
+    n = m.count()
+    cfg = JobConfig(target_root=tmp_dir, run_id="day-1")
+    path = msink.target_path(spark, cfg)
+    for broken, after in (("move", 1), ("write_text", 0)):  # stopped while files are moved, before the manifest
+        real, calls = getattr(snapshot, broken), []
+
+        def stop(*a, real=real, calls=calls, after=after):
+            calls.append(a)
+            if len(calls) > after:
+                raise OSError("stopped")
+            return real(*a)
+
+        monkeypatch.setattr(snapshot, broken, stop)
+        with pytest.raises(OSError):
+            msink.write_matrix(spark, m, cfg)
+        monkeypatch.setattr(snapshot, broken, real)
+        assert msink.runs(spark, path) == {} and msink.read_target(spark, path).count() == 0
+    assert msink.write_matrix(spark, m, cfg)["rows"] == n
+    assert msink.write_matrix(spark, m.limit(3), cfg)["rows"] == n  # done already
+    assert msink.read_target(spark, path).count() == spark.read.parquet(path).count() == n
+    other = msink.write_matrix(spark, m.limit(5), JobConfig(target_root=tmp_dir, run_id="day_2"))
+    assert msink.read_target(spark, path).count() == n + 5
+    assert msink.read_target(spark, path, other["run_id"]).count() == 5
+    assert list(msink.runs(spark, path)) == ["day_1", "day_2"]
+
+
+def test_a_lookup_opens_files_that_may_hold_the_customer(spark, tmp_dir):
+    m = fixture_matrix(spark, SF_SMALL)
+    cfg = JobConfig(target_root=tmp_dir)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for _ in range(2):
+            msink.write_matrix(spark, m, cfg)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    path = msink.target_path(spark, cfg)
+    assert len(msink.read_target(spark, path).inputFiles()) >= 8
+    for c in ("cus-1", "cus-77", "cus-99"):
+        found = msink.lookup(spark, path, c)
+        assert found.count() == 2 and len(found.inputFiles()) == 2  # one of each load
+    assert msink.lookup(spark, path, "nobody").count() == 0
+
+
 def test_snapshot_switch(spark, tmp_dir):
     root = os.path.join(tmp_dir, "snap")
     assert snapshot.read_current(spark, root) is None

@@ -6,7 +6,7 @@ import pyarrow.parquet as pq
 
 from conftest import SF_SMALL
 from shoplens.operators import cleaning
-from shoplens.sinks import snapshot
+from shoplens.sinks import keyed
 from shop_fixtures import streams, views as fixtures
 from shoplens.streaming import mart_stream as S
 
@@ -75,15 +75,14 @@ def test_foreach_batch_upsert_equals_batch_mart(spark, tmp_dir):
     run()
     pq.write_table(b, os.path.join(src, "b.parquet"))
     run()
-    got = snapshot.read_current(spark, snap_root)
+    got = S.read_mart(spark, snap_root)
     _, mart = _batch_accepted(spark, src)
     assert got.count() == mart.count()
     assert got.exceptAll(mart).count() == 0
     # a replayed batch id is skipped (idempotent sink)
-    before = snapshot.current(spark, snap_root)
-    info = snapshot.current_info(spark, snap_root)
-    S.upsert_batches(spark, snap_root)(mart.limit(1), int(info[1]))
-    assert snapshot.current(spark, snap_root) == before
+    before = keyed.open_table(spark, snap_root)
+    S.upsert_batches(spark, snap_root)(mart.limit(1), int(before.tag))
+    assert keyed.open_table(spark, snap_root) == before
 
 
 def test_alert_stream_writes_no_alert_below_threshold(spark, tmp_dir):
@@ -195,7 +194,7 @@ def test_newer_resend_wins_in_any_order_and_bad_messages_are_kept(spark, tmp_dir
     send("1.json", doc(10, "cash"), "{broken", doc(9, "cash", purchase_id=None))
     send("2.json", doc(11, "card"))
     send("3.json", doc(8, "cash"))
-    got = snapshot.read_current(spark, f"{root}/mart").collect()
+    got = S.read_mart(spark, f"{root}/mart").collect()
     assert [(r.purchase_id, r.payment_method, r.purchase_datetime.hour) for r in got] == [("x", "card", 11)]
     assert [r.value for r in spark.read.parquet(f"{root}/malformed").collect()] == ["{broken"]
     assert [r.reject_reason for r in spark.read.parquet(f"{root}/rejects").collect()] == ["null"]
