@@ -72,7 +72,8 @@ BITS = 26
 STEP = 1.25  # sizes of one band of sets
 ROUNDS = 4
 HOT = 64
-LINKS_PER_PARTITION = 1 << 17
+ROWS_PER_PARTITION = 1 << 15  # of tables with keys and numbers only
+TEXTS_PER_PARTITION = 1 << 9
 CHUNK = 1 << 21  # shingles of a task that are counted at once for frequent ones
 SHARE = 256  # frequent: in one of so many documents of a chunk
 
@@ -487,7 +488,8 @@ def text_keys():
     return [F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), F.col("text")).alias("k2")]
 
 
-def open_groups(texts: DataFrame, sets: DataFrame, asked: DataFrame, crowds: DataFrame | None, size: int, percent: int) -> DataFrame:
+def open_groups(texts: DataFrame, sets: DataFrame, asked: DataFrame, crowds: DataFrame | None, size: int, percent: int,
+                sizes: Sizes) -> DataFrame:
     """a, b: links of queries with members of the groups that they ask, and of
     the members of ``crowds`` with each other. ``sets``: sid, handle, n, gid,
     k1, k2 of every set; ``asked``: handle, gid; ``crowds``: gid."""
@@ -505,26 +507,33 @@ def open_groups(texts: DataFrame, sets: DataFrame, asked: DataFrame, crowds: Dat
     queries = asking.join(cells, "gid").select(
         "gid", F.pmod(F.xxhash64("sid"), F.col("cells")).alias("cell"), F.lit(False).alias("within"), "sid", "k1", "k2", F.lit(True).alias("asks"))
     rows = C.cut(members.unionByName(queries))
-    rows = rows.join(fetched(texts, rows), ["k1", "k2"]).drop("k1", "k2")
-    rows = rows.repartition("gid", "cell").sortWithinPartitions("gid", "cell", "asks")
-    return rows.mapInArrow(lambda batches: _open_sorted(batches, size, percent), "a binary, b binary")
-
-
-@contextlib.contextmanager
-def _sized_for(spark, rows: int):
-    """As many shuffle partitions as so few rows need, for jobs run inside."""
-    name = "spark.sql.shuffle.partitions"
-    usual = spark.conf.get(name)
-    spark.conf.set(name, str(max(1, min(int(usual), -(-rows // LINKS_PER_PARTITION)))))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, usual)
-
-
-def _components(links: DataFrame) -> DataFrame:
-    links = C.cut(links)
-    with _sized_for(links.sparkSession, links.count()):
+    with sizes.of(rows.count(), TEXTS_PER_PARTITION):
+        rows = rows.join(fetched(texts, rows), ["k1", "k2"]).drop("k1", "k2")
+        rows = rows.repartition("gid", "cell").sortWithinPartitions("gid", "cell", "asks")
+        return C.cut(rows.mapInArrow(lambda batches: _open_sorted(batches, size, percent), "a binary, b binary"))
+
+
+class Sizes:
+    """Shuffle partitions for jobs over tables of known size: not more than
+    their rows need, nor than the session has."""
+
+    NAME = "spark.sql.shuffle.partitions"
+
+    def __init__(self, spark):
+        self.spark, self.usual = spark, int(spark.conf.get(self.NAME))
+
+    @contextlib.contextmanager
+    def of(self, rows: int, each: int = ROWS_PER_PARTITION):
+        before = self.spark.conf.get(self.NAME)
+        self.spark.conf.set(self.NAME, str(max(1, min(self.usual, -(-rows // each)))))
+        try:
+            yield
+        finally:
+            self.spark.conf.set(self.NAME, before)
+
+
+def _components(links: DataFrame, sizes: Sizes) -> DataFrame:
+    with sizes.of(links.count()):
         return C.cut(connected_components(links))
 
 
@@ -545,25 +554,30 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = C.cut(grouped(sets.select("*", "k.k1", "k.k2").drop("k"), percent))
     members = sets.select("sid", "handle", "n", "gid", "k1", "k2")
 
+    shared = C.cut(shared_parts(full))
+    sizes, n = Sizes(docs.sparkSession), sets.count()
+
     # groups within themselves, and the parts of one group with its first
-    crowds = sets.groupBy("gid").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gid")
-    parts = sets.where("gid <> head").select("handle", F.col("head").alias("gid"))
-    roots = _components(open_groups(texts, members, parts, crowds, shingle, percent))
+    with sizes.of(n):
+        crowds = sets.groupBy("gid").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gid")
+        parts = sets.where("gid <> head").select("handle", F.col("head").alias("gid"))
+        roots = _components(open_groups(texts, members, parts, crowds, shingle, percent, sizes), sizes)
 
     # other groups, where they can change a component
-    shared = C.cut(shared_parts(full))
-    entries = divided(texts, shared, members, shingle, percent)
-    linked = roots.select("node", F.xxhash64("root").alias("linked"))
-    linked = members.select("sid", "handle", "n", "gid").join(linked, F.col("sid") == F.col("node"), "left")
-    met = C.cut(met_groups(entries, linked, percent))
-    best = met.groupBy("handle").agg(F.max_by("gid", F.struct("shared", F.xxhash64("handle", "gid"))).alias("gid"))
-    roots = _grown(roots, open_groups(texts, members, best, None, shingle, percent))
-    now = C.cut(_labelled(members, roots).select("handle", "gid", "root"))
-    span = now.groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    rest = C.cut(met.select("handle", "gid").join(best, ["handle", "gid"], "left_anti").join(now.select("handle", "root"), "handle")
-                 .join(span, "gid").where("low <> high OR root <> low").select("handle", "gid").distinct())
-    if not rest.isEmpty():
-        roots = _grown(roots, open_groups(texts, members, rest, None, shingle, percent))
+    with sizes.of(max(n, 16 * shared.count())):
+        entries = divided(texts, shared, members, shingle, percent)
+        linked = roots.select("node", F.xxhash64("root").alias("linked"))
+        linked = members.select("sid", "handle", "n", "gid").join(linked, F.col("sid") == F.col("node"), "left")
+        met = C.cut(met_groups(entries, linked, percent))
+    with sizes.of(max(n, met.count())):
+        best = met.groupBy("handle").agg(F.max_by("gid", F.struct("shared", F.xxhash64("handle", "gid"))).alias("gid"))
+        roots = _grown(roots, open_groups(texts, members, best, None, shingle, percent, sizes), sizes)
+        now = C.cut(_labelled(members, roots).select("handle", "gid", "root"))
+        span = now.groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        rest = C.cut(met.select("handle", "gid").join(best, ["handle", "gid"], "left_anti").join(now.select("handle", "root"), "handle")
+                     .join(span, "gid").where("low <> high OR root <> low").select("handle", "gid").distinct())
+        if not rest.isEmpty():
+            roots = _grown(roots, open_groups(texts, members, rest, None, shingle, percent, sizes), sizes)
 
     ids = _labelled(sets.select("sid", "min_id"), roots)
     least = ids.groupBy("root").agg(F.min("min_id").alias("component_id"))
@@ -572,13 +586,12 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _grown(roots: DataFrame, links: DataFrame) -> DataFrame:
-    """Components of the stars ``roots`` and further links."""
-    links = C.cut(links)
+def _grown(roots: DataFrame, links: DataFrame, sizes: Sizes) -> DataFrame:
+    """Components of the stars ``roots`` and further links (both written)."""
     if links.isEmpty():
         return roots
     stars = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return _components(stars.unionByName(links))
+    return _components(stars.unionByName(links), sizes)
 
 
 def op12_jaccard_join(spark, sf_dir: str) -> DataFrame:
