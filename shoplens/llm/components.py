@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,17 +15,18 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def connected_components(links: DataFrame, a: str = "a", b: str = "b",
+                         write: Callable[[DataFrame], DataFrame] = C.cut) -> DataFrame:
     """node, root: every node that has a link to another, with the smallest
     node of its component. Links and labels stay distributed; each round is
-    a few joins and ends in a checkpoint, and the driver only compares a
-    count and a checksum.
+    a few joins and ends in a written table (a checkpoint, or as ``write``
+    does it), and the driver only compares a count and a checksum.
 
     A round is a large star (each node hands its larger neighbours its
     smallest neighbour) and a small star (it hands that to its smaller ones
     and itself); the fixed point is one star per component.
     """
-    edges = C.cut(links.where(F.col(a) != F.col(b))
+    edges = write(links.where(F.col(a) != F.col(b))
                   .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
     state = _state(edges)
     while state[0]:
@@ -34,7 +37,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         small = large.join(least, "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
-        edges = C.cut(small)
+        edges = write(small)
         before, state = state, _state(edges)
         if state == before:
             break

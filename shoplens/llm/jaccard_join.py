@@ -16,7 +16,8 @@ ever meet, however large the corpus. A part without shingles says nothing: a set
 that has one is dealt a second time by another hash, and so on ``ROUNDS`` times.
 
 A part that very many sets have (more than ``HOT``: the words of a common line,
-or a crowd of near copies) is divided further by single shingles. In any order of
+or a crowd of near copies) is no row. The sets that have any such part meet by
+single shingles instead, each once, in however many such parts it is. In any order of
 all shingles, the larger of two linked sets has, among its first
 n - ceil(percent n / 100) + 1, one of the smaller's first n - ceil(2 percent n /
 (100 + percent)) + 1. Shingles that are frequent anywhere in the corpus come
@@ -265,15 +266,15 @@ def shared_parts(full: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ groups
-def grouped(sets: DataFrame, percent: int) -> DataFrame:
+def grouped(sets: DataFrame, percent: int, scratch: C.Scratch) -> DataFrame:
     """``sets`` plus gid and head: groups of sets with the same ``least`` and
     sizes in the same band, and the first part of the group if it was cut.
     Larger groups have larger numbers. Different groups that get the same
     number are one group; it does not matter which sets share one."""
     step = math.log(100 / percent) if percent < 100 else 1.0
     sets = sets.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(step)))
-    of_group = C.cut(sets.groupBy("band", "least").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"))
-                     .where("members > 1"))
+    of_group = scratch.table(sets.groupBy("band", "least").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"))
+                             .where("members > 1"), "group-sizes")
     parts = F.greatest(F.ceil(F.col("members") / F.lit(MOST)), F.ceil(F.col("tokens") / F.lit(GROUP_TOKENS)))
     many = of_group.select("band", "least", "members", parts.alias("parts"))
     out = sets.join(many, ["band", "least"], "left")
@@ -286,16 +287,18 @@ def grouped(sets: DataFrame, percent: int) -> DataFrame:
     return out.withColumns({"gid": number(part), "head": number(F.lit(0).cast("long"))}).drop("band", "least", "members", "parts")
 
 
-def divided(texts: DataFrame, shared: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
-    """key, handle, first: ``shared``, with the keys of very many sets divided by
-    single shingles. ``first``: whether the set meets larger ones by it."""
-    hot = C.cut(shared.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("key"))
+def divided(texts: DataFrame, shared: DataFrame, sets: DataFrame, size: int, percent: int, scratch: C.Scratch) -> DataFrame:
+    """key, handle, first: ``shared`` without the keys of very many sets, and
+    single shingles of the sets that have such a key. Both of two linked sets
+    that share one have it, so a set's shingles are needed once, not for each
+    of its keys. ``first``: whether the set meets larger ones by it."""
+    hot = scratch.table(shared.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT).select("key"), "hot-keys")
     plain = shared.withColumn("first", F.lit(True))
     if hot.isEmpty():
         return plain
     order = texts.sparkSession.sparkContext.broadcast(Order(*frequent_shingles(texts, size)))
-    rows = C.cut(shared.join(hot, "key", "left_semi"))
-    wanted = sets.join(rows.select("handle").distinct(), "handle", "left_semi").select("k1", "k2")
+    crowded = shared.join(hot, "key", "left_semi").select("handle").distinct()
+    wanted = scratch.table(sets.join(crowded, "handle", "left_semi").select("k1", "k2"), "crowded-texts")
 
     def run(batches):
         known = order.value
@@ -313,9 +316,9 @@ def divided(texts: DataFrame, shared: DataFrame, sets: DataFrame, size: int, per
                 yield pa.RecordBatch.from_arrays([pa.array(handle, pa.int64()), G.lists(flat.view(np.int64), np.array(off)),
                                                   pa.array(first, pa.int32())], names=["handle", "tokens", "n_first"])
 
-    ones = fetched(texts, wanted).select("text").mapInArrow(run, "handle long, tokens array<bigint>, n_first int").dropDuplicates(["handle"])
-    parted = rows.join(ones, "handle").select("key", "handle", "n_first", F.posexplode("tokens").alias("at", "token")).select(
-        F.xxhash64("key", "token").alias("key"), "handle", (F.col("at") < F.col("n_first")).alias("first"))
+    ones = fetched(texts, wanted).select("text").mapInArrow(run, "handle long, tokens array<bigint>, n_first int")
+    parted = ones.select("handle", "n_first", F.posexplode("tokens").alias("at", "token")).select(
+        F.xxhash64(F.lit("shingle"), "token").alias("key"), "handle", (F.col("at") < F.col("n_first")).alias("first"))
     return plain.join(hot, "key", "left_anti").unionByName(parted)
 
 
@@ -435,10 +438,15 @@ def _open_sorted(batches, size: int, percent: int):
     def close(within):
         nonlocal group, label
         group = Group(sets, percent)
-        label, links = group.components()
+        found, _ = group.components()
+        # stars around the least member need the fewest rounds to join
+        order = sorted(range(len(sid)), key=sid.__getitem__)
+        least = {}
+        label = np.array([least.setdefault(x, i) for x, i in zip(found[order].tolist(), order)], np.int64)[np.argsort(order)]
         if within:
-            a.extend(sid[i] for i, _ in links)
-            b.extend(sid[j] for _, j in links)
+            rays = np.flatnonzero(label != np.arange(len(label))).tolist()
+            a.extend(sid[i] for i in rays)
+            b.extend(sid[label[i]] for i in rays)
 
     inside = False
     for new, rows in runs(batches, ["gid", "cell"]):
@@ -459,7 +467,7 @@ def _open_sorted(batches, size: int, percent: int):
                 close(inside)
             hit = group.linked(s)
             if len(hit):
-                mine = [sid[j] for j in hit[np.unique(label[hit], return_index=True)[1]].tolist()]
+                mine = [sid[j] for j in np.unique(label[hit]).tolist()]
                 a.extend([key] * len(mine))
                 b.extend(mine)
         if len(a) > 10_000:
@@ -489,7 +497,7 @@ def text_keys():
 
 
 def open_groups(texts: DataFrame, sets: DataFrame, asked: DataFrame, crowds: DataFrame | None, size: int, percent: int,
-                sizes: Sizes) -> DataFrame:
+                sizes: Sizes, scratch: C.Scratch) -> DataFrame:
     """a, b: links of queries with members of the groups that they ask, and of
     the members of ``crowds`` with each other. ``sets``: sid, handle, n, gid,
     k1, k2 of every set; ``asked``: handle, gid; ``crowds``: gid."""
@@ -500,17 +508,17 @@ def open_groups(texts: DataFrame, sets: DataFrame, asked: DataFrame, crowds: Dat
     if crowds is not None:
         cells = cells.unionByName(crowds.select("gid", F.lit(1).cast("long").alias("cells"), F.lit(True).alias("within")))
         cells = cells.groupBy("gid").agg(F.max("cells").alias("cells"), F.max("within").alias("within"))
-    cells = C.cut(cells)
+    cells = scratch.table(cells, "cells")
     members = sets.join(cells, "gid").select(
         "gid", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)).alias("cell"), "within", "sid", "k1", "k2", F.lit(False).alias("asks"))
     members = members.withColumn("within", F.col("within") & (F.col("cell") == 0))
     queries = asking.join(cells, "gid").select(
         "gid", F.pmod(F.xxhash64("sid"), F.col("cells")).alias("cell"), F.lit(False).alias("within"), "sid", "k1", "k2", F.lit(True).alias("asks"))
-    rows = C.cut(members.unionByName(queries))
+    rows = scratch.table(members.unionByName(queries), "cell-rows")
     with sizes.of(rows.count(), TEXTS_PER_PARTITION):
         rows = rows.join(fetched(texts, rows), ["k1", "k2"]).drop("k1", "k2")
         rows = rows.repartition("gid", "cell").sortWithinPartitions("gid", "cell", "asks")
-        return C.cut(rows.mapInArrow(lambda batches: _open_sorted(batches, size, percent), "a binary, b binary"))
+        return scratch.table(rows.mapInArrow(lambda batches: _open_sorted(batches, size, percent), "a binary, b binary"), "links")
 
 
 class Sizes:
@@ -532,9 +540,9 @@ class Sizes:
             self.spark.conf.set(self.NAME, before)
 
 
-def _components(links: DataFrame, sizes: Sizes) -> DataFrame:
+def _components(links: DataFrame, sizes: Sizes, scratch: C.Scratch) -> DataFrame:
     with sizes.of(links.count()):
-        return C.cut(connected_components(links))
+        return scratch.table(connected_components(links, write=lambda edges: scratch.table(edges, "edges")), "roots")
 
 
 def _labelled(sets: DataFrame, roots: DataFrame) -> DataFrame:
@@ -547,51 +555,55 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not 0 < percent <= 100:
         raise ValueError("percent is from 1 to 100")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    full = C.cut(with_sets(texts, shingle, percent, "s").select("doc_id", *text_keys(), "s.*"))
+    scratch = C.Scratch(docs.sparkSession)
+    full = scratch.table(with_sets(texts, shingle, percent, "s").select("doc_id", *text_keys(), "s.*"), "sets-of-rows")
     slim = full.select("doc_id", "n", "sid")
     sets = full.where("n > 0").groupBy("sid").agg(*[F.first(c).alias(c) for c in ("handle", "n", "least")],
                                                   F.min(F.struct("k1", "k2")).alias("k"), F.min("doc_id").alias("min_id"))
-    sets = C.cut(grouped(sets.select("*", "k.k1", "k.k2").drop("k"), percent))
+    sets = scratch.table(grouped(sets.select("*", "k.k1", "k.k2").drop("k"), percent, scratch), "sets")
     members = sets.select("sid", "handle", "n", "gid", "k1", "k2")
 
-    shared = C.cut(shared_parts(full))
+    shared = scratch.table(shared_parts(full), "shared-parts")
     sizes, n = Sizes(docs.sparkSession), sets.count()
 
     # groups within themselves, and the parts of one group with its first
     with sizes.of(n):
         crowds = sets.groupBy("gid").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("gid")
         parts = sets.where("gid <> head").select("handle", F.col("head").alias("gid"))
-        roots = _components(open_groups(texts, members, parts, crowds, shingle, percent, sizes), sizes)
+        roots = _components(open_groups(texts, members, parts, crowds, shingle, percent, sizes, scratch), sizes, scratch)
 
     # other groups, where they can change a component
     with sizes.of(max(n, 16 * shared.count())):
-        entries = divided(texts, shared, members, shingle, percent)
+        entries = divided(texts, shared, members, shingle, percent, scratch)
         linked = roots.select("node", F.xxhash64("root").alias("linked"))
         linked = members.select("sid", "handle", "n", "gid").join(linked, F.col("sid") == F.col("node"), "left")
-        met = C.cut(met_groups(entries, linked, percent))
+        met = scratch.table(met_groups(entries, linked, percent), "met")
     with sizes.of(max(n, met.count())):
-        best = met.groupBy("handle").agg(F.max_by("gid", F.struct("shared", F.xxhash64("handle", "gid"))).alias("gid"))
-        roots = _grown(roots, open_groups(texts, members, best, None, shingle, percent, sizes), sizes)
-        now = C.cut(_labelled(members, roots).select("handle", "gid", "root"))
+        best = scratch.table(met.groupBy("handle").agg(F.max_by("gid", F.struct("shared", F.xxhash64("handle", "gid"))).alias("gid")), "best")
+        roots = _grown(roots, open_groups(texts, members, best, None, shingle, percent, sizes, scratch), sizes, scratch)
+        now = scratch.table(_labelled(members, roots).select("handle", "gid", "root"), "labels")
         span = now.groupBy("gid").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        rest = C.cut(met.select("handle", "gid").join(best, ["handle", "gid"], "left_anti").join(now.select("handle", "root"), "handle")
-                     .join(span, "gid").where("low <> high OR root <> low").select("handle", "gid").distinct())
+        rest = scratch.table(met.select("handle", "gid").join(best, ["handle", "gid"], "left_anti").join(now.select("handle", "root"), "handle")
+                             .join(span, "gid").where("low <> high OR root <> low").select("handle", "gid").distinct(), "rest")
         if not rest.isEmpty():
-            roots = _grown(roots, open_groups(texts, members, rest, None, shingle, percent, sizes), sizes)
+            roots = _grown(roots, open_groups(texts, members, rest, None, shingle, percent, sizes, scratch), sizes, scratch)
 
     ids = _labelled(sets.select("sid", "min_id"), roots)
     least = ids.groupBy("root").agg(F.min("min_id").alias("component_id"))
     found = slim.join(ids.join(least, "root").select("sid", "component_id"), "sid", "left")
-    return found.select("doc_id", F.col("n").alias("n_shingles"),
-                        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    result = C.Scratch(docs.sparkSession).table(found.select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")), "components")
+    scratch.clear()
+    return result
 
 
-def _grown(roots: DataFrame, links: DataFrame, sizes: Sizes) -> DataFrame:
+def _grown(roots: DataFrame, links: DataFrame, sizes: Sizes, scratch: C.Scratch) -> DataFrame:
     """Components of the stars ``roots`` and further links (both written)."""
     if links.isEmpty():
         return roots
     stars = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return _components(stars.unionByName(links), sizes)
+    return _components(stars.unionByName(links), sizes, scratch)
 
 
 def op12_jaccard_join(spark, sf_dir: str) -> DataFrame:

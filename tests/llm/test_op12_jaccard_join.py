@@ -1,6 +1,8 @@
+import os
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SMALL, edge_docs, empty_docs
 
@@ -130,6 +132,48 @@ def test_hot_parts_are_divided(spark, monkeypatch):
     assert run(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == brute(rows)
 
 
+def test_a_set_in_many_hot_parts_is_divided_once(spark, monkeypatch):
+    """The rows that meet grow with the sets, not with their hot parts."""
+    monkeypatch.setattr(J, "HOT", 5)
+    line = " ".join(f"common{i}" for i in range(60))
+    rows = [(i, line + f" a{i % 90} b{i % 3}") for i in range(180)] + [(500 + i, f"x{i} y{i} z{i}") for i in range(20)]
+    made, met_groups = [], J.met_groups
+
+    def counted(entries, *args):
+        made.append((entries.count(), entries.select("key", "handle").distinct().count()))
+        return met_groups(entries, *args)
+    monkeypatch.setattr(J, "met_groups", counted)
+    assert run(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute(rows)
+    (n, distinct), = made
+    first = 60 - J.needed(60, 90) + 1
+    assert 90 * first <= n <= 90 * (first + J.HOT)
+    assert distinct == n
+
+
+def test_links_are_stars_around_the_least_member(spark):
+    """A chain within a group comes out as one star, which is joined in a round."""
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[:40 + i]) for i in range(12)]
+    sets = [s for s in J.sets_of(C.texts_of(pa.array(texts)), 3)]
+    rows = sorted((J.key_of(s), t) for s, t in zip(sets, texts))[::-1]
+    batch = pa.RecordBatch.from_pydict({"gid": [1] * 12, "cell": [0] * 12, "within": [True] * 12, "sid": [k for k, _ in rows],
+                                        "asks": [False] * 12, "text": [t for _, t in rows]})
+    got = [(r["a"], r["b"]) for b in J._open_sorted([batch], 3, 90) for r in b.to_pylist()]
+    assert sorted(got) == [(k, rows[-1][0]) for k, _ in sorted(rows)[1:]]
+
+
+def test_only_the_result_stays_in_the_shared_folder(spark, monkeypatch):
+    written, table = [], C.Scratch.table
+
+    def noted(self, df, name):
+        out = table(self, df, name)
+        written.append((name, self.paths[id(out)][0]))
+        return out
+    monkeypatch.setattr(C.Scratch, "table", noted)
+    run(spark.createDataFrame(family(np.random.default_rng(3), 5), "doc_id long, text string"))
+    assert [name for name, path in written if os.path.exists(path.removeprefix("file:"))] == ["components"]
+
+
 def test_shared_parts_over_batches(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
