@@ -112,6 +112,25 @@ def test_matches_across_batches(spark, batches):
     assert spans(spark, frame(spark, texts), batches=batches) == brute(texts, 400)
 
 
+def test_passages_of_over_50_words_go_from_400_bytes_on(spark):
+    """Bytes decide, not words: a shorter passage that two documents share stays whole."""
+    rng = np.random.default_rng(21)
+
+    def prose(n):
+        return " ".join(words(rng, k) for k in rng.integers(3, 9, n))
+
+    passages = [prose(n) for n in range(51, 81)]
+    passages = [p for p in passages if not 380 < len(p) < 400]  # what stands beside them may be shared too
+    texts = [f"{prose(40)} {p} {prose(40)}" for p in passages for _ in range(2)]
+    got = spans(spark, frame(spark, texts))
+    assert got == brute(texts, 400)
+    for i, (text, runs) in enumerate(zip(texts, got)):
+        p = passages[i // 2]
+        a = text.index(p)
+        assert [s <= a and e >= a + len(p) for s, e in runs] == ([True] if len(p) >= 400 else [])
+    assert len({len(p) >= 400 for p in passages}) == 2
+
+
 def test_removal_cuts_whole_characters_only(spark):
     a, b = "é" * 300, "x" + "é" * 300
     df = frame(spark, [a + "1", b + "2", "short", None, ""]).selectExpr("*", "length(text) AS n_chars", "'k' AS repeats_k1", "1 AS z")
